@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as t
 
 from recueil.functions.text import fingerprint
 from recueil.operators.clean import event_key, keep_first
+from recueil.operators.profile import one_row
 
 COLUMNS = ["uid", "pos", "payload", "digest"]
 
@@ -58,43 +59,86 @@ def targets(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return last.join(keys, "uid", "left_semi")
 
 
-def merge_counts(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """One row ``nb_nouveaux, nb_ajoutes, nb_mis_a_jour, nb_doublons``.
+def _loose(existing: DataFrame, incoming: DataFrame, keyless: str) -> DataFrame:
+    """The keyless incoming rows to append."""
+    loose = incoming.filter("uid IS NULL")
+    if keyless == "append":
+        return loose
+    if keyless != "content_hash":
+        raise ValueError(f"unknown keyless rule: {keyless!r}")
+    known = existing.filter("uid IS NULL").select("digest").distinct()
+    return keep_first(loose, "digest", "pos").join(known, "digest", "left_anti")
 
-    Every incoming row is compared with the state its key had just before it.
-    Only keys, positions and digests are shuffled; keyless rows are counted
-    where they are read.
-    """
-    keyed = incoming.filter("uid IS NOT NULL").select("uid", "pos", "digest", F.lit(True).alias("fresh"))
-    before = targets(existing, incoming).select("uid", "pos", "digest", F.lit(False).alias("fresh"))
-    steps = before.unionByName(keyed)
-    run = _run(steps)
 
-    in_run = Window.partitionBy("uid", "run").orderBy("pos")
-    compared = steps.withColumn("run", run).withColumn("previous", F.lag("digest").over(in_run))
+def _changes(steps: DataFrame, session: str | None = None) -> DataFrame:
+    """``added, updated, same`` of the fresh steps, per session if named.
+
+    Every step is compared with the one before it of the same key.  Steps are
+    compared within contiguous runs first; then only the runs of a key are.
+    Sessions must be contiguous in ``pos`` as well.
+    """
+    cut = [session] if session else []
+    in_run = Window.partitionBy("uid", *cut, "run").orderBy("pos")
+    compared = steps.withColumn("run", _run(steps)).withColumn("previous", F.lag("digest").over(in_run))
     known = F.col("fresh") & F.col("previous").isNotNull()
-    runs = compared.groupBy("uid", "run").agg(
+    runs = compared.groupBy("uid", *cut, "run").agg(
         F.min_by(F.struct("digest", "fresh"), "pos").alias("first"),
         F.max_by("digest", "pos").alias("last"),
         F.count_if(known & (F.col("previous") != F.col("digest"))).alias("updates"),
         F.count_if(known & (F.col("previous") == F.col("digest"))).alias("repeats"),
     )
-    across = runs.withColumn("previous", F.lag("last").over(Window.partitionBy("uid").orderBy("run")))
-    opening = F.col("first.fresh").cast("bigint")
-    counted = across.agg(
-        F.sum(F.when(F.col("previous").isNull(), opening).otherwise(0)).alias("added"),
-        F.sum(F.col("updates") + F.when(F.col("previous") != F.col("first.digest"), opening).otherwise(0)).alias("updated"),
-        F.sum(F.col("repeats") + F.when(F.col("previous") == F.col("first.digest"), opening).otherwise(0)).alias("same"),
-    )
+    across = runs.withColumn("previous", F.lag("last").over(Window.partitionBy("uid").orderBy(*cut, "run")))
+    before, opening = F.col("previous"), F.col("first.fresh").cast("bigint")
+    sums = [
+        F.sum(F.when(before.isNull(), opening).otherwise(0)).alias("added"),
+        F.sum(F.col("updates") + F.when(before != F.col("first.digest"), opening).otherwise(0)).alias("updated"),
+        F.sum(F.col("repeats") + F.when(before == F.col("first.digest"), opening).otherwise(0)).alias("same"),
+    ]
+    return across.groupBy(*cut).agg(*sums)
+
+
+def merge_counts(existing: DataFrame, incoming: DataFrame, keyless: str = "append") -> DataFrame:
+    """One row ``nb_nouveaux, nb_ajoutes, nb_mis_a_jour, nb_doublons``.
+
+    Every incoming row is compared with the state its key had just before it.
+    Only keys, positions and digests are shuffled; keyless rows are counted
+    where they are read.
+    """
+    keyed = incoming.filter("uid IS NOT NULL").select("uid", "pos", "digest", F.lit(True).alias("fresh"))
+    before = targets(existing, incoming).select("uid", "pos", "digest", F.lit(False).alias("fresh"))
+    counted = _changes(before.unionByName(keyed))
     rows = incoming.agg(F.count("*").alias("rows"), F.count_if(F.col("uid").isNull()).alias("keyless"))
-    both = rows.withColumn("_one", F.lit(1)).join(counted.withColumn("_one", F.lit(1)), "_one")
+    loose = _loose(existing, incoming, keyless).agg(F.count("*").alias("loose"))
+    zero = F.lit(0).cast("bigint")
+    return one_row(rows, counted, loose).select(
+        F.col("rows").alias("nb_nouveaux"),
+        (F.coalesce("added", zero) + F.col("loose")).alias("nb_ajoutes"),
+        F.coalesce("updated", zero).alias("nb_mis_a_jour"),
+        (F.coalesce("same", zero) + F.col("keyless") - F.col("loose")).alias("nb_doublons"),
+    )
+
+
+def replayed_journal(events: DataFrame, session: str) -> DataFrame:
+    """The journal that merging ``events`` session by session would write.
+
+    ``events`` has the merge columns and ``session``, which grows with ``pos``.
+    """
+    keyed = events.filter("uid IS NOT NULL").select("uid", "pos", "digest", session, F.lit(True).alias("fresh"))
+    counts = _changes(keyed, session)
+    rows = events.groupBy(session).agg(F.count("*").alias("rows"), F.count_if(F.col("uid").isNull()).alias("keyless"))
     zero = F.lit(0).cast("bigint")
-    return both.select(
+    report = rows.join(counts, session, "left").select(
+        F.col(session).alias("horodatage"),
         F.col("rows").alias("nb_nouveaux"),
         (F.coalesce("added", zero) + F.col("keyless")).alias("nb_ajoutes"),
         F.coalesce("updated", zero).alias("nb_mis_a_jour"),
         F.coalesce("same", zero).alias("nb_doublons"),
     )
+    # One row per session is all this window ever sees.
+    after = F.sum("nb_ajoutes").over(Window.orderBy("horodatage").rowsBetween(Window.unboundedPreceding, 0))
+    return report.withColumn("nb_apres_fusion", after).withColumn(
+        "nb_avant_fusion", F.col("nb_apres_fusion") - F.col("nb_ajoutes")
+    )
 
 
 def merge(existing: DataFrame, incoming: DataFrame, keyless: str = "append") -> DataFrame:
@@ -105,8 +149,6 @@ def merge(existing: DataFrame, incoming: DataFrame, keyless: str = "append") ->
     The join on ``pos`` spreads evenly whatever the keys are, because positions
     are unique.
     """
-    if keyless not in ("append", "content_hash"):
-        raise ValueError(f"unknown keyless rule: {keyless!r}")
     existing, incoming = existing.select(*COLUMNS), incoming.select(*COLUMNS)
     keyed = incoming.filter("uid IS NOT NULL")
     latest = keyed.groupBy("uid").agg(
@@ -126,19 +168,14 @@ def merge(existing: DataFrame, incoming: DataFrame, keyless: str = "append") ->
         F.coalesce("new_digest", "digest").alias("digest"),
     )
     added = state.filter("target IS NULL").select("uid", F.col("first_pos").alias("pos"), "payload", "digest")
-    loose = incoming.filter("uid IS NULL")
-    if keyless == "content_hash":
-        loose = keep_first(loose, "digest", "pos").join(
-            existing.filter("uid IS NULL").select("digest").distinct(), "digest", "left_anti"
-        )
-    return kept.unionByName(added).unionByName(loose.select(*COLUMNS))
+    loose = _loose(existing, incoming, keyless).select(*COLUMNS)
+    return kept.unionByName(added).unionByName(loose)
 
 
 def merge_report(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Counters with the table sizes before and after."""
-    before = existing.agg(F.count("*").alias("nb_avant_fusion")).withColumn("_one", F.lit(1))
-    counts = merge_counts(existing, incoming).withColumn("_one", F.lit(1))
-    return counts.join(before, "_one").select(
+    before = existing.agg(F.count("*").alias("nb_avant_fusion"))
+    return one_row(merge_counts(existing, incoming), before).select(
         "nb_nouveaux",
         "nb_avant_fusion",
         (F.col("nb_avant_fusion") + F.col("nb_ajoutes")).alias("nb_apres_fusion"),
@@ -154,9 +191,9 @@ def without_vector(events: DataFrame, vectors: DataFrame, reembed: str = "new",
     ``reembed="changed"`` also returns events whose text differs from the one
     the stored vector was made of (``text_digest``).
     """
-    keys = ["id"]
-    have = vectors.select(F.col("id").cast("string").alias("id"), *(["text_digest"] if reembed == "changed" else []))
-    want = events.withColumn("id", F.col("id").cast("string"))
+    keys = ["_id"]
+    have = vectors.select(F.col("id").cast("string").alias("_id"), *(["text_digest"] if reembed == "changed" else []))
+    want = events.withColumn("_id", F.col("id").cast("string"))
     if reembed == "changed":
         keys.append("text_digest")
         want = want.withColumn("text_digest", F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256))

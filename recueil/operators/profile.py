@@ -78,7 +78,7 @@ def summary(clean: DataFrame) -> DataFrame:
         fill_rate("url", "strict").alias("taux_avec_url"),
     )
     top = _as_map(value_counts(clean, "ville", 10), "ville", "top_villes")
-    return _side_by_side(figures, top).filter("nombre_total > 0")
+    return one_row(figures, top).filter("nombre_total > 0")
 
 
 def _as_map(counts: DataFrame, value: str, name: str) -> DataFrame:
@@ -88,9 +88,9 @@ def _as_map(counts: DataFrame, value: str, name: str) -> DataFrame:
     return counts.agg(F.map_from_entries(pairs).alias(name))
 
 
-def _side_by_side(*one_row: DataFrame) -> DataFrame:
+def one_row(*tables: DataFrame) -> DataFrame:
     """One-row tables as one row."""
-    keyed = [df.withColumn("_one", F.lit(1)) for df in one_row]
+    keyed = [df.withColumn("_one", F.lit(1)) for df in tables]
     return reduce(lambda a, b: a.join(b, "_one"), keyed).drop("_one")
 
 
@@ -118,4 +118,4 @@ def statistics_document(clean: DataFrame) -> DataFrame:
             if c in columns
         ],
     )
-    return _side_by_side(figures, _as_map(value_counts(clean, "ville", 20), "ville", "villes_principales"))
+    return one_row(figures, _as_map(value_counts(clean, "ville", 20), "ville", "villes_principales"))

@@ -268,7 +268,9 @@ def _expect(found: int | None, expected: int | None) -> int | None:
     return found
 
 
-def _cell_search(questions: DataFrame, vectors: DataFrame, k: int, metric: str, dimension: int, repeats: bool) -> DataFrame:
+def _cell_search(
+    questions: DataFrame, vectors: DataFrame, k: int, metric: str, dimension: int, repeats: bool, question_limit: int
+) -> DataFrame:
     """``query_id, vec_id, distance, rank``: both inputs carry one cell per row."""
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -283,7 +285,7 @@ def _cell_search(questions: DataFrame, vectors: DataFrame, k: int, metric: str,
     vectors = vectors.select("vec_id", "embedding", F.col("cell").cast("bigint").alias("cell"))
 
     # At most one row over the limit reaches the driver, and only to tell.
-    rows = QUESTION_LIMIT // (8 * dimension + 64)
+    rows = question_limit // (8 * dimension + 64)
     few = questions.limit(rows + 1).toArrow()
     if few.num_rows <= rows:
         hits = _scan_search(few, vectors, k, metric, dimension, schema, hit_schema)
@@ -386,7 +388,7 @@ class VectorIndex:
     def spark(self) -> SparkSession:
         return self.vectors.sparkSession
 
-    def search(self, questions: DataFrame, k: int = 5, nprobe: int = 1) -> DataFrame:
+    def search(self, questions: DataFrame, k: int = 5, nprobe: int = 1, question_limit: int = QUESTION_LIMIT) -> DataFrame:
         """``query_id, rank, vec_id, distance`` of the k nearest vectors.
 
         ``questions`` has ``query_id`` and ``embedding``.  Distances are squared
@@ -409,7 +411,7 @@ class VectorIndex:
             questions = questions.withColumn("cell", F.lit(0))
             vectors = vectors.withColumn("cell", F.lit(0))
         metric = "ip" if self.method == "flat_ip" else "l2"
-        return _cell_search(questions, vectors, k, metric, self.dimension, repeats=self.method == "lsh")
+        return _cell_search(questions, vectors, k, metric, self.dimension, self.method == "lsh", question_limit)
 
     def search_with_metadata(self, questions: DataFrame, k: int = 5, nprobe: int = 1) -> DataFrame:
         """Hits with their score and metadata.

@@ -24,13 +24,10 @@ AGENDA_PAGE = "agendas ARRAY<STRUCT<uid: STRING, title: STRING>>, after ARRAY<BI
 #: One landed page of events; each event stays raw JSON text.
 EVENT_PAGE = "agenda_uid STRING, events ARRAY<STRING>"
 
-#: Where a record was read: sorting by it restores the landing order.
-SOURCE_ORDER = "STRUCT<file: STRING, block: BIGINT, line: BIGINT, item: INT>"
-
 JOURNAL = (
     "horodatage STRING, nb_nouveaux BIGINT, nb_avant_fusion BIGINT, nb_apres_fusion BIGINT, "
     "nb_ajoutes BIGINT, nb_mis_a_jour BIGINT, nb_doublons BIGINT, fichier_version STRING, "
-    "version BIGINT, source_id STRING, batch_id BIGINT, buckets ARRAY<INT>"
+    "version BIGINT, source_id STRING, batch_id BIGINT, bucket_count INT, buckets ARRAY<INT>"
 )
 
 CURSOR = (
