@@ -3,7 +3,7 @@ whole-stage code generation and never start a Python worker."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -46,6 +46,11 @@ _ISO = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}" + _OFFSET
 _ISO_SHORT = r"^(\d{4})-(\d{1,2})-(\d{1,2})T(\d{1,2}):(\d{1,2}):(\d{1,2})" + _OFFSET
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def filled(c: Column) -> Column:
     """True where the text is neither null nor empty; never null."""
     return F.coalesce(c != "", F.lit(False))
@@ -70,21 +75,24 @@ def pick_language(
     first entry in document order.  ``fallback="non_empty"`` skips empty texts.
     A field that is no object is returned as it is, a missing one as ``''``.
     """
-    by_lang = F.from_json(raw, "map<string,string>")
-    texts = F.map_values(by_lang)
-    if fallback == "presence":
-        chosen = F.when(F.size(by_lang) == 0, F.lit(""))
-        for lang in languages:
-            chosen = chosen.when(F.map_contains_key(by_lang, lang), by_lang[lang])
-        chosen = chosen.otherwise(F.try_element_at(texts, F.lit(1)))
-    elif fallback == "non_empty":
-        options = [F.nullif(by_lang[lang], F.lit("")) for lang in languages]
-        others = F.filter(texts, lambda t: t != "")
-        chosen = F.coalesce(*options, F.try_element_at(others, F.lit(1)), F.lit(""))
-    else:
+    if fallback not in ("presence", "non_empty"):
         raise ValueError(f"unknown fallback: {fallback!r}")
-    is_object = raw.startswith("{") & by_lang.isNotNull()
-    return F.when(is_object, chosen).otherwise(F.coalesce(raw, F.lit("")))
+
+    def choose(by_lang: Column) -> Column:
+        texts = F.map_values(by_lang)
+        if fallback == "non_empty":
+            named = [F.nullif(by_lang[lang], F.lit("")) for lang in languages]
+            others = F.filter(texts, lambda t: t != "")
+            chosen = F.coalesce(*named, F.try_element_at(others, F.lit(1)), F.lit(""))
+        else:
+            chosen = F.when(F.size(by_lang) == 0, F.lit(""))
+            for lang in languages:
+                chosen = chosen.when(F.map_contains_key(by_lang, lang), by_lang[lang])
+            chosen = chosen.otherwise(F.try_element_at(texts, F.lit(1)))
+        return F.when(by_lang.isNull(), raw).otherwise(chosen)
+
+    as_map = F.from_json(raw, "map<string,string>")
+    return F.when(raw.startswith("{"), _once(as_map, choose)).otherwise(F.coalesce(raw, F.lit("")))
 
 
 def join_keywords(raw: Column, language: str = "fr") -> Column:
@@ -93,10 +101,13 @@ def join_keywords(raw: Column, language: str = "fr") -> Column:
     Accepts an object of lists per language, a plain list, or a plain string,
     which counts as a list of one.
     """
+    def joined(items: Column) -> Column:
+        listed = F.array_join(F.from_json(items, "array<string>"), ", ")
+        return F.when(items.startswith("["), F.coalesce(listed, items)).otherwise(items)
+
     per_language = F.from_json(raw, f"`{language}` string")[language]
-    items = F.when(raw.startswith("{"), per_language).otherwise(raw)
-    listed = F.array_join(F.from_json(items, "array<string>"), ", ")
-    return F.coalesce(F.when(items.startswith("["), F.coalesce(listed, items)).otherwise(items), F.lit(""))
+    object_or_list = F.when(raw.startswith("{"), _once(per_language, joined)).otherwise(joined(raw))
+    return F.coalesce(object_or_list, F.lit(""))
 
 
 def wall_clock(c: Column) -> Column:
@@ -130,10 +141,12 @@ def build_url(base: str, agenda_slug: Column, slug: Column) -> Column:
 
 def strip_html(c: Column) -> Column:
     """Tags removed, the known entities decoded in order, spaces collapsed."""
-    text = F.regexp_replace(c, "<[^>]+>", "")
+    bare = F.regexp_replace(c, "<[^>]+>", "")
+    decoded = bare
     for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return collapse_spaces(text)
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    # Most texts have no entity at all; one search replaces fifteen.
+    return collapse_spaces(F.when(F.contains(c, F.lit("&")), decoded).otherwise(bare))
 
 
 def labelled(label: str, c: Column) -> Column:

@@ -141,35 +141,51 @@ def replayed_journal(events: DataFrame, session: str) -> DataFrame:
     )
 
 
-def merge(existing: DataFrame, incoming: DataFrame, keyless: str = "append") -> DataFrame:
-    """Existing rows in place, updated ones with their latest payload, new ones
-    behind them at the position their key first came.
+def delta(existing: DataFrame, incoming: DataFrame, keyless: str = "append") -> DataFrame:
+    """What a merge changes: the merge columns and ``target``.
 
-    ``keyless="content_hash"`` adds a keyless row only if no equal one exists.
-    The join on ``pos`` spreads evenly whatever the keys are, because positions
-    are unique.
+    ``target`` is the position of the existing row to replace, null for rows to
+    add.  Keys whose latest payload equals the existing one are not in it.
     """
-    existing, incoming = existing.select(*COLUMNS), incoming.select(*COLUMNS)
     keyed = incoming.filter("uid IS NOT NULL")
     latest = keyed.groupBy("uid").agg(
         F.min("pos").alias("first_pos"), F.max_by(F.struct("payload", "digest"), "pos").alias("last")
     )
-    state = latest.select("uid", "first_pos", "last.*").join(
-        targets(existing, incoming).select("uid", F.col("pos").alias("target")), "uid", "left"
+    known = targets(existing, incoming).select("uid", F.col("pos").alias("target"), F.col("digest").alias("known"))
+    state = latest.select("uid", "first_pos", "last.*").join(known, "uid", "left")
+    changed = state.filter("target IS NULL OR known <> digest").select(
+        "uid", F.coalesce("target", "first_pos").alias("pos"), "payload", "digest", "target"
     )
+    loose = _loose(existing, incoming, keyless).select(*COLUMNS)
+    return changed.unionByName(loose, allowMissingColumns=True)
+
 
-    changed = state.filter("target IS NOT NULL").select(
+def apply_delta(existing: DataFrame, changes: DataFrame) -> DataFrame:
+    """Existing rows with the changes applied.
+
+    The join on ``pos`` spreads evenly whatever the keys are, because positions
+    are unique.
+    """
+    replaced = changes.filter("target IS NOT NULL").select(
         F.col("target").alias("pos"), F.col("payload").alias("new_payload"), F.col("digest").alias("new_digest")
     )
-    kept = existing.join(changed, "pos", "left").select(
+    kept = existing.join(replaced, "pos", "left").select(
         "uid",
         "pos",
         F.coalesce("new_payload", "payload").alias("payload"),
         F.coalesce("new_digest", "digest").alias("digest"),
     )
-    added = state.filter("target IS NULL").select("uid", F.col("first_pos").alias("pos"), "payload", "digest")
-    loose = _loose(existing, incoming, keyless).select(*COLUMNS)
-    return kept.unionByName(added).unionByName(loose)
+    return kept.unionByName(changes.filter("target IS NULL").select(*COLUMNS))
+
+
+def merge(existing: DataFrame, incoming: DataFrame, keyless: str = "append") -> DataFrame:
+    """Existing rows in place, updated ones with their latest payload, new ones
+    behind them at the position their key first came.
+
+    ``keyless="content_hash"`` adds a keyless row only if no equal one exists.
+    """
+    existing, incoming = existing.select(*COLUMNS), incoming.select(*COLUMNS)
+    return apply_delta(existing, delta(existing, incoming, keyless))
 
 
 def merge_report(existing: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recueil.functions import text as T
+from recueil.session import settled
 
 
 def row_and_value_counts(df: DataFrame, value: str) -> DataFrame:
@@ -65,20 +66,53 @@ def fill_rates(df: DataFrame, columns: Sequence[str] | None = None, rule: str =
     return one.unpivot([], [F.col(f"`{c}`") for c in names], "column", "percent")
 
 
+def _mean(total: str, n: str) -> Column:
+    return (F.sum(total) / F.sum(n)).cast("int")
+
+
+def _share(hits: str) -> Column:
+    rate = F.bround(100.0 * F.sum(hits) / F.nullif(F.sum("n"), F.lit(0)), 1)
+    return F.coalesce(rate, F.lit(0.0))
+
+
+def _per_city(clean: DataFrame, texts: Sequence[str], filled_by: dict[str, tuple[str, str]]) -> DataFrame:
+    """One small row per city with everything the reports add up.
+
+    The clean plan runs once, here; both the totals and the most frequent
+    cities come from the result.
+    """
+    aggregates = [F.count("*").alias("n")]
+    for c in texts:
+        length = F.length(c)
+        aggregates += [
+            F.min(length).alias(f"min_{c}"), F.max(length).alias(f"max_{c}"),
+            F.sum(length).alias(f"sum_{c}"), F.count(length).alias(f"n_{c}"),
+        ]
+    aggregates += [F.count_if(_is_filled(c, rule)).alias(name) for name, (c, rule) in filled_by.items()]
+    return settled(clean.groupBy("ville").agg(*aggregates))
+
+
+def _top(per_city: DataFrame, n: int) -> DataFrame:
+    return per_city.filter("ville IS NOT NULL").select("ville", "n").orderBy(F.desc("n"), "ville").limit(n)
+
+
 def summary(clean: DataFrame) -> DataFrame:
     """One row of headline figures; no row for an empty table."""
-    figures = clean.agg(
-        F.count("*").alias("nombre_total"),
-        F.countDistinct("ville").alias("nombre_villes"),
-        F.avg(F.length("description")).cast("int").alias("longueur_moyenne_description"),
-        F.avg(F.length("texte_complet")).cast("int").alias("longueur_moyenne_texte_complet"),
-        fill_rate("categories", "not_empty").alias("taux_avec_categories"),
-        fill_rate("description_longue", "strict").alias("taux_avec_description_longue"),
-        fill_rate("date_debut", "strict").alias("taux_avec_date_debut"),
-        fill_rate("url", "strict").alias("taux_avec_url"),
+    rates = {
+        "taux_avec_categories": ("categories", "not_empty"),
+        "taux_avec_description_longue": ("description_longue", "strict"),
+        "taux_avec_date_debut": ("date_debut", "strict"),
+        "taux_avec_url": ("url", "strict"),
+    }
+    per_city = _per_city(clean, ["description", "texte_complet"], rates)
+    figures = per_city.agg(
+        F.sum("n").alias("nombre_total"),
+        F.count("ville").alias("nombre_villes"),
+        _mean("sum_description", "n_description").alias("longueur_moyenne_description"),
+        _mean("sum_texte_complet", "n_texte_complet").alias("longueur_moyenne_texte_complet"),
+        *[_share(name).alias(name) for name in rates],
     )
-    top = _as_map(value_counts(clean, "ville", 10), "ville", "top_villes")
-    return one_row(figures, top).filter("nombre_total > 0")
+    return one_row(figures, _as_map(_top(per_city, 10), "ville", "top_villes")).filter("nombre_total > 0")
 
 
 def _as_map(counts: DataFrame, value: str, name: str) -> DataFrame:
@@ -97,25 +131,23 @@ def one_row(*tables: DataFrame) -> DataFrame:
 def statistics_document(clean: DataFrame) -> DataFrame:
     """The one-row statistics document saved next to the clean table."""
     columns = clean.columns
-    percent = lambda c: F.format_string("%.1f%%", fill_rate(c, "trimmed"))
-    texts = [(c, c) for c in ("description", "texte_complet") if c in columns]
+    texts = [c for c in ("description", "texte_complet") if c in columns]
+    per_city = _per_city(clean, texts, {f"filled_{c}": (c, "trimmed") for c in columns})
+
+    def percent(c: str) -> Column:
+        return F.format_string("%.1f%%", _share(f"filled_{c}"))
+
     stats = []
-    for c, label in texts:
-        length = F.length(c)
+    for c in texts:
         stats += [
-            F.min(length).alias(f"{label}_min"),
-            F.max(length).alias(f"{label}_max"),
-            F.avg(length).cast("int").alias(f"{label}_moyenne"),
+            F.min(f"min_{c}").alias(f"{c}_min"), F.max(f"max_{c}").alias(f"{c}_max"), _mean(f"sum_{c}", f"n_{c}").alias(f"{c}_moyenne")
         ]
-    figures = clean.agg(
-        F.count("*").alias("nombre_evenements"),
+    dated = [(c, name) for c, name in (("date_debut", "taux_avec_dates"), ("url", "taux_avec_url")) if c in columns]
+    figures = per_city.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("nombre_evenements"),
         F.array(*[F.lit(c) for c in columns]).alias("colonnes"),
         F.struct(*[percent(c).alias(c) for c in columns]).alias("completude"),
         F.struct(*stats).alias("statistiques_texte"),
-        *[
-            percent(c).alias(name)
-            for c, name in (("date_debut", "taux_avec_dates"), ("url", "taux_avec_url"))
-            if c in columns
-        ],
+        *[percent(c).alias(name) for c, name in dated],
     )
-    return one_row(figures, _as_map(value_counts(clean, "ville", 20), "ville", "villes_principales"))
+    return one_row(figures, _as_map(_top(per_city, 20), "ville", "villes_principales"))

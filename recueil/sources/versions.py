@@ -8,7 +8,8 @@ Layout below one root::
     raw/cursor    where the next collection resumes
 
 The current state of a bucket is its newest committed version, so a merge
-rewrites the buckets its keys fall into and no others.  Rows without a key
+rewrites the buckets in which a row changes and no others; a batch that brings
+nothing new rewrites nothing.  Rows without a key
 never change: they are appended as bucket -1 and read from all versions.
 A version that was not journaled does not exist; running its batch again
 overwrites what a lost run left behind.
@@ -24,7 +25,8 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from recueil import schemas
 from recueil.operators.clean import event_key
 from recueil.functions.text import fingerprint
-from recueil.operators.merge import COLUMNS, merge, merge_counts
+from recueil.operators.merge import COLUMNS, apply_delta, delta, merge_counts
+from recueil.session import settled
 from recueil.sources.landing import source_order
 
 KINDS = ("raw", "processed", "embeddings", "vectorstore")
@@ -137,27 +139,26 @@ def integrate(
     bucket = F.when(F.col("uid").isNull(), KEYLESS_BUCKET).otherwise(hashed)
     keyed.withColumn("bucket", bucket).write.mode("overwrite").parquet(snapshot)
     incoming = spark.read.parquet(snapshot)
-    touched = {r["bucket"] for r in incoming.select("bucket").distinct().collect()}
-    if not touched:
+    came = {r["bucket"] for r in incoming.select("bucket").distinct().collect()}
+    if not came:
         if skip_empty:
             return None
         raise ValueError("the batch is empty; nothing was merged")
 
-    needed = {b for b in touched if b >= 0} | ({KEYLESS_BUCKET} if keyless != "append" and KEYLESS_BUCKET in touched else set())
-    existing = current(spark, root, needed) if last else incoming.select(*COLUMNS).limit(0)
-    counts = merge_counts(existing, incoming.select(*COLUMNS), keyless).first()
-
-    merged = merge(existing, incoming.select(*COLUMNS), keyless).withColumn("bucket", bucket)
-    if keyless != "append":
-        # Earlier keyless rows stay where they are.
-        merged = merged.filter((F.col("bucket") >= 0) | (F.col("pos.version") == version))
-    merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
-        f"{root}/raw/current/version={_name(version)}"
-    )
-    if KEYLESS_BUCKET in touched and keyless != "append":
-        written = spark.read.parquet(f"{root}/raw/current/version={_name(version)}")
-        if written.filter(F.col("bucket") == KEYLESS_BUCKET).isEmpty():
-            touched.discard(KEYLESS_BUCKET)
+    def existing(needed: set[int]) -> DataFrame:
+        return current(spark, root, needed) if last else incoming.select(*COLUMNS).limit(0)
+
+    # Appended keyless rows need not be compared with earlier ones.
+    compared = existing({b for b in came if b >= 0 or keyless != "append"})
+    fresh = incoming.select(*COLUMNS)
+    counts = merge_counts(compared, fresh, keyless).first()
+    changes = settled(delta(compared, fresh, keyless).withColumn("bucket", bucket))
+    touched = sorted(r["bucket"] for r in changes.select("bucket").distinct().collect())
+    if touched:
+        merged = apply_delta(existing({b for b in touched if b >= 0}), changes).withColumn("bucket", bucket)
+        merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{root}/raw/current/version={_name(version)}"
+        )
 
     entry = Row(
         horodatage=session_stamp(),
@@ -172,7 +173,7 @@ def integrate(
         source_id=source_id,
         batch_id=batch_id,
         bucket_count=buckets,
-        buckets=sorted(touched),
+        buckets=touched,
     )
     one = spark.createDataFrame([entry], schemas.JOURNAL).coalesce(1)
     one.write.mode("overwrite").option("ignoreNullFields", False).json(f"{root}/raw/journal/entry-{_name(version)}")
