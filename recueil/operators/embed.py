@@ -61,7 +61,7 @@ def embed(
     delay: float = 0.0,
     attempts: int = 3,
     backoff: float = 2.0,
-    max_tasks: int | None = None,
+    tasks: int | None = None,
     zero_dimension: int | None = None,
 ) -> DataFrame:
     """Adds ``embedding, tokens, embed_error, text_digest`` to every row.
@@ -70,9 +70,10 @@ def embed(
     between; a failing slice is tried ``attempts`` times, waiting ``backoff``
     seconds and twice as long each further time, and then marked as failed
     instead of failing the job.  Failed rows have a null vector, or zeros if
-    ``zero_dimension`` is given.  Pauses hold per task, so ``max_tasks`` bounds
-    the total call rate.  A task lost with its executor runs again, hence
-    ``fn`` must give the same vector for the same text.
+    ``zero_dimension`` is given.  ``tasks`` spreads the rows evenly over so many
+    tasks; pauses hold per task, so it also bounds the total call rate.  A task
+    lost with its executor runs again, hence ``fn`` must give the same vector
+    for the same text.
     """
     if text not in df.columns:
         raise KeyError(f"no column {text!r}; available: {df.columns}")
@@ -81,8 +82,8 @@ def embed(
 
     cleaned = df.withColumns({"_text": clean_text(df, text)})
     cleaned = cleaned.withColumn("text_digest", F.sha2("_text", 256))
-    if max_tasks:
-        cleaned = cleaned.coalesce(max_tasks)
+    if tasks:
+        cleaned = cleaned.repartition(tasks)
 
     def call(texts: list[str]):
         for attempt in range(attempts):

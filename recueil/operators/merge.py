@@ -205,17 +205,21 @@ def without_vector(events: DataFrame, vectors: DataFrame, reembed: str = "new",
     """Events that still need a vector; ids are compared as text.
 
     ``reembed="changed"`` also returns events whose text differs from the one
-    the stored vector was made of (``text_digest``).
+    the stored vector was made of (``text_digest``).  What is new is found on
+    the keys alone; in a steady run that is little, and the events themselves
+    are then filtered without being shuffled.  They are read twice, so pass a
+    stored table.
     """
-    keys = ["_id"]
-    have = vectors.select(F.col("id").cast("string").alias("_id"), *(["text_digest"] if reembed == "changed" else []))
-    want = events.withColumn("_id", F.col("id").cast("string"))
+    keys = {"_id": F.coalesce(F.col("id").cast("string"), F.lit(""))}
+    have = dict(keys)
     if reembed == "changed":
-        keys.append("text_digest")
-        want = want.withColumn("text_digest", F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256))
+        keys["text_digest"] = F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)
+        have["text_digest"] = F.col("text_digest")
     elif reembed != "new":
         raise ValueError(f"unknown re-embedding rule: {reembed!r}")
-    return want.join(have.distinct(), keys, "left_anti").select(*events.columns)
+    stored = vectors.select(*[c.alias(name) for name, c in have.items()]).distinct()
+    missing = events.select(*[c.alias(name) for name, c in keys.items()]).join(stored, list(keys), "left_anti")
+    return events.withColumns(keys).join(missing, list(keys), "left_semi").select(*events.columns)
 
 
 def append_vectors(existing: DataFrame | None, fresh: DataFrame, key: str = "id") -> DataFrame:

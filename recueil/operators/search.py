@@ -33,12 +33,17 @@ METHODS = ("flat_l2", "flat_ip", "ivf", "lsh")
 QUESTION_LIMIT = 64 << 20
 #: Centroids are always sent to every task, so their size is limited.
 CENTROID_LIMIT = 64 << 20
-#: Rows of one block when both sides are cut into blocks.
-BLOCK_ROWS = 50_000
+#: Bytes of one block of vectors when both sides are cut into blocks.
+BLOCK_BYTES = 128 << 20
 #: Cells up to this number have their block plan broadcast.
 CELL_LIMIT = 100_000
-#: Scan tasks per core; each task emits k rows per question.
+#: Each scan task emits k rows per question; scan partitions are joined into
+#: fewer tasks only if they would emit more rows than this in total, and never
+#: into fewer than so many tasks per core.
+HIT_LIMIT = 2_000_000_000
 TASKS_PER_CORE = 4
+#: Up to this many probed cells are named in the scan filter.
+FILTER_LIMIT = 1000
 
 # Numbers of one distance block, about 64 MB of doubles.
 _BLOCK_CELLS = 1 << 23
@@ -193,16 +198,17 @@ def _scan_search(
                     best.add(rows, vector[here], vector_ids[here])
         yield from best.table(question_ids, schema).to_batches()
 
-    # Fewer, longer tasks: each one emits k rows per question.
-    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
-    if len(probing) <= CELL_LIMIT:
+    tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, HIT_LIMIT // max(1, k * len(first)))
+    if len(probing) <= FILTER_LIMIT:
+        # Stored cells are partitions, so this prunes files.
         vectors = vectors.filter(F.col("cell").isin(list(probing)))
-    return vectors.coalesce(tasks).mapInArrow(run, hit_schema)
+    return vectors.coalesce(min(tasks, 1 << 30)).mapInArrow(run, hit_schema)
 
 
-def _blocks(df: DataFrame, name: str) -> DataFrame:
+def _blocks(df: DataFrame, name: str, dimension: int) -> DataFrame:
     """How many blocks of bounded size every cell is cut into."""
-    return df.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias(name))
+    rows = max(1, BLOCK_BYTES // (8 * dimension))
+    return df.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(rows)).cast("int").alias(name))
 
 
 def _block_search(
@@ -210,7 +216,7 @@ def _block_search(
 ) -> DataFrame:
     """Many questions: every block of questions meets every block of vectors
     of the same cell in one task of bounded size."""
-    plan = _blocks(questions, "q_blocks").join(_blocks(vectors, "v_blocks"), "cell")
+    plan = _blocks(questions, "q_blocks", dimension).join(_blocks(vectors, "v_blocks", dimension), "cell")
     if plan.limit(CELL_LIMIT + 1).count() <= CELL_LIMIT:
         plan = F.broadcast(plan)
 

@@ -341,6 +341,10 @@ ORACLES = {
     "landed_events": """SELECT CAST(l_orderkey AS VARCHAR) AS agenda_uid, l_linenumber, l_partkey, l_quantity
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'P'
         QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) <= 3""",
+    "landed_agendas": "SELECT CAST(c_custkey AS VARCHAR) AS uid, c_name AS title FROM customer WHERE c_custkey % 20 < 15",
+    "landed_cursor": """SELECT CAST(max(c_custkey) // 20 + 1 AS VARCHAR) || ',' || max(c_custkey) AS curseur_after,
+        CAST(count(*) AS INTEGER) AS nb_agendas_session, CAST(count(*) AS INTEGER) AS total_agendas_api FROM customer""",
+    "vector_table_roundtrip": "SELECT doc_id AS id, sha256(text) AS text_digest, 64 AS dimension FROM documents",
     "stream_upsert": _STREAMED,
     "stream_journal": _STREAM_JOURNAL,
     "embed_hash": "SELECT doc_id AS id, 64 AS dimension, CAST(NULL AS VARCHAR) AS embed_error FROM documents",

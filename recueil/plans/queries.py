@@ -19,7 +19,7 @@ from recueil.operators import profile as P
 from recueil.operators.search import build_index, default_nlist, dimension_of
 from recueil.plans import answer as A
 from recueil.plans import corpus
-from recueil.session import shared_dir
+from recueil.session import settled, shared_dir
 from recueil.sources import landing, tables, versions
 from recueil.streaming import collect
 
@@ -536,6 +536,39 @@ def landed_events(spark, folder):
     return events.select("agenda_uid", parsed.alias("e")).select("agenda_uid", "e.*")
 
 
+def _agenda_pages(spark, folder) -> DataFrame:
+    """Customers as landed agenda pages of twenty."""
+    page = F.floor(F.col("c_custkey") / landing.AGENDAS_PER_PAGE)
+    agenda = F.struct(F.col("c_custkey").cast("string").alias("uid"), F.col("c_name").alias("title"))
+    customers = _table(spark, folder, "customer")
+    listed = customers.groupBy(page.alias("page")).agg(
+        F.array_sort(F.collect_list(F.struct("c_custkey", agenda.alias("agenda")))).alias("sorted"),
+        F.max("c_custkey").alias("last"),
+    )
+    body = F.struct(
+        F.transform("sorted", lambda a: a["agenda"]).alias("agendas"),
+        F.array(F.col("page") + 1, "last").alias("after"),
+        F.lit(customers.count()).alias("total"),
+    )
+    path = shared_dir(spark, "landing")
+    ordered = listed.repartitionByRange(4, "page").sortWithinPartitions("page")
+    ordered.select(F.to_json(body)).write.text(path)
+    return landing.agenda_pages(spark, path)
+
+
+@query
+def landed_agendas(spark, folder):
+    """Up to fifteen agendas of every landed page."""
+    return landing.agendas(_agenda_pages(spark, folder), 15)
+
+
+@query
+def landed_cursor(spark, folder):
+    """Where the next collection resumes after all landed pages."""
+    cursor = landing.next_cursor(_agenda_pages(spark, folder))
+    return cursor.withColumn("curseur_after", F.array_join(F.col("curseur_after").cast("array<string>"), ","))
+
+
 def _landed(spark, folder, path: str, half: Column) -> None:
     event = F.to_json(F.struct(F.when(F.col("event_type") != "error", F.col("user_id").cast("string")).alias("uid"), "event_type"))
     log = _table(spark, folder, "events").filter(half)
@@ -583,7 +616,9 @@ def list_versions(spark, folder):
 
 def _embedded(spark, folder) -> DataFrame:
     documents = _table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text", "source")
-    return E.embed(documents, E.hashing_embedder(64), "text", batch_size=64)
+    return E.embed(
+        documents, E.hashing_embedder(64), "text", batch_size=64, tasks=spark.sparkContext.defaultParallelism
+    )
 
 
 @query
@@ -599,6 +634,14 @@ def embedding_stats(spark, folder):
     )
 
 
+@query
+def vector_table_roundtrip(spark, folder):
+    """Vectors written with their figures and read back."""
+    path = shared_dir(spark, "vectors")
+    tables.write_vectors(_embedded(spark, folder), path, text="text", batch_size=64)
+    return tables.read_vectors(spark, path).select("id", "text_digest", F.size("embedding").alias("dimension"))
+
+
 def _refuses_digits(texts: list[str]):
     if any("1" in t for t in texts):
         raise ValueError("refused")
@@ -664,8 +707,8 @@ def _first_lines(prompts: list[str]) -> list[str]:
 
 
 def _document_index(spark, folder):
-    documents = _embedded(spark, folder).select("id", "embedding", "embed_error").withColumnRenamed("id", "vec_id")
-    return build_index(documents, dimension=64, metadata=_described(spark, folder))
+    documents = _embedded(spark, folder).select(F.col("id").alias("vec_id"), "embedding", "embed_error")
+    return build_index(settled(documents), dimension=64, metadata=_described(spark, folder))
 
 
 @query
@@ -716,11 +759,12 @@ def hit_at_k(spark, folder):
     return V.hit_at_k(_hits(spark, folder), expected.join(asked, "query_id"))
 
 
-def flagship(spark: SparkSession, folder: str) -> DataFrame:
+@query
+def corpus_prompts(spark: SparkSession, folder: str) -> DataFrame:
     """Raw events cleaned, embedded, searched and turned into prompts."""
     clean = corpus.clean_corpus(raw_events(spark, folder), BASE_URL)
-    vectors = E.embed(clean, E.hashing_embedder(64), batch_size=64)
-    index = build_index(corpus.as_index_input(vectors), dimension=64)
+    vectors = E.embed(clean, E.hashing_embedder(64), batch_size=64, tasks=spark.sparkContext.defaultParallelism)
+    index = build_index(settled(corpus.as_index_input(vectors)), dimension=64)
     questions = _table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
     embedded = A.embed_questions(questions, E.hashing_embedder(64))
     return A.grounded_prompts(embedded.drop("embedding"), A.retrieve(embedded, index, 5))

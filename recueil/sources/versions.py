@@ -3,6 +3,7 @@
 Layout below one root::
 
     raw/versions/version=N    the batch as it came
+    raw/changes/version=N    the rows it changes
     raw/current/version=N/bucket=B    merged rows of the buckets version N changed
     raw/journal/entry-N    one row per finished version; writing it commits
     raw/cursor    where the next collection resumes
@@ -26,7 +27,6 @@ from recueil import schemas
 from recueil.operators.clean import event_key
 from recueil.functions.text import fingerprint
 from recueil.operators.merge import COLUMNS, apply_delta, delta, merge_counts
-from recueil.session import settled
 from recueil.sources.landing import source_order
 
 KINDS = ("raw", "processed", "embeddings", "vectorstore")
@@ -152,7 +152,10 @@ def integrate(
     compared = existing({b for b in came if b >= 0 or keyless != "append"})
     fresh = incoming.select(*COLUMNS)
     counts = merge_counts(compared, fresh, keyless).first()
-    changes = settled(delta(compared, fresh, keyless).withColumn("bucket", bucket))
+    # Written, so that it is computed once and its size is known to the join.
+    changes_path = f"{root}/raw/changes/version={_name(version)}"
+    delta(compared, fresh, keyless).withColumn("bucket", bucket).write.mode("overwrite").parquet(changes_path)
+    changes = spark.read.parquet(changes_path)
     touched = sorted(r["bucket"] for r in changes.select("bucket").distinct().collect())
     if touched:
         merged = apply_delta(existing({b for b in touched if b >= 0}), changes).withColumn("bucket", bucket)

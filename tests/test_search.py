@@ -42,7 +42,7 @@ def hits(df):
 @pytest.mark.parametrize("method, metric", [("flat_l2", "l2"), ("flat_ip", "ip")])
 @pytest.mark.parametrize("limit", [S.QUESTION_LIMIT, 0])
 def test_exact_search_equals_brute_force(vectors, questions, matrix, method, metric, limit, monkeypatch):
-    monkeypatch.setattr(S, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(S, "BLOCK_BYTES", 7 * 8 * 16)
     found = S.build_index(vectors, method).search(questions, 5, question_limit=limit)
     assert hits(found) == brute(matrix, matrix[:20] + np.float32(0.01), 5, metric)
 
@@ -50,7 +50,7 @@ def test_exact_search_equals_brute_force(vectors, questions, matrix, method, met
 @pytest.mark.parametrize("limit", [S.QUESTION_LIMIT, 0])
 @pytest.mark.parametrize("method", ["ivf", "lsh"])
 def test_approximate_search_can_be_exhaustive(vectors, questions, matrix, method, limit, monkeypatch):
-    monkeypatch.setattr(S, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(S, "BLOCK_BYTES", 7 * 8 * 16)
     # One huge bucket per table, or every cell probed, is exact search.
     index = S.build_index(vectors, method, bucket_length=1e6, tables=3)
     assert hits(index.search(questions, 5, nprobe=100, question_limit=limit)) == brute(matrix, matrix[:20] + np.float32(0.01), 5)
@@ -79,7 +79,7 @@ def test_more_hits_wanted_than_vectors(spark):
 @pytest.mark.parametrize("limit", [S.QUESTION_LIMIT, 0])
 def test_copies_tie_by_id(spark, limit, monkeypatch):
     """A third and more of the vectors are one and the same."""
-    monkeypatch.setattr(S, "BLOCK_ROWS", 500)
+    monkeypatch.setattr(S, "BLOCK_BYTES", 500 * 8 * 2)
     copies = spark.range(3000).select((F.lit(5000) - F.col("id")).alias("vec_id"), F.array(F.lit(0.5), F.lit(0.5)).cast("array<float>").alias("embedding"))
     others = frame(spark, np.random.default_rng(1).random((400, 2)) + 5, 10_000)
     asked = frame(spark, [[0.5, 0.5], [0.4, 0.5], [5.5, 5.5]], schema="query_id long, embedding array<float>")
