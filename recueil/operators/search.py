@@ -45,8 +45,8 @@ TASKS_PER_CORE = 4
 #: Up to this many probed cells are named in the scan filter.
 FILTER_LIMIT = 1000
 
-# Numbers of one distance block, about 64 MB of doubles.
-_BLOCK_CELLS = 1 << 23
+# Distances computed at a time, 4 MB in single precision.
+_BLOCK_CELLS = 1 << 20
 
 
 # ---------------------------------------------------------------- kernel
@@ -79,6 +79,10 @@ class _Best:
     def __init__(self, questions: np.ndarray, k: int, metric: str):
         self.q, self.k, self.metric = questions, k, metric
         self.norms = (questions**2).sum(1)
+        # |v - q|^2 - |q|^2 = (v, |v|^2) . (-2q, 1), one matrix product.
+        factor, last = (-2, 1) if metric == "l2" else (-1, 0)
+        self.wide_q = np.column_stack([factor * questions, np.full(len(questions), last)])
+        self.offset = self.norms if metric == "l2" else np.zeros(len(questions))
         self.row = np.empty(0, np.int64)
         self.dist = np.empty(0)
         self.id: np.ndarray | None = None
@@ -98,44 +102,65 @@ class _Best:
         Copies are equally far from any question and ties go by id, so no other
         copy can be among the k best.
         """
-        _, group = np.unique(vectors, axis=0, return_inverse=True)
-        by_group = np.lexsort((_order(ids), group.ravel()))
-        sorted_group = group.ravel()[by_group]
-        start = np.searchsorted(sorted_group, sorted_group)
+        bits = np.ascontiguousarray(vectors).view(np.uint64)
+        bits = bits ^ (bits >> np.uint64(29))
+        weights = np.random.default_rng(0).integers(0, 1 << 62, bits.shape[1], dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        group = (bits * weights).sum(1, dtype=np.uint64)
+        by_group = np.lexsort((_order(ids), group))
+        start = np.searchsorted(group[by_group], group[by_group])
+        if not np.array_equal(vectors[by_group], vectors[by_group[start]]):
+            # Two vectors share a hash: group by the vectors themselves.
+            group = np.unique(vectors, axis=0, return_inverse=True)[1].ravel()
+            by_group = np.lexsort((_order(ids), group))
+            start = np.searchsorted(group[by_group], group[by_group])
         return np.sort(by_group[np.arange(len(by_group)) - start < self.k])
 
     def add(self, questions: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
         """Compares some questions (row numbers) with some vectors."""
         if not len(questions) or not len(vectors):
             return
-        step = max(1, _BLOCK_CELLS // len(vectors))
+        norms = (vectors**2).sum(1)
+        scale = self.norms[questions] + norms.max()
+        # Single precision preselects; values beyond its range need double.
+        kind = np.float32 if scale.max() < 1e30 else np.float64
+        wide = np.column_stack([vectors, norms]).astype(kind)
+        # Far above the rounding error of a product of this length.
+        margin = 4 * np.finfo(kind).eps * (vectors.shape[1] + 8) * scale
+        pairs = self._candidates(questions, wide, margin, give_up=True)
+        if pairs is not None:
+            self._merge(*pairs, vectors, ids)
+            return
+        kept = self._few_copies(vectors, ids)
+        vectors, wide, ids = vectors[kept], wide[kept], ids[kept]
+        step = max(1, _BLOCK_CELLS // len(wide))
         for i in range(0, len(questions), step):
-            self._add(questions[i : i + step], vectors, ids, thin=True)
-
-    def _add(self, questions: np.ndarray, vectors: np.ndarray, ids: np.ndarray, thin: bool) -> None:
-        # The product form is fast but rounded, so it only preselects, with a
-        # margin far above its rounding error.
-        rough = -2.0 * (self.q[questions] @ vectors.T)
-        if self.metric == "l2":
-            norms = (vectors**2).sum(1)
-            rough += self.norms[questions, None] + norms
-            scale = self.norms[questions] + norms.max()
-        else:
-            rough /= 2
-            scale = np.sqrt(self.norms[questions] * (vectors**2).sum(1).max())
-        margin = 1e-10 * (1.0 + scale)
-        limit = self.limit[questions]
-        if vectors.shape[0] > self.k:
-            limit = np.minimum(limit, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1])
-        near = rough <= (limit + margin)[:, None]
-        if thin and np.count_nonzero(near) > 8 * self.k * len(questions) + 1000:
-            kept = self._few_copies(vectors, ids)
-            if len(kept) < len(vectors):
-                return self._add(questions, vectors[kept], ids[kept], thin=False)
-        r, c = np.nonzero(near)
-        self._merge(questions[r], self._exact(questions[r], vectors, c), ids[c])
-
-    def _merge(self, row: np.ndarray, dist: np.ndarray, ids: np.ndarray) -> None:
+            some = slice(i, i + step)
+            self._merge(*self._candidates(questions[some], wide, margin[some], give_up=False), vectors, ids)
+
+    def _candidates(
+        self, questions: np.ndarray, wide: np.ndarray, margin: np.ndarray, give_up: bool
+    ) -> tuple[np.ndarray, np.ndarray] | None:
+        """Pairs that may be among the k best; None if suspiciously many."""
+        rows, cols = [], []
+        step = max(1, _BLOCK_CELLS // len(wide))
+        for i in range(0, len(questions), step):
+            some = questions[i : i + step]
+            rough = self.wide_q[some].astype(wide.dtype) @ wide.T
+            limit = (self.limit - self.offset)[some] + margin[i : i + step]
+            near = rough <= limit[:, None]
+            enough = 8 * self.k * len(some) + 1000
+            if len(wide) > self.k and np.count_nonzero(near) > enough:
+                best = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1]
+                near = rough <= np.minimum(limit, best + 2 * margin[i : i + step])[:, None]
+                if give_up and np.count_nonzero(near) > enough:
+                    return None
+            r, c = np.nonzero(near)
+            rows.append(some[r])
+            cols.append(c)
+        return np.concatenate(rows), np.concatenate(cols)
+
+    def _merge(self, row: np.ndarray, col: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
+        dist, ids = self._exact(row, vectors, col), ids[col]
         if self.id is not None:
             row = np.concatenate([self.row, row])
             dist = np.concatenate([self.dist, dist])
