@@ -87,6 +87,8 @@ class _Best:
         self.dist = np.empty(0)
         self.id: np.ndarray | None = None
         self.limit = np.full(len(questions), np.inf)
+        self.pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting = 0
 
     def _exact(self, rows: np.ndarray, vectors: np.ndarray, cols: np.ndarray) -> np.ndarray:
         out = np.empty(len(rows))
@@ -160,11 +162,19 @@ class _Best:
         return np.concatenate(rows), np.concatenate(cols)
 
     def _merge(self, row: np.ndarray, col: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
-        dist, ids = self._exact(row, vectors, col), ids[col]
-        if self.id is not None:
-            row = np.concatenate([self.row, row])
-            dist = np.concatenate([self.dist, dist])
-            ids = np.concatenate([self.id, ids])
+        """Notes candidates; they are ranked when there are enough of them."""
+        self.pending.append((row, self._exact(row, vectors, col), ids[col]))
+        self.waiting += len(row)
+        if self.waiting > max(20_000, 2 * self.k * len(self.q)):
+            self.flush()
+
+    def flush(self) -> None:
+        """Ranks the candidates noted so far and tightens the limits."""
+        if not self.waiting:
+            return
+        held = [] if self.id is None else [(self.row, self.dist, self.id)]
+        row, dist, ids = (np.concatenate(parts) for parts in zip(*held, *self.pending))
+        self.pending, self.waiting = [], 0
         order = np.lexsort((_order(ids), dist, row))
         row, dist, ids = row[order], dist[order], ids[order]
         # The same vector may be met again through another cell.
@@ -178,6 +188,7 @@ class _Best:
         self.limit[self.row[last]] = self.dist[last]
 
     def table(self, question_ids: np.ndarray, schema: pa.Schema) -> pa.Table:
+        self.flush()
         ids = [] if self.id is None else self.id
         return pa.table(
             [
@@ -216,17 +227,23 @@ def _scan_search(
             cell = batch.column("cell").to_numpy()
             vector = _matrix(batch.column("embedding"), dimension)
             vector_ids = _ids(batch.column("vec_id"))
-            for c in np.unique(cell):
-                rows = probing.get(int(c))
+            by_cell = np.argsort(cell, kind="stable")
+            names, starts = np.unique(cell[by_cell], return_index=True)
+            for name, here in zip(names, np.split(by_cell, starts[1:])):
+                rows = probing.get(int(name))
                 if rows is not None:
-                    here = cell == c
                     best.add(rows, vector[here], vector_ids[here])
+            best.flush()
         yield from best.table(question_ids, schema).to_batches()
 
     tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, HIT_LIMIT // max(1, k * len(first)))
     if len(probing) <= FILTER_LIMIT:
         # Stored cells are partitions, so this prunes files.
         vectors = vectors.filter(F.col("cell").isin(list(probing)))
+    else:
+        # No more cells than question rows, whose size was checked.
+        probed = spark.createDataFrame(pa.table({"cell": pa.array(list(probing), pa.int64())}))
+        vectors = vectors.join(F.broadcast(probed), "cell", "left_semi")
     return vectors.coalesce(min(tasks, 1 << 30)).mapInArrow(run, hit_schema)
 
 
@@ -317,8 +334,8 @@ def _cell_search(
 
     # At most one row over the limit reaches the driver, and only to tell.
     rows = question_limit // (8 * dimension + 64)
-    few = questions.limit(rows + 1).toArrow()
-    if few.num_rows <= rows:
+    few = questions.limit(rows + 1).toArrow() if rows else None
+    if few is not None and few.num_rows <= rows:
         hits = _scan_search(few, vectors, k, metric, dimension, schema, hit_schema)
     else:
         hits = _block_search(questions, vectors, k, metric, dimension, schema, hit_schema)
