@@ -129,18 +129,26 @@ def first_per_group(df: DataFrame, key: str | Sequence[str], order: str | Sequen
 
 def events_of(agenda_rows: DataFrame, event_page_rows: DataFrame, limit: int = EVENTS_PER_AGENDA) -> DataFrame:
     """Up to ``limit`` raw events of every agenda: ``agenda_uid, payload, seq``."""
-    wanted = with_uid(agenda_rows).select(F.col("uid").alias("agenda_uid")).distinct()
-    return first_events(event_page_rows.join(wanted, "agenda_uid", "left_semi"), limit)
+    wanted = with_uid(agenda_rows).select(F.col("uid").alias("_asked")).distinct()
+    # Limited first, joined by a copy of the key the optimizer does not move
+    # below the limit: an agenda with very many pages joins with few rows.
+    few = first_events(event_page_rows.withColumn("_asked", F.col("agenda_uid")), limit, "_asked")
+    return few.join(wanted, "_asked", "left_semi").drop("_asked")
 
 
-def first_events(event_page_rows: DataFrame, limit: int = EVENTS_PER_AGENDA) -> DataFrame:
-    """Up to ``limit`` raw events per agenda, in landing order."""
+def first_events(event_page_rows: DataFrame, limit: int = EVENTS_PER_AGENDA, *kept: str) -> DataFrame:
+    """Up to ``limit`` raw events per agenda, in landing order.
+
+    ``kept`` names page columns to carry along.
+    """
     asked = with_uid(event_page_rows.withColumnRenamed("agenda_uid", "uid")).withColumnRenamed("uid", "agenda_uid")
-    listed = asked.select("agenda_uid", "file", "block", "line", F.posexplode("events").alias("item", "payload"))
+    listed = asked.select(
+        "agenda_uid", *kept, "file", "block", "line", F.posexplode("events").alias("item", "payload")
+    )
     at = F.struct("line", "item").alias("at")
     # No later item of a page can be among the first of its agenda.
     placed = listed.filter(F.col("item") < limit).select(
-        "agenda_uid", "payload", F.struct("file", "block", at).alias("seq")
+        "agenda_uid", *kept, "payload", F.struct("file", "block", at).alias("seq")
     )
     return first_per_group(placed, "agenda_uid", "seq", limit)
 
