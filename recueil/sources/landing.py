@@ -18,6 +18,9 @@ from recueil import schemas
 AGENDAS_PER_PAGE = 20
 EVENTS_PER_AGENDA = 30
 
+#: Parts a group is cut into where a limit is too large to apply early.
+GROUP_PARTS = 64
+
 #: An array file is parsed by a single task; larger ones must become JSON Lines.
 ARRAY_FILE_LIMIT = 256 << 20
 
@@ -116,15 +119,23 @@ def with_uid(agenda_rows: DataFrame) -> DataFrame:
 def first_per_group(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows per key.
 
-    For n up to 1000 the limit is applied before the shuffle as well, so a
-    group larger than memory costs n rows per task.
+    For n up to 1000 Spark applies the limit before the shuffle as well, so a
+    hot group costs n rows per task.  Beyond that, every group is first cut
+    into parts by a hash of its order, each limited on its own.
     """
     if n < 1:
         raise ValueError("the limit must be at least 1")
     keys = [key] if isinstance(key, str) else list(key)
     orders = [order] if isinstance(order, str) else list(order)
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*orders)))
-    return ranked.filter(F.col("_rank") <= n).drop("_rank")
+
+    def limited(rows: DataFrame, *groups: str) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy(*groups).orderBy(*orders))
+        return rows.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+
+    if n > 1000:
+        parts = df.withColumn("_part", F.pmod(F.xxhash64(*orders), F.lit(GROUP_PARTS)))
+        df = limited(parts, *keys, "_part").drop("_part")
+    return limited(df, *keys)
 
 
 def events_of(agenda_rows: DataFrame, event_page_rows: DataFrame, limit: int = EVENTS_PER_AGENDA) -> DataFrame:

@@ -199,3 +199,15 @@ def test_hot_key_is_cut_into_runs(spark):
     assert log.select(M._run(log)).distinct().collect()[0][0] == 3
     nested = log.withColumn("pos", F.struct(F.lit("f").alias("file"), F.lit(0).alias("block"), F.col("pos").alias("at")))
     assert tuple(nested.select(M._run(nested).alias("r")).select("r.*").first()) == ("f", 0)
+
+
+@pytest.mark.parametrize("n", [3, 1500])
+def test_first_rows_of_a_hot_group(spark, n):
+    df = spark.range(6000).select(F.when(F.col("id") % 3 > 0, -1).otherwise(F.col("id") % 10).alias("k"), (-F.col("id")).alias("o"))
+    found = {}
+    for r in landing.first_per_group(df, "k", "o", n).collect():
+        found.setdefault(r["k"], []).append(r["o"])
+    rows = {}
+    for i in range(5999, -1, -1):
+        rows.setdefault(-1 if i % 3 else i % 10, []).append(-i)
+    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v[:n]) for k, v in rows.items()}
