@@ -3,11 +3,12 @@
 Two documents link if their shingle sets overlap by 80 % or more.  Equal sets are
 one class from the start.
 
-Candidates.  If two sets link, they share an element among the first
-``n - ceil(0.8 n) + 1`` of each, in any order common to all.  The order is by
-hash, with shingles of many documents last: a broadcast list of at most
-``FREQUENT`` of them.  Only elements that two classes have in their prefixes
-matter; a tile is the classes that meet in one.
+Candidates.  If two sets link, they share at least k elements among the first
+``n - ceil(0.8 n) + k`` of each, in any order common to all; k is 5 % of n.  The
+order is by hash, with shingles of many documents last: a broadcast list of at
+most ``FREQUENT`` of them.  Only elements that two classes have in their prefixes
+matter, and only classes with enough of them; a tile is the classes that meet in
+one element.
 
 Links.  First every class goes to the tile of its smallest such element, and the
 tile finds its links: rows are ordered by set size, so only a band of sizes is
@@ -16,8 +17,8 @@ bit counts; what is left is decided by intersecting the sorted arrays.  Rows
 already connected are not compared again, so thousands of near copies cost about
 one comparison each, and large tiles are cut into salted ones, which meet by
 representatives.  Then every tile in which different components remain yields
-its pairs of different components, each pair once, bounded and verified alike.
-No link between different components can be missing after that.
+its pairs of different components; those that meet in k tiles are bounded and
+verified alike.  No link between different components can be missing after that.
 
 Defined results: a text without words has the empty set, no links and its own id
 as component; null ids are never the smallest id unless all are null; repeated
@@ -36,13 +37,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as t
 
 from recueil.llm import rolling
-from recueil.llm.common import WORD, stored, whole_text
+from recueil.llm.common import WORD, small, stored, whole_text
 from recueil.llm.components import components
 
 WORDS = 5
 #: Two sets link if 100 * intersection >= PERCENT * union.
 PERCENT = 80
 
+#: Per cent of a set's size that linked sets must share in their prefixes.
+PREFIX_SHARE = 5
+
 #: Shingles known to be in many documents, at most; they come last in the order.
 FREQUENT = 1 << 18
 #: Documents that a shingle must be in to be counted, among those a task holds at
@@ -53,9 +57,21 @@ COUNTED = 4_000_000
 #: Classes of a tile that are compared in one task.
 TILE = 1000
 
+#: How often classes that share too little are left out.
+PASSES = 2
+
+#: Text digests (8 bytes each) that are broadcast at most.
+DIGESTS = 500_000
+
+
+def shared_at_least(n):
+    """Elements that two linked sets, the smaller of this size, share in their
+    prefixes; a number or a column."""
+    return (n * PREFIX_SHARE + 99) // 100 if isinstance(n, int) else F.ceil(n * PREFIX_SHARE / 100)
+
 
 def _prefix_length(n: int) -> int:
-    return n - (n * PERCENT + 99) // 100 + 1
+    return n - (n * PERCENT + 99) // 100 + shared_at_least(n)
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -208,6 +224,13 @@ def _shared(prefixes: DataFrame) -> DataFrame:
     return prefixes.withColumn("_several", several).filter("_several").drop("_several").distinct()
 
 
+def _likely(shared: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The rows of classes that share enough elements for any link."""
+    counted = shared.groupBy("half").agg(F.count("*").alias("_shared")).join(sizes, "half")
+    enough = counted.filter(F.col("_shared") >= shared_at_least(F.ceil(F.col("n") * PERCENT / 100)))
+    return shared.join(enough.select("half").distinct(), "half", "left_semi")
+
+
 def _members(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     """``class, half, n, elements, bits`` of the classes with the wanted texts."""
     value = whole_text(text)
@@ -309,7 +332,9 @@ def _pairs(rows: DataFrame) -> DataFrame:
     left = rows.withColumn("_mixed", mixed).filter("_mixed").drop("_mixed")
     right = left.select("token", F.col("class").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
     fits = (F.col("component") < F.col("other")) & (100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m"))
-    return left.withColumnRenamed("class", "a").join(right, "token").filter(fits).select("a", "b").distinct()
+    met = left.withColumnRenamed("class", "a").join(right, "token").filter(fits)
+    met = met.groupBy("a", "b").agg(F.count("*").alias("_shared"), F.first(F.least("n", "m")).alias("_least"))
+    return met.filter(F.col("_shared") >= shared_at_least(F.col("_least"))).select("a", "b")
 
 
 def _sides(pairs: DataFrame, members: DataFrame, column: str) -> DataFrame:
@@ -344,10 +369,16 @@ def _verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
 def class_components(docs: DataFrame, listed: DataFrame, text: str = "text") -> DataFrame:
     """``node, component`` of classes that link with others."""
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(listed))
+    one = listed.filter("class IS NOT NULL").groupBy("class").agg(
+        F.min("digest").alias("digest"), F.first("half").alias("half"), F.first("n_shingles").alias("n")
+    )
+    sizes = stored(one.select("half", "digest", "n"), "jaccard_sizes")
     shared = stored(_shared(_prefixes(docs, text, frequent)), "jaccard_tiles")
-    halves = shared.select("half").distinct()
-    one = listed.filter("class IS NOT NULL").groupBy("class").agg(F.min("digest").alias("digest"), F.first("half").alias("half"))
-    members = stored(_members(docs, text, one.join(halves, "half", "left_semi").select("digest")), "jaccard_members")
+    for _ in range(PASSES):
+        # Without the classes that go, others share less.
+        shared = stored(_shared(_likely(shared, sizes)), "jaccard_tiles")
+    wanted = stored(sizes.join(shared.select("half").distinct(), "half", "left_semi").select("digest").distinct(), "jaccard_wanted")
+    members = stored(_members(docs, text, small(wanted, DIGESTS)), "jaccard_members")
     keyed = members.select("half", "class", "n")
 
     # One tile per class, salted if large.
