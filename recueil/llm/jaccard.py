@@ -15,10 +15,11 @@ tile finds its links: rows are ordered by set size, so only a band of sizes is
 compared; bitmaps of the hashed elements bound the overlap from above by their
 bit counts; what is left is decided by intersecting the sorted arrays.  Rows
 already connected are not compared again, so thousands of near copies cost about
-one comparison each, and large tiles are cut into salted ones, which meet by
-representatives.  Then every tile in which different components remain yields
-its pairs of different components; those that meet in k tiles are bounded and
-verified alike.  No link between different components can be missing after that.
+one comparison each.  Large tiles are salted.  A second round does the same in the
+tiles of other elements, with some classes for each component found so far.  Then every tile in which different components remain is
+compared across them: by size band and bit counts, a pair in the tile of its first
+common element only, and the pairs left are intersected.  No link between
+different components can be missing after that.
 
 Defined results: a text without words has the empty set, no links and its own id
 as component; null ids are never the smallest id unless all are null; repeated
@@ -54,8 +55,10 @@ FREQUENT = 1 << 18
 LOCAL, MANY = 2, 32
 COUNTED = 4_000_000
 
-#: Classes of a tile that are compared in one task.
+#: Classes of a tile that are compared in one task, and classes of one component
+#: that stand for it in a tile.
 TILE = 1000
+HEADS = 32
 
 #: How often classes that share too little are left out.
 PASSES = 2
@@ -314,56 +317,122 @@ def _linked_tiles(rows: DataFrame) -> DataFrame:
     return dealt.select("tile", "salt", "class", "elements").mapInArrow(run, _EDGES)
 
 
-def _salted(rows: DataFrame) -> DataFrame:
-    """``tile, class, salt, salts`` of tiles with several classes."""
-    sizes = rows.groupBy("tile").agg(F.count("*").alias("_size")).filter(F.col("_size") > 1)
+def _met(homes: DataFrame) -> DataFrame:
+    """``tile, salt, class`` of those in tiles with different components.
+
+    ``homes`` has ``tile, class, component``.  A component is present with
+    ``HEADS`` of its classes at most; what it links with and they do not is
+    found at the end.  Large tiles are salted.
+    """
+    one = Window.partitionBy("tile", "component").orderBy(F.xxhash64("class"))
+    heads = homes.withColumn("_at", F.row_number().over(one)).filter(F.col("_at") <= HEADS).drop("_at")
+    mixed = heads.groupBy("tile").agg(
+        F.count("*").alias("_size"), F.min("component").alias("_low"), F.max("component").alias("_high")
+    ).filter(F.col("_low") != F.col("_high"))
     salts = F.ceil(F.col("_size") / TILE).cast("int")
-    dealt = rows.join(sizes, "tile").withColumns({"salts": salts, "salt": F.pmod(F.xxhash64("class"), salts).cast("int")})
-    return dealt.drop("_size")
+    return heads.join(mixed, "tile").select("tile", F.pmod(F.xxhash64("class"), salts).cast("int").alias("salt"), "class")
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of different components that meet in a tile, once each.
+def _blocks(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """Rows of tiles in which different components meet, dealt to tasks.
 
-    ``rows`` has ``token, class, n, component``.
+    A row carries its set size, bitmap and all its tokens in such tiles.  A tile
+    of more than ``TILE`` rows is cut into blocks; each pair of blocks meets in
+    a task.  ``rows`` has ``token, class, n, component``.
     """
-    tile = Window.partitionBy("token")
-    mixed = F.min("component").over(tile) != F.max("component").over(tile)
-    left = rows.withColumn("_mixed", mixed).filter("_mixed").drop("_mixed")
-    right = left.select("token", F.col("class").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-    fits = (F.col("component") < F.col("other")) & (100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m"))
-    met = left.withColumnRenamed("class", "a").join(right, "token").filter(fits)
-    met = met.groupBy("a", "b").agg(F.count("*").alias("_shared"), F.first(F.least("n", "m")).alias("_least"))
-    return met.filter(F.col("_shared") >= shared_at_least(F.col("_least"))).select("a", "b")
+    mixed = rows.groupBy("token").agg(
+        F.count("*").alias("_size"), F.min("component").alias("_low"), F.max("component").alias("_high")
+    ).filter(F.col("_low") != F.col("_high"))
+    open_ = stored(rows.join(mixed, "token").select("token", "class", "n", "component", "_size"), "jaccard_open")
+    tokens = open_.groupBy("class").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    many = F.ceil(F.col("_size") / TILE).cast("int")
+    mine = F.pmod(F.xxhash64("class"), many).cast("int")
+    full = open_.withColumn("block", mine).withColumn("other", F.explode(F.sequence(F.lit(0), many - 1)))
+    full = full.join(tokens, "class").join(members.select("class", "bits"), "class")
+    return full.withColumns({"left": F.least("block", "other"), "right": F.greatest("block", "other")}).drop("_size", "other")
+
+
+def tile_pairs(token: int, rows: list[tuple], across: bool) -> Iterator[tuple[bytes, bytes]]:
+    """Pairs of a tile that may link: of different components and a common size
+    band, with enough overlap by the bit counts.
+
+    ``rows``, by size: class, n, component, block, tokens, bits.  A pair counts
+    in the tile of its first common token only, and only if it has enough of
+    them; ``across`` leaves out pairs within a block.
+    """
+    size = np.array([r[1] for r in rows])
+    _, component = np.unique([r[2] for r in rows], return_inverse=True)
+    block = np.array([r[3] for r in rows])
+    maps = [np.frombuffer(r[5], np.uint64) for r in rows]
+    width = np.array([len(x) for x in maps])
+    place = np.zeros(len(rows), np.int64)
+    matrix = {}
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero(width == w)
+        place[at] = np.arange(len(at))
+        matrix[w] = np.stack([maps[i] for i in at])
+    for i in range(1, len(rows)):
+        low = np.searchsorted(size[:i], -(-PERCENT * size[i] // 100))
+        near = low + np.flatnonzero((component[low:i] != component[i]) & (~across | (block[low:i] != block[i])))
+        for w in np.unique(width[near]).tolist():
+            at = near[width[near] == w]
+            bound = overlap_bound(size[i], folded(maps[i], w), size[at], matrix[w][place[at]])
+            for j in at[bound >= needed(size[i], size[at])].tolist():
+                common = np.intersect1d(rows[i][4], rows[j][4], assume_unique=True)
+                if common[0] == token and len(common) >= shared_at_least(int(size[j])):
+                    yield rows[i][0], rows[j][0]
+
+
+def _pairs(dealt: DataFrame) -> DataFrame:
+    """The pairs of all tiles, each once."""
+    names = ["class", "n", "component", "block", "tokens", "bits"]
+    where = ["token", "left", "right"]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, rows = None, []
 
-def _sides(pairs: DataFrame, members: DataFrame, column: str) -> DataFrame:
-    """Pairs with a column of both classes."""
-    sides = [members.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col(column).alias(f"of_{x}")) for x in "ab"]
-    return pairs.select("a", "b").join(sides[0], "a").join(sides[1], "b")
+        def settle() -> list[tuple[bytes, bytes]]:
+            return list(tile_pairs(tile[0], rows, tile[1] != tile[2])) if len(rows) > 1 else []
 
+        for batch in batches:
+            out = []
+            at = zip(*[batch.column(c).to_pylist() for c in where], strict=True)
+            columns = [batch.column(c).to_pylist() for c in names if c != "tokens"]
+            lists = batch.column("tokens")
+            columns.insert(4, [np.asarray(x.values) for x in lists])
+            for here, row in zip(at, zip(*columns, strict=True), strict=True):
+                if here != tile:
+                    out += settle()
+                    tile, rows = here, []
+                rows.append(row)
+            if out:
+                yield _edges(out)
+        if out := settle():
+            yield _edges(out)
 
-def _verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """The pairs that link: bounded by bit counts, then intersected."""
+    sorted_rows = dealt.repartition(*where).sortWithinPartitions(*where, "n", "class")
+    return sorted_rows.select(*where, *names).mapInArrow(run, _EDGES)
 
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for n, a, m, b in zip(*[batch.column(c).to_pylist() for c in ("n_a", "of_a", "n_b", "of_b")], strict=True):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                size = min(len(x), len(y))
-                most = overlap_bound(n, folded(x, size), np.array([m]), folded(y, size)[None])[0]
-                keep.append(bool(most >= needed(n, m)))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    def intersected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs that link, by intersecting the sorted arrays."""
+    sides = [members.select(F.col("class").alias(x), F.col("elements").alias(f"of_{x}")) for x in "ab"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist(), strict=True)
             keep = [linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in both]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    possible = stored(_sides(pairs, members, "bits").mapInArrow(bounded, _EDGES), "jaccard_pairs")
-    return _sides(possible, members, "elements").mapInArrow(intersected, _EDGES)
+    return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(run, _EDGES)
+
+
+def _named(rows: DataFrame, near: DataFrame | None) -> DataFrame:
+    """Adds the ``component`` of each class, itself if it has no links yet."""
+    if near is None:
+        return rows.withColumn("component", F.col("class"))
+    joined = rows.join(near, F.col("class") == F.col("node"), "left").drop("node")
+    return joined.withColumn("component", F.coalesce("component", "class"))
 
 
 def class_components(docs: DataFrame, listed: DataFrame, text: str = "text") -> DataFrame:
@@ -381,27 +450,25 @@ def class_components(docs: DataFrame, listed: DataFrame, text: str = "text") ->
     members = stored(_members(docs, text, small(wanted, DIGESTS)), "jaccard_members")
     keyed = members.select("half", "class", "n")
 
-    # One tile per class, salted if large.
-    home = shared.groupBy("half").agg(F.min("token").alias("tile")).join(keyed, "half").select("tile", "class")
-    dealt = stored(_salted(home), "jaccard_homes")
-    found = stored(_linked_tiles(dealt.join(members.select("class", "n", "elements"), "class")), "jaccard_links")
-    cut = dealt.filter("salts > 1")
-    if not cut.isEmpty():
-        # Representatives of what was connected in each part of a large tile.
+    # In each round a class goes to the tile of one of its elements.
+    found = near = None
+    token = F.col("token")
+    for chosen in (F.min(token), F.max(token)):
+        home = shared.groupBy("half").agg(chosen.alias("tile")).join(keyed, "half").select("tile", "class")
+        dealt = stored(_met(_named(home, near)), "jaccard_homes")
+        if dealt.isEmpty():
+            continue
+        links = _linked_tiles(dealt.join(members.select("class", "n", "elements"), "class"))
+        found = stored(links if found is None else found.unionByName(links), "jaccard_links")
         near = components(found)
-        named = cut.join(near, F.col("class") == F.col("node"), "left").withColumn("component", F.coalesce("component", "class"))
-        heads = named.groupBy("tile", "salt", "component").agg(F.min("class").alias("class")).select("tile", "class")
-        more = _linked_tiles(_salted(heads).join(members.select("class", "n", "elements"), "class"))
-        found = stored(found.unionByName(more), "jaccard_links")
 
     # What is left: tiles in which different components meet.
-    near = components(found)
-    rows = shared.join(keyed, "half").join(near, F.col("class") == F.col("node"), "left")
-    rows = rows.select("token", "class", "n", F.coalesce("component", "class").alias("component"))
-    last = stored(_verified(stored(_pairs(rows), "jaccard_pairs"), members), "jaccard_links")
-    if last.isEmpty():
+    rows = _named(shared.join(keyed, "half"), near).select("token", "class", "n", "component")
+    possible = stored(_pairs(_blocks(rows, members)), "jaccard_pairs")
+    last = stored(_verified(possible, members), "jaccard_links")
+    if near is not None and last.isEmpty():
         return near
-    return components(found.unionByName(last))
+    return components(last if found is None else found.unionByName(last))
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
