@@ -340,9 +340,12 @@ def _blocks(rows: DataFrame, members: DataFrame) -> DataFrame:
     of more than ``TILE`` rows is cut into blocks; each pair of blocks meets in
     a task.  ``rows`` has ``token, class, n, component``.
     """
-    mixed = rows.groupBy("token").agg(
-        F.count("*").alias("_size"), F.min("component").alias("_low"), F.max("component").alias("_high")
+    # Tiles with the same classes are one.
+    names = [F.bit_xor(F.xxhash64("class", F.lit(i))).alias(f"_name{i}") for i in range(2)]
+    tiles = rows.groupBy("token").agg(
+        F.count("*").alias("_size"), F.min("component").alias("_low"), F.max("component").alias("_high"), *names
     ).filter(F.col("_low") != F.col("_high"))
+    mixed = tiles.groupBy("_size", "_low", "_high", "_name0", "_name1").agg(F.min("token").alias("token"))
     open_ = stored(rows.join(mixed, "token").select("token", "class", "n", "component", "_size"), "jaccard_open")
     tokens = open_.groupBy("class").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
     many = F.ceil(F.col("_size") / TILE).cast("int")
@@ -357,8 +360,8 @@ def tile_pairs(token: int, rows: list[tuple], across: bool) -> Iterator[tuple[by
     band, with enough overlap by the bit counts.
 
     ``rows``, by size: class, n, component, block, tokens, bits.  A pair counts
-    in the tile of its first common token only, and only if it has enough of
-    them; ``across`` leaves out pairs within a block.
+    in the tile of its first common token only; ``across`` leaves out pairs
+    within a block.
     """
     size = np.array([r[1] for r in rows])
     _, component = np.unique([r[2] for r in rows], return_inverse=True)
@@ -379,7 +382,7 @@ def tile_pairs(token: int, rows: list[tuple], across: bool) -> Iterator[tuple[by
             bound = overlap_bound(size[i], folded(maps[i], w), size[at], matrix[w][place[at]])
             for j in at[bound >= needed(size[i], size[at])].tolist():
                 common = np.intersect1d(rows[i][4], rows[j][4], assume_unique=True)
-                if common[0] == token and len(common) >= shared_at_least(int(size[j])):
+                if common[0] == token:
                     yield rows[i][0], rows[j][0]
 
 
