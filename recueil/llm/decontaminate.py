@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as t
+from pyspark.sql.pandas.types import to_arrow_type
 
 from recueil.llm import rolling
 from recueil.llm.common import whole_text
@@ -253,6 +254,7 @@ def contaminated(
     kinds = [rows.schema["key"].dataType, benchmark.schema[item].dataType, t.LongType(), t.LongType(), t.BooleanType()]
     names = ["key", "item", "item_tokens", "n_matched", "new_values"]
     schema = t.StructType([t.StructField(n, k) for n, k in zip(names, kinds, strict=True)])
+    item_kind = to_arrow_type(kinds[1])
     every = None
     for bench in _blocks(benchmark, item, item_text, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(bench)
@@ -266,7 +268,7 @@ def contaminated(
                     at, items, n, other = (list(x) for x in zip(*found, strict=True))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            batch.column("key").take(pa.array(at)), pa.array([known.ids[x] for x in items]),
+                            batch.column("key").take(pa.array(at)), pa.array([known.ids[x] for x in items], item_kind),
                             pa.array([len(known.code[x]) for x in items], pa.int64()), pa.array(n, pa.int64()), pa.array(other, pa.bool_()),
                         ],
                         names=names,

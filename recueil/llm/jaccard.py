@@ -53,7 +53,7 @@ FREQUENT = 1 << 18
 #: Documents that a shingle must be in to be counted, among those a task holds at
 #: a time (so many elements), and documents in all from which it is frequent.
 LOCAL, MANY = 2, 32
-COUNTED = 4_000_000
+COUNTED = 1_000_000
 
 #: Classes of a tile that are compared in one task, and classes of one component
 #: that stand for it in a tile.
@@ -300,14 +300,14 @@ def _linked_tiles(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, ids, sets = None, [], []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("tile", "salt", "class", "elements")]
+            columns = [batch.column(c).to_pylist() for c in ("tile", "salt", "class")] + [rolling.number_views(batch.column("elements"))]
             out = []
             for token, salt, name, elements in zip(*columns, strict=True):
                 if (token, salt) != tile:
                     out += tile_links(ids, sets) if len(ids) > 1 else []
                     tile, ids, sets = (token, salt), [], []
                 ids.append(name)
-                sets.append(np.frombuffer(elements, np.uint64))
+                sets.append(elements)
             if out:
                 yield _edges(out)
         if len(ids) > 1 and (out := tile_links(ids, sets)):
@@ -423,8 +423,8 @@ def _verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist(), strict=True)
-            keep = [linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in both]
+            both = zip(*[rolling.number_views(batch.column(c)) for c in ("of_a", "of_b")], strict=True)
+            keep = [linked(a, b) for a, b in both]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(run, _EDGES)

@@ -17,7 +17,7 @@ BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(BASE, -1, 1 << 64)
 
 #: Bytes of text that are hashed at a time; a longer text is taken by itself.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -86,6 +86,13 @@ def chunks(texts: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.nd
         first = last
 
 
+def number_views(column: pa.Array) -> list[np.ndarray]:
+    """Arrays of 64-bit numbers kept as binary values, without copying."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    return [np.frombuffer(data, np.uint64, (b - a) // 8, a) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 FOLD = np.arange(256, dtype=np.uint8)

@@ -85,13 +85,28 @@ def _runs(data: np.ndarray, starts: np.ndarray, powers: rolling.Powers):
     )
 
 
+def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
+    """The union of spans, in order."""
+    out: list[list[int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
+
+
 def _text_key(value):
     """128 bits of a SHA-256 as identity of a text."""
     return F.substring(F.unhex(F.sha2(value, 256)), 1, 16)
 
 
 def anchor_runs(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``key, h, c, start, n, rel`` of all runs, of each text once per task."""
+    """``key, h, c, start, n, rel`` of all runs, of each text once per task.
+
+    Runs with equal bytes within a text, as periodic text has very many, give
+    one row; where they stand is told by rows without ``h``.
+    """
     value = whole_text(text)
     rows = docs.filter(F.octet_length(value) >= LENGTH).select(_text_key(value).alias("key"), value.alias("text"))
 
@@ -109,10 +124,21 @@ def anchor_runs(docs: DataFrame, text: str = "text") -> DataFrame:
             for first, _, data, starts in rolling.chunks(texts):
                 raw = memoryview(data.tobytes())
                 out: tuple[list, ...] = ([], [], [], [], [], [])
+                places: dict[tuple, list] = defaultdict(list)
                 for row, start, n, rel, h, begin in _runs(data, starts, powers):
                     digest = hashlib.blake2b(raw[begin : begin + n + LENGTH - 1], digest_size=16).digest()
+                    places[row, digest].append((h, start, n, rel))
+                known: dict[int, list] = defaultdict(list)
+                for (row, digest), alike in places.items():
+                    h, start, n, rel = alike[0]
                     for column, x in zip(out, (keys[fresh[first + row]], h, digest, start, n, rel), strict=True):
                         column.append(x)
+                    if len(alike) > 1:
+                        known[row] += [(x[1], x[1] + x[2]) for x in alike]
+                for row, spans in known.items():
+                    for a, b in _merged(spans):
+                        for column, x in zip(out, (keys[fresh[first + row]], None, None, a, b - a, None), strict=True):
+                            column.append(x)
                 kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=["key", "h", "c", "start", "n", "rel"]
@@ -289,7 +315,8 @@ def _counted_marks(rows: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, text: str = "text", surroundings: int = SURROUNDINGS) -> DataFrame:
     """``key, spans``: windows of each text that start elsewhere too."""
     every = stored(anchor_runs(docs, text), "runs")
-    repeated = every.groupBy("h").agg(F.count("*").alias("_n")).filter("_n > 1").select("h")
+    known = every.filter("h IS NULL").distinct()
+    repeated = every.filter("h IS NOT NULL").groupBy("h").agg(F.count("*").alias("_n")).filter("_n > 1").select("h")
     runs = stored(every.join(repeated, "h", "left_semi").distinct(), "repeated_runs")
     first = F.min(F.struct("key", "start")).alias("first")
     alike = runs.groupBy("h", "c").agg(F.count("*").alias("times"), first, F.first("n").alias("n"), F.first("rel").alias("rel"))
@@ -314,7 +341,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", surroundings: int = SURR
     marks = stored(marks, "repeat_marks")
     placed = runs.join(marks, ["h", "c"]).select("key", "start", F.explode("spans").alias("s"))
     moved = F.struct((F.col("s.from") + F.col("start")).alias("from"), (F.col("s.upto") + F.col("start")).alias("upto"))
-    return placed.groupBy("key").agg(F.collect_list(moved).alias("spans"))
+    inside = F.struct(F.col("start").alias("from"), (F.col("start") + F.col("n")).alias("upto"))
+    spans = placed.select("key", moved.alias("span")).unionByName(known.select("key", inside.alias("span")))
+    return spans.groupBy("key").agg(F.collect_list("span").alias("spans"))
 
 
 def without_repeats(
@@ -342,12 +371,7 @@ def without_repeats(
             for raw, spans, copies in zip(*[batch.column(x).to_pylist() for x in ("__raw", "__spans", "__copies")], strict=True):
                 if copies and len(raw) >= LENGTH:
                     spans = [{"from": 0, "upto": len(raw) - LENGTH + 1}]
-                ends: list[list[int]] = []
-                for a, b in sorted((s["from"], s["upto"] + LENGTH - 1) for s in spans or ()):
-                    if ends and a <= ends[-1][1]:
-                        ends[-1][1] = max(ends[-1][1], b)
-                    else:
-                        ends.append([a, b])
+                ends = _merged([(s["from"], s["upto"] + LENGTH - 1) for s in spans or ()])
                 edges = [0, *[x for pair in ends for x in pair], len(raw)]
                 left = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 kept.append(left.decode(errors="ignore") if as_text else left)
