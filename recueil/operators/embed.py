@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as t
 
 from recueil.functions.text import excerpt, not_blank
 from recueil.operators.merge import append_vectors, replace_vectors, without_vector
+from recueil.session import settled
 
 #: ``fn(texts)`` returns one vector per text, or ``(vectors, token_counts)``.
 EmbedFn = Callable[[list[str]], "Sequence[Sequence[float]] | tuple[Sequence[Sequence[float]], Sequence[int]]"]
@@ -189,8 +190,14 @@ def check_embedded(embedded: DataFrame) -> None:
 def embed_new(
     events: DataFrame, vectors: DataFrame | None, fn: EmbedFn, text: str = "texte_complet", reembed: str = "new", **options
 ) -> DataFrame:
-    """The vector table after embedding what has no (current) vector yet."""
+    """The vector table after embedding what has no (current) vector yet.
+
+    Rows that failed before are tried again.  The fresh vectors are written once,
+    so each text goes to ``fn`` once.
+    """
     if vectors is None:
         return embed(events, fn, text, **options)
-    fresh = embed(without_vector(events, vectors, reembed, text), fn, text, **options)
+    if "embed_error" in vectors.columns:
+        vectors = vectors.filter("embed_error IS NULL")
+    fresh = settled(embed(without_vector(events, vectors, reembed, text), fn, text, **options))
     return replace_vectors(vectors, fresh) if reembed == "changed" else append_vectors(vectors, fresh)

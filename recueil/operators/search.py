@@ -119,6 +119,10 @@ class _Best:
 
     def add(self, questions: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
         """Compares some questions (row numbers) with some vectors."""
+        # One NaN would make every margin of its batch NaN.
+        finite = np.isfinite(vectors).all(axis=1)
+        if not finite.all():
+            vectors, ids = vectors[finite], ids[finite]
         if not len(questions) or not len(vectors):
             return
         norms = (vectors**2).sum(1)
@@ -524,8 +528,9 @@ class VectorIndex:
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
-    """Rows with a vector; failed embeddings are no points."""
-    usable = vectors.filter("embedding IS NOT NULL")
+    """Rows with a vector of finite numbers; failed embeddings are no points."""
+    finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
+    usable = vectors.filter(F.col("embedding").isNotNull() & finite)
     return usable.filter("embed_error IS NULL") if "embed_error" in vectors.columns else usable
 
 

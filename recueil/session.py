@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job of this library wants.  Sizes are left to the cluster.
@@ -34,14 +32,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only a local master may
-    do without it; a machine-local folder is useless to other executors.
+    ``spark.checkpoint.dir`` is read from the session; where it is unset, the
+    session's warehouse is the folder all executors share.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        return tempfile.mkdtemp(prefix=f"{name}-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_recueil"
     stamp = spark.sql("SELECT uuid() AS u").first()["u"]
     return f"{base.rstrip('/')}/{name}-{stamp}"
 

@@ -6,11 +6,10 @@ payload per line, below a folder every executor can read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 from recueil import schemas
 
@@ -24,7 +23,18 @@ GROUP_PARTS = 64
 #: An array file is parsed by a single task; larger ones must become JSON Lines.
 ARRAY_FILE_LIMIT = 256 << 20
 
-_PLACE = "value STRING, file STRING, block BIGINT"
+_PLACE = "value STRING, file STRUCT<place: STRING, path: STRING>, block BIGINT"
+
+
+def landed_file() -> Column:
+    """The file of a text row; files sort by name, numbers in it by value.
+
+    So page 10 comes after page 2, padded or not, and also after a copy of the
+    folder, which changes file times.
+    """
+    path = F.col("_metadata.file_path")
+    padded = F.regexp_replace(F.regexp_replace(path, r"(\d+)", "0000000000000000000$1"), r"0*(\d{20})(?!\d)", "$1")
+    return F.struct(padded.alias("place"), path.alias("path"))
 
 
 def source_order() -> Column:
@@ -44,9 +54,7 @@ def _text(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def _placed(lines: DataFrame) -> DataFrame:
-    return lines.select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
-    )
+    return lines.select("value", landed_file().alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
 def raw_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -147,6 +155,18 @@ def events_of(agenda_rows: DataFrame, event_page_rows: DataFrame, limit: int = E
     return few.join(wanted, "_asked", "left_semi").drop("_asked")
 
 
+def page_events(event_page_rows: DataFrame, limit: int | None = None) -> DataFrame:
+    """All raw events of all pages, or up to ``limit`` of each page: ``agenda_uid,
+    payload, seq``.  Pages count apart, so batches of them give the same rows."""
+    if limit is not None and limit < 1:
+        raise ValueError("the limit must be at least 1")
+    asked = with_uid(event_page_rows.withColumnRenamed("agenda_uid", "uid")).withColumnRenamed("uid", "agenda_uid")
+    listed = asked.select("agenda_uid", "file", "block", "line", F.posexplode("events").alias("item", "payload"))
+    kept = listed if limit is None else listed.filter(F.col("item") < limit)
+    at = F.struct("line", "item").alias("at")
+    return kept.select("agenda_uid", "payload", F.struct("file", "block", at).alias("seq"))
+
+
 def first_events(event_page_rows: DataFrame, limit: int = EVENTS_PER_AGENDA, *kept: str) -> DataFrame:
     """Up to ``limit`` raw events per agenda, in landing order.
 
@@ -185,52 +205,3 @@ def collection_summary(agenda_rows: DataFrame, events: DataFrame, uid: str = "ui
         F.coalesce(F.sum(F.when(F.col("_key").isNull(), F.col("_agendas"))), zero).alias("agendas_sans_uid"),
         F.coalesce(F.sum("_n"), zero).alias("evenements"),
     )
-
-
-#: ``fetch(cursor)`` returns the page text and the cursor of the next page.
-FetchPage = Callable[[list[int] | None], tuple[str | None, list[int] | None]]
-
-
-def paged_source(fetch: FetchPage, name: str = "landed_pages") -> type[DataSource]:
-    """A streaming source whose offset is the page cursor.
-
-    Register the class with ``spark.dataSource.register`` and read
-    ``spark.readStream.format(name)``.  Each step lands one page; after the last
-    page (cursor null) the stream waits at the end of the list.
-    """
-
-    class Reader(SimpleDataSourceStreamReader):
-        def initialOffset(self) -> dict:
-            return {"cursor": None, "page": 0, "end": False}
-
-        def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-            if start["end"]:
-                return iter([]), start
-            text, cursor = fetch(start["cursor"])
-            rows = [] if text is None else [(text, start["page"])]
-            # A page without text is a failed request: the cursor stays.
-            after = start if text is None else {"cursor": cursor, "page": start["page"] + 1, "end": cursor is None}
-            return iter(rows), after
-
-        def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-            rows, at = [], start
-            while at["page"] < end["page"]:
-                page, nxt = self.read(at)
-                rows += list(page)
-                if nxt == at:
-                    raise RuntimeError(f"page {at['page']} can no longer be fetched")
-                at = nxt
-            return iter(rows)
-
-    class Pages(DataSource):
-        @classmethod
-        def name(cls) -> str:
-            return name
-
-        def schema(self) -> str:
-            return "value STRING, page INT"
-
-        def simpleStreamReader(self, schema) -> Reader:
-            return Reader()
-
-    return Pages

@@ -15,9 +15,7 @@ from recueil.sources import landing, versions
 
 def _stream(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
-    return lines.select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
-    )
+    return lines.select("value", landing.landed_file().alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
 def _run(stream: DataFrame, handle, checkpoint: str) -> StreamingQuery:
@@ -40,14 +38,17 @@ def merge_lines(
 
 
 def merge_event_pages(
-    spark: SparkSession, path: str, root: str, checkpoint: str, limit: int = landing.EVENTS_PER_AGENDA,
+    spark: SparkSession, path: str, root: str, checkpoint: str, limit: int | None = None,
     files_per_batch: int = 1000, **options,
 ) -> StreamingQuery:
-    """Merges captured event pages, up to ``limit`` events per agenda and batch."""
+    """Merges all events of captured pages, or up to ``limit`` of each page.
+
+    What is merged does not depend on how the files are dealt into batches.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         page_rows = landing.pages(batch, schemas.EVENT_PAGE)
-        events = landing.first_events(page_rows, limit).select("payload", "seq")
+        events = landing.page_events(page_rows, limit).select("payload", "seq")
         versions.integrate(
             batch.sparkSession, root, events, source_id=checkpoint, batch_id=batch_id, skip_empty=True, **options
         )

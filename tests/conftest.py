@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -14,7 +15,8 @@ from recueil.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(4, 4)
+    shared = tempfile.mkdtemp(prefix="run-")
+    return local_session(4, 4, **{"spark.checkpoint.dir": shared, "spark.sql.warehouse.dir": f"{shared}/warehouse"})
 
 
 @pytest.fixture

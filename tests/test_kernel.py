@@ -70,3 +70,18 @@ def test_a_vector_met_twice_counts_once():
 def test_text_ids_tie_in_order():
     ids = np.array(["b", "a", "c"], dtype=object)
     assert [i for _, i in run([[0.0]], [[1.0], [1.0], [1.0]], ids, 2)] == ["a", "b"]
+
+
+def test_a_broken_vector_costs_only_itself(spark):
+    import random
+
+    from recueil.operators.search import build_index
+
+    dice = random.Random(4)
+    rows = [(i, [dice.random() for _ in range(4)]) for i in range(60)]
+    rows[7] = (7, [float("nan")] * 4)
+    rows[8] = (8, [1.0, None, 1.0, 1.0])
+    vectors = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<FLOAT>")
+    asked = vectors.filter("vec_id < 5").withColumnRenamed("vec_id", "query_id")
+    hits = build_index(vectors).search(asked, 3).collect()
+    assert len(hits) == 15 and not {r["vec_id"] for r in hits} & {7, 8}

@@ -148,32 +148,6 @@ def test_stream_of_pages(spark, pages, tmp_path):
     assert by_uid["1"] == 5 and by_uid["200"] == 1 and len(by_uid) == 9
 
 
-def test_paged_source(spark, path):
-    texts = {None: ("p0", [1]), 1: ("p1", [2]), 2: ("p2", None)}
-
-    def fetch(cursor):
-        return texts[cursor[0] if cursor else None]
-
-    spark.dataSource.register(landing.paged_source(fetch, "three_pages"))
-    stream = spark.readStream.format("three_pages").load()
-    query = stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/c").start(f"{path}/out")
-    try:
-        query.processAllAvailable()
-        query.processAllAvailable()
-    finally:
-        query.stop()
-    rows = spark.read.parquet(f"{path}/out").orderBy("page").collect()
-    assert [(r["page"], r["value"]) for r in rows] == [(0, "p0"), (1, "p1"), (2, "p2")]
-
-
-def test_a_failed_fetch_keeps_the_cursor():
-    source = landing.paged_source(lambda cursor: (None, None))
-    reader = source({}).simpleStreamReader(None)
-    start = reader.initialOffset()
-    rows, after = reader.read(start)
-    assert list(rows) == [] and after == start
-
-
 def test_clean_tables(spark, path):
     record = {"uid": 1, "title": {"fr": 'Un "titre",\nlong'}, "description": {"fr": "  é" * 40}, "location": {"city": "Ville"}}
     clean = corpus.clean_corpus(batch(spark, record), "https://x.org")
@@ -211,3 +185,27 @@ def test_first_rows_of_a_hot_group(spark, n):
     for i in range(5999, -1, -1):
         rows.setdefault(-1 if i % 3 else i % 10, []).append(-i)
     assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v[:n]) for k, v in rows.items()}
+
+
+def test_numbered_files_count_by_number(spark, path):
+    import os
+
+    for n in (2, 10):
+        name = f"{path}/pages/p-{n}.json"
+        os.makedirs(os.path.dirname(name), exist_ok=True)
+        with open(name, "w") as f:
+            f.write(json.dumps({"agendas": [{"uid": "a", "title": str(n)}], "after": [n], "total": 9}) + "\n")
+    assert landing.next_cursor(landing.agenda_pages(spark, f"{path}/pages")).first()["curseur_after"] == [10]
+
+
+@pytest.mark.parametrize("files", [1, 1000])
+def test_batches_do_not_change_what_is_merged(spark, path, files):
+    import os
+
+    os.makedirs(f"{path}/in")
+    for n in range(2):
+        events = [{"uid": str(100 * n + i)} for i in range(40)]
+        with open(f"{path}/in/e-{n}.json", "w") as f:
+            f.write(json.dumps({"agenda_uid": "a", "events": events}) + "\n")
+    collect.merge_event_pages(spark, f"{path}/in", f"{path}/root", f"{path}/check", files_per_batch=files).awaitTermination()
+    assert versions.current(spark, f"{path}/root").count() == 80
