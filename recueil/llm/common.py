@@ -23,14 +23,25 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(f"`{column}`"), F.lit(""))
 
 
+#: Rows that go to Python at a time while a stored table is made: whole texts and
+#: arrays are long.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written once to the shared folder and read from there.
 
     Cuts the lineage: a lost executor costs a read, not the work before it.
     """
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = shared_dir(spark, name), spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def held(df: DataFrame, name: str, value: Column) -> DataFrame:
