@@ -15,6 +15,7 @@ all vectors becomes many equal tasks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -31,7 +32,7 @@ METHODS = ("flat_l2", "flat_ip", "ivf", "lsh")
 
 #: Questions up to this many bytes of vectors are sent to every task.
 QUESTION_LIMIT = 64 << 20
-#: Centroids are always sent to every task, so their size is limited.
+#: Centroids are sent to every task, so many bytes of them at a time.
 CENTROID_LIMIT = 64 << 20
 #: Bytes of one block of vectors when both sides are cut into blocks.
 BLOCK_BYTES = 128 << 20
@@ -42,6 +43,8 @@ CELL_LIMIT = 100_000
 #: into fewer than so many tasks per core.
 HIT_LIMIT = 2_000_000_000
 TASKS_PER_CORE = 4
+#: Up to this many hits are broadcast to the metadata they are joined with.
+BROADCAST_HITS = 500_000
 #: Up to this many probed cells are named in the scan filter.
 FILTER_LIMIT = 1000
 
@@ -322,8 +325,9 @@ def _expect(found: int | None, expected: int | None) -> int | None:
 
 def _cell_search(
     questions: DataFrame, vectors: DataFrame, k: int, metric: str, dimension: int, repeats: bool, question_limit: int
-) -> DataFrame:
-    """``query_id, vec_id, distance, rank``: both inputs carry one cell per row."""
+) -> tuple[DataFrame, int | None]:
+    """``query_id, vec_id, distance, rank``, and how many rows there are at most,
+    if the questions are few: both inputs carry one cell per row."""
     if k < 1:
         raise ValueError("k must be at least 1")
     types = [questions.schema["query_id"].dataType, vectors.schema["vec_id"].dataType]
@@ -339,8 +343,10 @@ def _cell_search(
     # At most one row over the limit reaches the driver, and only to tell.
     rows = question_limit // (8 * dimension + 64)
     few = questions.limit(rows + 1).toArrow() if rows else None
+    most = None
     if few is not None and few.num_rows <= rows:
         hits = _scan_search(few, vectors, k, metric, dimension, schema, hit_schema)
+        most = k * few.num_rows
     else:
         hits = _block_search(questions, vectors, k, metric, dimension, schema, hit_schema)
     if repeats:
@@ -349,63 +355,86 @@ def _cell_search(
     ranked = hits.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
     if metric == "ip":
         ranked = ranked.withColumn("distance", -F.col("distance"))
-    return ranked.select("query_id", "rank", "vec_id", "distance")
+    return ranked.select("query_id", "rank", "vec_id", "distance"), most
 
 
 # ---------------------------------------------------------------- cells
 
 
 def default_nlist(n: int) -> int:
-    """Number of cells for ``n`` vectors: a tenth, between 1 and 100."""
-    return max(1, min(100, n // 10))
+    """Number of cells for ``n`` vectors: a tenth up to 100, then the root of n,
+    so that cells grow with the root as well."""
+    return max(1, min(max(100, math.isqrt(n)), n // 10))
 
 
-def train_centroids(vectors: DataFrame, nlist: int, seed: int = 42, max_iter: int = 20, rows_per_cell: int = 256) -> DataFrame:
-    """``cell, centroid`` by KMeans.
+def train_centroids(vectors: DataFrame, nlist: int, seed: int = 42, max_iter: int = 20, fraction: float = 1.0) -> DataFrame:
+    """``cell, centroid`` by KMeans over all vectors.
 
-    Training looks at about ``rows_per_cell`` vectors per cell, picked by a hash
-    of their id; that only places the centroids, every vector is searched.
+    A ``fraction`` below 1 trains on that share of them, picked by a hash of
+    their id; that only places the centroids, every vector is searched.
     """
-    n = vectors.count()
-    wanted = nlist * rows_per_cell
+    if not 0 < fraction <= 1:
+        raise ValueError("fraction must be above 0 and at most 1")
     sample = vectors
-    if n > 2 * wanted:
-        sample = vectors.filter(F.pmod(F.xxhash64("vec_id"), F.lit(n // wanted)) == 0)
+    if fraction < 1:
+        sample = vectors.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < math.ceil(fraction * (1 << 20)))
     points = sample.select(array_to_vector("embedding").alias("features"))
     model = KMeans(k=nlist, seed=seed, maxIter=max_iter).fit(points)
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     return vectors.sparkSession.createDataFrame(centers, "cell INT, centroid ARRAY<DOUBLE>")
 
 
-def _centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Centroids on the driver, after a check of their size."""
-    row = centroids.agg(F.count("*").alias("n"), F.max(F.size("centroid")).alias("d")).first()
+def _centroid_blocks(centroids: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Names and centers of the cells in order, a bounded block at a time."""
+    row = centroids.agg(F.count("*").alias("n"), F.max(F.size("centroid")).alias("d"), F.max("cell").alias("top")).first()
     if not row["n"]:
         raise ValueError("no centroids")
-    if 8 * row["n"] * row["d"] > CENTROID_LIMIT:
-        raise ValueError(f"{row['n']} centroids exceed {CENTROID_LIMIT} bytes; use fewer cells")
-    table = centroids.select("cell", "centroid").orderBy("cell").toArrow()
-    return table.column("cell").to_numpy(), _matrix(table.column("centroid"), row["d"])
+    step = max(1, CENTROID_LIMIT // (8 * row["d"]))
+    for low in range(0, row["top"] + 1, step):
+        block = centroids.filter(F.col("cell").between(low, low + step - 1))
+        table = block.select("cell", "centroid").orderBy("cell").toArrow()
+        if table.num_rows:
+            yield table.column("cell").to_numpy(), _matrix(table.column("centroid"), row["d"])
 
 
 def nearest_cells(df: DataFrame, centroids: DataFrame, n: int = 1) -> DataFrame:
-    """Adds ``cells``, the ``n`` cells nearest to ``embedding``, nearest first."""
-    names, centers = _centroid_matrix(centroids)
-    n = min(n, len(names))
-    sent = df.sparkSession.sparkContext.broadcast((names, centers))
+    """Adds ``cells``, the ``n`` cells nearest to ``embedding``, nearest first.
+
+    Rows pass the blocks of centroids one after the other and carry the best
+    cells so far with their distances; as a rule there is one block.
+    """
+    fields = [t.StructField("cells", t.ArrayType(t.IntegerType())), t.StructField("_far", t.ArrayType(t.DoubleType()))]
+    found = df
+    for number, block in enumerate(_centroid_blocks(centroids)):
+        found = _nearer_cells(found, block, n, bool(number), t.StructType([*df.schema.fields, *fields]))
+    return found.drop("_far")
+
+
+def _nearer_cells(df: DataFrame, block: tuple[np.ndarray, np.ndarray], n: int, merge: bool, schema: t.StructType) -> DataFrame:
+    """The ``n`` best cells of a block and (``merge``) of those before it."""
+    sent = df.sparkSession.sparkContext.broadcast(block)
+
+    def lists(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+        offsets = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel(), kind))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, centers = sent.value
         norms = (centers**2).sum(1)
         for batch in batches:
             vector = _matrix(batch.column("embedding"), centers.shape[1])
-            order = np.argsort(norms - 2.0 * (vector @ centers.T), axis=1, kind="stable")[:, :n]
-            cells = pa.FixedSizeListArray.from_arrays(pa.array(names[order].ravel(), pa.int32()), n)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, cells.cast(pa.list_(pa.int32()))], names=[*batch.schema.names, "cells"]
-            )
+            far = norms - 2.0 * (vector @ centers.T)
+            cells = np.broadcast_to(names, far.shape)
+            if merge and len(batch):
+                # Cells of earlier blocks come first, so ties go to the lower one.
+                before = [batch.column(c).flatten().to_numpy().reshape(len(batch), -1) for c in ("cells", "_far")]
+                cells, far = np.hstack([before[0], cells]), np.hstack([before[1], far])
+            order = np.argsort(far, axis=1, kind="stable")[:, :n]
+            best = [np.take_along_axis(x, order, axis=1) for x in (cells, far)]
+            columns = [batch.column(c) for c in schema.names[:-2]]
+            yield pa.RecordBatch.from_arrays([*columns, lists(best[0], pa.int32()), lists(best[1], pa.float64())], names=schema.names)
 
-    return df.mapInArrow(run, t.StructType([*df.schema.fields, t.StructField("cells", t.ArrayType(t.IntegerType()))]))
+    return df.mapInArrow(run, schema)
 
 
 def _buckets(df: DataFrame, model: BucketedRandomProjectionLSHModel) -> DataFrame:
@@ -450,6 +479,9 @@ class VectorIndex:
         The questions are evaluated here, once if they are few; write a large
         or expensive question table before searching.
         """
+        return self._search(questions, k, nprobe, question_limit)[0]
+
+    def _search(self, questions: DataFrame, k: int, nprobe: int, question_limit: int) -> tuple[DataFrame, int | None]:
         questions = questions.select("query_id", "embedding").filter("embedding IS NOT NULL")
         vectors = self.vectors
         if self.method == "ivf":
@@ -468,10 +500,12 @@ class VectorIndex:
     def search_with_metadata(self, questions: DataFrame, k: int = 5, nprobe: int = 1) -> DataFrame:
         """Hits with their score and metadata.
 
-        Hits without metadata are dropped.  The hits are the small side; only
-        the metadata columns of the vector table are read.
+        Hits without metadata are dropped.  Hits known to be few are broadcast,
+        so the metadata stay in place.
         """
-        hits = self.search(questions, k, nprobe)
+        hits, most = self._search(questions, k, nprobe, QUESTION_LIMIT)
+        if most is not None and most <= BROADCAST_HITS:
+            hits = F.broadcast(hits)
         score = F.lit(None).cast("double") if self.method == "flat_ip" else similarity_score(F.col("distance"))
         return hits.withColumn("score", score).join(self.metadata_table(), "vec_id")
 

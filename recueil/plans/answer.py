@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as t
 
 from recueil.functions import prompts
-from recueil.functions.text import not_blank
+from recueil.functions.text import collapse_spaces, not_blank
 from recueil.operators.embed import EmbedFn, embed
 from recueil.operators.search import VectorIndex
 from recueil.session import settled
@@ -31,14 +31,19 @@ class AnswerOptions:
     model: str | None = None
     temperature: float = 0.3
     batch_size: int = 10
-    prompt: str = "grounded"
+    #: A name of ``PROMPTS``, or a function like those: it takes questions, hits
+    #: and aggregates to carry along, and adds ``prompt``, ``nb_events_retrieved``.
+    prompt: str | Callable[..., DataFrame] = "grounded"
     return_sources: bool = True
+    attempts: int = 3
+    backoff: float = 2.0
+    tasks: int | None = None
 
 
 def askable(questions: DataFrame, question: str = "question") -> DataFrame:
     """Questions that are neither blank nor a stop word."""
     text = F.col(question)
-    return questions.filter(not_blank(text) & ~F.lower(F.trim(text)).isin(STOP_WORDS))
+    return questions.filter(not_blank(text) & ~F.lower(collapse_spaces(text)).isin(STOP_WORDS))
 
 
 def embed_questions(questions: DataFrame, fn: EmbedFn, **options) -> DataFrame:
@@ -91,22 +96,48 @@ PROMPTS = {
 }
 
 
-def generate(prompted: DataFrame, fn: GenerateFn, batch_size: int = 10) -> DataFrame:
-    """Adds ``answer`` by calling ``fn`` on slices of prompts."""
+def generate(
+    prompted: DataFrame, fn: GenerateFn, batch_size: int = 10, attempts: int = 3, backoff: float = 2.0, tasks: int | None = None
+) -> DataFrame:
+    """Adds ``answer, answer_error`` by calling ``fn`` on slices of prompts.
+
+    A failing slice is tried ``attempts`` times, waiting ``backoff`` seconds and
+    twice as long each further time; then its answers are null and
+    ``answer_error`` says why.  ``tasks`` spreads the prompts over so many tasks.
+    """
+    if batch_size < 1 or attempts < 1:
+        raise ValueError("batch_size and attempts must be at least 1")
+
+    def call(texts: list[str]) -> tuple[list[str | None], str | None]:
+        for attempt in range(attempts):
+            try:
+                answers = list(fn(texts))
+                if len(answers) != len(texts):
+                    raise ValueError(f"{len(answers)} answers for {len(texts)} prompts")
+                return answers, None
+            except Exception as error:  # whatever the user function raises is data
+                message = str(error)
+                if attempt + 1 < attempts:
+                    time.sleep(backoff * 2**attempt)
+        return [None] * len(texts), message
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("prompt").to_pylist()
-            answers: list[str] = []
+            answers, errors = [], []
             for start in range(0, len(texts), batch_size):
-                answers += fn(texts[start : start + batch_size])
-            if len(answers) != len(texts):
-                raise ValueError(f"{len(answers)} answers for {len(texts)} prompts")
+                part = texts[start : start + batch_size]
+                found, error = call(part)
+                answers += found
+                errors += [error] * len(part)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(answers, pa.string())], names=[*batch.schema.names, "answer"]
+                [*batch.columns, pa.array(answers, pa.string()), pa.array(errors, pa.string())],
+                names=[*batch.schema.names, "answer", "answer_error"],
             )
 
-    return prompted.mapInArrow(run, t.StructType([*prompted.schema.fields, t.StructField("answer", t.StringType())]))
+    text_fields = [t.StructField(x, t.StringType()) for x in ("answer", "answer_error")]
+    spread = prompted.repartition(tasks) if tasks else prompted
+    return spread.mapInArrow(run, t.StructType([*prompted.schema.fields, *text_fields]))
 
 
 def _sources(hits: DataFrame) -> Column:
@@ -115,21 +146,34 @@ def _sources(hits: DataFrame) -> Column:
     return F.array_sort(F.collect_list(F.struct("rank", *fields))).alias("source_events")
 
 
+def _builder(options: AnswerOptions) -> Callable[..., DataFrame]:
+    if callable(options.prompt):
+        return options.prompt
+    if options.prompt not in PROMPTS:
+        raise ValueError(f"unknown prompt {options.prompt!r}; known: {sorted(PROMPTS)}")
+    return PROMPTS[options.prompt]
+
+
+def _calls(options: AnswerOptions) -> dict:
+    return {x: getattr(options, x) for x in ("batch_size", "attempts", "backoff", "tasks")}
+
+
 def answer(
     questions: DataFrame, index: VectorIndex, embed_fn: EmbedFn, generate_fn: GenerateFn, options: AnswerOptions = AnswerOptions()
 ) -> DataFrame:
     """Answers a whole question table.
 
-    Columns: the question, ``answer, nb_events_retrieved, nb_events_used,
-    model, temperature`` and, if wanted, ``source_events``.
+    Columns: the question, ``answer, answer_error, nb_events_retrieved,
+    nb_events_used, model, temperature`` and, if wanted, ``source_events``.
+    The answers are written once to the checkpoint folder, so ``generate_fn``
+    sees each prompt once however often the result is used.
     """
-    if options.prompt not in PROMPTS:
-        raise ValueError(f"unknown prompt {options.prompt!r}; known: {sorted(PROMPTS)}")
-    embedded = embed_questions(questions, embed_fn, batch_size=options.batch_size)
+    builder = _builder(options)
+    embedded = embed_questions(questions, embed_fn, **_calls(options))
     hits = retrieve(embedded, index, options.k, options.nprobe)
     more = [_sources(hits)] if options.return_sources else []
-    prompted = PROMPTS[options.prompt](embedded.drop("embedding"), hits, *more)
-    answered = generate(prompted, generate_fn, options.batch_size).drop("prompt")
+    prompted = builder(embedded.drop("embedding"), hits, *more)
+    answered = settled(generate(prompted, generate_fn, **_calls(options))).drop("prompt")
     return answered.withColumns({
         "nb_events_used": F.col("nb_events_retrieved"),
         "model": F.lit(options.model).cast("string"),
@@ -145,15 +189,14 @@ def timed_answer(
     Both halves run here and are written to the checkpoint folder, because a
     lazy plan has no halves to time.  The times are those of the whole table.
     """
-    if options.prompt not in PROMPTS:
-        raise ValueError(f"unknown prompt {options.prompt!r}; known: {sorted(PROMPTS)}")
+    builder = _builder(options)
     start = time.perf_counter()
-    embedded = embed_questions(questions, embed_fn, batch_size=options.batch_size)
+    embedded = embed_questions(questions, embed_fn, **_calls(options))
     hits = settled(retrieve(embedded, index, options.k, options.nprobe))
     retrieved = time.perf_counter()
     more = [_sources(hits)] if options.return_sources else []
-    prompted = PROMPTS[options.prompt](embedded.drop("embedding"), hits, *more)
-    answered = settled(generate(prompted, generate_fn, options.batch_size)).drop("prompt")
+    prompted = builder(embedded.drop("embedding"), hits, *more)
+    answered = settled(generate(prompted, generate_fn, **_calls(options))).drop("prompt")
     end = time.perf_counter()
 
     def ms(seconds: float) -> Column:

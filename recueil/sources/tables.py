@@ -102,7 +102,8 @@ def load_index(spark: SparkSession, path: str) -> VectorIndex:
 
 
 def append_to_index(spark: SparkSession, path: str, vectors: DataFrame, metadata: DataFrame | None = None) -> None:
-    """Adds vectors to a saved index without rewriting it."""
+    """Adds vectors to a saved index without rewriting it; its figures are
+    taken anew from what is stored."""
     index = load_index(spark, path)
     # Only the new rows: the saved index without its vectors, plus the new ones.
     empty = VectorIndex(
@@ -116,6 +117,7 @@ def append_to_index(spark: SparkSession, path: str, vectors: DataFrame, metadata
     writer.parquet(f"{path}/vectors")
     if metadata is not None and fresh.metadata is not None:
         fresh.metadata.write.mode("append").parquet(f"{path}/metadata")
+    load_index(spark, path).stats().write.mode("overwrite").json(f"{path}/stats")
 
 
 def with_current_text(events: DataFrame, vectors: DataFrame) -> DataFrame:

@@ -152,8 +152,31 @@ def test_documents(spark, index):
 
 def test_generation_must_answer_every_prompt(spark):
     df = spark.createDataFrame([("a",), ("b",)], "prompt string").coalesce(1)
-    with pytest.raises(Exception, match="1 answers for 2 prompts"):
-        A.generate(df, lambda ps: ["x"]).collect()
+    rows = A.generate(df, lambda ps: ["x"], backoff=0).collect()
+    assert [(r["answer"], r["answer_error"]) for r in rows] == [(None, "1 answers for 2 prompts")] * 2
+
+
+def test_refused_prompts_leave_the_others_alone(spark):
+    def fn(texts):
+        if "bad" in texts:
+            raise RuntimeError("refused")
+        return [x.upper() for x in texts]
+
+    df = spark.createDataFrame([("a",), ("bad",), ("c",)], "prompt string")
+    rows = A.generate(df, fn, batch_size=1, attempts=2, backoff=0, tasks=2).collect()
+    assert {(r["prompt"], r["answer"], r["answer_error"]) for r in rows} == {
+        ("a", "A", None), ("bad", None, "refused"), ("c", "C", None)
+    }
+
+
+def test_own_prompt_builder_and_stop_words(spark, index):
+    def builder(questions, hits, *more):
+        return A.simple_prompts(questions, hits, *more).withColumn("prompt", F.concat(F.lit("> "), "question"))
+
+    asked = spark.createDataFrame([(1, "carillon"), (2, "\tQuit ")], "query_id long, question string")
+    options = A.AnswerOptions(prompt=builder, return_sources=False)
+    rows = A.answer(asked, index, E.hashing_embedder(64), lambda ps: ps, options).collect()
+    assert [(r["query_id"], r["answer"], r["answer_error"]) for r in rows] == [(1, "> carillon", None)]
 
 
 def test_evaluation(spark):

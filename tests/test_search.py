@@ -165,11 +165,24 @@ def test_saved_index(spark, vectors, questions, path, method):
 
 
 def test_default_cells():
-    assert [S.default_nlist(n) for n in (0, 9, 10, 405, 10_000)] == [1, 1, 1, 40, 100]
+    assert [S.default_nlist(n) for n in (0, 9, 10, 405, 10_000, 10**10)] == [1, 1, 1, 40, 100, 10**5]
 
 
-def test_centroid_size_is_limited(vectors, monkeypatch):
+def test_centroids_in_blocks_give_the_same_cells(vectors, monkeypatch):
     index = S.build_index(vectors, "ivf", nlist=4)
-    monkeypatch.setattr(S, "CENTROID_LIMIT", 100)
-    with pytest.raises(ValueError, match="fewer cells"):
-        S.nearest_cells(vectors, index.centroids)
+
+    def cells():
+        return {r["vec_id"]: r["cells"] for r in S.nearest_cells(vectors, index.centroids, 3).collect()}
+
+    whole = cells()
+    assert all(len(x) == 3 for x in whole.values())
+    for limit in (1, 8 * 2 * index.dimension):
+        monkeypatch.setattr(S, "CENTROID_LIMIT", limit)
+        assert cells() == whole
+
+
+def test_hits_are_broadcast_to_the_metadata(vectors):
+    index = S.build_index(vectors)
+    found = index.search_with_metadata(vectors.limit(2).select(S.F.col("vec_id").alias("query_id"), "embedding"), 3)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan and found.count() == 6
