@@ -16,9 +16,10 @@ compared; bitmaps of the hashed elements bound the overlap from above by their
 bit counts; what is left is decided by intersecting the sorted arrays.  Rows
 already connected are not compared again, so thousands of near copies cost about
 one comparison each.  Large tiles are salted.  A second round does the same in the
-tiles of other elements, with some classes for each component found so far.  Then every tile in which different components remain is
-compared across them: by size band and bit counts, a pair in the tile of its first
-common element only, and the pairs left are intersected.  No link between
+tiles of other elements, with some classes for each component found so far.  Then classes
+go that have too few tiles in which different components remain, and each of these
+tiles is compared across them: by size band and bit counts, a pair in the tile of
+its first common element only, and the pairs left are intersected.  No link between
 different components can be missing after that.
 
 Defined results: a text without words has the empty set, no links and its own id
@@ -60,7 +61,8 @@ COUNTED = 1_000_000
 TILE = 1000
 HEADS = 32
 
-#: How often classes that share too little are left out.
+#: How often classes that share too little are left out, before links are sought
+#: and among those that are still in different components.
 PASSES = 2
 
 #: Text digests (8 bytes each) that are broadcast at most.
@@ -333,6 +335,20 @@ def _met(homes: DataFrame) -> DataFrame:
     return heads.join(mixed, "tile").select("tile", F.pmod(F.xxhash64("class"), salts).cast("int").alias("salt"), "class")
 
 
+def _undecided(rows: DataFrame) -> DataFrame:
+    """The rows of tiles in which different components meet, of the classes that
+    have enough such tiles to link with a class of another component.
+
+    All elements that two such classes share are in such tiles, so no link is
+    lost.  ``rows`` has ``token, class, n, component``.
+    """
+    tiles = rows.groupBy("token").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    met = stored(rows.join(tiles.filter("_low <> _high").select("token"), "token", "left_semi"), "jaccard_met")
+    least = shared_at_least(F.ceil(F.col("n") * PERCENT / 100))
+    enough = met.groupBy("class", "n").agg(F.count("*").alias("_shared")).filter(F.col("_shared") >= least)
+    return stored(met.join(enough.select("class"), "class", "left_semi"), "jaccard_undecided")
+
+
 def _blocks(rows: DataFrame, members: DataFrame) -> DataFrame:
     """Rows of tiles in which different components meet, dealt to tasks.
 
@@ -467,6 +483,9 @@ def class_components(docs: DataFrame, listed: DataFrame, text: str = "text") ->
 
     # What is left: tiles in which different components meet.
     rows = _named(shared.join(keyed, "half"), near).select("token", "class", "n", "component")
+    for _ in range(PASSES):
+        # Without the classes that go, fewer tiles are open.
+        rows = _undecided(rows)
     possible = stored(_pairs(_blocks(rows, members)), "jaccard_pairs")
     last = stored(_verified(possible, members), "jaccard_links")
     if near is not None and last.isEmpty():
