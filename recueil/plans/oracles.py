@@ -153,7 +153,7 @@ SELECT rule, n, CAST(round_even(100.0 * n / (SELECT count(*) FROM raw), 1) AS DO
 _LOG = """
 log AS (
   SELECT event_id AS pos, CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS uid, event_type,
-         '{"event_type":"' || event_type || '"}' AS payload, ts >= TIMESTAMP '2024-01-16' AS fresh, strftime(ts, '%Y%m%d') AS day
+         '{"event_type":"' || event_type || '"}' AS payload, coalesce(ts >= TIMESTAMP '2024-01-16', true) AS fresh, strftime(ts, '%Y%m%d') AS day
   FROM events),
 target AS (SELECT uid, max(pos) AS pos FROM log WHERE NOT fresh AND uid IS NOT NULL GROUP BY uid),
 latest AS (

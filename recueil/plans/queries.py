@@ -119,7 +119,7 @@ def _keyed(spark: SparkSession, folder: str) -> DataFrame:
 
 def _base_and_increment(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     log = _keyed(spark, folder)
-    return log.filter("day < '20240116'"), log.filter("day >= '20240116'")
+    return log.filter("day < '20240116'"), log.filter("day >= '20240116' OR day IS NULL")
 
 
 def _rounded(hits: DataFrame, *more: str) -> DataFrame:
@@ -551,7 +551,7 @@ def _agenda_pages(spark, folder) -> DataFrame:
         F.lit(customers.count()).alias("total"),
     )
     path = shared_dir(spark, "landing")
-    ordered = listed.repartitionByRange(4, "page").sortWithinPartitions("page")
+    ordered = listed.repartitionByRange("page").sortWithinPartitions("page")
     ordered.select(F.to_json(body)).write.text(path)
     return landing.agenda_pages(spark, path)
 
@@ -572,7 +572,7 @@ def landed_cursor(spark, folder):
 def _landed(spark, folder, path: str, half: Column) -> None:
     event = F.to_json(F.struct(F.when(F.col("event_type") != "error", F.col("user_id").cast("string")).alias("uid"), "event_type"))
     log = _table(spark, folder, "events").filter(half)
-    ordered = log.repartitionByRange(4, "event_id").sortWithinPartitions("event_id")
+    ordered = log.repartitionByRange("event_id").sortWithinPartitions("event_id")
     ordered.select(event.alias("value")).write.mode("append").text(path)
 
 
@@ -580,7 +580,7 @@ def _landed(spark, folder, path: str, half: Column) -> None:
 def stream_upsert(spark, folder):
     """Two landings of events, merged by a stream into the versioned table."""
     base = shared_dir(spark, "stream")
-    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
+    early = F.coalesce(F.col("ts") < F.lit("2024-01-16").cast("timestamp"), F.lit(False))
     for half in (early, ~early):
         _landed(spark, folder, f"{base}/landing", half)
         collect.merge_lines(spark, f"{base}/landing", f"{base}/root", f"{base}/checkpoint", buckets=8).awaitTermination()
@@ -593,7 +593,7 @@ def stream_upsert(spark, folder):
 def stream_journal(spark, folder):
     """The journal of those two merges."""
     base = shared_dir(spark, "stream")
-    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
+    early = F.coalesce(F.col("ts") < F.lit("2024-01-16").cast("timestamp"), F.lit(False))
     for half in (early, ~early):
         _landed(spark, folder, f"{base}/landing", half)
         collect.merge_lines(spark, f"{base}/landing", f"{base}/root", f"{base}/checkpoint", buckets=8).awaitTermination()
@@ -616,9 +616,7 @@ def list_versions(spark, folder):
 
 def _embedded(spark, folder) -> DataFrame:
     documents = _table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text", "source")
-    return E.embed(
-        documents, E.hashing_embedder(64), "text", batch_size=64, tasks=spark.sparkContext.defaultParallelism
-    )
+    return E.embed(documents, E.hashing_embedder(64), "text", batch_size=64)
 
 
 @query
@@ -763,7 +761,7 @@ def hit_at_k(spark, folder):
 def corpus_prompts(spark: SparkSession, folder: str) -> DataFrame:
     """Raw events cleaned, embedded, searched and turned into prompts."""
     clean = corpus.clean_corpus(raw_events(spark, folder), BASE_URL)
-    vectors = E.embed(clean, E.hashing_embedder(64), batch_size=64, tasks=spark.sparkContext.defaultParallelism)
+    vectors = E.embed(clean, E.hashing_embedder(64), batch_size=64)
     index = build_index(settled(corpus.as_index_input(vectors)), dimension=64)
     questions = _table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
     embedded = A.embed_questions(questions, E.hashing_embedder(64))
