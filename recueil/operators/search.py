@@ -208,7 +208,10 @@ class _Best:
 
 
 def _arrow_type(kind: t.DataType) -> pa.DataType:
-    return {t.LongType(): pa.int64(), t.IntegerType(): pa.int32(), t.StringType(): pa.string()}[kind]
+    known = {t.LongType(): pa.int64(), t.IntegerType(): pa.int32(), t.StringType(): pa.string()}
+    if kind not in known:
+        raise ValueError(f"ids of type {kind.simpleString()} are not supported; cast them to bigint, int or string")
+    return known[kind]
 
 
 # ---------------------------------------------------------------- search
