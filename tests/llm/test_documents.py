@@ -82,6 +82,89 @@ def test_licences_in_order(spark):
     }
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A. Author. All rights reserved.
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD = """Copyright (c) 2020, A. Author
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES.
+"""
+GPL = """/*
+ * Copyright (C) 2020  A. Author
+ *
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+ */
+"""
+APACHE = """# Copyright 2020 A. Author
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+
+
+def test_wrapped_licences_are_found(spark):
+    split = "All rights\n\nreserved. All rights. Reserved. Not all rights reserved"
+    texts = [MIT, BSD, GPL, APACHE, MIT.replace("\n", "\r\n"), BSD.replace("THIS SOFTWARE", "X"), split, BSD + "\nAll rights reserved."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id INT, text STRING")
+    found = {r["doc_id"]: (r["sentence_ids"], r["licenses"], r["usable"]) for r in licenses.license_scan(docs).collect()}
+    mit = ["reserved", "mit-grant", "mit-condition", "as-is"]
+    assert found == {
+        0: (mit, ["mit"], True), 1: (["reserved", "bsd-grant", "as-is"], ["bsd"], True), 2: (["gpl-grant", "gpl-warranty"], ["gpl"], False),
+        3: (["apache-2.0-notice", "apache-2.0-url"], ["apache-2.0"], True), 4: (mit, ["mit"], True),
+        5: (["reserved", "bsd-grant"], ["all-rights-reserved"], False), 6: ([], [], None),
+        7: (["reserved", "bsd-grant", "as-is", "reserved"], ["all-rights-reserved", "bsd"], False),
+    }
+
+
 def test_mix_reaches_targets(spark):
     rows = [(i, "w " * (i % 7), ["a", "b", "c", None][(i * i) % 4], 1) for i in range(400)] + [(None, None, "d", 1), (5, "dup dup", "b", 1), (5, "dup dup", "b", 1)]
     docs = spark.createDataFrame(rows, "doc_id INT, text STRING, source STRING, size INT")
