@@ -7,19 +7,25 @@ other figures or names is found too.  What is found is checked: a slot value of
 the item must stand for the same value everywhere in the match, and different
 names for different names.
 
+Beside these, plain windows are looked up: words and numbers without slots and
+case, and single characters of scripts without blanks, so that a copy is found
+whatever its share of figures and names.
+
 The benchmark is broadcast in blocks of bounded size; each block meets all
 documents.  No text is shuffled.
 
 Defined results: null or empty texts and items match nothing; items of fewer than
-``LEAST`` tokens are not searched for; items that occur twice are reported each;
+``LEAST`` tokens are searched for as plain text only, as a whole; items that occur twice are reported each;
 an empty table gives an empty result; other columns do not enter.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +38,7 @@ from recueil.llm.common import whole_text
 #: Tokens of a window, and how many of them must be words.
 WINDOW = 8
 WORDS = 4
-#: A shorter item is its own window; still shorter ones are left out.
+#: A shorter item is its own window; still shorter ones have plain windows only.
 LEAST = 5
 
 #: An item is in a document if so many tokens in a row match (or all it has), or
@@ -124,6 +130,131 @@ def unit_codes(powers: rolling.Powers) -> np.ndarray:
     return np.unique(tokens(data, starts, powers, np.zeros(0, np.uint64)).code)
 
 
+LETTER, HALF, QUARTER, DIGIT = 1, 2, 3, 4
+#: What a plain token counts, by the kind of its first character.
+_COUNTS = np.array([0, 1, 0.5, 0.25, 1])
+
+# Blocks of scripts without blanks, and what part of a word one of
+# their characters is about.
+_ALONE = [
+    (HALF, 0x2E80, 0x312F), (HALF, 0x31A0, 0x31BF), (HALF, 0x31F0, 0x31FF), (HALF, 0x3400, 0x4DBF), (HALF, 0x4E00, 0x9FFF),
+    (HALF, 0xF900, 0xFAFF), (HALF, 0xFF66, 0xFF9F), (HALF, 0x1B000, 0x1B16F), (HALF, 0x20000, 0x3FFFF),
+    (QUARTER, 0x0E00, 0x0FFF), (QUARTER, 0x1000, 0x109F), (QUARTER, 0x1780, 0x17FF), (QUARTER, 0x1950, 0x19FF),
+    (QUARTER, 0x1A20, 0x1AAF), (QUARTER, 0x1B00, 0x1B7F), (QUARTER, 0xA980, 0xA9FF), (QUARTER, 0xAA60, 0xAADF),
+]
+
+
+@lru_cache(1)
+def _kinds() -> np.ndarray:
+    """The kind of every code point; 0 for what stands between tokens."""
+    category = [unicodedata.category(chr(c)) for c in range(0x32400)]
+    kinds = np.full(0x110000, LETTER, np.uint8)
+    kinds[: len(category)] = [DIGIT if c[0] == "N" else LETTER if c[0] in "LM" or c in ("Cn", "Co") else 0 for c in category]
+    for kind, first, last in _ALONE:
+        part = kinds[first : last + 1]
+        part[part == LETTER] = kind
+    return kinds
+
+
+def plain_tokens(texts: list[str], powers: rolling.Powers) -> tuple[Tokens, np.ndarray, np.ndarray]:
+    """Tokens of case-folded texts with their kinds, and where each text starts."""
+    starts = np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = _kinds()[points]
+    alone = (kind == HALF) | (kind == QUARTER)
+    edge = np.zeros(len(points) + 1, bool)
+    edge[starts] = True
+    edge[:-1] |= alone
+    edge[1:] |= alone
+    begin, end, _ = rolling.word_spans(kind > 0, np.flatnonzero(edge))
+    up, down = powers.upto(len(points) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(rolling.mixed(points.astype(np.uint64) + np.uint64(1)) * up[: len(points)])])
+    code = rolling.mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
+    return Tokens(code, begin, end, np.searchsorted(starts, begin, "right") - 1), kind[begin], starts
+
+
+def _inner(text: str) -> str:
+    """A text without white space."""
+    return "".join(text.split())
+
+
+class Plain:
+    """Plain windows of the items: hash, item and place, by hash.
+
+    Items of few words, formulas for instance, must agree in all characters
+    between their tokens (``exact``), those without tokens in all but blanks
+    (``signs``).
+    """
+
+    def __init__(self, texts: list[str]):
+        powers = rolling.Powers()
+        self.counts: list[np.ndarray] = []
+        self.exact: dict[int, str] = {}
+        self.signs: list[tuple[int, str]] = []
+        found = []
+        for i, value in enumerate(texts):
+            folded = value.casefold()
+            typed, kind, _ = plain_tokens([folded], powers)
+            self.counts.append(_COUNTS[kind])
+            size = min(WINDOW, len(kind))
+            if not size:
+                self.signs += [(i, _inner(folded))] if _inner(folded) else []
+                continue
+            if len(kind) < WINDOW and (kind == LETTER).sum() < WORDS:
+                self.exact[i] = _inner(folded[typed.begin[0] : typed.end[-1]])
+            found += [(size, h, i, p) for p, h in enumerate(typed.windows(size).tolist())]
+        found.sort(key=lambda x: x[1])
+        self.sizes = sorted({x[0] for x in found})
+        self.hashes = np.array([x[1] for x in found], np.uint64)
+        self.item, self.place = (np.array([x[k] for x in found], np.int64) for k in (2, 3))
+        # One bit of a hash's head tells most windows of documents apart.
+        self.shift = np.uint64(64 - max(16, (16 * len(found)).bit_length()))
+        self.heads = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.heads[self.hashes >> self.shift] = True
+
+    def hits(self, typed: Tokens) -> Iterator[tuple[int, int, int, int, int]]:
+        """Windows in common: row, item, place there, place here, size."""
+        for size in self.sizes:
+            windows = typed.windows(size)
+            here = np.flatnonzero(self.heads[windows >> self.shift])
+            a, b = (np.searchsorted(self.hashes, windows[here], side) for side in ("left", "right"))
+            for at, first, last in zip(here[b > a].tolist(), a[b > a].tolist(), b[b > a].tolist(), strict=True):
+                row = int(typed.row[at])
+                for k in range(first, last):
+                    yield row, int(self.item[k]), int(self.place[k]), at, size
+
+    def found(self, texts: list[str], powers: rolling.Powers) -> dict[int, dict[int, tuple[int, int]]]:
+        """Per row its items: tokens of the item, matched tokens."""
+        texts = [x.casefold() for x in texts]
+        typed, _, starts = plain_tokens(texts, powers)
+        items: dict[int, dict[int, tuple[int, int]]] = defaultdict(dict)
+        covered: dict[tuple[int, int], dict[int, set]] = defaultdict(lambda: defaultdict(set))
+        for row, item, there, here, size in self.hits(typed):
+            if len(self.counts[item]) >= WINDOW:
+                covered[row, item][here - there].update(range(there, there + size))
+            elif item not in items.get(row, ()):
+                a, b = int(typed.begin[here] - starts[row]), int(typed.end[here + size - 1] - starts[row])
+                if item not in self.exact or self.exact[item] == _inner(texts[row][a:b]):
+                    items[row][item] = size, size
+        for (row, item), lines in covered.items():
+            counts = self.counts[item]
+            longest = 0.0
+            for places in lines.values():
+                run, before = 0.0, -2
+                for place in sorted(places):
+                    run = counts[place] + (run if place == before + 1 else 0.0)
+                    longest, before = max(longest, run), place
+            every = set().union(*lines.values())
+            whole, n = counts.sum(), sum(counts[x] for x in every)
+            if longest >= min(IN_A_ROW, whole) or n >= max(WINDOW, SHARE * whole):
+                items[row][item] = len(counts), len(every)
+        for item, signs in self.signs:
+            for row, text in enumerate(texts):
+                if signs in _inner(text):
+                    items[row][item] = 0, 0
+        return items
+
+
 @dataclass
 class Block:
     """Benchmark items with their windows: hash, item and place, by hash."""
@@ -135,6 +266,7 @@ class Block:
     hashes: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    plain: Plain
     keys: np.ndarray = field(init=False)
 
     def __post_init__(self):
@@ -163,7 +295,7 @@ def block(ids: list, texts: list[str]) -> Block:
     found.sort(key=lambda x: x[1])
     return Block(
         ids, code, words, sorted({x[0] for x in found}), np.array([x[1] for x in found], np.uint64),
-        np.array([x[2] for x in found], np.int64), np.array([x[3] for x in found], np.int64),
+        np.array([x[2] for x in found], np.int64), np.array([x[3] for x in found], np.int64), Plain(texts),
     )
 
 
@@ -213,7 +345,8 @@ def matches(code: np.ndarray, words: list[bytes], hits: list[tuple[int, int, int
 
 
 def _found(texts: pa.Array, bench: Block, powers: rolling.Powers, units: np.ndarray) -> Iterator[tuple[int, list]]:
-    """Rows in which items are found."""
+    """Rows in which items are found: item, its tokens, matched tokens, whether
+    slots have new values.  What typed windows find is not counted again."""
     for first, _, data, starts in rolling.chunks(texts):
         typed = tokens(data, starts, powers, units)
         by_row: dict[int, list] = defaultdict(list)
@@ -223,14 +356,21 @@ def _found(texts: pa.Array, bench: Block, powers: rolling.Powers, units: np.ndar
                 a, b = np.searchsorted(bench.hashes, windows[here], "left"), np.searchsorted(bench.hashes, windows[here], "right")
                 row = int(typed.row[here])
                 by_row[row] += [(int(bench.item[k]), int(bench.place[k]), here, size) for k in range(a, b)]
-        if not by_row:
+        raw = data.tobytes()
+        plain = bench.plain.found([raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[:-1], starts[1:], strict=True)], powers)
+        if not by_row and not plain:
             continue
         low = _lowered(data)
-        for row, hits in sorted(by_row.items()):
-            a, b = np.searchsorted(typed.row, [row, row + 1])
-            words = [low[x:y].tobytes() for x, y in zip(typed.begin[a:b], typed.end[a:b], strict=True)]
-            own = [(item, there, here - int(a), size) for item, there, here, size in hits]
-            if items := matches(typed.code[a:b], words, own, bench):
+        for row in sorted(by_row.keys() | plain.keys()):
+            items = []
+            if hits := by_row.get(row):
+                a, b = np.searchsorted(typed.row, [row, row + 1])
+                words = [low[x:y].tobytes() for x, y in zip(typed.begin[a:b], typed.end[a:b], strict=True)]
+                own = [(item, there, here - int(a), size) for item, there, here, size in hits]
+                items = [(item, len(bench.code[item]), n, other) for item, n, other in matches(typed.code[a:b], words, own, bench)]
+            told = {x[0] for x in items}
+            items += [(item, size, n, False) for item, (size, n) in sorted(plain.get(row, {}).items()) if item not in told]
+            if items:
                 yield first + row, items
 
 
@@ -249,7 +389,9 @@ def contaminated(
     item_text: str = "text", block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``key, item_id, item_tokens, n_matched, new_values``: every item found in
-    a document, with how much of it; ``new_values`` if slots are filled anew."""
+    a document, with how much of it; ``new_values`` if slots are filled anew.
+
+    Tokens are typed ones, or plain ones for what only plain windows find."""
     rows = docs.select(F.col(f"`{key}`").alias("key"), whole_text(text).alias("text"))
     kinds = [rows.schema["key"].dataType, benchmark.schema[item].dataType, t.LongType(), t.LongType(), t.BooleanType()]
     names = ["key", "item", "item_tokens", "n_matched", "new_values"]
@@ -265,11 +407,11 @@ def contaminated(
             for batch in batches:
                 found = [(i, *x) for i, items in _found(batch.column("text"), known, powers, units) for x in items]
                 if found:
-                    at, items, n, other = (list(x) for x in zip(*found, strict=True))
+                    at, items, size, n, other = (list(x) for x in zip(*found, strict=True))
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column("key").take(pa.array(at)), pa.array([known.ids[x] for x in items], item_kind),
-                            pa.array([len(known.code[x]) for x in items], pa.int64()), pa.array(n, pa.int64()), pa.array(other, pa.bool_()),
+                            pa.array(size, pa.int64()), pa.array(n, pa.int64()), pa.array(other, pa.bool_()),
                         ],
                         names=names,
                     )

@@ -58,6 +58,20 @@ def test_inconsistent_slots_do_not_match():
     assert not found("From Aix the road goes by Metz and then from Brest back by Nice")
 
 
+def test_copies_are_found_whatever_they_hold(spark):
+    items = [
+        "Compute 12*34+56-78", "Anna Bell, Carl Dorn, Emil Frey, Gita Hahn, Ines Jung", "What Is The Oldest Bridge Of Old Prague Town Called?",
+        "北京大学的图书馆里有多少本书，谁在管理这些书？", "นักเรียนอ่านหนังสือที่ห้องสมุดทุกวัน", ITEM, "2+2", "Какая река течёт через город Киев и впадает в море?", "→ ∂?",
+    ]
+    texts = [f"Before it. “{x}” After it." for x in items]
+    assert leaks(spark, texts, *items).keys() >= {(i, i) for i in range(len(items))}
+    for changed in (str.upper, str.lower):
+        assert leaks(spark, [changed(x) for x in texts], *items).keys() >= {(i, i) for i in range(len(items))}
+    others = ["12, 34, 56, 78 and 2 2", "Compute 12+34+56+78", "Carl Dorn met Gita Hahn", "北京有多少本书", "Какая река течёт на юг?", "22+22", "", None]
+    assert not leaks(spark, others, *items)
+    assert leaks(spark, texts, *items, block_bytes=40) == leaks(spark, texts, *items)
+
+
 def test_decontaminated_keeps_the_rest(spark):
     docs = spark.createDataFrame([(1, ITEM, "a"), (2, None, "b"), (3, "clean text", None)], "doc_id INT, text STRING, item_id STRING")
     kept = decontaminate.decontaminated(docs, bench(spark, ITEM))
