@@ -5,7 +5,7 @@ words stand for themselves in lower case.  Windows of tokens are hashed and
 looked up among the windows of the benchmark, so a question asked again with
 other figures or names is found too.  What is found is checked: a slot value of
 the item must stand for the same value everywhere in the match, and different
-names for different names.
+names for different names; where one does not, the match is split.
 
 Beside these, plain windows are looked up: words and numbers without slots and
 case, and single characters of scripts without blanks, so that a copy is found
@@ -21,8 +21,9 @@ an empty table gives an empty result; other columns do not enter.
 
 from __future__ import annotations
 
+import math
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -299,51 +300,76 @@ def block(ids: list, texts: list[str]) -> Block:
     )
 
 
-def _consistent(item: list[bytes], said: list[bytes], code: np.ndarray, forth: dict, back: dict) -> bool:
-    """Whether slot values stand for each other one to one; notes them if so."""
-    new_forth, new_back = {}, {}
-    for kind, a, b in zip(code.tolist(), item, said, strict=True):
-        if kind >= 64:
-            continue
-        a, b = (kind, a), (kind, b)
-        if new_forth.get(a, forth.get(a, b)) != b or (kind == NAME and new_back.get(b, back.get(b, a)) != a):
-            return False
-        new_forth[a], new_back[b] = b, a
-    forth |= new_forth
-    back |= new_back
-    return True
+def _offending(item: list[bytes], said: list[bytes], code: np.ndarray, forth: dict, back: dict) -> list[int]:
+    """Places whose slot value breaks that values stand for each other one to one.
+
+    Equal values never do.  Else ``forth`` and ``back``, noted from other pieces,
+    decide what a value stands for, then the value itself, then the most frequent
+    one; among equally frequent ones none is right.
+    """
+    slots = [(k, (kind, item[k]), (kind, said[k])) for k, kind in enumerate(code.tolist()) if kind < 64]
+    votes = Counter((a, b) for _, a, b in slots)
+
+    def chosen(noted: dict, one: int) -> dict:
+        best: dict = {}
+        for pair, n in votes.items():
+            x, y = pair[one], pair[1 - one]
+            best.setdefault(x, []).append((math.inf if x == y else n, y))
+        for x, values in best.items():
+            most = max(values, key=lambda v: v[0])
+            best[x] = noted.get(x, most[1] if sum(v[0] == most[0] for v in values) == 1 else None)
+        return best
+
+    to, of = chosen(forth, 0), chosen(back, 1)
+    return [k for k, a, b in slots if a != b and (to[a] != b or (a[0] == NAME and of[b] != a))]
 
 
 def matches(code: np.ndarray, words: list[bytes], hits: list[tuple[int, int, int, int]], bench: Block) -> list[tuple[int, int, bool]]:
     """Items in one text: item, matched tokens, whether slots have new values.
 
-    ``hits`` are windows in common: item, place there, place here, size.
+    ``hits`` are windows in common: item, place there, place here, size.  Windows
+    with an offending slot are left out, like those with another word.
     """
     by_item: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
     for item, there, here, size in hits:
         by_item[item][here - there].append((there, there + size))
     found = []
     for item, lines in by_item.items():
-        pieces = []
-        for shift, windows in lines.items():
-            for a, b in sorted(windows):
-                if pieces and pieces[-1][2] == shift and a <= pieces[-1][1]:
-                    pieces[-1][1] = b
-                else:
-                    pieces.append([a, b, shift])
+        pieces = [x for shift, windows in lines.items() for x in _merged(sorted(windows), shift)]
         covered, longest, other, forth, back = set(), 0, False, {}, {}
-        for a, b, shift in sorted(pieces, key=lambda p: (p[0] - p[1], p)):
-            mine, said = bench.text[item][a:b], words[a + shift : b + shift]
-            if _consistent(mine, said, bench.code[item][a:b], forth, back):
-                covered.update(range(a, b))
-                longest = max(longest, b - a)
-                other |= mine != said
+        for a, b, shift, windows in sorted(pieces, key=lambda p: (p[0] - p[1], p)):
+            mine, said, kinds = bench.text[item][a:b], words[a + shift : b + shift], bench.code[item][a:b]
+            if offending := _offending(mine, said, kinds, forth, back):
+                wrong = np.zeros(b - a + 1, np.int64)
+                wrong[np.array(offending) + 1] = 1
+                before = np.cumsum(wrong)
+                windows = [(x, y) for x, y in windows if before[y - a] == before[x - a]]
+            for x, y, _, _ in _merged(windows, shift):
+                covered.update(range(x, y))
+                longest = max(longest, y - x)
+                other |= mine[x - a : y - a] != said[x - a : y - a]
+                for kind, p, q in zip(kinds[x - a : y - a].tolist(), mine[x - a : y - a], said[x - a : y - a], strict=True):
+                    if kind < 64:
+                        forth.setdefault((kind, p), (kind, q))
+                        back.setdefault((kind, q), (kind, p))
         whole = len(bench.code[item])
         if longest >= min(IN_A_ROW, whole) or len(covered) >= max(WINDOW, SHARE * whole):
             found.append((item, len(covered), other))
     return found
 
 
+def _merged(windows: list[tuple[int, int]], shift: int) -> list[tuple[int, int, int, list]]:
+    """Pieces of sorted windows that touch, each with its windows."""
+    pieces: list = []
+    for a, b in windows:
+        if pieces and a <= pieces[-1][1]:
+            pieces[-1][1] = b
+            pieces[-1][3].append((a, b))
+        else:
+            pieces.append([a, b, shift, [(a, b)]])
+    return [tuple(x) for x in pieces]
+
+
 def _found(texts: pa.Array, bench: Block, powers: rolling.Powers, units: np.ndarray) -> Iterator[tuple[int, list]]:
     """Rows in which items are found: item, its tokens, matched tokens, whether
     slots have new values.  What typed windows find is not counted again."""

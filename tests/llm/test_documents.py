@@ -58,6 +58,33 @@ def test_inconsistent_slots_do_not_match():
     assert not found("From Aix the road goes by Metz and then from Brest back by Nice")
 
 
+def test_one_other_slot_splits_a_match(spark):
+    item = (
+        "On the old road from Rome the 12 wagons with grain were counted twice before the gate was closed, while the guards near Oslo"
+        " let 12 riders from Rome pass without any word about the bridge that they had burned"
+    )
+    anew = item.replace("Rome", "Bern").replace("Oslo", "Kiev").replace("12", "30")
+    at = item.rindex("12")
+    texts = [
+        item[:at] + "13" + item[at + 2 :], item.replace("from Rome pass", "from Turin pass"), anew.replace("30 riders", "31 riders"),
+        anew.replace("near Kiev", "near Bern"), item.replace("12 riders", "13 riders").replace("12 wagons", "14 wagons"),
+    ]
+    found = leaks(spark, texts, item)
+    assert found == {(0, 0): False, (1, 0): False, (2, 0): True, (3, 0): True, (4, 0): False}
+
+
+def test_offending_slots():
+    import numpy as np
+
+    def places(item, said, forth=None, back=None):
+        code = np.array([12 if w[0].isupper() else 11 if w[0].isdigit() else 64 for w in item.split()], np.uint64)
+        return decontaminate._offending(item.encode().split(), said.encode().split(), code, forth or {}, back or {})
+
+    assert places("A x A x A", "B x B x C") == [4] and places("A x A", "B x C") == [0, 2] and places("A x A", "A x B") == [2]
+    assert places("A x B x A", "C x C x C") == [2] and places("1 x 2", "3 x 3") == [] and places("A x B", "B x A") == []
+    assert places("A x A", "C x A", {(12, b"A"): (12, b"B")}) == [0]
+
+
 def test_copies_are_found_whatever_they_hold(spark):
     items = [
         "Compute 12*34+56-78", "Anna Bell, Carl Dorn, Emil Frey, Gita Hahn, Ines Jung", "What Is The Oldest Bridge Of Old Prague Town Called?",
