@@ -3,7 +3,8 @@
 A url that fits a rule gets the verdict of the longest rule.  The others are
 judged by the reputation of their host: the share of its pages that rules block,
 shrunk by beta-binomial priors from the host to its registered domain, to its
-suffix, to all pages.  Only DataFrame functions are used.
+suffix, to all pages.  Only DataFrame functions are used.  By default pages that
+no rule fits count as not blocked; with ``ruled_only`` they do not count.
 
 Defined results: a null url or one without ``://`` has empty host and path, and
 fits no rule; repeated rows count as often as they occur; an empty table gives
@@ -81,11 +82,14 @@ def _registered(long_suffixes: Sequence[str]) -> dict[str, Column]:
 def reputations(outcomes: DataFrame, long_suffixes: Sequence[str] = LONG_SUFFIXES, bound: float = BOUND) -> DataFrame:
     """``host, n, k, reputation, low`` from pages with ``host`` and ``bad``.
 
+    Pages whose ``bad`` is null do not count; a host without others has the
+    posterior of its domain as prior and nothing else.
+
     On each level the groups' rates around their parent's posterior mean give,
     by moments, the strength of the prior; the child's posterior follows.
     ``low`` is the posterior mean of a host less ``bound`` deviations.
     """
-    counts = outcomes.groupBy("host").agg(F.count("*").alias("n"), F.count_if("bad").alias("k"))
+    counts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.count_if("bad").alias("k"))
     hosts = stored(counts.withColumns(_registered(long_suffixes)), "url_hosts")
     total = hosts.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
     parents, up = None, []
@@ -97,7 +101,7 @@ def reputations(outcomes: DataFrame, long_suffixes: Sequence[str] = LONG_SUFFIXE
             groups = groups.join(small(parents), up)
         groups = stored(groups, "url_level")
         chance = F.col("mean") * (1 - F.col("mean"))
-        spread = groups.agg(
+        spread = groups.filter("n > 0").agg(
             F.sum(F.col("n") * F.pow(F.col("k") / F.col("n") - F.col("mean"), 2) - chance).alias("more"),
             F.sum((F.col("n") - 1) * chance).alias("free"),
         ).first()
@@ -114,13 +118,17 @@ def reputations(outcomes: DataFrame, long_suffixes: Sequence[str] = LONG_SUFFIXE
 
 
 def judged(
-    pages: DataFrame, rules: Sequence[Rule] = RULES, url: str = "url", limit: float = LIMIT, bound: float = BOUND
+    pages: DataFrame, rules: Sequence[Rule] = RULES, url: str = "url", limit: float = LIMIT, bound: float = BOUND,
+    ruled_only: bool = False,
 ) -> DataFrame:
-    """Adds ``host, path, rule, verdict`` to every page."""
+    """Adds ``host, path, rule, verdict`` to every page.
+
+    With ``ruled_only`` hosts are judged by pages that fit a rule alone."""
     ruled = with_parts(pages, url).withColumns(
         {"rule": longest_rule(rules, "name"), "verdict": longest_rule(rules, "verdict")}
     )
-    outcomes = ruled.select("host", F.coalesce(F.col("verdict") == "block", F.lit(False)).alias("bad"))
+    unruled = F.lit(None if ruled_only else False).cast("boolean")
+    outcomes = ruled.select("host", F.coalesce(F.col("verdict") == "block", unruled).alias("bad"))
     blocked = stored(
         reputations(outcomes, bound=bound).filter(F.col("low") > limit).select(F.col("host").alias("__host")), "url_blocked"
     )

@@ -247,6 +247,21 @@ def test_hosts_with_bad_pages_are_blocked(spark):
     assert found.filter("host LIKE '%fine.io' AND verdict <> 'allow'").count() == 0
 
 
+def test_unruled_pages_need_not_vote(spark):
+    hosts = [f"b{i}.bad.io" for i in range(10)] + [f"f{i}.fine.io" for i in range(10)]
+    urls = [f"http://{h}/{'x' if 'bad' in h else 'ok'}/{i}" for h in hosts for i in range(6)] + [f"http://{h}/y/{i}" for h in hosts for i in range(40)]
+    urls += [f"http://{h}/y" for h in ("new.bad.io", "new.fine.io", "else.org")]
+    pages = spark.createDataFrame([(u,) for u in urls], "url STRING")
+    rules = [url_filter.Rule("block", "bad.io", "/x/"), url_filter.Rule("allow", "fine.io", "/ok/")]
+
+    def blocked(**options):
+        found = url_filter.judged(pages, rules, **options).filter("rule IS NULL AND verdict = 'block'").select("host").distinct()
+        return {r["host"] for r in found.collect()}
+
+    assert blocked(ruled_only=True) == {*hosts[:10], "new.bad.io"} and not blocked()
+    assert url_filter.judged(pages, [], ruled_only=True).filter("verdict <> 'allow'").count() == 0
+
+
 def test_fixity_finds_damage_and_nothing_else(spark):
     leaves = [(f, o * 1000, f"{f}-{o}") for f in range(3) for o in range(300)]
     broken = [(f, o, "bad" if (f, o) == (1, 7000) else d) for f, o, d in leaves if (f, o) != (2, 299000)] + [(0, 999_999_999, "extra")]
