@@ -35,8 +35,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How often the mix takes each document."""
-    return mixing.mixed(docs)
+    """Documents of which the mix takes nothing go; ``copies`` of the others."""
+    return mixing.mix(docs)
 
 
 STAGES = [

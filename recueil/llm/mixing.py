@@ -33,14 +33,13 @@ def place(key: str, text: str = "text") -> Column:
     return F.conv(F.substring(F.md5(whole), 1, BITS * LEVELS // 4), 16, 10).cast("bigint")
 
 
+def words(text: str = "text") -> Column:
+    return F.regexp_count(whole_text(text), F.lit(WORD)).cast("bigint")
+
+
 def sized(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``key, source, size, place`` of every document."""
-    return docs.select(
-        key,
-        F.col(f"`{source}`").alias("source"),
-        F.regexp_count(whole_text(text), F.lit(WORD)).cast("bigint").alias("size"),
-        place(key, text).alias("place"),
-    )
+    return docs.select(key, F.col(f"`{source}`").alias("source"), words(text).alias("size"), place(key, text).alias("place"))
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
@@ -127,3 +126,17 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     joined = sizes.join(small(cuts), F.col("source").eqNullSafe(F.col("_source")))
     times = F.col("whole") + F.when(F.col("place") < F.col("cut"), 1).otherwise(0)
     return joined.select(key, "source", "size", "source_size", "target", (F.col("size") * times).alias("taken"))
+
+
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The documents of which the mix takes something, with all their columns and
+    ``size, source_size, target, taken, copies``.  No text is shuffled."""
+    sizes = stored(sized(docs, key, text, source), "mix_sizes")
+    cuts = thresholds(sizes, targets(sizes, **options))
+    cuts = stored(cuts.select(F.col("source").alias("_source"), F.struct("source_size", "target", "whole", "cut").alias("_cut")), "mix_cuts")
+    joined = docs.withColumns({"size": words(text), "_place": place(key, text)}).join(
+        small(cuts), F.col(f"`{source}`").eqNullSafe(F.col("_source"))
+    )
+    times = F.col("_cut.whole") + F.when(F.col("_place") < F.col("_cut.cut"), 1).otherwise(0)
+    added = {"source_size": F.col("_cut.source_size"), "target": F.col("_cut.target"), "taken": F.col("size") * times, "copies": times}
+    return joined.withColumns(added).filter("taken > 0").drop("_source", "_cut", "_place")

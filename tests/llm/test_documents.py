@@ -223,6 +223,21 @@ def test_mix_reaches_targets(spark):
     assert mixing.mixed(docs.limit(0)).count() == 0
 
 
+def test_mix_stage_keeps_whole_documents(spark):
+    import corpus_pipeline
+
+    rows = [(i, "w " * (i % 7), ["a", "b", "c", None][(i * i) % 4], "en") for i in range(200)] + [(None, None, "d", "fr")]
+    rows += [(i, "x y z", "b", "de") for i in range(300, 900)]
+    docs = spark.createDataFrame(rows, "doc_id INT, text STRING, source STRING, lang STRING")
+    found = corpus_pipeline.mix_sources(spark, docs, "")
+    assert found.columns == [*docs.columns, "size", "source_size", "target", "taken", "copies"]
+    kept = found.collect()
+    taken = {tuple(r) for r in mixing.mixed(docs).filter("taken > 0").collect()}
+    assert len(kept) < len(rows) and {(r["doc_id"], r["source"], r["size"], r["source_size"], r["target"], r["taken"]) for r in kept} == taken
+    assert len(kept) == len(taken) and {tuple(r)[:4] for r in kept} <= set(rows)
+    assert all(r["taken"] == r["size"] * r["copies"] for r in kept)
+
+
 def test_urls(spark):
     urls = [
         None, "", "no scheme", "HTTP://WWW.Example.NET/en/x?y", "http://example.net/EN/", "x://a.example.com/de/1#f", "http://badexample.com/de/",
