@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recueil.llm import (
-    decontaminate, fixity, host_rules, jaccard, licenses, line_quality, mixing, suffix_dedup, token_counts, url_filter,
+    decontaminate, divergence, fixity, host_rules, jaccard, licenses, line_quality, mixing, simhash, suffix_dedup, token_counts, trie,
+    url_filter,
 )
 from recueil.llm.common import stored, table
 
@@ -101,6 +102,21 @@ def op10_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", *host_rules.MEASURES, "base_failed", "kept")
 
 
+@query
+def op11_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.simhash_join(table(spark, folder, "documents"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+@query
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
 # ------------------------------------------------------------------- the SQL
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -248,3 +264,83 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT rejected AS kept
 FROM measured m JOIN verdicts v ON m.source IS NOT DISTINCT FROM v.source
 """
+
+
+def _crc32(text: str) -> str:
+    """The CRC-32 of an ASCII string, half a byte at a time."""
+    table = []
+    for n in range(16):
+        for _ in range(4):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        table.append(n)
+
+    def half(x: str) -> str:
+        return f"xor({x} >> 4, ({table}::BIGINT[])[({x} & 15) + 1])"
+
+    step = half(half("xor(a, b)"))
+    codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: {step}), 4294967295::BIGINT)"
+
+
+ORACLES["op12_prefix_trie"] = f"""
+WITH turns AS (
+    SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS said,
+           length(coalesce(text, '')) AS chars
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+spoken AS (SELECT conv_id, list({{'said': said, 'chars': chars}} ORDER BY turn NULLS FIRST, said) AS own FROM turns GROUP BY conv_id),
+headed AS (SELECT *, {_crc32("conv_id::VARCHAR")} % 6 AS h FROM spoken),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) AS line
+    FROM headed c LEFT JOIN spoken b ON b.conv_id = c.conv_id - c.conv_id % 100
+),
+prefixes AS (SELECT conv_id, depth, line[1:depth] AS path, len(line) = depth AS ends FROM (SELECT *, unnest(range(len(line) + 1)) AS depth FROM rebuilt)),
+nodes AS (
+    SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, CASE WHEN depth > 0 THEN (count(*) - 1) * path[depth].chars ELSE 0 END AS saved,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM prefixes GROUP BY path, depth
+),
+children AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+below AS (
+    SELECT path[1:up] AS path, sum(saved) AS saved, count(*) FILTER (childless) AS leaves
+    FROM (SELECT n.path, saved, c.n IS NULL AS childless, unnest(range(depth + 1)) AS up FROM nodes n LEFT JOIN children c ON c.path = n.path) GROUP BY 1
+)
+SELECT n.conv_id, n.depth, CASE WHEN n.depth > 0 THEN p.conv_id END AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, b.leaves AS n_leaves,
+       b.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b ON b.path = n.path LEFT JOIN children c ON c.path = n.path LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+"""
+
+ORACLES["op13_source_divergence"] = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+),
+words AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts),
+counts AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM words GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS n FROM counts GROUP BY lang, term HAVING sum(docs) >= 10),
+sizes AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+pairs AS (SELECT DISTINCT lang, source FROM texts),
+grid AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM pairs g JOIN kept k USING (lang)
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+shares AS (
+    SELECT g.*, 1 + (1000000000 * (g.n + 2)::HUGEINT) // (sum(g.n) OVER (PARTITION BY lang, source) + 2 * v) AS p,
+           1 + (1000000000 * (k.n + 2)::HUGEINT) // (s.n + 2 * v) AS q
+    FROM grid g JOIN kept k USING (lang, term) JOIN sizes s USING (lang)
+),
+valued AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM pairs a JOIN pairs b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN valued v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+""".replace("\\\\", "\\")
