@@ -347,10 +347,11 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray
         columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in _COLUMNS]
         if kept is not None:
             columns = [np.concatenate([x, y]) for x, y in zip(kept, columns, strict=True)]
-        starts = _starts(columns)
-        if len(starts):
-            yield [x[: starts[-1]] for x in columns], starts[:-1]
-            kept = [x[starts[-1] :] for x in columns]
+        starts, whole = _starts(columns), 0
+        if len(starts) > 1:
+            whole = starts[-1]
+            yield [x[:whole] for x in columns], starts[:-1]
+        kept = [x[whole:] for x in columns]
     if kept is not None and len(kept[0]):
         yield kept, _starts(kept)
 
