@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recueil.session import shared_dir
@@ -29,6 +33,37 @@ BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+#: Paths of the tables stored within each open scratch, the innermost last.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Deletes the tables that are stored within, also after a failure.
+
+    What outlasts them is stored by the function it gives, which makes the table
+    the caller's.
+    """
+    own: list[str] = []
+    outer = _open.get()
+    token = _open.set((*outer, own))
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        inner = _open.set(outer)
+        try:
+            return stored(df, name)
+        finally:
+            _open.reset(inner)
+
+    try:
+        yield kept
+    finally:
+        _open.reset(token)
+        for path in own:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written once to the shared folder and read from there.
 
@@ -36,6 +71,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path, before = shared_dir(spark, name), spark.conf.get(_BATCH)
+    if _open.get():
+        _open.get()[-1].append(path)
     spark.conf.set(_BATCH, str(BATCH_ROWS))
     try:
         df.write.parquet(path)

@@ -2,11 +2,12 @@
 
 Index.  Every task reads its documents once and builds postings in memory: per
 (language, source, term) the occurrences and the documents.  When ``BLOCK``
-postings are held they are spilled as a run, sorted by term, and a new block is
-begun.  Runs go to shards by a hash of the posting's key; a shard merges its runs
-with a heap and adds what is equal.  A shard holds ``MERGED`` postings at a time; if
-more come, the merged run is put out and the sums are completed afterwards, so
-memory is bounded whatever the vocabulary.
+postings are held they are spilled as a run: a row per language and term, in that
+order, with the postings of all sources; then a new block is begun.  Rows go to
+shards by a hash of language and term.  A shard merges its runs with a heap and adds
+what is equal.  It holds ``MERGED`` postings at a time; if more come, what is merged is
+put out and the sums are completed afterwards, so memory is bounded whatever the
+vocabulary.
 
 Kept are the terms of a language that ``LEAST`` of its documents have.  The share
 of a term in a group is ``p = 1 + floor(SCALE * (count + 2) / (N + 2 V))``; two shares
@@ -30,14 +31,13 @@ from __future__ import annotations
 
 import heapq
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from recueil.llm.common import small, stored, whole_text
@@ -48,9 +48,10 @@ LEAST = 10
 TOP = 10
 SCALE_STEPS, SCALE_STEP = 3, 1000
 
-#: Postings of a block, and of a merge.
-BLOCK = 100_000
-MERGED = 500_000
+#: Postings of a block, of a merge, and pairs of them that are added at a time.
+BLOCK = 400_000
+MERGED = 2_000_000
+AT_A_TIME = 1 << 20
 
 SQUARE = 256
 SLICE = 200_000
@@ -59,100 +60,124 @@ _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 #: Runs of letters: A to Z and every character beyond ASCII.
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 
-_POSTING = "shard INT, run BIGINT, term STRING, lang STRING, source STRING, tf BIGINT, df BIGINT"
-_KEY = itemgetter(0, 1, 2)
-
-
-def terms(text: bytes) -> Counter:
-    return Counter(_TERM.findall(text.translate(_FOLD)))
+_POSTINGS = "run BIGINT, lang STRING, term STRING, source ARRAY<STRING>, tf ARRAY<BIGINT>, df ARRAY<BIGINT>"
+_FREQUENCY = "lang STRING, source STRING, term STRING, tf BIGINT, df BIGINT"
+
+
+class Block:
+    """Postings in memory."""
+
+    def __init__(self):
+        self.groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        self.held = 0
+
+    def add(self, lang: str, source: str, text: bytes) -> None:
+        words = _TERM.findall(text.translate(_FOLD))
+        tf, df = self.groups.setdefault((lang, source), (Counter(), Counter()))
+        before = len(tf)
+        tf.update(words)
+        df.update(set(words))
+        self.held += len(tf) - before
+
+    def run(self, number: int) -> pa.RecordBatch:
+        """The postings by language and term."""
+        parts = []
+        for (lang, source), (tf, df) in self.groups.items():
+            names = list(tf)
+            parts.append(pa.table({
+                "lang": pa.array([lang] * len(names), pa.string()), "term": pa.array(names, pa.binary()), "source": pa.array([source] * len(names), pa.string()),
+                "tf": pa.array([tf[x] for x in names], pa.int64()), "df": pa.array([df[x] for x in names], pa.int64()),
+            }))
+        rows = pa.concat_tables(parts).sort_by([(x, "ascending") for x in ("lang", "term", "source")]).combine_chunks()
+        lang, term, source, tf, df = (rows.column(x).combine_chunks() for x in rows.column_names)
+        first = np.flatnonzero(_fresh(lang, term))
+        ends = pa.array(np.append(first, len(term)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(ends, x) for x in (source, tf, df)]
+        keys = [pa.array(np.full(len(first), number)), lang.take(pa.array(first)), term.take(pa.array(first)).cast(pa.string())]
+        return pa.RecordBatch.from_arrays([*keys, *lists], names=["run", "lang", "term", "source", "tf", "df"])
+
+
+def _fresh(*columns: pa.Array) -> np.ndarray:
+    """Where sorted rows differ from the row before."""
+    out = np.ones(len(columns[0]), bool)
+    if len(out) > 1:
+        out[1:] = np.any([pc.not_equal(x.slice(1), x.slice(0, len(x) - 1)).to_numpy(zero_copy_only=False) for x in columns], axis=0)
+    return out
 
 
-def runs(docs: DataFrame, shards: int, text: str = "text") -> DataFrame:
+def runs(docs: DataFrame, text: str = "text") -> DataFrame:
     """Postings of all documents, block by block and sorted within each."""
     rows = docs.select(whole_text(text).alias("text"), whole_text("lang").alias("lang"), whole_text("source").alias("source"))
 
-    def spilled(block: dict[tuple, dict], run: int) -> pa.RecordBatch:
-        rows = sorted((term, lang, source, *n) for (lang, source), found in block.items() for term, n in found.items())
-        term, lang, source, tf, df = zip(*rows, strict=True)
-        shard = [zlib.crc32(b"\0".join((t, a, b))) % shards for t, a, b in zip(term, lang, source, strict=True)]
-        texts = [pa.array(x, pa.binary()).cast(pa.string()) for x in (term, lang, source)]
-        columns = [pa.array(shard, pa.int32()), pa.array([run] * len(rows)), *texts, pa.array(tf, pa.int64()), pa.array(df, pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, names=["shard", "run", "term", "lang", "source", "tf", "df"])
-
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: dict[tuple, dict] = {}
-        held, run = 0, 0
+        block, number = Block(), 0
         for batch in batches:
-            columns = [batch.column(c).cast(pa.large_binary()) for c in ("text", "lang", "source")]
-            for x, lang, source in zip(*columns, strict=True):
-                group = block.setdefault((lang.as_py(), source.as_py()), {})
-                before = len(group)
-                for term, n in terms(x.as_buffer().to_pybytes()).items():
-                    posting = group.get(term)
-                    if posting:
-                        posting[0] += n
-                        posting[1] += 1
-                    else:
-                        group[term] = [n, 1]
-                held += len(group) - before
-                if held >= BLOCK:
-                    yield spilled(block, run)
-                    block, held, run = {}, 0, run + 1
-        if held:
-            yield spilled(block, run)
-
-    return rows.mapInArrow(index, _POSTING)
-
-
-def merged_runs(found: list[list[tuple]]) -> list[tuple]:
-    """Sorted runs of ``term, lang, source, tf, df`` as one, equal keys added."""
-    out = []
-    for key, alike in groupby(heapq.merge(*found, key=_KEY), _KEY):
-        tf = df = 0
-        for row in alike:
-            tf, df = tf + row[3], df + row[4]
-        out.append((*key, tf, df))
-    return out
+            texts, langs, sources = (batch.column(c) for c in ("text", "lang", "source"))
+            for text, lang, source in zip(texts.cast(pa.large_binary()), langs.to_pylist(), sources.to_pylist(), strict=True):
+                block.add(lang, source, text.as_buffer().to_pybytes())
+                if block.held >= BLOCK:
+                    yield block.run(number)
+                    block, number = Block(), number + 1
+        if block.held:
+            yield block.run(number)
+
+    return rows.mapInArrow(index, _POSTINGS)
+
+
+def merged_runs(found: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Sorted runs of ``lang, term`` with their postings, as one row per posting:
+    ``lang, source, term, tf, df``, equal ones added."""
+
+    def keys(run: pa.RecordBatch, start: int) -> Iterator[tuple]:
+        return zip(run.column("lang").to_pylist(), run.column("term").to_pylist(), range(start, start + run.num_rows), strict=True)
+
+    starts = np.cumsum([0, *[x.num_rows for x in found]]).tolist()
+    # The heap gives the rows in order, so rows of one term are neighbours.
+    order, item, last = [], [], None
+    for lang, term, row in heapq.merge(*[keys(x, a) for x, a in zip(found, starts, strict=False)]):
+        if (lang, term) != last:
+            last = (lang, term)
+            item.append(len(order))
+        order.append(row)
+    rows = pa.Table.from_batches(found).take(pa.array(order, pa.int64())).combine_chunks()
+    lists = {x: rows.column(x).combine_chunks() for x in ("source", "tf", "df")}
+    number = np.repeat(np.arange(len(item)), np.diff([*item, len(order)]))
+    flat = pa.table({
+        "item": np.repeat(number, lists["tf"].value_lengths().to_numpy(zero_copy_only=False)), **{x: y.flatten() for x, y in lists.items()}
+    })
+    sums = flat.group_by(["item", "source"]).aggregate([("tf", "sum"), ("df", "sum")])
+    heads = rows.take(pa.array(item, pa.int64())).take(sums.column("item"))
+    columns = [heads.column("lang"), sums.column("source"), heads.column("term"), sums.column("tf_sum"), sums.column("df_sum")]
+    return pa.table(columns, names=["lang", "source", "term", "tf", "df"]).combine_chunks().to_batches()[0]
 
 
 def frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
     """``lang, source, term, tf, df`` of all terms."""
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[tuple]] = []
-        size, last = 0, None
-
-        def put(rows: list[tuple]) -> pa.RecordBatch:
-            term, lang, source, tf, df = zip(*rows, strict=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(lang), pa.array(source), pa.array(term), pa.array(tf, pa.int64()), pa.array(df, pa.int64())],
-                names=["lang", "source", "term", "tf", "df"],
-            )
-
+        held: list[pa.RecordBatch] = []
+        last, size = None, 0
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("run_of", "term", "lang", "source", "tf", "df")]
-            for name, rows in groupby(zip(*columns, strict=True), itemgetter(0)):
-                part = [row[1:] for row in rows]
+            names, at = batch.column("block").to_pylist(), 0
+            for name, rows in groupby(names):
+                n = len(list(rows))
+                part = batch.slice(at, n).select(["lang", "term", "source", "tf", "df"])
+                at, size = at + n, size + len(part.column("tf").flatten())
                 if name == last:
-                    held[-1] += part
+                    held[-1] = pa.Table.from_batches([held[-1], part]).combine_chunks().to_batches()[0]
                 else:
                     held.append(part)
-                last, size = name, size + len(part)
+                last = name
             if size > MERGED:
-                one = merged_runs(held)
-                # What merging does not shorten is put out as it is.
-                if 2 * len(one) > MERGED:
-                    yield put(one)
-                    one = []
-                held, size, last = ([one] if one else []), len(one), None
-        if size:
-            yield put(merged_runs(held))
-
-    # Runs of one task and block stay together and sorted on the way.
-    named = runs(docs, shards, text).withColumn("run_of", F.concat_ws("-", F.spark_partition_id(), "run", "shard"))
-    dealt = named.repartitionById(shards, F.col("shard")).sortWithinPartitions("run_of", "term", "lang", "source")
-    merged = dealt.mapInArrow(merge, "lang STRING, source STRING, term STRING, tf BIGINT, df BIGINT")
+                yield merged_runs(held)
+                held, last, size = [], None, 0
+        if held:
+            yield merged_runs(held)
+
+    # Rows of one run stay together, and sorted, on the way to their shard.
+    named = runs(docs, text).withColumn("block", F.concat_ws("-", F.spark_partition_id(), "run"))
+    dealt = named.repartition("lang", "term").sortWithinPartitions("block", "lang", "term")
+    merged = dealt.mapInArrow(merge, _FREQUENCY)
     return merged.groupBy("lang", "source", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
 
@@ -176,37 +201,40 @@ class Square:
     """Sums of corrections for the pairs of two lists of sources."""
 
     def __init__(self, left: dict[str, int], right: dict[str, int]):
+        self.names = [pa.array(list(x), pa.string()) for x in (left, right)]
         self.totals = [np.array(list(x.values()), np.int64) for x in (left, right)]
-        self.at = [{name: i for i, name in enumerate(x)} for x in (left, right)]
         self.none = [shares(np.zeros(len(x), np.int64), x) for x in self.totals]
         self.neither = differences(self.none[0][:, None], self.none[1][None, :])
         self.sums = np.zeros(self.neither.shape, np.int64)
-        self.counts: list[Counter] = [Counter(), Counter()]
-
-    def add(self, found: list[tuple[str, int]]) -> None:
-        """The postings of one term: source and count."""
-        here = []
-        for side in (0, 1):
-            mine = [(self.at[side][name], n) for name, n in found if name in self.at[side]]
-            self.counts[side].update(mine)
-            here.append(np.array(mine, np.int64).reshape(-1, 2))
-        (i, n), (j, m) = (x.T for x in here)
-        if len(i) and len(j):
-            p, q = shares(n, self.totals[0][i])[:, None], shares(m, self.totals[1][j])[None, :]
-            p0, q0 = self.none[0][i][:, None], self.none[1][j][None, :]
-            both = differences(p, q) - differences(p, q0) - differences(p0, q) + differences(p0, q0)
-            self.sums[np.ix_(i, j)] += both
-
-    def corrections(self) -> np.ndarray:
-        """What the terms of the slice add to the value without any term."""
-        out = self.sums.copy()
-        for side in (0, 1):
-            sums, other = (out, self.none[1]) if side == 0 else (out.T, self.none[0])
-            neither = self.neither if side == 0 else self.neither.T
-            for (i, n), times in self.counts[side].items():
-                p = shares(np.array([n]), self.totals[side][i : i + 1])
-                sums[i] += times * (differences(p, other) - neither[i])
-        return out
+
+    def add(self, term: np.ndarray, source: pa.Array, count: np.ndarray) -> None:
+        """The postings of whole terms, in order of the terms (numbers)."""
+        sides = []
+        for names, total in zip(self.names, self.totals, strict=True):
+            at = pc.fill_null(pc.index_in(source, value_set=names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            mine = np.flatnonzero(at >= 0)
+            sides.append((term[mine], at[mine], count[mine], shares(count[mine], total[at[mine]])))
+        (left_term, i, n, p), (right_term, j, m, q) = sides
+        self._one_sided(self.sums, self.neither, i, n, p, self.none[1])
+        self._one_sided(self.sums.T, self.neither.T, j, m, q, self.none[0])
+        low, high = (np.searchsorted(right_term, left_term, side) for side in ("left", "right"))
+        many = high - low
+        cuts = np.unique(np.searchsorted(np.cumsum(many), np.arange(AT_A_TIME, many.sum() + AT_A_TIME, AT_A_TIME)))
+        for some in np.split(np.arange(len(many)), cuts):
+            a = np.repeat(some, many[some])
+            b = np.repeat(low[some], many[some]) + np.arange(len(a)) - np.repeat(np.cumsum(many[some]) - many[some], many[some])
+            x, y = i[a], j[b]
+            p0, q0 = self.none[0][x], self.none[1][y]
+            both = differences(p[a], q[b]) - differences(p[a], q0) - differences(p0, q[b]) + self.neither[x, y]
+            np.add.at(self.sums, (x, y), both)
+
+    def _one_sided(self, sums: np.ndarray, neither: np.ndarray, at: np.ndarray, count: np.ndarray, share: np.ndarray, other: np.ndarray) -> None:
+        """Terms of one source as if the others had none: it depends on the count."""
+        if not len(at):
+            return
+        (row, _), first, times = (x for x in np.unique(np.stack([at, count]), axis=1, return_index=True, return_counts=True))
+        more = differences(share[first][:, None], other[None, :]) - neither[row]
+        np.add.at(sums, row, times[:, None] * more)
 
 
 def _corrections(kept: DataFrame, groups: DataFrame) -> DataFrame:
@@ -229,47 +257,59 @@ def _corrections(kept: DataFrame, groups: DataFrame) -> DataFrame:
     every = groups.join(small(langs), "lang").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     headers = squares(every.withColumn("term", F.lit(None).cast("string"))).select(*names[:-1], F.col("total").alias("n"))
 
+    def put(place: tuple, square: Square) -> pa.RecordBatch:
+        i, j = (x.ravel() for x in np.indices(square.sums.shape))
+        if place[1] == place[2]:
+            i, j = i[i != j], j[i != j]
+        ends, flat = [names.take(pa.array(x)) for names, x in zip(square.names, (i, j), strict=True)], square.sums[i, j]
+        if place[1] != place[2]:
+            ends, flat = [pa.concat_arrays([ends[0], ends[1]]), pa.concat_arrays([ends[1], ends[0]])], np.concatenate([flat, flat])
+        lang = pa.array([place[0]] * len(flat), pa.string())
+        return pa.RecordBatch.from_arrays([lang, *ends, pa.array(flat, pa.int64())], names=["lang", "source", "item", "value"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, term, square, found = None, None, None, []
+        place, square, rest = None, None, None
         sides: tuple[dict, dict] = ({}, {})
 
-        def opened() -> Square:
-            return square or Square(*sides)
-
-        def put() -> pa.RecordBatch:
-            done = opened()
-            if found:
-                done.add(found)
-            sums, names = done.corrections(), [np.array(list(x), object) for x in done.at]
-            i, j = (x.ravel() for x in np.indices(sums.shape))
-            if place[1] == place[2]:
-                i, j = i[i != j], j[i != j]
-            left, right, flat = names[0][i], names[1][j], sums[i, j]
-            if place[1] != place[2]:
-                left, right, flat = np.concatenate([left, right]), np.concatenate([right, left]), np.concatenate([flat, flat])
-            columns = [pa.array(x, pa.string()) for x in ([place[0]] * len(flat), left, right)]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(flat, pa.int64())], names=["lang", "source", "item", "value"])
+        def added(rows: pa.RecordBatch, whole: bool) -> pa.RecordBatch | None:
+            """Adds all terms, or all but the last, which may go on."""
+            if not rows.num_rows:
+                return None
+            fresh = _fresh(rows.column("term"))
+            end = rows.num_rows if whole else int(np.flatnonzero(fresh)[-1])
+            if end:
+                done = rows.slice(0, end)
+                square.add(np.cumsum(fresh[:end]), done.column("source"), done.column("n").to_numpy(zero_copy_only=False))
+            return None if whole else rows.slice(end)
+
+        def settled_square() -> pa.RecordBatch:
+            if rest is not None:
+                added(rest, True)
+            return put(place, square or Square(*sides))
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in names]
-            for lang, low, high, part, word, mine, source, n in zip(*columns, strict=True):
-                if (lang, low, high, part) != place:
+            at = 0
+            for key, rows in groupby(zip(*[batch.column(c).to_pylist() for c in names[:4]], strict=True)):
+                n = len(list(rows))
+                part, at = batch.slice(at, n), at + n
+                if key != place:
                     if place:
-                        yield put()
-                    place, term, square, found, sides = (lang, low, high, part), None, None, [], ({}, {})
-                if word is None:  # the sources come before their terms
-                    for side, block in enumerate((low, high)):
-                        if mine == block:
-                            sides[side][source] = n
-                    continue
-                if word != term:
-                    square = opened()
-                    if found:
-                        square.add(found)
-                    term, found = word, []
-                found.append((source, n))
+                        yield settled_square()
+                    place, square, rest, sides = key, None, None, ({}, {})
+                # The sources of a square come before its terms.
+                listed = part.column("term").null_count
+                for row in part.slice(0, listed).select(["mine", "source", "n"]).to_pylist():
+                    for side, block in enumerate(key[1:3]):
+                        if row["mine"] == block:
+                            sides[side][row["source"]] = row["n"]
+                part = part.slice(listed)
+                if part.num_rows:
+                    square = square or Square(*sides)
+                    if rest is not None:
+                        part = pa.Table.from_batches([rest, part]).combine_chunks().to_batches()[0]
+                    rest = added(part, False)
         if place:
-            yield put()
+            yield settled_square()
 
     keys = names[:4]
     rows = postings.unionByName(headers)

@@ -1,7 +1,8 @@
 """Removal of long passages that occur more than once.
 
-Every byte covered by a 400-byte string that starts at two places is removed;
-strings are judged on the input, within and across documents.
+Every byte covered by a string of ``length`` bytes (400 unless said otherwise) that
+starts at two places is removed; strings are judged on the input, within and across
+documents.  All copies go, the first one too.
 
 Which suffixes have to meet.  Of the 100-byte grams in a window of 400 bytes the
 one with the smallest hash is its anchor.  Equal windows have equal anchors at
@@ -38,10 +39,9 @@ from pyspark.sql import DataFrame, functions as F, types as t
 from recueil.llm import rolling
 from recueil.llm.common import stored, whole_text
 
-#: Bytes of a string that counts as repeated, and of the grams anchors are
-#: chosen from.
+#: Bytes of a string that counts as repeated; grams that anchors are chosen from
+#: have a quarter of that.
 LENGTH = 400
-GRAM = 100
 
 #: Different surroundings of an anchor that are sorted in one task.
 SURROUNDINGS = 1000
@@ -52,13 +52,14 @@ SORTED = 1 << 20
 _RUN = "h BIGINT, c BINARY, start BIGINT, n BIGINT, rel BIGINT"
 
 
-def _runs(data: np.ndarray, starts: np.ndarray, powers: rolling.Powers):
+def _runs(data: np.ndarray, starts: np.ndarray, powers: rolling.Powers, length: int):
     """Runs of a chunk: row, start in the row, windows, anchor within the run,
     anchor hash, first byte in the chunk."""
-    span = LENGTH - GRAM + 1
-    if len(data) < LENGTH:
+    gram = max(1, length // 4)
+    span = length - gram + 1
+    if len(data) < length:
         return
-    grams = rolling.mixed(rolling.Prefix(data, powers).windows(GRAM))
+    grams = rolling.mixed(rolling.Prefix(data, powers).windows(gram))
     at = np.arange(len(grams), dtype=np.uint64)
     keyed = (grams & np.uint64(0xFFFFFFFF00000000)) | at
     padded = np.full(-(-len(keyed) // span) * span, np.uint64(0xFFFFFFFFFFFFFFFF))
@@ -66,11 +67,11 @@ def _runs(data: np.ndarray, starts: np.ndarray, powers: rolling.Powers):
     blocks = padded.reshape(-1, span)
     upto = np.minimum.accumulate(blocks, axis=1).ravel()
     onward = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    windows = len(data) - LENGTH + 1
+    windows = len(data) - length + 1
     anchor = (np.minimum(onward[:windows], upto[span - 1 : span - 1 + windows]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     # Windows that do not cross into the next row.
     row = np.searchsorted(starts, np.arange(windows), "right") - 1
-    inside = np.flatnonzero(np.arange(windows) + LENGTH <= starts[row + 1])
+    inside = np.flatnonzero(np.arange(windows) + length <= starts[row + 1])
     if not len(inside):
         return
     anchor, row = anchor[inside], row[inside]
@@ -101,14 +102,14 @@ def _text_key(value):
     return F.substring(F.unhex(F.sha2(value, 256)), 1, 16)
 
 
-def anchor_runs(docs: DataFrame, text: str = "text") -> DataFrame:
+def anchor_runs(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
     """``key, h, c, start, n, rel`` of all runs, of each text once per task.
 
     Runs with equal bytes within a text, as periodic text has very many, give
     one row; where they stand is told by rows without ``h``.
     """
     value = whole_text(text)
-    rows = docs.filter(F.octet_length(value) >= LENGTH).select(_text_key(value).alias("key"), value.alias("text"))
+    rows = docs.filter(F.octet_length(value) >= length).select(_text_key(value).alias("key"), value.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, seen = rolling.Powers(), set()
@@ -125,8 +126,8 @@ def anchor_runs(docs: DataFrame, text: str = "text") -> DataFrame:
                 raw = memoryview(data.tobytes())
                 out: tuple[list, ...] = ([], [], [], [], [], [])
                 places: dict[tuple, list] = defaultdict(list)
-                for row, start, n, rel, h, begin in _runs(data, starts, powers):
-                    digest = hashlib.blake2b(raw[begin : begin + n + LENGTH - 1], digest_size=16).digest()
+                for row, start, n, rel, h, begin in _runs(data, starts, powers, length):
+                    digest = hashlib.blake2b(raw[begin : begin + n + length - 1], digest_size=16).digest()
                     places[row, digest].append((h, start, n, rel))
                 known: dict[int, list] = defaultdict(list)
                 for (row, digest), alike in places.items():
@@ -148,11 +149,11 @@ def anchor_runs(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 class _Suffixes:
-    """Suffixes of a buffer, cut at ``LENGTH`` bytes."""
+    """Suffixes of a buffer, cut at ``length`` bytes."""
 
-    def __init__(self, data: np.ndarray, powers: rolling.Powers):
-        self.data, self.prefix = data, rolling.Prefix(data, powers)
-        self.whole = self.prefix.windows(LENGTH)
+    def __init__(self, data: np.ndarray, powers: rolling.Powers, length: int = LENGTH):
+        self.data, self.prefix, self.length = data, rolling.Prefix(data, powers), length
+        self.whole = self.prefix.windows(length)
 
     def same(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return self.whole[x] == self.whole[y]
@@ -162,7 +163,7 @@ class _Suffixes:
         out = np.zeros(len(x), bool)
         differ = np.flatnonzero(~self.same(x, y))
         x, y = x[differ], y[differ]
-        low, high = np.zeros(len(x), np.int64), np.full(len(x), LENGTH)
+        low, high = np.zeros(len(x), np.int64), np.full(len(x), self.length)
         while (high - low > 1).any():
             middle = (low + high) // 2
             equal = self.prefix.ranges(x, x + middle) == self.prefix.ranges(y, y + middle)
@@ -199,7 +200,9 @@ class _Suffixes:
         return at
 
 
-def repeated_windows(group: np.ndarray, n: np.ndarray, rel: np.ndarray, spans: list[bytes], powers: rolling.Powers) -> np.ndarray:
+def repeated_windows(
+    group: np.ndarray, n: np.ndarray, rel: np.ndarray, spans: list[bytes], powers: rolling.Powers, length: int = LENGTH
+) -> np.ndarray:
     """Flags of the windows of all runs that start at two places.
 
     Windows can only be equal if their runs are of one group and the anchor is
@@ -221,7 +224,7 @@ def repeated_windows(group: np.ndarray, n: np.ndarray, rel: np.ndarray, spans: l
     if not len(order):
         return flags
     begin, size = np.repeat(np.cumsum(sizes) - sizes, sizes), np.repeat(sizes, sizes)
-    suffixes = _Suffixes(data, powers)
+    suffixes = _Suffixes(data, powers, length)
     element = np.full(len(data), -1)
     element[place[order]] = order
     at = suffixes.sort(place[order], begin, size)
@@ -237,7 +240,7 @@ def repeated_windows(group: np.ndarray, n: np.ndarray, rel: np.ndarray, spans: l
     raw, doubtful = memoryview(data), set()
     heads = np.flatnonzero(breaks)
     for a, b in zip(heads, np.append(heads[1:], len(x)), strict=True):
-        i, j, long = place[x[a]], place[y[a]], b - a + LENGTH - 1
+        i, j, long = place[x[a]], place[y[a]], b - a + length - 1
         if raw[i : i + long] == raw[j : j + long]:
             flags[x[a:b]] = flags[y[a:b]] = True
         else:
@@ -245,7 +248,7 @@ def repeated_windows(group: np.ndarray, n: np.ndarray, rel: np.ndarray, spans: l
     for g in doubtful:  # a collision: decide these windows by their bytes
         found = defaultdict(list)
         for e in element[at[g : g + size[g]]].tolist():
-            found[bytes(raw[place[e] : place[e] + LENGTH])].append(e)
+            found[bytes(raw[place[e] : place[e] + length])].append(e)
         for same in found.values():
             flags[same] = len(same) > 1
     return flags
@@ -259,7 +262,7 @@ def _stretches(flags: np.ndarray) -> list[dict]:
     return [{"from": int(a), "upto": int(b)} for a, b in zip(edge[::2], edge[1::2], strict=True)]
 
 
-def _sorted_marks(rows: DataFrame) -> DataFrame:
+def _sorted_marks(rows: DataFrame, length: int) -> DataFrame:
     """Repeated windows of runs that meet in a task, anchor by anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +273,7 @@ def _sorted_marks(rows: DataFrame) -> DataFrame:
         def settle() -> pa.RecordBatch:
             h, c, n, rel, spans = zip(*held, strict=True)
             n = np.array(n)
-            flags = repeated_windows(np.unique(h, return_inverse=True)[1], n, np.array(rel), list(spans), powers)
+            flags = repeated_windows(np.unique(h, return_inverse=True)[1], n, np.array(rel), list(spans), powers, length)
             parts = [_stretches(x) for x in np.split(flags, np.cumsum(n)[:-1])]
             found = [i for i, x in enumerate(parts) if x]
             kind = pa.list_(pa.struct([("from", pa.int64()), ("upto", pa.int64())]))
@@ -293,14 +296,14 @@ def _sorted_marks(rows: DataFrame) -> DataFrame:
     return rows.repartition("h").sortWithinPartitions("h").mapInArrow(run, _MARK)
 
 
-def _counted_marks(rows: DataFrame) -> DataFrame:
+def _counted_marks(rows: DataFrame, length: int) -> DataFrame:
     """The same by counting digests of windows, for anchors with very many runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for h, c, n, span in zip(*[batch.column(x).to_pylist() for x in ("h", "c", "n", "span")], strict=True):
                 view = memoryview(span)
-                digests = [hashlib.blake2b(view[i : i + LENGTH], digest_size=16).digest() for i in range(n)]
+                digests = [hashlib.blake2b(view[i : i + length], digest_size=16).digest() for i in range(n)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(digests, pa.binary()), pa.array([h] * n, pa.int64()), pa.array([c] * n, pa.binary()), pa.array(range(n), pa.int64())],
                     names=["w", "h", "c", "i"],
@@ -312,9 +315,9 @@ def _counted_marks(rows: DataFrame) -> DataFrame:
     return windows.join(twice, "w", "left_semi").groupBy("h", "c").agg(F.collect_list(one).alias("spans"))
 
 
-def repeated_spans(docs: DataFrame, text: str = "text", surroundings: int = SURROUNDINGS) -> DataFrame:
+def repeated_spans(docs: DataFrame, text: str = "text", surroundings: int = SURROUNDINGS, length: int = LENGTH) -> DataFrame:
     """``key, spans``: windows of each text that start elsewhere too."""
-    every = stored(anchor_runs(docs, text), "runs")
+    every = stored(anchor_runs(docs, text, length), "runs")
     known = every.filter("h IS NULL").distinct()
     repeated = every.filter("h IS NOT NULL").groupBy("h").agg(F.count("*").alias("_n")).filter("_n > 1").select("h")
     runs = stored(every.join(repeated, "h", "left_semi").distinct(), "repeated_runs")
@@ -330,14 +333,14 @@ def repeated_spans(docs: DataFrame, text: str = "text", surroundings: int = SURR
         F.collect_list(F.struct("h", "c", "n", "rel", "ways", F.col("first.start").alias("start"))).alias("runs")
     )
     value = whole_text(text)
-    texts = docs.filter(F.octet_length(value) >= LENGTH).select(_text_key(value).alias("key"), F.encode(value, "UTF-8").alias("raw"))
+    texts = docs.filter(F.octet_length(value) >= length).select(_text_key(value).alias("key"), F.encode(value, "UTF-8").alias("raw"))
     near = texts.join(wanted, "key").dropDuplicates(["key"]).select("raw", F.explode("runs").alias("run"))
-    span = F.substring("raw", (F.col("run.start") + 1).cast("int"), (F.col("run.n") + LENGTH - 1).cast("int"))
+    span = F.substring("raw", (F.col("run.start") + 1).cast("int"), (F.col("run.n") + length - 1).cast("int"))
     fetched = stored(near.select("run.h", "run.c", "run.n", "run.rel", "run.ways", span.alias("span")), "fetched_runs")
     few, many = F.col("ways") <= surroundings, F.col("ways") > surroundings
-    marks = whole.unionByName(_sorted_marks(fetched.filter(few)))
+    marks = whole.unionByName(_sorted_marks(fetched.filter(few), length))
     if not fetched.filter(many).isEmpty():
-        marks = marks.unionByName(_counted_marks(fetched.filter(many)))
+        marks = marks.unionByName(_counted_marks(fetched.filter(many), length))
     marks = stored(marks, "repeat_marks")
     placed = runs.join(marks, ["h", "c"]).select("key", "start", F.explode("spans").alias("s"))
     moved = F.struct((F.col("s.from") + F.col("start")).alias("from"), (F.col("s.upto") + F.col("start")).alias("upto"))
@@ -347,12 +350,12 @@ def repeated_spans(docs: DataFrame, text: str = "text", surroundings: int = SURR
 
 
 def without_repeats(
-    docs: DataFrame, text: str = "text", surroundings: int = SURROUNDINGS, as_text: bool = False
+    docs: DataFrame, text: str = "text", surroundings: int = SURROUNDINGS, as_text: bool = False, length: int = LENGTH
 ) -> DataFrame:
     """All documents with ``n_bytes, n_removed, n_spans`` and ``kept``, the
     remaining bytes; as text, without characters that were cut."""
     value = whole_text(text)
-    spans = stored(repeated_spans(docs, text, surroundings), "repeat_spans").withColumnRenamed("key", "__key")
+    spans = stored(repeated_spans(docs, text, surroundings, length), "repeat_spans").withColumnRenamed("key", "__key")
     copies = docs.groupBy(_text_key(value).alias("__key")).agg(F.count("*").alias("__copies")).filter("__copies > 1")
     found = stored(spans.join(copies, "__key", "full"), "repeat_texts").withColumnRenamed("spans", "__spans")
     joined = docs.withColumn("__text_key", _text_key(value)).join(found, F.col("__text_key") == F.col("__key"), "left")
@@ -369,9 +372,9 @@ def without_repeats(
         for batch in batches:
             counts, kept = ([], [], []), []
             for raw, spans, copies in zip(*[batch.column(x).to_pylist() for x in ("__raw", "__spans", "__copies")], strict=True):
-                if copies and len(raw) >= LENGTH:
-                    spans = [{"from": 0, "upto": len(raw) - LENGTH + 1}]
-                ends = _merged([(s["from"], s["upto"] + LENGTH - 1) for s in spans or ()])
+                if copies and len(raw) >= length:
+                    spans = [{"from": 0, "upto": len(raw) - length + 1}]
+                ends = _merged([(s["from"], s["upto"] + length - 1) for s in spans or ()])
                 edges = [0, *[x for pair in ends for x in pair], len(raw)]
                 left = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 kept.append(left.decode(errors="ignore") if as_text else left)
@@ -385,13 +388,13 @@ def without_repeats(
     return joined.select(*[f"`{c}`" for c in columns], "__raw", "__spans", "__copies").mapInArrow(run, schema)
 
 
-def repeats_removed(docs: DataFrame, text: str = "text") -> DataFrame:
+def repeats_removed(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
     """The documents with the remaining text.
 
     Where a removal cuts a character, the rest of it goes too.  A document of
     which nothing remains is dropped.
     """
-    done = without_repeats(docs.withColumn("__row_text", F.col(f"`{text}`")), "__row_text", as_text=True)
+    done = without_repeats(docs.withColumn("__row_text", F.col(f"`{text}`")), "__row_text", as_text=True, length=length)
     rest = done.filter((F.col("n_removed") == 0) | (F.octet_length("kept") > 0))
     now = F.when(F.col("n_removed") == 0, F.col(f"`{text}`")).otherwise(F.col("kept"))
     return rest.withColumn(text, now).select(*[f"`{c}`" for c in docs.columns])
