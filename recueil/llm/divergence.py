@@ -1,13 +1,13 @@
 """How the sources of a language differ in their words.
 
 Index.  Every task reads its documents once and builds postings in memory: per
-(language, source, term) the occurrences and the documents.  When ``BLOCK``
-postings are held they are spilled as a run: a row per language and term, in that
-order, with the postings of all sources; then a new block is begun.  Rows go to
-shards by a hash of language and term.  A shard merges its runs with a heap and adds
-what is equal.  It holds ``MERGED`` postings at a time; if more come, what is merged is
-put out and the sums are completed afterwards, so memory is bounded whatever the
-vocabulary.
+(language, source, term) the occurrences and the documents.  When ``BLOCK`` words are
+held they are spilled as a run: a row per language and term, in that order, with the
+postings of all sources; then a new block is begun.  Words of a block are told apart
+by 128 bits of hashes.  Rows go to shards by a hash of language and term.  A shard
+merges its runs with a heap and adds what is equal.  It holds ``MERGED`` postings at a
+time; if more come, what is merged is put out and the sums are completed afterwards,
+so memory is bounded whatever the vocabulary.
 
 Kept are the terms of a language that ``LEAST`` of its documents have.  The share
 of a term in a group is ``p = 1 + floor(SCALE * (count + 2) / (N + 2 V))``; two shares
@@ -30,8 +30,6 @@ gives an empty result; other columns of the input do not enter.
 from __future__ import annotations
 
 import heapq
-import re
-from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -40,6 +38,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
+from recueil.llm import rolling
 from recueil.llm.common import small, stored, whole_text
 
 #: Documents of a language that must have a term, ranks of terms, and the scale
@@ -48,53 +47,116 @@ LEAST = 10
 TOP = 10
 SCALE_STEPS, SCALE_STEP = 3, 1000
 
-#: Postings of a block, of a merge, and pairs of them that are added at a time.
-BLOCK = 400_000
+#: Words of a block, postings of a merge, and pairs of them that are added at a time.
+BLOCK = 2_000_000
 MERGED = 2_000_000
 AT_A_TIME = 1 << 20
 
+#: Documents that are added to a block at a time.
+ROWS = 500
+
 SQUARE = 256
 SLICE = 200_000
 
-_FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-#: Runs of letters: A to Z and every character beyond ASCII.
-_TERM = re.compile(rb"[a-z\x80-\xff]+")
+#: Letters are A to Z and every character beyond ASCII.
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 _POSTINGS = "run BIGINT, lang STRING, term STRING, source ARRAY<STRING>, tf ARRAY<BIGINT>, df ARRAY<BIGINT>"
 _FREQUENCY = "lang STRING, source STRING, term STRING, tf BIGINT, df BIGINT"
 
 
 class Block:
-    """Postings in memory."""
+    """Words in memory, and the postings they make."""
 
     def __init__(self):
-        self.groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-        self.held = 0
-
-    def add(self, lang: str, source: str, text: bytes) -> None:
-        words = _TERM.findall(text.translate(_FOLD))
-        tf, df = self.groups.setdefault((lang, source), (Counter(), Counter()))
-        before = len(tf)
-        tf.update(words)
-        df.update(set(words))
-        self.held += len(tf) - before
+        self.groups: dict[tuple[str, str], int] = {}
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.texts: list[np.ndarray] = []
+        self.held = self.docs = self.size = 0
+
+    def add(self, texts: pa.Array, langs: list[str], sources: list[str], powers: rolling.Powers) -> None:
+        group = np.array([self.groups.setdefault(x, len(self.groups)) for x in zip(langs, sources, strict=True)], np.int64)
+        for first, _, data, starts in rolling.chunks(texts):
+            for part, begins in _cut(data, starts):
+                begin, end, row = rolling.word_spans(_LETTER[part], begins)
+                doc = row + first
+                hashes = []
+                for seed in (1, 2):
+                    prefix = rolling.Prefix(rolling.FOLD[part], powers, seed)
+                    hashes.append(rolling.mixed(prefix.ranges(begin, end) + (end - begin).astype(np.uint64)))
+                self.parts.append((*hashes, group[doc], self.docs + doc, self.size + begin, end - begin))
+                self.texts.append(rolling.FOLD[part])
+                self.size += len(part)
+                self.held += len(begin)
+        self.docs += len(texts)
 
     def run(self, number: int) -> pa.RecordBatch:
         """The postings by language and term."""
-        parts = []
-        for (lang, source), (tf, df) in self.groups.items():
-            names = list(tf)
-            parts.append(pa.table({
-                "lang": pa.array([lang] * len(names), pa.string()), "term": pa.array(names, pa.binary()), "source": pa.array([source] * len(names), pa.string()),
-                "tf": pa.array([tf[x] for x in names], pa.int64()), "df": pa.array([df[x] for x in names], pa.int64()),
-            }))
-        rows = pa.concat_tables(parts).sort_by([(x, "ascending") for x in ("lang", "term", "source")]).combine_chunks()
-        lang, term, source, tf, df = (rows.column(x).combine_chunks() for x in rows.column_names)
-        first = np.flatnonzero(_fresh(lang, term))
-        ends = pa.array(np.append(first, len(term)).astype(np.int32))
-        lists = [pa.ListArray.from_arrays(ends, x) for x in (source, tf, df)]
-        keys = [pa.array(np.full(len(first), number)), lang.take(pa.array(first)), term.take(pa.array(first)).cast(pa.string())]
-        return pa.RecordBatch.from_arrays([*keys, *lists], names=["run", "lang", "term", "source", "tf", "df"])
+        one, two, group, doc, begin, size = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        data = np.concatenate(self.texts)
+        order = np.argsort(one)
+        if ((one[order][1:] == one[order][:-1]) & (two[order][1:] != two[order][:-1])).any():
+            order = np.lexsort((two, one))
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+        number_of = np.empty(len(order), np.int64)
+        number_of[order] = np.cumsum(fresh) - 1
+        first = order[fresh]
+        words = _slices(data, begin[first], size[first])
+        ranked = pc.sort_indices(words).to_numpy()
+        rank = np.empty(len(ranked), np.int64)
+        rank[ranked] = np.arange(len(ranked))
+
+        names = list(self.groups)
+        langs = sorted({lang for lang, _ in names})
+        lang_of = np.array([langs.index(lang) for lang, _ in names])
+        # One number per language, term, group and document; sorted, equal ones meet.
+        keys = (lang_of[group] * len(rank) + rank[number_of]) * len(names) + group
+        if len(langs) * len(rank) * len(names) * self.docs < 1 << 62:
+            keys, doc = np.divmod(np.sort(keys * self.docs + doc), self.docs)
+        else:
+            order = np.lexsort((doc, keys))
+            keys, doc = keys[order], doc[order]
+        posting = np.ones(len(keys), bool)
+        posting[1:] = keys[1:] != keys[:-1]
+        at = np.flatnonzero(posting)
+        tf = np.diff(np.append(at, len(keys)))
+        posting[1:] |= doc[1:] != doc[:-1]
+        df = np.add.reduceat(posting.astype(np.int64), at)
+        item, group = np.divmod(keys[at], len(names))
+        head = np.ones(len(item), bool)
+        head[1:] = item[1:] != item[:-1]
+        heads = np.flatnonzero(head)
+        ends = pa.array(np.append(heads, len(item)).astype(np.int32))
+        lang, term = np.divmod(item[heads], len(rank))
+        source = pa.array([x for _, x in names], pa.string()).take(pa.array(group))
+        lists = [pa.ListArray.from_arrays(ends, x) for x in (source, pa.array(tf), pa.array(df))]
+        named = [pa.array(langs, pa.string()).take(pa.array(lang)), words.take(pa.array(ranked[term])).cast(pa.string())]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(heads), number)), *named, *lists], names=["run", "lang", "term", "source", "tf", "df"])
+
+
+def _cut(data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """A chunk as it is; one very long text in pieces between words."""
+    if len(starts) > 2 or len(data) <= 2 * rolling.CHUNK:
+        yield data, starts
+        return
+    begin = 0
+    while begin < len(data):
+        end = min(begin + rolling.CHUNK, len(data))
+        while end < len(data) and _LETTER[data[end - 1]]:
+            end += 1
+        yield data[begin:end], np.array([0, end - begin])
+        begin = end
+
+
+def _slices(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The bytes of some places as a binary column."""
+    ends = np.cumsum(size)
+    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + size, size)
+    offsets = np.concatenate([[0], ends]).astype(np.int64)
+    whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data[at].tobytes())])
+    return whole.cast(pa.binary())
 
 
 def _fresh(*columns: pa.Array) -> np.ndarray:
@@ -110,11 +172,11 @@ def runs(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = docs.select(whole_text(text).alias("text"), whole_text("lang").alias("lang"), whole_text("source").alias("source"))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, number = Block(), 0
+        powers, block, number = rolling.Powers(), Block(), 0
         for batch in batches:
-            texts, langs, sources = (batch.column(c) for c in ("text", "lang", "source"))
-            for text, lang, source in zip(texts.cast(pa.large_binary()), langs.to_pylist(), sources.to_pylist(), strict=True):
-                block.add(lang, source, text.as_buffer().to_pybytes())
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                block.add(part.column("text"), part.column("lang").to_pylist(), part.column("source").to_pylist(), powers)
                 if block.held >= BLOCK:
                     yield block.run(number)
                     block, number = Block(), number + 1
@@ -129,14 +191,15 @@ def merged_runs(found: list[pa.RecordBatch]) -> pa.RecordBatch:
     ``lang, source, term, tf, df``, equal ones added."""
 
     def keys(run: pa.RecordBatch, start: int) -> Iterator[tuple]:
-        return zip(run.column("lang").to_pylist(), run.column("term").to_pylist(), range(start, start + run.num_rows), strict=True)
+        joined = pc.binary_join_element_wise(run.column("lang"), run.column("term"), "\0")
+        return zip(joined.to_pylist(), range(start, start + run.num_rows), strict=True)
 
     starts = np.cumsum([0, *[x.num_rows for x in found]]).tolist()
     # The heap gives the rows in order, so rows of one term are neighbours.
     order, item, last = [], [], None
-    for lang, term, row in heapq.merge(*[keys(x, a) for x, a in zip(found, starts, strict=False)]):
-        if (lang, term) != last:
-            last = (lang, term)
+    for key, row in heapq.merge(*[keys(x, a) for x, a in zip(found, starts, strict=False)]):
+        if key != last:
+            last = key
             item.append(len(order))
         order.append(row)
     rows = pa.Table.from_batches(found).take(pa.array(order, pa.int64())).combine_chunks()
@@ -175,7 +238,7 @@ def frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
             yield merged_runs(held)
 
     # Rows of one run stay together, and sorted, on the way to their shard.
-    named = runs(docs, text).withColumn("block", F.concat_ws("-", F.spark_partition_id(), "run"))
+    named = runs(docs, text).withColumn("block", F.shiftleft(F.spark_partition_id().cast("bigint"), 32) + F.col("run"))
     dealt = named.repartition("lang", "term").sortWithinPartitions("block", "lang", "term")
     merged = dealt.mapInArrow(merge, _FREQUENCY)
     return merged.groupBy("lang", "source", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))

@@ -7,10 +7,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
-from recueil.llm import divergence, simhash, trie
+from recueil.llm import divergence, rolling, simhash, trie
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -278,15 +279,37 @@ def test_shares_leave_no_64_bits():
 
 
 def test_runs_merge_by_key():
-    blocks = [divergence.Block(), divergence.Block()]
-    for at, lang, source, text in ((0, "fr", "s", b"C a a"), (0, "", "s", b"a"), (1, "fr", "t", b"a b"), (1, "fr", "s", b"a c A"), (1, "fr", "s", b"c")):
-        blocks[at].add(lang, source, text)
+    powers, blocks = rolling.Powers(), [divergence.Block(), divergence.Block()]
+    for at, lang, source, text in ((0, "fr", "s", "C a a"), (0, "", "s", "a"), (1, "fr", "t", "a b"), (1, "fr", "s", "a c A"), (1, "fr", "s", "c")):
+        blocks[at].add(pa.array([text]), [lang], [source], powers)
     runs = [block.run(i).select(["lang", "term", "source", "tf", "df"]) for i, block in enumerate(blocks)]
     assert [r["term"] for r in runs[1].to_pylist()] == ["a", "b", "c"]
     found = [tuple(r.values()) for r in divergence.merged_runs(runs).to_pylist()]
     assert sorted(found) == [("", "s", "a", 1, 1), ("fr", "s", "a", 4, 2), ("fr", "s", "c", 3, 3), ("fr", "t", "a", 1, 1), ("fr", "t", "b", 1, 1)]
 
 
+def test_blocks_count_like_a_dictionary(monkeypatch):
+    """Also texts that are cut into pieces, and numbers too large for one key."""
+    monkeypatch.setattr(rolling, "CHUNK", 64)
+    rows = [(lang or "", source or "", x or "") for _, x, lang, source in some_docs()]
+    block, powers = divergence.Block(), rolling.Powers()
+    for lang, source, x in rows:
+        block.add(pa.array([x]), [lang], [source], powers)
+    wanted = defaultdict(lambda: [0, 0])
+    for lang, source, x in rows:
+        for term, n in Counter(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", x.translate(LOWER))).items():
+            wanted[lang, term, source][0] += n
+            wanted[lang, term, source][1] += 1
+    block.docs, few = 1 << 60, block.docs
+    lots = block.run(0)
+    block.docs = few
+    for run in (lots, block.run(0)):
+        found = [(r["lang"], r["term"], s, n, d) for r in run.to_pylist() for s, n, d in zip(r["source"], r["tf"], r["df"], strict=True)]
+        assert {x[:3]: list(x[3:]) for x in found} == wanted and len(found) == len(wanted)
+        heads = [(r["lang"].encode(), r["term"].encode()) for r in run.to_pylist()]
+        assert heads == sorted(set(heads))
+
+
 def test_empty_tables_of_groups(spark):
     assert simhash.simhash_join(docs(spark, [])).count() == 0
     assert divergence.divergence(docs(spark, [])).count() == 0
