@@ -22,3 +22,33 @@ def inner_product(a: Column, b: Column) -> Column:
 def similarity_score(distance: Column) -> Column:
     """``1 / (1 + distance)`` for a squared L2 distance: 1 is identical."""
     return F.lit(1.0) / (F.lit(1.0) + distance)
+
+
+#: Words of the feature hashing: lower-case letters of Western scripts and digits.
+WORD = r"[a-z0-9\x{e0}-\x{ff}]+"
+
+
+def feature_words(text: Column) -> Column:
+    """The words of a text that :func:`hashed_words` counts."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), 0)
+
+
+def hashed_words(words: Column, dimension: int) -> Column:
+    """A vector of signed word counts: the MD5 of a word tells its place (first
+    four digits) and its sign (the fifth).
+
+    Whole numbers, so distances are exact; any engine with MD5 gives the same.
+    """
+
+    def number(digits: Column) -> Column:
+        return F.conv(digits, 16, 10).cast("int")
+
+    def code(word: Column) -> Column:
+        place = number(F.substring(F.md5(word), 1, 4)) % dimension
+        return F.when(number(F.substring(F.md5(word), 5, 1)) < 8, place).otherwise(-1 - place)
+
+    def counted(vector: Column, at: Column) -> Column:
+        return F.transform(vector, lambda x, i: x + F.when(at == i, 1.0).when(at == -1 - i, -1.0).otherwise(0.0).cast("float"))
+
+    zeros = F.array_repeat(F.lit(0.0).cast("float"), dimension)
+    return F.aggregate(F.transform(words, code), zeros, counted)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recueil import schemas
@@ -32,6 +35,28 @@ def keywords_found(text: Column, keywords: Column) -> Column:
     return F.size(F.filter(keywords, lambda word: F.contains(lowered, F.lower(word))))
 
 
+# Wording by which an answer says that there is nothing, or little.
+NEGATIVE = ["aucun", "pas d'", "pas de ", "rien", "ne trouve pas", "n'ai pas trouvé"]
+LIMITED = ["peu ", "quelques", "seulement", "uniquement un", "limité"]
+
+
+def answer_type(answer: Column, nb_events: Column, wanted: int = 5) -> Column:
+    """``negative`` if the answer says that there is nothing or has no events,
+    ``limited`` if it says that there is little or has fewer events than wanted,
+    ``full`` otherwise; null without an answer."""
+    lowered = F.lower(answer)
+
+    def says(words: list[str]) -> Column:
+        return reduce(or_, [F.contains(lowered, F.lit(word)) for word in words])
+
+    return (
+        F.when(answer.isNull(), F.lit(None).cast("string"))
+        .when(says(NEGATIVE) | (F.coalesce(nb_events, F.lit(0)) == 0), "negative")
+        .when(says(LIMITED) | (nb_events < wanted), "limited")
+        .otherwise("full")
+    )
+
+
 def keyword_recall(answers: DataFrame, answer: str = "answer", keywords: str = "expected_keywords") -> DataFrame:
     """Adds ``nb_expected, nb_found, recall``; null where nothing is expected."""
     found = keywords_found(F.col(answer), F.col(keywords))
@@ -52,9 +77,13 @@ def evaluate_answers(answers: DataFrame) -> DataFrame:
     """
     scored = keyword_recall(answers)
     titles = F.transform("source_events", lambda hit: hit["titre"])
+    kind = answer_type(F.col("answer"), F.col("nb_events_retrieved"))
     return scored.withColumns({
         "count_met": F.col("nb_events_retrieved") >= F.col("expected_nb_events"),
         "event_met": F.when(F.col("expected_event").isNotNull(), F.array_contains(titles, F.col("expected_event"))),
+        "answer_type": kind,
+        # Several types may be expected, as in negative_or_limited.
+        "type_met": F.array_contains(F.split("expected_answer_type", "_or_"), kind),
     })
 
 

@@ -7,7 +7,7 @@ Tables to merge have four columns: ``uid`` (null means "no key"), ``pos``
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as t
+from pyspark.sql import DataFrame, Window, functions as F, types as t
 
 from recueil.functions.text import fingerprint
 from recueil.operators.clean import event_key, keep_first
@@ -29,19 +29,20 @@ def with_key_and_digest(events: DataFrame, order: str = "seq", payload: str = "p
     )
 
 
-def _run(df: DataFrame) -> Column:
-    """Cuts the order into contiguous runs of bounded length.
+def with_runs(df: DataFrame) -> DataFrame:
+    """Adds ``run``, which cuts the order of each key into contiguous runs.
 
     Integers are cut by value, structs by everything but their last field (for
-    landed records that is the file block).  A key holding a third of all rows
-    is thus compared run by run.  Other types form a single run.
+    landed records that is the file block).  Rows ordered by anything else (text,
+    times, decimals) are dealt by ranges of key and order, and the range is the
+    run.  A key holding a third of all rows is thus compared run by run.
     """
     kind = df.schema["pos"].dataType
     if isinstance(kind, t.IntegralType):
-        return F.shiftright(F.col("pos").cast("bigint"), _RUN_BITS)
+        return df.withColumn("run", F.shiftright(F.col("pos").cast("bigint"), _RUN_BITS))
     if isinstance(kind, t.StructType) and len(kind) > 1:
-        return F.struct(*[F.col(f"pos.{name}") for name in kind.names[:-1]])
-    return F.lit(0)
+        return df.withColumn("run", F.struct(*[F.col(f"pos.{name}") for name in kind.names[:-1]]))
+    return df.repartitionByRange("uid", "pos").withColumn("run", F.spark_partition_id())
 
 
 def targets(existing: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def _changes(steps: DataFrame, session: str | None = None) -> DataFrame:
     """
     cut = [session] if session else []
     in_run = Window.partitionBy("uid", *cut, "run").orderBy("pos")
-    compared = steps.withColumn("run", _run(steps)).withColumn("previous", F.lag("digest").over(in_run))
+    compared = with_runs(steps).withColumn("previous", F.lag("digest").over(in_run))
     known = F.col("fresh") & F.col("previous").isNotNull()
     runs = compared.groupBy("uid", *cut, "run").agg(
         F.min_by(F.struct("digest", "fresh"), "pos").alias("first"),

@@ -1,16 +1,20 @@
 """k nearest neighbours of a whole question table.
 
-Every method is the same distributed search: questions and vectors carry
-*cells*, and a question is compared with the vectors of the cells it probes.
-Exact search has one cell, clustered search the nearest KMeans cells, hashed
-search the buckets of a random projection.
+Every method is the same distributed search: a question carries the *cells* it
+probes, and is compared with the vectors in them.  Exact search has one cell,
+clustered search the nearest KMeans cells, hashed search the buckets of random
+projections.
 
 Distances are computed in NumPy inside the tasks that hold the vectors, and a
-task only ever keeps the best k per question, so no pair table exists.  Few
-questions (checked against a byte limit) go to the vectors, which are scanned
-where they are and not shuffled.  Many questions meet the vectors block by
-block, both sides cut by the size of their cell, so a cell holding a third of
-all vectors becomes many equal tasks.
+task only ever keeps the best k per question, so no pair table exists.  Questions
+go to the vectors, which are scanned where they are: a bounded block of questions
+at a time.  One block is the rule.  A larger question table takes a wave for each
+block; a wave scans the vectors once, ranks its questions for good and writes their
+hits, so what is shuffled grows with the hits and no vector is copied.
+
+Hashed search keeps the buckets as a table of ids, made when the index is built.
+A search looks up the buckets its questions probe, and reads the vectors of the
+ids found there.
 """
 
 from __future__ import annotations
@@ -22,22 +26,20 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as t
 
 from recueil.functions.vectors import similarity_score
+from recueil.session import settled, shared_dir
 
 METHODS = ("flat_l2", "flat_ip", "ivf", "lsh")
 
-#: Questions up to this many bytes of vectors are sent to every task.
+#: Bytes of question vectors that are sent to every task in one wave, about.
 QUESTION_LIMIT = 64 << 20
 #: Centroids are sent to every task, so many bytes of them at a time.
 CENTROID_LIMIT = 64 << 20
-#: Bytes of one block of vectors when both sides are cut into blocks.
-BLOCK_BYTES = 128 << 20
-#: Cells up to this number have their block plan broadcast.
-CELL_LIMIT = 100_000
+#: Folders the bucket table of a hashed index is stored in.
+BUCKET_PARTS = 64
 #: Each scan task emits k rows per question; scan partitions are joined into
 #: fewer tasks only if they would emit more rows than this in total, and never
 #: into fewer than so many tasks per core.
@@ -168,6 +170,17 @@ class _Best:
             cols.append(c)
         return np.concatenate(rows), np.concatenate(cols)
 
+    def add_marked(self, mark: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
+        """Compares vectors (rows of ``mark``) with the questions marked for each."""
+        norms = (vectors**2).sum(1)
+        wide = np.column_stack([vectors, norms])
+        margin = 4 * np.finfo(np.float64).eps * (vectors.shape[1] + 8) * (self.norms + norms.max(initial=0))
+        rough = np.where(mark.T, self.wide_q @ wide.T, np.inf)
+        limit = (self.limit - self.offset) + margin
+        if len(vectors) > self.k:
+            limit = np.minimum(limit, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1] + 2 * margin)
+        self._merge(*np.nonzero(mark.T & (rough <= limit[:, None])), vectors, ids)
+
     def _merge(self, row: np.ndarray, col: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
         """Notes candidates; they are ranked when there are enough of them."""
         self.pending.append((row, self._exact(row, vectors, col), ids[col]))
@@ -217,93 +230,82 @@ def _arrow_type(kind: t.DataType) -> pa.DataType:
 # ---------------------------------------------------------------- search
 
 
-def _scan_search(
-    questions: pa.Table, vectors: DataFrame, k: int, metric: str, dimension: int, schema: pa.Schema, hit_schema: t.StructType
+class _Wave:
+    """A block of questions and who probes which cell."""
+
+    def __init__(self, questions: pa.Table, dimension: int):
+        ids = _ids(questions.column("query_id"))
+        _, first = np.unique(_order(ids), return_index=True)
+        self.ids, self.questions = ids[first], _matrix(questions.column("embedding"), dimension)[first]
+        lists = questions.column("cells").combine_chunks().take(pa.array(first))
+        cells = lists.flatten().to_numpy(zero_copy_only=False)
+        who = np.repeat(np.arange(len(first)), lists.value_lengths().to_numpy(zero_copy_only=False))
+        order = np.argsort(cells, kind="stable")
+        names, starts = np.unique(cells[order], return_index=True)
+        self.probing = {int(c): np.unique(x) for c, x in zip(names, np.split(who[order], starts[1:]))}
+
+
+def _cell_filter(df: DataFrame, probing: dict[int, np.ndarray]) -> DataFrame:
+    """The rows of probed cells; where cells are stored apart this prunes files."""
+    if len(probing) <= FILTER_LIMIT:
+        return df.filter(F.col("cell").isin(list(probing)))
+    # No more cells than the questions of a block probe.
+    probed = df.sparkSession.createDataFrame(pa.table({"cell": pa.array(list(probing), pa.int64())}))
+    return df.join(F.broadcast(probed), "cell", "left_semi")
+
+
+def _wave_hits(
+    wave: _Wave, sent, vectors: DataFrame, buckets: DataFrame | None, k: int, metric: str, schema: pa.Schema, hit_schema: t.StructType
 ) -> DataFrame:
-    """Few questions: sent once to every executor, vectors stay in place."""
-    ids = _ids(questions.column("query_id"))
-    keys, first = np.unique(_order(ids), return_index=True)
-    row_of = np.searchsorted(keys, _order(ids))
-    matrix = _matrix(questions.column("embedding"), dimension)[first]
-    cells = questions.column("cell").to_numpy()
-    probing = {int(c): np.unique(row_of[cells == c]) for c in np.unique(cells)}
-    spark = vectors.sparkSession
-    sent = spark.sparkContext.broadcast((ids[first], matrix, probing))
+    """The k best vectors of each task for every question of a wave."""
+    dimension, hashed = wave.questions.shape[1], buckets is not None
+
+    def compared(best: _Best, batch: pa.RecordBatch) -> None:
+        cell = batch.column("cell").to_numpy()
+        vector, ids = _matrix(batch.column("embedding"), dimension), _ids(batch.column("vec_id"))
+        by_cell = np.argsort(cell, kind="stable")
+        names, starts = np.unique(cell[by_cell], return_index=True)
+        for name, here in zip(names, np.split(by_cell, starts[1:])):
+            rows = sent.value.probing.get(int(name))
+            if rows is not None:
+                best.add(rows, vector[here], ids[here])
+
+    def marked(best: _Best, batch: pa.RecordBatch) -> None:
+        step = max(1, _BLOCK_CELLS // max(1, len(sent.value.ids)))
+        for start in range(0, batch.num_rows, step):
+            part = batch.slice(start, step)
+            lists = part.column("cells")
+            who = np.repeat(np.arange(len(part)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            mark = np.zeros((len(part), len(sent.value.ids)), bool)
+            for at, cell in zip(who.tolist(), lists.flatten().to_pylist()):
+                mark[at, sent.value.probing[cell]] = True
+            best.add_marked(mark, _matrix(part.column("embedding"), dimension), _ids(part.column("vec_id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        question_ids, matrix, probing = sent.value
-        best = _Best(matrix, k, metric)
+        best = _Best(sent.value.questions, k, metric)
         for batch in batches:
-            cell = batch.column("cell").to_numpy()
-            vector = _matrix(batch.column("embedding"), dimension)
-            vector_ids = _ids(batch.column("vec_id"))
-            by_cell = np.argsort(cell, kind="stable")
-            names, starts = np.unique(cell[by_cell], return_index=True)
-            for name, here in zip(names, np.split(by_cell, starts[1:])):
-                rows = probing.get(int(name))
-                if rows is not None:
-                    best.add(rows, vector[here], vector_ids[here])
+            (marked if hashed else compared)(best, batch)
             best.flush()
-        yield from best.table(question_ids, schema).to_batches()
+        yield from best.table(sent.value.ids, schema).to_batches()
 
-    tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, HIT_LIMIT // max(1, k * len(first)))
-    if len(probing) <= FILTER_LIMIT:
-        # Stored cells are partitions, so this prunes files.
-        vectors = vectors.filter(F.col("cell").isin(list(probing)))
+    if not hashed:
+        near = _cell_filter(vectors, wave.probing)
     else:
-        # No more cells than question rows, whose size was checked.
-        probed = spark.createDataFrame(pa.table({"cell": pa.array(list(probing), pa.int64())}))
-        vectors = vectors.join(F.broadcast(probed), "cell", "left_semi")
-    return vectors.coalesce(min(tasks, 1 << 30)).mapInArrow(run, hit_schema)
+        parts = sorted({c % BUCKET_PARTS for c in wave.probing})
+        found = _cell_filter(buckets.filter(F.col("part").isin(parts)), wave.probing)
+        # A list has at most one bucket of each table.
+        found = found.groupBy("vec_id").agg(F.collect_list("cell").alias("cells"))
+        near = vectors.join(found, "vec_id").select("vec_id", "embedding", "cells")
+    tasks = max(TASKS_PER_CORE * vectors.sparkSession.sparkContext.defaultParallelism, HIT_LIMIT // max(1, k * len(wave.ids)))
+    return near.coalesce(min(tasks, 1 << 30)).mapInArrow(run, hit_schema)
 
 
-def _blocks(df: DataFrame, name: str, dimension: int) -> DataFrame:
-    """How many blocks of bounded size every cell is cut into."""
-    rows = max(1, BLOCK_BYTES // (8 * dimension))
-    return df.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(rows)).cast("int").alias(name))
-
-
-def _block_search(
-    questions: DataFrame, vectors: DataFrame, k: int, metric: str, dimension: int, schema: pa.Schema, hit_schema: t.StructType
-) -> DataFrame:
-    """Many questions: every block of questions meets every block of vectors
-    of the same cell in one task of bounded size."""
-    plan = _blocks(questions, "q_blocks", dimension).join(_blocks(vectors, "v_blocks", dimension), "cell")
-    if plan.limit(CELL_LIMIT + 1).count() <= CELL_LIMIT:
-        plan = F.broadcast(plan)
-
-    def block(key: str, blocks: str) -> Column:
-        return F.pmod(F.xxhash64(key), F.col(blocks)).cast("int")
-
-    def copies(blocks: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
-
-    q = questions.join(plan, "cell").select(
-        "cell",
-        F.col("query_id").alias("question"),
-        F.col("embedding").alias("asked"),
-        block("query_id", "q_blocks").alias("qb"),
-        copies("v_blocks").alias("vb"),
-    )
-    v = vectors.join(plan, "cell").select(
-        "cell",
-        F.col("vec_id").alias("vector"),
-        F.col("embedding").alias("stored"),
-        block("vec_id", "v_blocks").alias("vb"),
-        copies("q_blocks").alias("qb"),
-    )
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = _ids(left.column("question").combine_chunks())
-        best = _Best(_matrix(left.column("asked"), dimension) if len(ids) else np.empty((0, dimension)), k, metric)
-        if len(ids) and right.num_rows:
-            rows = np.arange(len(ids))
-            for batch in right.to_batches(max_chunksize=10_000):
-                best.add(rows, _matrix(batch.column("stored"), dimension), _ids(batch.column("vector")))
-        return best.table(ids, schema)
-
-    keys = ["cell", "qb", "vb"]
-    return q.groupBy(*keys).cogroup(v.groupBy(*keys)).applyInArrow(run, hit_schema)
+def _ranked(hits: DataFrame, k: int, metric: str) -> DataFrame:
+    nearest = Window.partitionBy("query_id").orderBy("distance", "vec_id")
+    ranked = hits.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
+    if metric == "ip":
+        ranked = ranked.withColumn("distance", -F.col("distance"))
+    return ranked.select("query_id", "rank", "vec_id", "distance")
 
 
 def dimension_of(df: DataFrame, expected: int | None = None) -> int | None:
@@ -327,10 +329,11 @@ def _expect(found: int | None, expected: int | None) -> int | None:
 
 
 def _cell_search(
-    questions: DataFrame, vectors: DataFrame, k: int, metric: str, dimension: int, repeats: bool, question_limit: int
+    questions: DataFrame, vectors: DataFrame, buckets: DataFrame | None, k: int, metric: str, dimension: int, question_limit: int
 ) -> tuple[DataFrame, int | None]:
-    """``query_id, vec_id, distance, rank``, and how many rows there are at most,
-    if the questions are few: both inputs carry one cell per row."""
+    """``query_id, rank, vec_id, distance``, and how many rows there are at most,
+    if one wave does: questions carry ``cells``, vectors a ``cell`` or, if there
+    are ``buckets``, none."""
     if k < 1:
         raise ValueError("k must be at least 1")
     types = [questions.schema["query_id"].dataType, vectors.schema["vec_id"].dataType]
@@ -340,25 +343,29 @@ def _cell_search(
         t.StructField("distance", t.DoubleType()),
     ])
     schema = pa.schema([("query_id", _arrow_type(types[0])), ("vec_id", _arrow_type(types[1])), ("distance", pa.float64())])
-    questions = questions.select("query_id", "embedding", F.col("cell").cast("bigint").alias("cell"))
-    vectors = vectors.select("vec_id", "embedding", F.col("cell").cast("bigint").alias("cell"))
+    questions = questions.select("query_id", "embedding", F.col("cells").cast("array<bigint>").alias("cells"))
+    context = vectors.sparkSession.sparkContext
 
     # At most one row over the limit reaches the driver, and only to tell.
-    rows = question_limit // (8 * dimension + 64)
-    few = questions.limit(rows + 1).toArrow() if rows else None
-    most = None
-    if few is not None and few.num_rows <= rows:
-        hits = _scan_search(few, vectors, k, metric, dimension, schema, hit_schema)
-        most = k * few.num_rows
-    else:
-        hits = _block_search(questions, vectors, k, metric, dimension, schema, hit_schema)
-    if repeats:
-        hits = hits.groupBy("query_id", "vec_id").agg(F.min("distance").alias("distance"))
-    nearest = Window.partitionBy("query_id").orderBy("distance", "vec_id")
-    ranked = hits.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
-    if metric == "ip":
-        ranked = ranked.withColumn("distance", -F.col("distance"))
-    return ranked.select("query_id", "rank", "vec_id", "distance"), most
+    rows = max(1, question_limit // (8 * dimension + 64))
+    few = questions.limit(rows + 1).toArrow()
+    if few.num_rows <= rows:
+        wave = _Wave(few, dimension)
+        hits = _wave_hits(wave, context.broadcast(wave), vectors, buckets, k, metric, schema, hit_schema)
+        return _ranked(hits, k, metric), k * few.num_rows
+    # Blocks are stored first, so each of them is read once.
+    path = shared_dir(vectors.sparkSession, "waves")
+    waves = -(-questions.count() // rows)
+    block = F.pmod(F.xxhash64("query_id"), F.lit(waves)).alias("wave")
+    questions.select("*", block).repartition("wave").write.partitionBy("wave").parquet(f"{path}/questions")
+    stored = vectors.sparkSession.read.parquet(f"{path}/questions")
+    for row in stored.select("wave").distinct().orderBy("wave").collect():
+        wave = _Wave(stored.filter(F.col("wave") == row["wave"]).toArrow(), dimension)
+        sent = context.broadcast(wave)
+        hits = _ranked(_wave_hits(wave, sent, vectors, buckets, k, metric, schema, hit_schema), k, metric)
+        hits.write.mode("append").parquet(f"{path}/hits")
+        sent.destroy()
+    return vectors.sparkSession.read.parquet(f"{path}/hits"), None
 
 
 # ---------------------------------------------------------------- cells
@@ -440,12 +447,50 @@ def _nearer_cells(df: DataFrame, block: tuple[np.ndarray, np.ndarray], n: int, m
     return df.mapInArrow(run, schema)
 
 
-def _buckets(df: DataFrame, model: BucketedRandomProjectionLSHModel) -> DataFrame:
-    """One row per hash table, the bucket hashed into ``cell``."""
-    hashed = model.transform(df.withColumn("_features", array_to_vector("embedding")))
-    return hashed.select(*df.columns, F.posexplode("_hashes").alias("_table", "_bucket")).select(
-        *df.columns, F.xxhash64("_table", vector_to_array("_bucket")[0]).alias("cell")
-    )
+class Projections:
+    """Random directions; a table's bucket is the place of a vector along one of
+    them, in steps of ``bucket_length``."""
+
+    def __init__(self, dimension: int, tables: int, bucket_length: float, seed: int):
+        directions = np.random.default_rng(seed).normal(size=(dimension, tables))
+        self.directions = directions / np.linalg.norm(directions, axis=0) / bucket_length
+        self.tables, self.dimension = tables, dimension
+
+    def nearest(self, vectors: np.ndarray, n: int) -> np.ndarray:
+        """The ``n`` buckets of each table that are nearest to each vector: an
+        array by vector, table and nearness."""
+        place = vectors @ self.directions
+        home = np.floor(place)
+        inside = (place - home)[:, :, None]
+        step = np.arange(-n, n + 1)
+        far = np.where(step > 0, step - inside, np.where(step < 0, inside - step - 1, -1.0))
+        order = np.argsort(far, axis=2, kind="stable")[:, :, :n]
+        return home.astype(np.int64)[:, :, None] + step[order]
+
+
+def _hashed(df: DataFrame, key: str, projections: Projections, n: int) -> DataFrame:
+    """``key, hash_table, bucket`` of the nearest buckets of every vector."""
+    name = df.schema[key]
+    schema = t.StructType([name, t.StructField("hash_table", t.IntegerType()), t.StructField("bucket", t.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = projections.nearest(_matrix(batch.column("embedding"), projections.dimension), n)
+            rows, tables, probes = (x.ravel() for x in np.indices(found.shape))
+            ids = batch.column(key).take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(tables.astype(np.int32)), pa.array(found.ravel())], names=schema.names)
+
+    return df.select(key, "embedding").mapInArrow(run, schema)
+
+
+def _cell() -> Column:
+    return F.xxhash64("hash_table", "bucket").alias("cell")
+
+
+def hash_buckets(vectors: DataFrame, projections: Projections) -> DataFrame:
+    """``cell, vec_id, part``: in which bucket of each table a vector lies."""
+    found = _hashed(vectors, "vec_id", projections, 1).select(_cell(), "vec_id")
+    return found.withColumn("part", F.pmod("cell", F.lit(BUCKET_PARTS)).cast("int"))
 
 
 # ---------------------------------------------------------------- index
@@ -456,7 +501,8 @@ class VectorIndex:
     """Vectors ready to be searched.
 
     ``vectors`` has ``vec_id``, ``embedding``, ``cell`` for clustered indexes,
-    and any metadata columns.  ``metadata`` may hold them apart instead.
+    and any metadata columns.  ``metadata`` may hold them apart instead.  Hashed
+    indexes have ``buckets``, a table of ``cell, vec_id, part``.
     """
 
     vectors: DataFrame
@@ -467,6 +513,7 @@ class VectorIndex:
     bucket_length: float = 1.0
     tables: int = 8
     seed: int = 42
+    buckets: DataFrame | None = None
 
     @property
     def spark(self) -> SparkSession:
@@ -477,10 +524,12 @@ class VectorIndex:
 
         ``questions`` has ``query_id`` and ``embedding``.  Distances are squared
         L2, or the inner product (larger is nearer) for ``flat_ip``.  Ties go to
-        the smaller id; fewer than k vectors give fewer rows.
+        the smaller id; fewer than k vectors give fewer rows.  ``nprobe`` cells
+        are probed, or buckets of each table of a hashed index, nearest first.
 
-        The questions are evaluated here, once if they are few; write a large
-        or expensive question table before searching.
+        The questions are evaluated here, once if a wave of ``question_limit``
+        bytes takes them all.  Otherwise the waves run here as well; write an
+        expensive question table before searching.
         """
         return self._search(questions, k, nprobe, question_limit)[0]
 
@@ -488,17 +537,17 @@ class VectorIndex:
         questions = questions.select("query_id", "embedding").filter("embedding IS NOT NULL")
         vectors = self.vectors
         if self.method == "ivf":
-            probes = nearest_cells(questions, self.centroids, nprobe)
-            questions = probes.select("query_id", "embedding", F.explode("cells").alias("cell"))
+            questions = nearest_cells(questions, self.centroids, nprobe)
         elif self.method == "lsh":
-            model = self._projection()
-            questions = _buckets(questions, model)
-            vectors = _buckets(vectors.select("vec_id", "embedding"), model)
+            probes = _hashed(questions, "query_id", self.projections(), nprobe).withColumn("cell", _cell())
+            cells = probes.groupBy("query_id").agg(F.collect_set("cell").alias("cells"))
+            questions = questions.join(cells, "query_id")
         else:
-            questions = questions.withColumn("cell", F.lit(0))
+            questions = questions.withColumn("cells", F.array(F.lit(0)))
             vectors = vectors.withColumn("cell", F.lit(0))
         metric = "ip" if self.method == "flat_ip" else "l2"
-        return _cell_search(questions, vectors, k, metric, self.dimension, self.method == "lsh", question_limit)
+        columns = ["vec_id", "embedding"] if self.method == "lsh" else ["vec_id", "embedding", F.col("cell").cast("bigint").alias("cell")]
+        return _cell_search(questions, vectors.select(*columns), self.buckets, k, metric, self.dimension, question_limit)
 
     def search_with_metadata(self, questions: DataFrame, k: int = 5, nprobe: int = 1) -> DataFrame:
         """Hits with their score and metadata.
@@ -524,11 +573,12 @@ class VectorIndex:
             if metadata is None or not _aligned(vectors, metadata):
                 raise ValueError("every new vector needs exactly one metadata row")
             metadata = self.metadata.unionByName(metadata)
-        vectors = self.vectors.unionByName(
-            _usable(vectors) if self.centroids is None else _with_cell(_usable(vectors), self.centroids),
-            allowMissingColumns=True,
-        )
-        return replace(self, vectors=vectors, metadata=metadata if metadata is not None else self.metadata)
+        fresh = _usable(vectors) if self.centroids is None else _with_cell(_usable(vectors), self.centroids)
+        buckets = self.buckets
+        if buckets is not None:
+            buckets = buckets.unionByName(hash_buckets(fresh, self.projections()))
+        vectors = self.vectors.unionByName(fresh, allowMissingColumns=True)
+        return replace(self, vectors=vectors, metadata=metadata if metadata is not None else self.metadata, buckets=buckets)
 
     def is_coherent(self) -> bool:
         """Whether vectors and metadata have the same keys."""
@@ -554,14 +604,8 @@ class VectorIndex:
             F.when(has_metadata, F.count_if(F.col("v") != F.col("m")) == 0).alias("coherent"),
         )
 
-    def _projection(self) -> BucketedRandomProjectionLSHModel:
-        # Fitting only draws the random directions; one row tells the dimension.
-        one = self.spark.createDataFrame([([0.0] * self.dimension,)], "v ARRAY<DOUBLE>")
-        lsh = BucketedRandomProjectionLSH(
-            inputCol="_features", outputCol="_hashes", seed=self.seed,
-            bucketLength=self.bucket_length, numHashTables=self.tables,
-        )
-        return lsh.fit(one.select(array_to_vector("v").alias("_features")))
+    def projections(self) -> Projections:
+        return Projections(self.dimension, self.tables, self.bucket_length, self.seed)
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
@@ -595,7 +639,8 @@ def build_index(
     """An index over ``vec_id, embedding`` (plus metadata columns).
 
     ``flat_l2`` and ``flat_ip`` are exact, ``ivf`` clusters the vectors into
-    ``nlist`` cells, ``lsh`` hashes them into ``tables`` bucket tables.
+    ``nlist`` cells, ``lsh`` hashes them into ``tables`` bucket tables.  Cells and
+    buckets are settled here, in the checkpoint folder, and not at every search.
     """
     if method not in METHODS:
         raise ValueError(f"unknown index method {method!r}; known: {METHODS}")
@@ -603,8 +648,11 @@ def build_index(
     found = _first_dimension(vectors, dimension)
     if found is None and dimension is None:
         raise ValueError("cannot tell the dimension of an empty vector table")
-    centroids = None
+    centroids = buckets = None
     if method == "ivf":
         centroids = train_centroids(vectors, nlist or default_nlist(vectors.count()), seed)
-        vectors = _with_cell(vectors, centroids)
-    return VectorIndex(vectors, method, found or dimension, centroids, metadata, bucket_length, tables, seed)
+        vectors = settled(_with_cell(vectors, centroids))
+    index = VectorIndex(vectors, method, found or dimension, centroids, metadata, bucket_length, tables, seed)
+    if method == "lsh":
+        buckets = settled(hash_buckets(vectors, index.projections()))
+    return replace(index, buckets=buckets)

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as t
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as t
 
 from recueil.functions import prompts
 from recueil.functions.text import collapse_spaces, not_blank
@@ -184,27 +184,33 @@ def answer(
 def timed_answer(
     questions: DataFrame, index: VectorIndex, embed_fn: EmbedFn, generate_fn: GenerateFn, options: AnswerOptions = AnswerOptions()
 ) -> DataFrame:
-    """Answers with a ``timing`` struct in milliseconds.
+    """Answers with a ``timing`` struct in milliseconds and a ``run`` struct of counts.
 
     Both halves run here and are written to the checkpoint folder, because a
-    lazy plan has no halves to time.  The times are those of the whole table.
+    lazy plan has no halves to time.  The times are those of the whole table.  The
+    counts (questions asked, questions with hits, hits, failed answers) are observed
+    while the halves are written, without a pass of their own.
     """
     builder = _builder(options)
+    hits_seen, answers_seen = Observation(), Observation()
     start = time.perf_counter()
     embedded = embed_questions(questions, embed_fn, **_calls(options))
-    hits = settled(retrieve(embedded, index, options.k, options.nprobe))
+    found = retrieve(embedded, index, options.k, options.nprobe)
+    hits = settled(found.observe(hits_seen, F.count("*").alias("hits"), F.count_if(F.col("rank") == 1).alias("found")))
     retrieved = time.perf_counter()
     more = [_sources(hits)] if options.return_sources else []
     prompted = builder(embedded.drop("embedding"), hits, *more)
-    answered = settled(generate(prompted, generate_fn, **_calls(options))).drop("prompt")
+    generated = generate(prompted, generate_fn, **_calls(options))
+    failed = F.count_if(F.col("answer_error").isNotNull()).alias("failed")
+    answered = settled(generated.observe(answers_seen, F.count("*").alias("asked"), failed)).drop("prompt")
     end = time.perf_counter()
 
     def ms(seconds: float) -> Column:
         return F.lit(round(seconds * 1000, 2))
 
-    return answered.withColumn(
-        "timing",
-        F.struct(
-            ms(retrieved - start).alias("retrieval_ms"), ms(end - retrieved).alias("generation_ms"), ms(end - start).alias("total_ms")
-        ),
+    counts = answers_seen.get | hits_seen.get
+    timing = F.struct(
+        ms(retrieved - start).alias("retrieval_ms"), ms(end - retrieved).alias("generation_ms"), ms(end - start).alias("total_ms")
     )
+    run = F.struct(*[F.lit(counts.get(x, 0)).cast("bigint").alias(f"nb_{x}") for x in ("asked", "found", "hits", "failed")])
+    return answered.withColumns({"timing": timing, "run": run})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recueil.operators.clean import clean_events, extract_events
@@ -35,18 +36,57 @@ def as_index_input(vectors: DataFrame) -> DataFrame:
     return tables.as_hits(vectors).withColumnRenamed("id", "vec_id")
 
 
+PUBLISHED = "version STRING, number INT"
+
+
+def _published(spark: SparkSession, root: str) -> DataFrame:
+    try:
+        return spark.read.schema(PUBLISHED).option("recursiveFileLookup", True).json(f"{root}/vectorstore/published")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], PUBLISHED)
+
+
+def publish(spark: SparkSession, root: str, version: str) -> None:
+    """Makes a saved index the one in use.
+
+    The pointer is one small file that is written once the index loads; readers
+    see the old version or the new one, and older versions stay.
+    """
+    tables.load_index(spark, f"{root}/vectorstore/versions/{version}")
+    number = (_published(spark, root).agg(F.max("number").alias("n")).first()["n"] or 0) + 1
+    one = spark.createDataFrame([(version, number)], PUBLISHED).coalesce(1)
+    one.write.mode("errorifexists").json(f"{root}/vectorstore/published/entry-{number:06d}")
+
+
+def published_index(spark: SparkSession, root: str) -> VectorIndex:
+    """The index in use."""
+    newest = _published(spark, root).orderBy(F.desc("number")).limit(1).collect()
+    if not newest:
+        raise FileNotFoundError(f"no index is published below {root}")
+    return tables.load_index(spark, f"{root}/vectorstore/versions/{newest[0]['version']}")
+
+
 def publish_index(spark: SparkSession, vectors: DataFrame, root: str, version: str, method: str = "flat_l2", **options) -> VectorIndex:
-    """Builds the index anew as its own version and loads it."""
+    """Builds the index anew as its own version, publishes and loads it."""
     path = f"{root}/vectorstore/versions/{version}"
     tables.save_index(build_index(as_index_input(vectors), method, **options), path)
-    return tables.load_index(spark, path)
+    publish(spark, root, version)
+    return published_index(spark, root)
+
+
+def write_processed(clean: DataFrame, root: str, version: str) -> bool:
+    """Writes clean events as a version of their own (see :func:`tables.write_clean`)."""
+    return tables.write_clean(clean, f"{root}/processed/versions/{version}")
 
 
 def integrate_vectors(
     spark: SparkSession, existing: DataFrame | None, vectors: DataFrame, metadata: DataFrame, root: str, version: str,
     method: str = "flat_l2", key: str = "id",
 ) -> VectorIndex:
-    """Adds vectors that come apart from their metadata and rebuilds the index."""
+    """Adds vectors that come apart from their metadata, rebuilds the index and
+    publishes it; until then the old one stays in use."""
     if not unmatched_keys(vectors, metadata, key).isEmpty():
         raise ValueError("vectors and metadata have different keys")
     fresh = settled(vectors.join(metadata, key))
@@ -55,4 +95,5 @@ def integrate_vectors(
     merged = tables.read_vectors(spark, path).withColumnRenamed(key, "vec_id")
     index_path = f"{root}/vectorstore/versions/{version}"
     tables.save_index(build_index(merged, method), index_path)
-    return tables.load_index(spark, index_path)
+    publish(spark, root, version)
+    return published_index(spark, root)

@@ -241,7 +241,139 @@ SELECT q.query_id, question, CAST(coalesce(n, 0) AS INTEGER) AS nb_events_retrie
        || chr(10) || chr(10) || {_text(prompts.SIMPLE_RULE)} END AS prompt
 FROM questions q LEFT JOIN contexts c ON q.query_id = c.query_id"""
 
+# Feature hashing: the words of a text, their signed places, and their sums.
+_DIM = 32
+
+
+def _features(text: str) -> str:
+    """Columns ``words`` and ``codes`` of a text."""
+    words = f"regexp_extract_all(lower(coalesce({text}, '')), '[a-z0-9\\x{{e0}}-\\x{{ff}}]+')"
+    place = f"('0x' || substr(md5(w), 1, 4))::INTEGER % {_DIM}"
+    code = f"CASE WHEN ('0x' || substr(md5(w), 5, 1))::INTEGER < 8 THEN {place} ELSE -1 - {place} END"
+    return f"len({words}) AS words, list_transform({words}, lambda w: {code}) AS codes"
+
+
+_VECTOR = f"list_transform(range({_DIM}), lambda i: len(list_filter(codes, lambda c: c = i)) - len(list_filter(codes, lambda c: c = -1 - i)))"
+
+_DOCUMENT_VECTORS = f"""
+embedded AS (SELECT id, words, digest, {_VECTOR} AS v FROM (SELECT doc_id AS id, sha256(coalesce(text, '')) AS digest, {_features('text')} FROM documents))"""
+
+_ASKED_BENCHMARK = f"""
+asked AS (SELECT item_id AS query_id, text AS question FROM benchmark WHERE {_visible('text')} AND lower({_collapse('text')}) NOT IN ('quit', 'exit', 'q'))"""
+
+
+def _nearest(asked: str, key: str, known: str, k: int = 5) -> str:
+    """CTEs up to ``near``: query_id, rank, id, d of the nearest of ``known``."""
+    return f"""asking AS (SELECT {key}, {_VECTOR} AS v FROM (SELECT {key}, {_features('question')} FROM {asked})),
+distances AS (
+  SELECT a.{key}, b.id, list_sum(list_transform(list_zip(a.v, b.v), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS d FROM asking a, {known} b),
+near AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY d, id) AS rank FROM distances QUALIFY rank <= {k})"""
+
+
+_CORPUS_PROMPTS = f"""WITH {_CLEAN},
+embedded AS (SELECT id, {_VECTOR} AS v FROM (SELECT id, {_features('texte_complet')} FROM clean)),
+{_ASKED_BENCHMARK},
+{_nearest('asked', 'query_id', 'embedded')},
+hits AS (
+  SELECT query_id, rank, 1 / (1 + d) + 1e-9 AS score, titre, description, ville, date_debut, date_fin, adresse AS lieu_nom, categories AS categorie
+  FROM near JOIN clean USING (id)),
+contexts AS (SELECT query_id, string_agg({_BLOCK}, chr(10) ORDER BY rank) AS context, count(*) AS n FROM hits GROUP BY query_id)
+SELECT q.query_id, question, CAST(coalesce(n, 0) AS INTEGER) AS nb_events_retrieved,
+    {_text(prompts.INSTRUCTIONS)} || chr(10) || chr(10) || {_text(prompts.CONTEXT_TITLE)} || chr(10) || chr(10)
+    || coalesce(context, {_text(prompts.NO_EVENT)}) || chr(10) || chr(10) || {_text(prompts.QUESTION_TITLE)} || chr(10) || question
+    || chr(10) || chr(10) || {_text(prompts.ANSWER_TITLE)} || chr(10) || {_text(prompts.ANSWER_RULE)} AS prompt
+FROM asked q LEFT JOIN contexts c USING (query_id)"""
+
+_ANSWERED = f"""WITH {_DOCUMENT_VECTORS},
+{_ASKED_BENCHMARK},
+{_nearest('asked', 'query_id', 'embedded')},
+answers AS (
+  SELECT query_id, string_agg('Titre: ' || source, ' / ' ORDER BY rank) AS answer, string_agg(id::VARCHAR, ',' ORDER BY rank) AS sources, count(*) AS n
+  FROM near JOIN documents ON doc_id = id GROUP BY query_id)"""
+
+# The evaluation questions once more.
+_GOLDEN = """
+golden(question_group, question, keywords, nb, event, type) AS (VALUES
+  ('questions_simples', 'Quels sont les événements à Châtellerault ?', ['châtellerault', 'événement'], 5, NULL, NULL),
+  ('questions_simples', 'Y a-t-il des visites guidées ?', ['visite', 'guidée'], 5, NULL, NULL),
+  ('questions_simples', 'Quels événements sont gratuits ?', ['gratuit', 'libre'], 5, NULL, NULL),
+  ('questions_specifiques', 'Parle-moi du Carillon Bollée', ['carillon', 'bollée'], NULL, 'Visite du Carillon Bollée', NULL),
+  ('questions_specifiques', 'Quels sont les horaires de la Manu ?', ['manu', 'horaire'], NULL, 'Visite de la Manu', NULL),
+  ('questions_temporelles', 'Quels événements en avril 2026 ?', ['avril', '2026'], 5, NULL, NULL),
+  ('questions_temporelles', 'Que faire ce week-end ?', ['week-end', 'samedi', 'dimanche'], 5, NULL, NULL),
+  ('questions_negatives', 'Y a-t-il des concerts de rock ?', NULL, NULL, NULL, ['negative', 'limited']),
+  ('questions_negatives', 'Quels événements à Paris ?', NULL, NULL, NULL, ['limited']))"""
+
+_EVALUATED = f"""WITH {_DOCUMENT_VECTORS},
+{_GOLDEN},
+{_nearest('golden', 'question', 'embedded')},
+answers AS (
+  SELECT question, string_agg('Titre: ' || source, ' / ' ORDER BY rank) AS answer, list(source) AS titles, count(*) AS n
+  FROM near JOIN documents ON doc_id = id GROUP BY question),
+scored AS (
+  SELECT *, CASE WHEN n = 0 THEN 'negative' WHEN n < 5 THEN 'limited' ELSE 'full' END AS kind,
+         len(list_filter(keywords, lambda w: contains(lower(answer), w))) AS found FROM golden JOIN answers USING (question))
+SELECT question_group, question, answer, CAST(n AS INTEGER) AS nb_events_retrieved, CAST(found AS INTEGER) AS nb_found, round(found / len(keywords), 4) AS recall,
+       n >= nb AS count_met, CASE WHEN event IS NOT NULL THEN list_contains(titles, event) END AS event_met, kind AS answer_type,
+       CASE WHEN type IS NOT NULL THEN list_contains(type, kind) END AS type_met FROM scored"""
+
+_CHANGED = f"""WITH {_LOG},
+{_CLASSES},
+known AS (SELECT g.uid, g.payload FROM log g JOIN target t ON g.uid = t.uid AND g.pos = t.pos),
+newest AS (SELECT uid, arg_max(payload, pos) AS payload FROM log WHERE NOT fresh AND uid IS NOT NULL GROUP BY uid),
+n AS (
+  SELECT CASE WHEN fresh THEN 2 ELSE 1 END AS version, count(*) AS nb_nouveaux, count(*) FILTER (class = 'a') AS nb_ajoutes,
+         count(*) FILTER (class = 'u') AS nb_mis_a_jour FROM classes GROUP BY 1)
+SELECT CAST(version AS BIGINT) AS version, nb_nouveaux, nb_ajoutes, nb_mis_a_jour,
+  CASE WHEN version = 1 THEN nb_ajoutes ELSE (SELECT count(*) FROM log WHERE fresh AND uid IS NULL)
+    + (SELECT count(*) FROM latest l LEFT JOIN newest k ON k.uid = l.uid WHERE k.uid IS NULL OR k.payload <> l.payload) END AS changed FROM n"""
+
+_CURSORS = """WITH pages AS (SELECT c_custkey // 20 AS page, count(*) AS n, max(c_custkey) AS top FROM customer GROUP BY 1),
+ends AS (SELECT *, max(page) OVER () AS last, page * 3 // (max(page) OVER () + 1) AS part FROM pages),
+taken AS (SELECT part + 1 AS seq, * FROM ends UNION ALL SELECT 4, * FROM ends WHERE part = 0),
+saved AS (
+  SELECT seq, sum(n) AS n, max(last) + 1 AS total,
+         CASE WHEN max(page) < max(last) THEN (max(page) + 1) || ',' || max(top) END AS after FROM taken GROUP BY seq)
+SELECT CAST(seq AS BIGINT) AS seq, after AS curseur_after, CAST(n AS INTEGER) AS nb_agendas_session, CAST(total AS INTEGER) AS total_agendas_api,
+       after IS NULL AS fin_de_liste, (SELECT after FROM saved ORDER BY seq DESC LIMIT 1) AS next_after FROM saved"""
+
+_TOP_CITIES = "(SELECT string_agg(ville || ':' || n, '|' ORDER BY n DESC, ville) FROM (SELECT ville, count(*) AS n FROM clean GROUP BY ville ORDER BY n DESC, ville LIMIT {}))"
+
+_FILLED = ", ".join(
+    f"printf('%.1f', {_rate(_visible(c))}) || '%' AS {c}" for c in [x.strip() for x in _COLUMNS.split(",")] + ["texte_complet"]
+)
+
 ORACLES = {
+    "corpus_prompts": _CORPUS_PROMPTS,
+    "answer_batch": f"""{_ANSWERED} SELECT query_id, answer, CAST(NULL AS VARCHAR) AS answer_error, CAST(n AS INTEGER) AS nb_events_retrieved,
+        CAST(n AS INTEGER) AS nb_events_used, 'first-lines' AS model, 0.3::DOUBLE AS temperature, sources FROM answers""",
+    "answer_run": f"""{_ANSWERED} SELECT query_id, (SELECT count(*) FROM asked) AS nb_asked, (SELECT count(*) FROM answers) AS nb_found,
+        (SELECT CAST(sum(n) AS BIGINT) FROM answers) AS nb_hits, CAST(0 AS BIGINT) AS nb_failed, true AS adds_up FROM answers""",
+    "golden_evaluation": _EVALUATED,
+    "embed_features": f"WITH {_DOCUMENT_VECTORS} SELECT id, array_to_string(v, ',') AS embedding, words AS tokens, digest AS text_digest FROM embedded",
+    "array_files": """SELECT doc_id, md5(text) AS text, lang || ' ],[{"' AS more FROM documents""",
+    "resumed_cursor": _CURSORS,
+    "compacted_table": _STREAMED,
+    "merge_changes": _CHANGED,
+    "replayed_batches": """SELECT v AS version, n AS nb_nouveaux, CASE WHEN v = 1 THEN 0 ELSE n END AS nb_avant_fusion, n AS nb_apres_fusion,
+        CASE WHEN v = 1 THEN n ELSE 0 END AS nb_ajoutes, CAST(0 AS BIGINT) AS nb_mis_a_jour, CASE WHEN v = 1 THEN 0 ELSE n END AS nb_doublons,
+        CASE WHEN v = 1 THEN n ELSE 0 END AS changed, CASE WHEN v > 1 THEN CAST(1 AS BIGINT) END AS rejoue
+        FROM (SELECT count(*) AS n FROM customer), range(1, 6) r(v)""",
+    "list_versions": """SELECT 'processed' AS kind, r_name AS fichier, CAST(row_number() OVER (ORDER BY r_name DESC) AS INTEGER) AS place,
+        true AS filled FROM region UNION ALL SELECT 'raw', 'version=' || lpad(v::VARCHAR, 10, '0'), CAST(row_number() OVER (ORDER BY v DESC) AS INTEGER), true
+        FROM (SELECT DISTINCT CASE WHEN coalesce(ts >= TIMESTAMP '2024-01-16', true) THEN 2 ELSE 1 END AS v FROM events)""",
+    "knn_lsh_full": _KNN,
+    "knn_known_only": _knn(
+        select="query_id, CAST(rank AS INTEGER) AS rank, hits.vec_id, round(d, 4) AS distance, label",
+        tail="JOIN embeddings e ON e.vec_id = hits.vec_id WHERE label < 5",
+    ),
+    "index_failed_append": f"""WITH {_PAIRS},
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, vec_id) AS rank FROM pairs WHERE vec_id % 2 = 0)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, round(d, 4) AS distance, 'titre' AS titre FROM ranked WHERE rank <= 5""",
+    "index_published": _knn(
+        select="query_id, CAST(rank AS INTEGER) AS rank, hits.vec_id, round(d, 4) AS distance, label",
+        tail="JOIN embeddings e ON e.vec_id = hits.vec_id",
+    ),
     "knn_flat_l2": _KNN,
     "knn_flat_blocks": _KNN,
     "knn_ivf_full_probe": _KNN,
@@ -312,15 +444,14 @@ ORACLES = {
         CAST(trunc(avg(length(texte_complet))) AS INTEGER) AS longueur_moyenne_texte_complet,
         CAST({_rate("categories <> ''")} AS DOUBLE) AS taux_avec_categories,
         CAST({_rate("description_longue <> ''")} AS DOUBLE) AS taux_avec_description_longue,
-        CAST({_rate("date_debut <> ''")} AS DOUBLE) AS taux_avec_date_debut, CAST({_rate("url <> ''")} AS DOUBLE) AS taux_avec_url FROM clean""",
-    "statistics_document": f"""WITH {_CLEAN} SELECT count(*) AS nombre_evenements, 12 AS nb_colonnes,
-        CAST(least(20, count(DISTINCT ville)) AS INTEGER) AS nb_villes,
-        printf('%.1f', {_rate(_visible('adresse'))}) || '%' AS adresse,
+        CAST({_rate("date_debut <> ''")} AS DOUBLE) AS taux_avec_date_debut, CAST({_rate("url <> ''")} AS DOUBLE) AS taux_avec_url,
+        {_TOP_CITIES.format(10)} AS top_villes FROM clean""",
+    "statistics_document": f"""WITH {_CLEAN} SELECT count(*) AS nombre_evenements, '{_COLUMNS.replace(" ", "")},texte_complet' AS colonnes, {_FILLED},
         CAST(min(length(description)) AS INTEGER) AS description_min, CAST(max(length(description)) AS INTEGER) AS description_max,
         CAST(trunc(avg(length(description))) AS INTEGER) AS description_moyenne,
         CAST(min(length(texte_complet)) AS INTEGER) AS texte_complet_min, CAST(max(length(texte_complet)) AS INTEGER) AS texte_complet_max,
         CAST(trunc(avg(length(texte_complet))) AS INTEGER) AS texte_complet_moyenne,
-        '100.0%' AS taux_avec_dates, '100.0%' AS taux_avec_url FROM clean""",
+        '100.0%' AS taux_avec_dates, '100.0%' AS taux_avec_url, {_TOP_CITIES.format(20)} AS villes_principales FROM clean""",
     "upsert_merge": f"WITH {_MERGED} SELECT uid, pos, payload FROM merged",
     "upsert_merge_by_content": f"""WITH {_MERGED} SELECT uid, count(*) AS n FROM merged WHERE uid IS NOT NULL GROUP BY uid
         UNION ALL SELECT NULL, count(*) FROM log WHERE uid IS NULL AND NOT fresh""",
@@ -344,12 +475,14 @@ ORACLES = {
     "landed_agendas": "SELECT CAST(c_custkey AS VARCHAR) AS uid, c_name AS title FROM customer WHERE c_custkey % 20 < 15",
     "landed_cursor": """SELECT CAST(max(c_custkey) // 20 + 1 AS VARCHAR) || ',' || max(c_custkey) AS curseur_after,
         CAST(count(*) AS INTEGER) AS nb_agendas_session, CAST(count(*) AS INTEGER) AS total_agendas_api FROM customer""",
-    "vector_table_roundtrip": "SELECT doc_id AS id, sha256(text) AS text_digest, 64 AS dimension FROM documents",
+    "vector_table_roundtrip": "SELECT doc_id AS id, sha256(text) AS text_digest, 32 AS dimension FROM documents",
     "stream_upsert": _STREAMED,
     "stream_journal": _STREAM_JOURNAL,
-    "embed_hash": "SELECT doc_id AS id, 64 AS dimension, CAST(NULL AS VARCHAR) AS embed_error FROM documents",
-    "embedding_stats": """SELECT count(*) AS total_events, CAST(0 AS BIGINT) AS errors, 64 AS batch_size, 64 AS dimension,
-        count(*) AS nombre_embeddings, 'hashing' AS modele FROM documents""",
+    "embed_hash": f"""WITH {_DOCUMENT_VECTORS} SELECT id, array_to_string(v, ',') AS embedding, words AS tokens, CAST(NULL AS VARCHAR) AS embed_error
+        FROM embedded""",
+    "embedding_stats": f"""WITH {_DOCUMENT_VECTORS} SELECT count(*) AS total_events, CAST(sum(words) AS BIGINT) AS total_tokens, 2.0::DOUBLE AS total_time,
+        2.0 / count(*) AS temps_moyen, CAST(0 AS BIGINT) AS errors, 64 AS batch_size, 32 AS dimension, count(*) AS nombre_embeddings,
+        'hashing' AS modele FROM embedded""",
     "embed_errors": f"""SELECT doc_id AS index, {_excerpt('text')} AS texte, 'refused' AS erreur FROM documents WHERE contains(text, '1')""",
     "embed_incremental": """SELECT d.doc_id AS id, CASE WHEN l.doc_id IS NULL THEN 2 ELSE 1 END AS dimension,
         CASE WHEN l.doc_id IS NULL THEN CAST(length(text) AS INTEGER) ELSE 0 END AS last

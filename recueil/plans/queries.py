@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recueil.functions import text as T
@@ -141,8 +142,8 @@ def knn_flat_ip(spark, folder):
 
 @query
 def knn_flat_blocks(spark, folder):
-    """The way taken by question tables too large to send to every task."""
-    return _rounded(build_index(_vectors(spark, folder)).search(_asked(spark, folder), 5, question_limit=0))
+    """The way taken by question tables too large to send to every task: waves."""
+    return _rounded(build_index(_vectors(spark, folder)).search(_asked(spark, folder), 5, question_limit=1 << 18))
 
 
 @query
@@ -182,6 +183,23 @@ def knn_lsh_recall(spark, folder):
     return _recall(spark, folder, build_index(_vectors(spark, folder), "lsh", bucket_length=0.1, tables=16))
 
 
+@query
+def knn_lsh_full(spark, folder):
+    """A hashed index with its buckets stored; probing all of them is exact search."""
+    path = shared_dir(spark, "index")
+    tables.save_index(build_index(_vectors(spark, folder).drop("label"), "lsh", bucket_length=0.5, tables=2), path)
+    # Vectors have length 1, so no bucket is further away than four.
+    return _rounded(tables.load_index(spark, path).search(_asked(spark, folder), 5, nprobe=9))
+
+
+@query
+def knn_known_only(spark, folder):
+    """Hits whose metadata are missing are left out."""
+    vectors = _vectors(spark, folder)
+    known = vectors.filter("label < 5").select("vec_id", "label")
+    return _rounded(build_index(vectors.drop("label"), metadata=known).search_with_metadata(_asked(spark, folder), 5), "label")
+
+
 @query
 def pair_distances(spark, folder):
     """Distance of every vector to the one with the next id, as expressions."""
@@ -214,6 +232,35 @@ def index_roundtrip(spark, folder):
     return _rounded(tables.load_index(spark, path).search(_asked(spark, folder), 5, nprobe=16))
 
 
+@query
+def index_failed_append(spark, folder):
+    """An append whose metadata cannot be written leaves the index as it was."""
+    vectors = _vectors(spark, folder).drop("label")
+    old, new = (vectors.filter(f"vec_id % 2 = {i}") for i in (0, 1))
+    path = shared_dir(spark, "index")
+    tables.save_index(build_index(old, metadata=old.select("vec_id", F.lit("titre").alias("titre"))), path)
+    lost = new.select("vec_id", F.raise_error(F.lit("lost")).cast("string").alias("titre"))
+    try:
+        tables.append_to_index(spark, path, new, lost)
+    except PySparkException as error:
+        if "lost" not in str(error):
+            raise
+    return _rounded(tables.load_index(spark, path).search_with_metadata(_asked(spark, folder), 5), "titre")
+
+
+@query
+def index_published(spark, folder):
+    """Vectors merged with those that came apart from their metadata, the index
+    rebuilt, published and searched."""
+    vectors = _vectors(spark, folder).withColumnRenamed("vec_id", "id")
+    root, fresh = shared_dir(spark, "published"), vectors.filter("label >= 5")
+    first = vectors.filter("label < 5").withColumnRenamed("id", "vec_id")
+    tables.save_index(build_index(first), f"{root}/vectorstore/versions/0001")
+    corpus.publish(spark, root, "0001")
+    corpus.integrate_vectors(spark, vectors.filter("label < 5"), fresh.drop("label"), fresh.select("id", "label"), root, "0002")
+    return _rounded(corpus.published_index(spark, root).search_with_metadata(_asked(spark, folder), 5), "label")
+
+
 @query
 def index_stats(spark, folder):
     vectors = _vectors(spark, folder)
@@ -438,17 +485,23 @@ def fill_rates_not_empty(spark, folder):
     return P.fill_rates(_partly_labelled(spark, folder), rule="not_empty")
 
 
+def _entries(counts: Column) -> Column:
+    """A map of counts as text, in its order."""
+    return F.array_join(F.transform(F.map_entries(counts), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))), "|")
+
+
 @query
 def corpus_summary(spark, folder):
-    return P.summary(_clean(spark, folder)).drop("top_villes")
+    summary = P.summary(_clean(spark, folder))
+    return summary.withColumn("top_villes", _entries(F.col("top_villes")))
 
 
 @query
 def statistics_document(spark, folder):
     document = P.statistics_document(_clean(spark, folder).drop("seq"))
     return document.select(
-        "nombre_evenements", F.size("colonnes").alias("nb_colonnes"), F.size("villes_principales").alias("nb_villes"),
-        "completude.adresse", "statistiques_texte.*", "taux_avec_dates", "taux_avec_url",
+        "nombre_evenements", F.array_join("colonnes", ",").alias("colonnes"), "completude.*", "statistiques_texte.*",
+        "taux_avec_dates", "taux_avec_url", _entries(F.col("villes_principales")).alias("villes_principales"),
     )
 
 
@@ -569,6 +622,44 @@ def landed_cursor(spark, folder):
     return cursor.withColumn("curseur_after", F.array_join(F.col("curseur_after").cast("array<string>"), ","))
 
 
+@query
+def array_files(spark, folder):
+    """Documents as array files of five thousand, cut at the borders of elements."""
+    element = F.struct("doc_id", "text", F.array("lang", F.lit('],[{"')).alias("more"))
+    page = F.floor(F.col("doc_id") / 5000).alias("page")
+    arrays = _table(spark, folder, "documents").groupBy(page).agg(F.to_json(F.collect_list(element)).alias("value"))
+    path = shared_dir(spark, "landing")
+    arrays.write.partitionBy("page").text(path)
+    parsed = F.from_json("payload", "doc_id BIGINT, text STRING, more ARRAY<STRING>").alias("e")
+    return landing.raw_arrays(spark, path).select(parsed).select(
+        "e.doc_id", F.md5("e.text").alias("text"), F.array_join("e.more", " ").alias("more")
+    )
+
+
+@query
+def resumed_cursor(spark, folder):
+    """Agenda pages landed in four collections: three go through the list, which
+    ends with the third; the fourth begins anew.  The stream stops in between and
+    goes on where its cursor is."""
+    base, customers = shared_dir(spark, "cursor"), _table(spark, folder, "customer")
+    page = F.floor(F.col("c_custkey") / landing.AGENDAS_PER_PAGE)
+    last = customers.agg(F.max(page)).first()[0]
+    agenda = F.struct(F.col("c_custkey").cast("string").alias("uid"), F.col("c_name").alias("title"))
+    # A page has twenty agendas.
+    listed = customers.groupBy(page.alias("page")).agg(F.collect_list(agenda).alias("agendas"), F.max("c_custkey").alias("at"))
+    body = F.struct("agendas", F.when(F.col("page") < last, F.array(F.col("page") + 1, "at")).alias("after"), F.lit(last + 1).alias("total"))
+    for collection in (0, 1, 2, 0):
+        part = listed.filter(F.floor(F.col("page") * 3 / (last + 1)) == collection).repartitionByRange("page").sortWithinPartitions("page")
+        part.select(F.to_json(body)).write.mode("append").text(f"{base}/landing")
+        collect.follow_agenda_pages(spark, f"{base}/landing", f"{base}/root", f"{base}/checkpoint", 1000).awaitTermination()
+    resumed = versions.resume_from(spark, f"{base}/root")
+    after = F.array_join(F.col("curseur_after").cast("array<string>"), ",")
+    return versions.cursors(spark, f"{base}/root").select(
+        "seq", after.alias("curseur_after"), "nb_agendas_session", "total_agendas_api", "fin_de_liste",
+        F.lit(",".join(map(str, resumed or []))).alias("next_after"),
+    )
+
+
 def _landed(spark, folder, path: str, half: Column) -> None:
     event = F.to_json(F.struct(F.when(F.col("event_type") != "error", F.col("user_id").cast("string")).alias("uid"), "event_type"))
     log = _table(spark, folder, "events").filter(half)
@@ -583,7 +674,7 @@ def stream_upsert(spark, folder):
     early = F.coalesce(F.col("ts") < F.lit("2024-01-16").cast("timestamp"), F.lit(False))
     for half in (early, ~early):
         _landed(spark, folder, f"{base}/landing", half)
-        collect.merge_lines(spark, f"{base}/landing", f"{base}/root", f"{base}/checkpoint", buckets=8).awaitTermination()
+        collect.merge_lines(spark, f"{base}/landing", f"{base}/root", f"{base}/checkpoint").awaitTermination()
     return versions.current(spark, f"{base}/root").select(
         "uid", F.col("pos.version").alias("version"), F.get_json_object("payload", "$.event_type").alias("event_type")
     )
@@ -596,40 +687,104 @@ def stream_journal(spark, folder):
     early = F.coalesce(F.col("ts") < F.lit("2024-01-16").cast("timestamp"), F.lit(False))
     for half in (early, ~early):
         _landed(spark, folder, f"{base}/landing", half)
-        collect.merge_lines(spark, f"{base}/landing", f"{base}/root", f"{base}/checkpoint", buckets=8).awaitTermination()
+        collect.merge_lines(spark, f"{base}/landing", f"{base}/root", f"{base}/checkpoint").awaitTermination()
     return versions.journal(spark, f"{base}/root").select(
         "version", "nb_nouveaux", "nb_avant_fusion", "nb_apres_fusion", "nb_ajoutes", "nb_mis_a_jour", "nb_doublons"
     )
 
 
+def _halves(spark, folder) -> list[DataFrame]:
+    """Events of the first half of the month and the others, as raw events."""
+    event = F.to_json(F.struct(F.when(F.col("event_type") != "error", F.col("user_id").cast("string")).alias("uid"), "event_type"))
+    early = F.coalesce(F.col("ts") < F.lit("2024-01-16").cast("timestamp"), F.lit(False))
+    log = _table(spark, folder, "events")
+    return [log.filter(half).select(event.alias("payload"), F.col("event_id").alias("seq")) for half in (early, ~early)]
+
+
+@query
+def compacted_table(spark, folder):
+    """Two merges, the second appended as changes, and the state compacted."""
+    root = shared_dir(spark, "merge")
+    for half in _halves(spark, folder):
+        versions.integrate(spark, root, half, bucket_rows=1000, compacting=False)
+    versions.compact(spark, root, 1000)
+    return versions.current(spark, root).select(
+        "uid", F.col("pos.version").alias("version"), F.get_json_object("payload", "$.event_type").alias("event_type")
+    )
+
+
+@query
+def merge_changes(spark, folder):
+    """How many rows each merge writes: those that change and no others."""
+    root = shared_dir(spark, "merge")
+    for half in _halves(spark, folder):
+        versions.integrate(spark, root, half, compacting=False)
+    return versions.journal(spark, root).select("version", "nb_nouveaux", "nb_ajoutes", "nb_mis_a_jour", "changed")
+
+
+@query
+def replayed_batches(spark, folder):
+    """One batch merged five times: the replays add and change nothing."""
+    root, customers = shared_dir(spark, "replay"), _table(spark, folder, "customer")
+    payload = F.to_json(F.struct(F.col("c_name").alias("uid"), "c_mktsegment"))
+    batch = customers.select(payload.alias("payload"), F.col("c_custkey").alias("seq"))
+    for _ in range(5):
+        versions.integrate(spark, root, batch)
+    return versions.journal(spark, root).select(
+        "version", "nb_nouveaux", "nb_avant_fusion", "nb_apres_fusion", "nb_ajoutes", "nb_mis_a_jour", "nb_doublons", "changed", "rejoue"
+    )
+
+
 @query
 def list_versions(spark, folder):
+    """Versions of raw and processed data in the order they are listed; hidden
+    ones do not count."""
     base = shared_dir(spark, "versions")
-    events = raw_events(spark, folder)
-    versions.integrate(spark, base, events, buckets=8)
-    versions.integrate(spark, base, events, buckets=8)
-    return versions.list_versions(spark, base).select("fichier", "taille_ko")
+    for half in _halves(spark, folder):
+        versions.integrate(spark, base, half)
+    customers, nations = _table(spark, folder, "customer"), _table(spark, folder, "nation")
+    placed = customers.join(nations, customers.c_nationkey == nations.n_nationkey)
+    for region in _table(spark, folder, "region").collect():  # five rows
+        for name in (region["r_name"], f"_{region['r_name']}"):
+            placed.filter(F.col("n_regionkey") == region["r_regionkey"]).write.parquet(f"{base}/processed/versions/{name}")
+    listed = [
+        (kind, row["fichier"], place + 1, row["taille_ko"] > 0)
+        for kind in ("raw", "processed") for place, row in enumerate(versions.list_versions(spark, base, kind).collect())
+    ]
+    return spark.createDataFrame(listed, "kind STRING, fichier STRING, place INT, filled BOOLEAN")
 
 
 # --------------------------------------------------------------- embedding
 
 
+DIMENSION = 32
+
+
 def _embedded(spark, folder) -> DataFrame:
     documents = _table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text", "source")
-    return E.embed(documents, E.hashing_embedder(64), "text", batch_size=64)
+    return E.embed(documents, E.feature_embedder(DIMENSION), "text", batch_size=64)
+
+
+def _numbers(vector: str) -> Column:
+    return F.array_join(F.transform(vector, lambda x: x.cast("int").cast("string")), ",")
 
 
 @query
 def embed_hash(spark, folder):
-    """Documents with their vectors, shown by size and token count."""
-    return _embedded(spark, folder).select("id", F.size("embedding").alias("dimension"), "embed_error")
+    """Documents with their vectors and token counts, by a function."""
+    return _embedded(spark, folder).select("id", _numbers("embedding").alias("embedding"), "tokens", "embed_error")
+
+
+@query
+def embed_features(spark, folder):
+    """The same in native expressions."""
+    documents = _table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
+    return E.embed_features(documents, "text", DIMENSION).select("id", _numbers("embedding").alias("embedding"), "tokens", "text_digest")
 
 
 @query
 def embedding_stats(spark, folder):
-    return E.embedding_stats(_embedded(spark, folder), 64, "hashing").select(
-        "total_events", "errors", "batch_size", "dimension", "nombre_embeddings", "modele"
-    )
+    return E.embedding_stats(_embedded(spark, folder), 64, "hashing", 2.0)
 
 
 @query
@@ -705,8 +860,9 @@ def _first_lines(prompts: list[str]) -> list[str]:
 
 
 def _document_index(spark, folder):
-    documents = _embedded(spark, folder).select(F.col("id").alias("vec_id"), "embedding", "embed_error")
-    return build_index(settled(documents), dimension=64, metadata=_described(spark, folder))
+    documents = _table(spark, folder, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    vectors = settled(E.embed_features(documents, "text", DIMENSION).select("vec_id", "embedding"))
+    return build_index(vectors, dimension=DIMENSION, metadata=_described(spark, folder))
 
 
 @query
@@ -714,19 +870,32 @@ def answer_batch(spark, folder):
     """Every benchmark text asked against every document, end to end."""
     questions = _table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
     options = A.AnswerOptions(model="first-lines")
-    return A.answer(questions, _document_index(spark, folder), E.hashing_embedder(64), _first_lines, options).select(
-        "query_id", "answer", "nb_events_retrieved", "nb_events_used", "model", "temperature",
-        F.transform("source_events", lambda hit: hit["vec_id"]).alias("sources"),
+    return A.answer(questions, _document_index(spark, folder), E.feature_embedder(DIMENSION), _first_lines, options).select(
+        "query_id", "answer", "answer_error", "nb_events_retrieved", "nb_events_used", "model", "temperature",
+        F.array_join(F.transform("source_events", lambda hit: hit["vec_id"].cast("string")), ",").alias("sources"),
     )
 
 
+@query
+def answer_run(spark, folder):
+    """Counts and times of a run of answers: the times of both halves add up."""
+    questions = _table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
+    timed = A.timed_answer(questions, _document_index(spark, folder), E.feature_embedder(DIMENSION), _first_lines)
+    halves = F.col("timing.retrieval_ms") + F.col("timing.generation_ms")
+    near = F.abs(halves - F.col("timing.total_ms")) < 0.1
+    return timed.select("query_id", "run.*", (near & (F.col("timing.retrieval_ms") > 0)).alias("adds_up"))
+
+
 @query
 def golden_evaluation(spark, folder):
     """The evaluation questions asked against every document."""
     questions = V.evaluation_questions(spark).withColumn("query_id", F.xxhash64("question"))
-    answered = A.answer(questions, _document_index(spark, folder), E.hashing_embedder(64), _first_lines)
+    answered = A.answer(questions, _document_index(spark, folder), E.feature_embedder(DIMENSION), _first_lines)
     scored = V.evaluate_answers(questions.join(answered.drop("question"), "query_id"))
-    return scored.select("question_group", "question", "nb_events_retrieved", "recall", "count_met", "event_met")
+    return scored.select(
+        "question_group", "question", "answer", "nb_events_retrieved", "nb_found", F.round("recall", 4).alias("recall"), "count_met",
+        "event_met", "answer_type", "type_met",
+    )
 
 
 @query
@@ -761,8 +930,8 @@ def hit_at_k(spark, folder):
 def corpus_prompts(spark: SparkSession, folder: str) -> DataFrame:
     """Raw events cleaned, embedded, searched and turned into prompts."""
     clean = corpus.clean_corpus(raw_events(spark, folder), BASE_URL)
-    vectors = E.embed(clean, E.hashing_embedder(64), batch_size=64)
-    index = build_index(settled(corpus.as_index_input(vectors)), dimension=64)
+    vectors = E.embed_features(clean, dimension=DIMENSION)
+    index = build_index(settled(corpus.as_index_input(vectors)), dimension=DIMENSION)
     questions = _table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
-    embedded = A.embed_questions(questions, E.hashing_embedder(64))
+    embedded = A.embed_questions(questions, E.feature_embedder(DIMENSION))
     return A.grounded_prompts(embedded.drop("embedding"), A.retrieve(embedded, index, 5))

@@ -27,12 +27,15 @@ EVENT_PAGE = "agenda_uid STRING, events ARRAY<STRING>"
 JOURNAL = (
     "horodatage STRING, nb_nouveaux BIGINT, nb_avant_fusion BIGINT, nb_apres_fusion BIGINT, "
     "nb_ajoutes BIGINT, nb_mis_a_jour BIGINT, nb_doublons BIGINT, fichier_version STRING, "
-    "version BIGINT, source_id STRING, batch_id BIGINT, bucket_count INT, buckets ARRAY<INT>"
+    "version BIGINT, source_id STRING, batch_id BIGINT, changed BIGINT, empreinte STRING, rejoue BIGINT"
 )
 
+#: One finished compaction of the versioned table.
+BASE = "version BIGINT, bucket_count INT, rows BIGINT"
+
 CURSOR = (
     "curseur_after ARRAY<BIGINT>, nb_agendas_session INT, total_agendas_api INT, "
-    "horodatage STRING, fin_de_liste BOOLEAN, seq BIGINT"
+    "horodatage STRING, fin_de_liste BOOLEAN, seq BIGINT, source_id STRING, batch_id BIGINT"
 )
 
 #: Evaluation questions; every group uses some of the expectation columns.

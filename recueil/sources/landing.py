@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from recueil import schemas
+from recueil.sources import arrays
 
 # How much one collection run takes.
 AGENDAS_PER_PAGE = 20
@@ -20,21 +21,12 @@ EVENTS_PER_AGENDA = 30
 #: Parts a group is cut into where a limit is too large to apply early.
 GROUP_PARTS = 64
 
-#: An array file is parsed by a single task; larger ones must become JSON Lines.
-ARRAY_FILE_LIMIT = 256 << 20
-
 _PLACE = "value STRING, file STRUCT<place: STRING, path: STRING>, block BIGINT"
 
 
 def landed_file() -> Column:
-    """The file of a text row; files sort by name, numbers in it by value.
-
-    So page 10 comes after page 2, padded or not, and also after a copy of the
-    folder, which changes file times.
-    """
-    path = F.col("_metadata.file_path")
-    padded = F.regexp_replace(F.regexp_replace(path, r"(\d+)", "0000000000000000000$1"), r"0*(\d{20})(?!\d)", "$1")
-    return F.struct(padded.alias("place"), path.alias("path"))
+    """The file of a text row, sortable (see :func:`arrays.file_order`)."""
+    return arrays.file_order(F.col("_metadata.file_path"))
 
 
 def source_order() -> Column:
@@ -67,18 +59,11 @@ def raw_arrays(spark: SparkSession, path: str) -> DataFrame:
     """Raw events of files that each hold one JSON array: ``payload, seq``.
 
     Content that is no array gives no rows; an element that is no object is
-    kept as text, so that it can be quarantined.
+    kept as text, so that it can be quarantined, and one that is no JSON is left
+    out.  A file of any size is cut into blocks that are read side by side (see
+    :mod:`recueil.sources.arrays`).
     """
-    try:
-        files = spark.read.format("binaryFile").load(path).select("path", "length")
-        largest = files.agg(F.max("length").alias("n")).first()["n"]
-    except AnalysisException:
-        largest = None
-    if largest and largest > ARRAY_FILE_LIMIT:
-        raise ValueError(f"array file of {largest} bytes in {path}; convert it to JSON Lines")
-    whole = _text(spark, path, wholetext=True)
-    items = whole.select("file", "block", F.explode(F.from_json("value", "array<string>")).alias("payload"))
-    return items.select("payload", source_order().alias("seq"))
+    return arrays.array_elements(spark, path)
 
 
 def pages(lines: DataFrame, schema: str) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from dataclasses import replace
+from functools import reduce
+
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from recueil import schemas
 from recueil.operators.embed import embedding_errors, embedding_stats
@@ -12,7 +15,11 @@ from recueil.operators.search import VectorIndex
 _CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 _CSV_OUT = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
-INDEX = "method STRING, dimension INT, bucket_length DOUBLE, tables INT, seed INT, has_centroids BOOLEAN, has_metadata BOOLEAN"
+#: A saved index: what it is, and the parts that belong to it.
+INDEX = (
+    "method STRING, dimension INT, bucket_length DOUBLE, tables INT, seed INT, has_centroids BOOLEAN, has_metadata BOOLEAN, "
+    "entry INT, parts ARRAY<INT>"
+)
 
 
 def read_clean_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -63,61 +70,107 @@ def write_vectors(embedded: DataFrame, path: str, position: str = "id", text: st
         errors.write.json(f"{path}/errors")
 
 
-def save_index(index: VectorIndex, path: str) -> None:
-    """Writes the index; clustered vectors are stored per cell.
+def _part(path: str, kind: str, part: int) -> str:
+    return f"{path}/{kind}/part={part:06d}"
+
+
+def _write_part(index: VectorIndex, path: str, part: int) -> None:
+    """Vectors, buckets and metadata of one part, overwriting what a lost run
+    left behind.
 
     The rebalance hint gives every cell few files and splits a large cell.
     """
-    vectors = index.vectors
+    writer = index.vectors.write
     if index.centroids is not None:
-        index.centroids.write.mode("errorifexists").parquet(f"{path}/centroids")
-        vectors.hint("rebalance", "cell").write.partitionBy("cell").parquet(f"{path}/vectors")
-    else:
-        vectors.write.mode("errorifexists").parquet(f"{path}/vectors")
+        writer = index.vectors.hint("rebalance", "cell").write.partitionBy("cell")
+    writer.mode("overwrite").parquet(_part(path, "vectors", part))
+    if index.buckets is not None:
+        placed = index.buckets.hint("rebalance", "part").sortWithinPartitions("part", "cell")
+        placed.write.mode("overwrite").partitionBy("part").parquet(_part(path, "buckets", part))
     if index.metadata is not None:
-        index.metadata.write.parquet(f"{path}/metadata")
+        index.metadata.write.mode("overwrite").parquet(_part(path, "metadata", part))
+
+
+def _manifest(spark: SparkSession, path: str, entry: int | None = None) -> Row:
+    """The newest entry of the manifest, or the one asked for."""
+    entries = spark.read.schema(INDEX).option("recursiveFileLookup", True).json(f"{path}/manifest")
+    if entry is not None:
+        entries = entries.filter(F.col("entry") == entry)
+    newest = entries.orderBy(F.desc("entry")).limit(1).collect()
+    if not newest:
+        raise FileNotFoundError(f"no index at {path}")
+    return newest[0]
+
+
+def _commit_index(index: VectorIndex, path: str, entry: int, parts: list[int]) -> None:
+    """Names the parts of the index in a new entry of the manifest.
+
+    Nothing written for it is seen before; an entry that another writer made in the
+    meantime is not overwritten but raises.
+    """
     facts = (
         index.method, index.dimension, index.bucket_length, index.tables, index.seed,
-        index.centroids is not None, index.metadata is not None,
+        index.centroids is not None, index.metadata is not None, entry, parts,
     )
-    index.spark.createDataFrame([facts], INDEX).coalesce(1).write.json(f"{path}/index")
-    load_index(index.spark, path).stats().write.json(f"{path}/stats")
+    one = index.spark.createDataFrame([facts], INDEX).coalesce(1)
+    one.write.mode("errorifexists").json(f"{path}/manifest/entry-{entry:06d}")
+    load_index(index.spark, path).stats().write.mode("overwrite").json(f"{path}/stats")
 
 
-def load_index(spark: SparkSession, path: str) -> VectorIndex:
-    """An index as saved; raises if there is none."""
-    facts = spark.read.schema(INDEX).json(f"{path}/index").first()
-    if facts is None:
-        raise FileNotFoundError(f"no index at {path}")
+def save_index(index: VectorIndex, path: str) -> None:
+    """Writes the index; clustered vectors are stored per cell, hashed ones with
+    their buckets.  It exists once its manifest is written."""
+    if index.centroids is not None:
+        index.centroids.write.mode("errorifexists").parquet(f"{path}/centroids")
+    _write_part(index, path, 1)
+    _commit_index(index, path, 1, [1])
+
+
+def load_index(spark: SparkSession, path: str, entry: int | None = None) -> VectorIndex:
+    """An index as saved, with all parts that were added to it, or as it was at an
+    earlier entry of its manifest; raises if there is none."""
+    facts = _manifest(spark, path, entry)
+
+    def parts(kind: str) -> DataFrame:
+        read = spark.read.option("basePath", f"{path}/{kind}")
+        return read.parquet(*[_part(path, kind, x) for x in facts["parts"]])
+
+    # The part of a bucket is that of its cell; the folder of the manifest is no column.
+    vectors = parts("vectors").drop("part")
+    buckets = None
+    if facts["method"] == "lsh":
+        each = [spark.read.parquet(_part(path, "buckets", x)) for x in facts["parts"]]
+        buckets = reduce(DataFrame.unionByName, each)
     return VectorIndex(
-        spark.read.parquet(f"{path}/vectors"),
+        vectors,
         facts["method"],
         facts["dimension"],
         spark.read.parquet(f"{path}/centroids") if facts["has_centroids"] else None,
-        spark.read.parquet(f"{path}/metadata") if facts["has_metadata"] else None,
+        parts("metadata").drop("part") if facts["has_metadata"] else None,
         facts["bucket_length"],
         facts["tables"],
         facts["seed"],
+        buckets,
     )
 
 
 def append_to_index(spark: SparkSession, path: str, vectors: DataFrame, metadata: DataFrame | None = None) -> None:
-    """Adds vectors to a saved index without rewriting it; its figures are
-    taken anew from what is stored."""
+    """Adds vectors to a saved index without rewriting it.
+
+    Vectors, buckets and metadata are written as a part of their own, which the
+    manifest then names.  An append that fails on the way leaves the index as it
+    was, and its part is overwritten by the next one.
+    """
+    facts = _manifest(spark, path)
     index = load_index(spark, path)
     # Only the new rows: the saved index without its vectors, plus the new ones.
-    empty = VectorIndex(
-        index.vectors.limit(0), index.method, index.dimension, index.centroids,
-        None if index.metadata is None else index.metadata.limit(0), index.bucket_length, index.tables, index.seed,
+    empty = replace(
+        index, vectors=index.vectors.limit(0), metadata=None if index.metadata is None else index.metadata.limit(0),
+        buckets=None if index.buckets is None else index.buckets.limit(0),
     )
-    fresh = empty.add(vectors, metadata)
-    writer = fresh.vectors.write.mode("append")
-    if index.centroids is not None:
-        writer = fresh.vectors.hint("rebalance", "cell").write.mode("append").partitionBy("cell")
-    writer.parquet(f"{path}/vectors")
-    if metadata is not None and fresh.metadata is not None:
-        fresh.metadata.write.mode("append").parquet(f"{path}/metadata")
-    load_index(spark, path).stats().write.mode("overwrite").json(f"{path}/stats")
+    part = facts["entry"] + 1
+    _write_part(empty.add(vectors, metadata), path, part)
+    _commit_index(index, path, part, [*facts["parts"], part])
 
 
 def with_current_text(events: DataFrame, vectors: DataFrame) -> DataFrame:

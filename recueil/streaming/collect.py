@@ -57,9 +57,12 @@ def merge_event_pages(
 
 
 def follow_agenda_pages(spark: SparkSession, path: str, root: str, checkpoint: str, files_per_batch: int = 1) -> StreamingQuery:
-    """Saves the cursor of every captured agenda page.
+    """Saves the cursor after every batch of captured agenda pages.
 
-    A page without agendas is no end of the list and leaves the cursor alone.
+    A cursor is committed once per batch, so a batch that is taken again after a
+    failure does not count twice.  A page without agendas is no end of the list
+    and leaves the cursor alone; a page with agendas and without a cursor ends
+    the list, and the next collection starts from the beginning.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -68,7 +71,8 @@ def follow_agenda_pages(spark: SparkSession, path: str, root: str, checkpoint: s
             return
         cursor = landing.next_cursor(page_rows).first()
         versions.write_cursor(
-            batch.sparkSession, root, cursor["curseur_after"], cursor["nb_agendas_session"], cursor["total_agendas_api"]
+            batch.sparkSession, root, cursor["curseur_after"], cursor["nb_agendas_session"], cursor["total_agendas_api"],
+            source_id=checkpoint, batch_id=batch_id,
         )
 
     return _run(_stream(spark, path, files_per_batch), handle, checkpoint)

@@ -40,22 +40,44 @@ def hits(df):
 
 
 @pytest.mark.parametrize("method, metric", [("flat_l2", "l2"), ("flat_ip", "ip")])
-@pytest.mark.parametrize("limit", [S.QUESTION_LIMIT, 0])
-def test_exact_search_equals_brute_force(vectors, questions, matrix, method, metric, limit, monkeypatch):
-    monkeypatch.setattr(S, "BLOCK_BYTES", 7 * 8 * 16)
+@pytest.mark.parametrize("limit", [S.QUESTION_LIMIT, 1500])
+def test_exact_search_equals_brute_force(vectors, questions, matrix, method, metric, limit):
     found = S.build_index(vectors, method).search(questions, 5, question_limit=limit)
     assert hits(found) == brute(matrix, matrix[:20] + np.float32(0.01), 5, metric)
 
 
-@pytest.mark.parametrize("limit", [S.QUESTION_LIMIT, 0])
+@pytest.mark.parametrize("limit", [S.QUESTION_LIMIT, 1500])
 @pytest.mark.parametrize("method", ["ivf", "lsh"])
-def test_approximate_search_can_be_exhaustive(vectors, questions, matrix, method, limit, monkeypatch):
-    monkeypatch.setattr(S, "BLOCK_BYTES", 7 * 8 * 16)
+def test_approximate_search_can_be_exhaustive(vectors, questions, matrix, method, limit):
     # One huge bucket per table, or every cell probed, is exact search.
     index = S.build_index(vectors, method, bucket_length=1e6, tables=3)
     assert hits(index.search(questions, 5, nprobe=100, question_limit=limit)) == brute(matrix, matrix[:20] + np.float32(0.01), 5)
 
 
+def test_hashed_search_probes_neighbouring_buckets(vectors, questions, matrix):
+    index = S.build_index(vectors, "lsh", bucket_length=0.3, tables=2)
+    exact = S.build_index(vectors).search(questions, 5)
+    recall = [V.recall_against(index.search(questions, 5, nprobe=n), exact).first()["recall"] for n in (1, 2, 4, 30)]
+    assert recall == sorted(recall) and recall[0] < recall[2] and recall[3] == 1.0
+    places = S.Projections(2, 1, 1.0, 1)
+    places.directions = np.array([[1.0], [0.0]])
+    assert places.nearest(np.array([[2.3, 9], [-0.2, 9]]), 4).tolist() == [[[2, 1, 3, 0]], [[-1, 0, -2, 1]]]
+
+
+def test_vectors_are_not_copied_for_many_questions(spark, matrix, path, questions):
+    """A wave scans the vectors in place: nothing but hits is exploded or shuffled."""
+    frame(spark, matrix).write.parquet(f"{path}/vectors")
+    vectors = spark.read.parquet(f"{path}/vectors")
+    index = S.build_index(vectors)
+    wave = S._Wave(questions.withColumn("cells", F.array(F.lit(0).cast("bigint"))).toArrow(), 16)
+    types = S.t.StructType([S.t.StructField("query_id", S.t.LongType()), S.t.StructField("vec_id", S.t.LongType()), S.t.StructField("distance", S.t.DoubleType())])
+    schema = S.pa.schema([("query_id", S.pa.int64()), ("vec_id", S.pa.int64()), ("distance", S.pa.float64())])
+    sent = vectors.sparkSession.sparkContext.broadcast(wave)
+    one = S._wave_hits(wave, sent, index.vectors.withColumn("cell", F.lit(0).cast("bigint")), None, 5, "l2", schema, types)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Exchange" not in plan and "Join" not in plan
+
+
 def test_recall_grows_with_probes(vectors, questions):
     exact = S.build_index(vectors).search(questions, 5)
     index = S.build_index(vectors, "ivf", nlist=6)
@@ -76,10 +98,9 @@ def test_more_hits_wanted_than_vectors(spark):
     assert index.search(frame(spark, [[0, 0]], schema="query_id long, embedding array<float>"), 5).count() == 2
 
 
-@pytest.mark.parametrize("limit", [S.QUESTION_LIMIT, 0])
-def test_copies_tie_by_id(spark, limit, monkeypatch):
+@pytest.mark.parametrize("limit", [S.QUESTION_LIMIT, 80])
+def test_copies_tie_by_id(spark, limit):
     """A third and more of the vectors are one and the same."""
-    monkeypatch.setattr(S, "BLOCK_BYTES", 500 * 8 * 2)
     copies = spark.range(3000).select((F.lit(5000) - F.col("id")).alias("vec_id"), F.array(F.lit(0.5), F.lit(0.5)).cast("array<float>").alias("embedding"))
     others = frame(spark, np.random.default_rng(1).random((400, 2)) + 5, 10_000)
     asked = frame(spark, [[0.5, 0.5], [0.4, 0.5], [5.5, 5.5]], schema="query_id long, embedding array<float>")
@@ -164,6 +185,27 @@ def test_saved_index(spark, vectors, questions, path, method):
         assert "PartitionFilters: [" in plan and "cell" in plan[plan.index("PartitionFilters: [") :][:200]
 
 
+@pytest.mark.parametrize("method", ["flat_l2", "ivf", "lsh"])
+def test_an_append_that_fails_leaves_the_index_as_it_was(spark, vectors, questions, path, method, monkeypatch):
+    head, tail = vectors.filter("vec_id < 40"), vectors.filter("vec_id >= 40")
+    titled = lambda df: df.select("vec_id", F.lit("t").alias("titre"))
+    tables.save_index(S.build_index(head, method, metadata=titled(head), nlist=4, bucket_length=1e6, tables=2), f"{path}/ix")
+    before = hits(tables.load_index(spark, f"{path}/ix").search(questions, 5, nprobe=4))
+    with monkeypatch.context() as broken:
+        # The vectors of the part are there, its entry is not.
+        broken.setattr(tables, "_commit_index", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            tables.append_to_index(spark, f"{path}/ix", tail.limit(3), titled(tail.limit(3)))
+    assert hits(tables.load_index(spark, f"{path}/ix").search(questions, 5, nprobe=4)) == before
+    tables.append_to_index(spark, f"{path}/ix", tail, titled(tail))
+    grown = tables.load_index(spark, f"{path}/ix")
+    assert grown.is_coherent() and grown.stats().first()["nombre_vecteurs"] == 60
+    assert hits(grown.search(questions, 5, nprobe=4)) == brute(np.array([r["embedding"] for r in vectors.orderBy("vec_id").collect()], np.float32), np.array([r["embedding"] for r in questions.orderBy("query_id").collect()], np.float32), 5)
+    assert hits(tables.load_index(spark, f"{path}/ix", entry=1).search(questions, 5, nprobe=4)) == before
+    with pytest.raises(FileNotFoundError):
+        tables.load_index(spark, f"{path}/ix", entry=9)
+
+
 def test_default_cells():
     assert [S.default_nlist(n) for n in (0, 9, 10, 405, 10_000, 10**10)] == [1, 1, 1, 40, 100, 10**5]
 
