@@ -48,8 +48,8 @@ TOP = 10
 SCALE_STEPS, SCALE_STEP = 3, 1000
 
 #: Words of a block, postings of a merge, and pairs of them that are added at a time.
-BLOCK = 2_000_000
-MERGED = 2_000_000
+BLOCK = 1_000_000
+MERGED = 1_000_000
 AT_A_TIME = 1 << 20
 
 #: Documents that are added to a block at a time.
@@ -215,7 +215,8 @@ def merged_runs(found: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 
 def frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``lang, source, term, tf, df`` of all terms."""
+    """``lang, source, term, tf, df`` of all terms; where a shard does not fit into
+    one merge, in several rows to be added."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -240,8 +241,7 @@ def frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
     # Rows of one run stay together, and sorted, on the way to their shard.
     named = runs(docs, text).withColumn("block", F.shiftleft(F.spark_partition_id().cast("bigint"), 32) + F.col("run"))
     dealt = named.repartition("lang", "term").sortWithinPartitions("block", "lang", "term")
-    merged = dealt.mapInArrow(merge, _FREQUENCY)
-    return merged.groupBy("lang", "source", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    return dealt.mapInArrow(merge, _FREQUENCY)
 
 
 def shares(count: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -382,9 +382,12 @@ def _corrections(kept: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _share(count, total):
-    """The share of a count as a column; null counts are 0."""
-    wide = (F.coalesce(count, F.lit(0)).cast("decimal(38,0)") + 2) * SCALE_STEP**SCALE_STEPS
-    return F.call_function("div", wide.cast("decimal(38,0)"), total.cast("decimal(38,0)")) + 1
+    """The share of a count as a column."""
+    scale = SCALE_STEP**SCALE_STEPS
+    wide = ((count.cast("decimal(38,0)") + 2) * scale).cast("decimal(38,0)")
+    # Most counts times the scale are 64-bit numbers.
+    narrow = F.call_function("div", (count.cast("bigint") + 2) * scale, total.cast("bigint"))
+    return F.when(count < (1 << 63) // scale - 2, narrow).otherwise(F.call_function("div", wide, total.cast("decimal(38,0)"))) + 1
 
 
 def _difference(p, q):
@@ -397,7 +400,8 @@ def divergence(docs: DataFrame, text: str = "text") -> DataFrame:
     found = stored(frequencies(named), "divergence_terms")
     terms = found.groupBy("lang", "term").agg(F.sum("tf").alias("all_tf"), F.sum("df").alias("df")).filter(F.col("df") >= LEAST)
     terms = stored(terms.drop("df"), "divergence_kept_terms")
-    kept = stored(found.drop("df").join(small(terms), ["lang", "term"]), "divergence_kept")
+    joined = found.drop("df").join(small(terms), ["lang", "term"])
+    kept = stored(joined.groupBy("lang", "term", "all_tf", "source").agg(F.sum("tf").alias("tf")), "divergence_kept")
 
     # One row per language and per group; everything below joins on these.
     langs = terms.groupBy("lang").agg(F.count("*").alias("v"), F.sum("all_tf").alias("lang_n"))
