@@ -249,10 +249,11 @@ class Plain:
             whole, n = counts.sum(), sum(counts[x] for x in every)
             if longest >= min(IN_A_ROW, whole) or n >= max(WINDOW, SHARE * whole):
                 items[row][item] = len(counts), len(every)
-        for item, signs in self.signs:
-            for row, text in enumerate(texts):
-                if signs in _inner(text):
-                    items[row][item] = 0, 0
+        if self.signs:
+            for row, text in enumerate(map(_inner, texts)):
+                for item, signs in self.signs:
+                    if signs in text:
+                        items[row][item] = 0, 0
         return items
 
 
@@ -268,6 +269,8 @@ class Block:
     item: np.ndarray
     place: np.ndarray
     plain: Plain
+    #: Whole items without blanks and case.
+    lines: set[str]
     keys: np.ndarray = field(init=False)
 
     def __post_init__(self):
@@ -297,6 +300,7 @@ def block(ids: list, texts: list[str]) -> Block:
     return Block(
         ids, code, words, sorted({x[0] for x in found}), np.array([x[1] for x in found], np.uint64),
         np.array([x[2] for x in found], np.int64), np.array([x[3] for x in found], np.int64), Plain(texts),
+        {_inner(x.casefold()) for x in texts},
     )
 
 
@@ -451,7 +455,12 @@ def decontaminated(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The documents in which no item is found, decided where they are read."""
+    """The documents in which no item is found, decided where they are read.
+
+    Items are found wherever they stand; a document goes if ``LEAST`` tokens of one
+    match, or if an item is a whole line of it.  An item of a word or two within a
+    sentence is reported by :func:`contaminated` and drops nothing.
+    """
     for bench in _blocks(benchmark, item, item_text, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(bench)
 
@@ -461,7 +470,9 @@ def decontaminated(
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
                 texts = batch.column(text)
-                keep[[i for i, _ in _found(texts.fill_null(""), known, powers, units)]] = False
+                for i, items in _found(texts.fill_null(""), known, powers, units):
+                    said = any(x[2] >= LEAST for x in items)
+                    keep[i] = not said and not any(_inner(x.casefold()) in known.lines for x in texts[i].as_py().split("\n"))
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -18,9 +18,8 @@ already connected are not compared again, so thousands of near copies cost about
 one comparison each.  Large tiles are salted.  A second round does the same in the
 tiles of other elements, with some classes for each component found so far.  Then classes
 go that have too few tiles in which different components remain, and each of these
-tiles is compared across them: by size band and bit counts, a pair in the tile of
-its first common element only, and the pairs left are intersected.  No link between
-different components can be missing after that.
+tiles is compared across them, by size band and bit counts; the distinct pairs left
+are intersected.  No link between different components can be missing after that.
 
 Defined results: a text without words has the empty set, no links and its own id
 as component; null ids are never the smallest id unless all are null; repeated
@@ -39,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as t
 
 from recueil.llm import rolling
-from recueil.llm.common import WORD, small, stored, whole_text
+from recueil.llm.common import WORD, scratch, small, stored, whole_text
 from recueil.llm.components import components
 
 WORDS = 5
@@ -352,9 +351,9 @@ def _undecided(rows: DataFrame) -> DataFrame:
 def _blocks(rows: DataFrame, members: DataFrame) -> DataFrame:
     """Rows of tiles in which different components meet, dealt to tasks.
 
-    A row carries its set size, bitmap and all its tokens in such tiles.  A tile
-    of more than ``TILE`` rows is cut into blocks; each pair of blocks meets in
-    a task.  ``rows`` has ``token, class, n, component``.
+    A row carries its set size and bitmap.  A tile of more than ``TILE`` rows is
+    cut into blocks; each pair of blocks meets in a task.  ``rows`` has ``token,
+    class, n, component``.
     """
     # Tiles with the same classes are one.
     names = [F.bit_xor(F.xxhash64("class", F.lit(i))).alias(f"_name{i}") for i in range(2)]
@@ -363,26 +362,24 @@ def _blocks(rows: DataFrame, members: DataFrame) -> DataFrame:
     ).filter(F.col("_low") != F.col("_high"))
     mixed = tiles.groupBy("_size", "_low", "_high", "_name0", "_name1").agg(F.min("token").alias("token"))
     open_ = stored(rows.join(mixed, "token").select("token", "class", "n", "component", "_size"), "jaccard_open")
-    tokens = open_.groupBy("class").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
     many = F.ceil(F.col("_size") / TILE).cast("int")
     mine = F.pmod(F.xxhash64("class"), many).cast("int")
     full = open_.withColumn("block", mine).withColumn("other", F.explode(F.sequence(F.lit(0), many - 1)))
-    full = full.join(tokens, "class").join(members.select("class", "bits"), "class")
+    full = full.join(members.select("class", "bits"), "class")
     return full.withColumns({"left": F.least("block", "other"), "right": F.greatest("block", "other")}).drop("_size", "other")
 
 
-def tile_pairs(token: int, rows: list[tuple], across: bool) -> Iterator[tuple[bytes, bytes]]:
+def tile_pairs(rows: list[tuple], across: bool) -> Iterator[tuple[bytes, bytes]]:
     """Pairs of a tile that may link: of different components and a common size
     band, with enough overlap by the bit counts.
 
-    ``rows``, by size: class, n, component, block, tokens, bits.  A pair counts
-    in the tile of its first common token only; ``across`` leaves out pairs
-    within a block.
+    ``rows``, by size: class, n, component, block, bits.  ``across`` leaves out
+    pairs within a block.
     """
     size = np.array([r[1] for r in rows])
     _, component = np.unique([r[2] for r in rows], return_inverse=True)
     block = np.array([r[3] for r in rows])
-    maps = [np.frombuffer(r[5], np.uint64) for r in rows]
+    maps = [np.frombuffer(r[4], np.uint64) for r in rows]
     width = np.array([len(x) for x in maps])
     place = np.zeros(len(rows), np.int64)
     matrix = {}
@@ -397,28 +394,24 @@ def tile_pairs(token: int, rows: list[tuple], across: bool) -> Iterator[tuple[by
             at = near[width[near] == w]
             bound = overlap_bound(size[i], folded(maps[i], w), size[at], matrix[w][place[at]])
             for j in at[bound >= needed(size[i], size[at])].tolist():
-                common = np.intersect1d(rows[i][4], rows[j][4], assume_unique=True)
-                if common[0] == token:
-                    yield rows[i][0], rows[j][0]
+                yield max(rows[i][0], rows[j][0]), min(rows[i][0], rows[j][0])
 
 
 def _pairs(dealt: DataFrame) -> DataFrame:
     """The pairs of all tiles, each once."""
-    names = ["class", "n", "component", "block", "tokens", "bits"]
+    names = ["class", "n", "component", "block", "bits"]
     where = ["token", "left", "right"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, rows = None, []
 
         def settle() -> list[tuple[bytes, bytes]]:
-            return list(tile_pairs(tile[0], rows, tile[1] != tile[2])) if len(rows) > 1 else []
+            return list(tile_pairs(rows, tile[1] != tile[2])) if len(rows) > 1 else []
 
         for batch in batches:
             out = []
             at = zip(*[batch.column(c).to_pylist() for c in where], strict=True)
-            columns = [batch.column(c).to_pylist() for c in names if c != "tokens"]
-            lists = batch.column("tokens")
-            columns.insert(4, [np.asarray(x.values) for x in lists])
+            columns = [batch.column(c).to_pylist() for c in names]
             for here, row in zip(at, zip(*columns, strict=True), strict=True):
                 if here != tile:
                     out += settle()
@@ -430,7 +423,8 @@ def _pairs(dealt: DataFrame) -> DataFrame:
             yield _edges(out)
 
     sorted_rows = dealt.repartition(*where).sortWithinPartitions(*where, "n", "class")
-    return sorted_rows.select(*where, *names).mapInArrow(run, _EDGES)
+    # Two classes may meet in several tiles.
+    return sorted_rows.select(*where, *names).mapInArrow(run, _EDGES).distinct()
 
 
 def _verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -454,6 +448,16 @@ def _named(rows: DataFrame, near: DataFrame | None) -> DataFrame:
     return joined.withColumn("component", F.coalesce("component", "class"))
 
 
+def _joined(near: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``node, component`` after more links: those and the stars found so far."""
+    links = stored(links, "jaccard_links")
+    if near is not None:
+        if links.isEmpty():
+            return near
+        links = links.unionByName(near.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
+    return components(links)
+
+
 def class_components(docs: DataFrame, listed: DataFrame, text: str = "text") -> DataFrame:
     """``node, component`` of classes that link with others."""
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(listed))
@@ -470,16 +474,13 @@ def class_components(docs: DataFrame, listed: DataFrame, text: str = "text") ->
     keyed = members.select("half", "class", "n")
 
     # In each round a class goes to the tile of one of its elements.
-    found = near = None
+    near = None
     token = F.col("token")
     for chosen in (F.min(token), F.max(token)):
         home = shared.groupBy("half").agg(chosen.alias("tile")).join(keyed, "half").select("tile", "class")
         dealt = stored(_met(_named(home, near)), "jaccard_homes")
-        if dealt.isEmpty():
-            continue
-        links = _linked_tiles(dealt.join(members.select("class", "n", "elements"), "class"))
-        found = stored(links if found is None else found.unionByName(links), "jaccard_links")
-        near = components(found)
+        if not dealt.isEmpty():
+            near = _joined(near, _linked_tiles(dealt.join(members.select("class", "n", "elements"), "class")))
 
     # What is left: tiles in which different components meet.
     rows = _named(shared.join(keyed, "half"), near).select("token", "class", "n", "component")
@@ -487,19 +488,17 @@ def class_components(docs: DataFrame, listed: DataFrame, text: str = "text") ->
         # Without the classes that go, fewer tiles are open.
         rows = _undecided(rows)
     possible = stored(_pairs(_blocks(rows, members)), "jaccard_pairs")
-    last = stored(_verified(possible, members), "jaccard_links")
-    if near is not None and last.isEmpty():
-        return near
-    return components(last if found is None else found.unionByName(last))
+    return _joined(near, _verified(possible, members))
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_shingles, class, component_id`` of every document."""
-    listed = stored(classes(docs, key, text), "jaccard_classes")
-    of_class = class_components(docs, listed, text)
-    rows = listed.filter("token IS NULL").select("key", "n_shingles", "class")
-    named = rows.join(of_class, F.col("class") == F.col("node"), "left").withColumn("component", F.coalesce("component", "class"))
-    named = stored(named.select("key", "n_shingles", "class", "component"), "jaccard_named")
+    with scratch(docs.sparkSession) as kept:
+        listed = stored(classes(docs, key, text), "jaccard_classes")
+        of_class = class_components(docs, listed, text)
+        rows = listed.filter("token IS NULL").select("key", "n_shingles", "class")
+        named = rows.join(of_class, F.col("class") == F.col("node"), "left").withColumn("component", F.coalesce("component", "class"))
+        named = kept(named.select("key", "n_shingles", "class", "component"), "jaccard_named")
     lowest = named.filter("component IS NOT NULL").groupBy("component").agg(F.min("key").alias("component_id"))
     joined = named.join(lowest, "component", "left")
     own = F.when(F.col("component").isNull(), F.col("key")).otherwise(F.col("component_id"))
@@ -511,20 +510,21 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     Documents without words all stay.
     """
-    listed = stored(classes(docs, key, text), "jaccard_classes")
-    of_class = class_components(docs, listed, text)
-    rows = listed.filter("token IS NULL AND class IS NOT NULL").select("key", "digest", "class")
-    named = rows.join(of_class, F.col("class") == F.col("node"), "left").withColumn("component", F.coalesce("component", "class"))
-    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "digest")).alias("first")
-    chosen = named.groupBy("component").agg(first).select(
-        F.col("first.key").alias("__key"), F.col("first.digest").alias("__digest"), F.lit(True).alias("__first")
-    )
+    with scratch(docs.sparkSession) as kept:
+        listed = stored(classes(docs, key, text), "jaccard_classes")
+        of_class = class_components(docs, listed, text)
+        rows = listed.filter("token IS NULL AND class IS NOT NULL").select("key", "digest", "class")
+        named = rows.join(of_class, F.col("class") == F.col("node"), "left").withColumn("component", F.coalesce("component", "class"))
+        first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "digest")).alias("first")
+        chosen = kept(named.groupBy("component").agg(first).select(
+            F.col("first.key").alias("__key"), F.col("first.digest").alias("__digest"), F.lit(True).alias("__first")
+        ), "jaccard_chosen")
     value = whole_text(text)
     marked = docs.withColumn("__text_digest", F.xxhash64(value))
     same = F.col(f"`{key}`").eqNullSafe(F.col("__key")) & (F.col("__text_digest") == F.col("__digest"))
     joined = marked.join(chosen, same, "left")
-    # Of rows equal in key and text one stays.
-    place = Window.partitionBy(f"`{key}`", "__text_digest").orderBy(F.lit(0))
     wordless = ~value.rlike(WORD)
-    first_row = joined.filter(F.col("__first") | wordless).withColumn("__row", F.row_number().over(place))
-    return first_row.filter((F.col("__row") == 1) | wordless).select(*docs.columns)
+    # Of rows equal in key and text one stays; those without words all do.
+    place = Window.partitionBy(f"`{key}`", "__text_digest").orderBy(F.lit(0))
+    first_row = joined.filter(F.col("__first") & ~wordless).withColumn("__row", F.row_number().over(place)).filter(F.col("__row") == 1)
+    return first_row.select(*docs.columns).unionByName(marked.filter(wordless).select(*docs.columns))

@@ -42,8 +42,8 @@ def op2_line_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    done = suffix_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
-    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    done = suffix_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"), as_text=True)
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("kept").alias("text"))
 
 
 @query
@@ -181,10 +181,37 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
 FROM ends
 """
 
-ORACLES["op8_url_filter"] = """
+def _reputations(tag: str, counted: str) -> str:
+    """CTEs up to ``low_<tag>``: host and the lower bound of its reputation, from
+    the outcomes of the pages for which ``counted`` holds."""
+
+    def strength(level: str) -> str:
+        more = "sum(n * pow(k / n - mean, 2) - mean * (1 - mean)) FILTER (WHERE n > 0) OVER ()"
+        free = "sum((n - 1) * mean * (1 - mean)) FILTER (WHERE n > 0) OVER ()"
+        return f"SELECT *, 1 / least(greatest(coalesce({more} / nullif({free}, 0), 0.5), 0.001), 0.9) - 1 AS m FROM {level}"
+
+    return f"""hosts_{tag} AS (
+    SELECT *, string_split(host, '.') AS labels,
+           CASE WHEN array_to_string(labels[-2:], '.') IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'com.br', 'co.in', 'co.nz') THEN 2 ELSE 1 END AS w,
+           array_to_string(labels[-w:], '.') AS suffix, array_to_string(labels[-(w + 1):], '.') AS domain
+    FROM (SELECT host, count(bad) FILTER ({counted}) AS n, count(*) FILTER (bad AND {counted}) AS k FROM outcomes GROUP BY host)
+),
+s0_{tag} AS (SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT (sum(k) + 0.5) / (sum(n) + 1.0) FROM hosts_{tag}) AS mean FROM hosts_{tag} GROUP BY suffix),
+s1_{tag} AS ({strength(f"s0_{tag}")}),
+d0_{tag} AS (
+    SELECT h.suffix, domain, sum(h.n) AS n, sum(h.k) AS k, any_value((s.k + s.mean * m) / (s.n + m)) AS mean
+    FROM hosts_{tag} h JOIN s1_{tag} s USING (suffix) GROUP BY h.suffix, domain
+),
+d1_{tag} AS ({strength(f"d0_{tag}")}),
+h0_{tag} AS (SELECT host, h.n, h.k, d.n AS dn, (d.k + d.mean * m) / (d.n + m) AS mean FROM hosts_{tag} h JOIN d1_{tag} d USING (suffix, domain)),
+h1_{tag} AS ({strength(f"h0_{tag}")}),
+low_{tag} AS (SELECT host, (k + mean * m) / (n + m) AS p, CASE WHEN dn > 0 THEN p - sqrt(p * (1 - p) / (n + m + 1)) ELSE 0 END AS low FROM h1_{tag})"""
+
+
+ORACLES["op8_url_filter"] = f"""
 WITH parts AS (
     SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-           regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+           regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path, md5(coalesce(url, ''))[1] < '3' AS held
     FROM pages
 ),
 ruled AS (
@@ -195,23 +222,18 @@ ruled AS (
         WHEN (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
     FROM parts
 ),
-outcomes AS (SELECT host, count(*) AS n, count(*) FILTER (rule IN ('net/', 'example.com/de/')) AS k FROM ruled GROUP BY host),
-hosts AS (
-    SELECT *, string_split(host, '.') AS labels,
-           CASE WHEN array_to_string(labels[-2:], '.') IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'com.br', 'co.in', 'co.nz') THEN 2 ELSE 1 END AS w,
-           array_to_string(labels[-w:], '.') AS suffix, array_to_string(labels[-(w + 1):], '.') AS domain
-    FROM outcomes
+outcomes AS (SELECT host, held, CASE WHEN rule IS NOT NULL THEN rule IN ('net/', 'example.com/de/') END AS bad FROM ruled),
+{_reputations("fit", "NOT held")},
+{_reputations("all", "true")},
+limits(x) AS (SELECT unnest([0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])::DOUBLE),
+verdicts AS (
+    SELECT x, count(*) FILTER (bad = (low > x)) AS good FROM limits LEFT JOIN (outcomes JOIN low_fit USING (host)) ON held AND bad IS NOT NULL GROUP BY x
 ),
-s0 AS (SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT (sum(k) + 0.5) / (sum(n) + 1.0) FROM hosts) AS mean FROM hosts GROUP BY suffix),
-s1 AS (SELECT *, 1 / least(greatest(coalesce(sum(n * pow(k / n - mean, 2) - mean * (1 - mean)) OVER () / nullif(sum((n - 1) * mean * (1 - mean)) OVER (), 0), 0.5), 0.001), 0.9) - 1 AS m FROM s0),
-d0 AS (SELECT h.suffix, domain, sum(h.n) AS n, sum(h.k) AS k, any_value((s1.k + s1.mean * m) / (s1.n + m)) AS mean FROM hosts h JOIN s1 USING (suffix) GROUP BY h.suffix, domain),
-d1 AS (SELECT *, 1 / least(greatest(coalesce(sum(n * pow(k / n - mean, 2) - mean * (1 - mean)) OVER () / nullif(sum((n - 1) * mean * (1 - mean)) OVER (), 0), 0.5), 0.001), 0.9) - 1 AS m FROM d0),
-h0 AS (SELECT host, h.n, h.k, (d1.k + d1.mean * m) / (d1.n + m) AS mean FROM hosts h JOIN d1 USING (suffix, domain)),
-h1 AS (SELECT *, 1 / least(greatest(coalesce(sum(n * pow(k / n - mean, 2) - mean * (1 - mean)) OVER () / nullif(sum((n - 1) * mean * (1 - mean)) OVER (), 0), 0.5), 0.001), 0.9) - 1 AS m FROM h0),
-low AS (SELECT host, (k + mean * m) / (n + m) AS p, p - 2 * sqrt(p * (1 - p) / (n + m + 1)) AS low FROM h1)
+chosen AS (SELECT x FROM verdicts ORDER BY good DESC, x DESC LIMIT 1)
 SELECT page_id, r.host, path, rule,
-       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' WHEN low > 0.5 THEN 'block' ELSE 'allow' END AS verdict
-FROM ruled r JOIN low USING (host)
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN low > (SELECT x FROM chosen) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled r JOIN low_all USING (host)
 """
 
 

@@ -21,7 +21,7 @@ is vectorised over all suffixes a task holds.  An anchor with very many differen
 surroundings (a passage that a large part of the corpus shares) is decided by
 counting digests of its windows instead, which needs no group in one task.
 
-Defined results: null text is empty; texts under 400 bytes lose nothing; of
+Defined results: null text is empty; texts under ``length`` bytes lose nothing; of
 texts that occur twice all copies lose everything; nothing is removed from an
 empty table; input columns stay, those named like a result are replaced.
 """
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as t
 
 from recueil.llm import rolling
-from recueil.llm.common import stored, whole_text
+from recueil.llm.common import scratch, stored, whole_text
 
 #: Bytes of a string that counts as repeated; grams that anchors are chosen from
 #: have a quarter of that.
@@ -352,36 +352,38 @@ def repeated_spans(docs: DataFrame, text: str = "text", surroundings: int = SURR
 def without_repeats(
     docs: DataFrame, text: str = "text", surroundings: int = SURROUNDINGS, as_text: bool = False, length: int = LENGTH
 ) -> DataFrame:
-    """All documents with ``n_bytes, n_removed, n_spans`` and ``kept``, the
-    remaining bytes; as text, without characters that were cut."""
+    """All documents with ``n_bytes, n_removed, n_spans, kept_sha256`` and ``kept``,
+    the remaining bytes; as text, without characters that were cut."""
     value = whole_text(text)
-    spans = stored(repeated_spans(docs, text, surroundings, length), "repeat_spans").withColumnRenamed("key", "__key")
-    copies = docs.groupBy(_text_key(value).alias("__key")).agg(F.count("*").alias("__copies")).filter("__copies > 1")
-    found = stored(spans.join(copies, "__key", "full"), "repeat_texts").withColumnRenamed("spans", "__spans")
+    with scratch(docs.sparkSession) as kept_table:
+        spans = stored(repeated_spans(docs, text, surroundings, length), "repeat_spans").withColumnRenamed("key", "__key")
+        copies = docs.groupBy(_text_key(value).alias("__key")).agg(F.count("*").alias("__copies")).filter("__copies > 1")
+        found = kept_table(spans.join(copies, "__key", "full"), "repeat_texts").withColumnRenamed("spans", "__spans")
     joined = docs.withColumn("__text_key", _text_key(value)).join(found, F.col("__text_key") == F.col("__key"), "left")
     joined = joined.withColumn("__raw", F.encode(value, "UTF-8")).drop("__text_key", "__key")
     own = ["n_bytes", "n_removed", "n_spans"]
-    columns = [c for c in docs.columns if c.lower() not in (*own, "kept")]
+    columns = [c for c in docs.columns if c.lower() not in (*own, "kept_sha256", "kept")]
     schema = t.StructType([
         *docs.select(*[f"`{c}`" for c in columns]).schema.fields, *[t.StructField(x, t.LongType()) for x in own],
-        t.StructField("kept", t.StringType() if as_text else t.BinaryType()),
+        t.StructField("kept_sha256", t.StringType()), t.StructField("kept", t.StringType() if as_text else t.BinaryType()),
     ])
     kind = pa.string() if as_text else pa.binary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, kept = ([], [], []), []
+            counts, digests, kept = ([], [], []), [], []
             for raw, spans, copies in zip(*[batch.column(x).to_pylist() for x in ("__raw", "__spans", "__copies")], strict=True):
                 if copies and len(raw) >= length:
                     spans = [{"from": 0, "upto": len(raw) - length + 1}]
                 ends = _merged([(s["from"], s["upto"] + length - 1) for s in spans or ()])
                 edges = [0, *[x for pair in ends for x in pair], len(raw)]
                 left = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                digests.append(hashlib.sha256(left).hexdigest())
                 kept.append(left.decode(errors="ignore") if as_text else left)
                 for column, x in zip(counts, (len(raw), len(raw) - len(left), len(ends)), strict=True):
                     column.append(x)
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in columns], *[pa.array(x, pa.int64()) for x in counts], pa.array(kept, kind)],
+                [*[batch.column(c) for c in columns], *[pa.array(x, pa.int64()) for x in counts], pa.array(digests, pa.string()), pa.array(kept, kind)],
                 names=schema.names,
             )
 

@@ -14,10 +14,10 @@ its own columns only, so other columns cannot clash.
 
 from __future__ import annotations
 
-import sys
-import types
+import hashlib
 import unicodedata
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as t
@@ -114,13 +114,16 @@ class _Counter:
         return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
-def _worker(path: str, make: Callable[[], _Counter]) -> _Counter:
-    """The counter of this Python worker, which outlives its tasks."""
-    name = "recueil_token_workers"
-    kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
-    if path not in kept:
-        kept[path] = make()
-    return kept[path]
+#: Counters of this Python worker, which outlives its tasks.
+_WORKERS: dict[tuple, _Counter] = {}
+
+
+def _worker(key: tuple, make: Callable[[], _Counter]) -> _Counter:
+    """The counter for a vocabulary and a pattern; the worker keeps the newest."""
+    if key not in _WORKERS:
+        _WORKERS.clear()
+        _WORKERS[key] = make()
+    return _WORKERS[key]
 
 
 def token_counts(
@@ -132,9 +135,10 @@ def token_counts(
     every executor, ``pattern`` the expression it cuts texts with.
     """
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_lengths(path))
+    digest = hashlib.sha256(Path(path).read_bytes()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _worker(path, lambda: _Counter(path, pattern, frequent.value))
+        count = _worker((path, digest, pattern), lambda: _Counter(path, pattern, frequent.value))
         for batch in batches:
             counts = pa.array([count(x.as_py()) for x in batch.column("__text")], pa.int64())
             yield pa.RecordBatch.from_arrays(

@@ -1,10 +1,17 @@
 """URL filters: rules for hosts and paths, and reputations of hosts.
 
 A url that fits a rule gets the verdict of the longest rule.  The others are
-judged by the reputation of their host: the share of its pages that rules block,
-shrunk by beta-binomial priors from the host to its registered domain, to its
-suffix, to all pages.  Only DataFrame functions are used.  By default pages that
-no rule fits count as not blocked; with ``ruled_only`` they do not count.
+judged by the reputation of their host: the share that rules block of its pages that
+fit a rule, shrunk by beta-binomial priors from the host to its registered domain, to
+its suffix, to all pages.  Pages that no rule fits have no outcome and do not count; a
+host without others has the prior of its domain.  Where the domain has no page with an
+outcome either, nothing is known and nothing blocked.
+
+The limit that the lower bound of a reputation must pass is chosen on held-out pages:
+those that fit a rule and whose url has a low digest.  Reputations of the others judge
+them, and of ``LIMITS`` the one with most right verdicts is taken, of equal ones the
+highest, which blocks least.  Then all pages with an outcome count.  Only DataFrame
+functions are used.
 
 Defined results: a null url or one without ``://`` has empty host and path, and
 fits no rule; repeated rows count as often as they occur; an empty table gives
@@ -42,9 +49,13 @@ RULES = [
 #: Suffixes of two labels below which domains are registered; others have one.
 LONG_SUFFIXES = ["co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.in", "co.nz"]
 
-#: A host is blocked if the lower bound of its posterior passes the limit.
-LIMIT = 0.5
-BOUND = 2.0
+#: Limits to choose from; a host is blocked if its posterior mean less ``BOUND``
+#: deviations passes the limit.
+LIMITS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
+BOUND = 1.0
+
+#: Urls whose MD5 begins with a digit below this are held out.
+HELD_OUT = "3"
 
 _PARTS = "://([^/?#]*)([^?#]*)"
 
@@ -87,7 +98,8 @@ def reputations(outcomes: DataFrame, long_suffixes: Sequence[str] = LONG_SUFFIXE
 
     On each level the groups' rates around their parent's posterior mean give,
     by moments, the strength of the prior; the child's posterior follows.
-    ``low`` is the posterior mean of a host less ``bound`` deviations.
+    ``low`` is the posterior mean of a host less ``bound`` deviations, 0 if the
+    whole domain has no page that counts.
     """
     counts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.count_if("bad").alias("k"))
     hosts = stored(counts.withColumns(_registered(long_suffixes)), "url_hosts")
@@ -98,7 +110,7 @@ def reputations(outcomes: DataFrame, long_suffixes: Sequence[str] = LONG_SUFFIXE
         if parents is None:
             groups = groups.withColumn("mean", F.lit(((total["k"] or 0) + 0.5) / ((total["n"] or 0) + 1.0)))
         else:
-            groups = groups.join(small(parents), up)
+            groups = groups.join(small(parents), up)  # adds mean and above
         groups = stored(groups, "url_level")
         chance = F.col("mean") * (1 - F.col("mean"))
         spread = groups.filter("n > 0").agg(
@@ -110,25 +122,39 @@ def reputations(outcomes: DataFrame, long_suffixes: Sequence[str] = LONG_SUFFIXE
         alpha = F.col("k") + F.col("mean") * strength
         beta = F.col("n") - F.col("k") + (1 - F.col("mean")) * strength
         shrunk = groups.withColumns({"alpha": alpha, "beta": beta})
-        parents, up = stored(shrunk.select(*keys, (F.col("alpha") / (F.col("alpha") + F.col("beta"))).alias("mean")), "url_prior"), keys
+        posterior = (F.col("alpha") / (F.col("alpha") + F.col("beta"))).alias("mean")
+        parents, up = stored(shrunk.select(*keys, posterior, F.col("n").alias("above")), "url_prior"), keys
     weight = F.col("alpha") + F.col("beta")
     mean = F.col("alpha") / weight
     deviation = F.sqrt(mean * (1 - mean) / (weight + 1))
-    return shrunk.select("host", "n", "k", mean.alias("reputation"), (mean - bound * deviation).alias("low"))
+    low = F.when(F.col("above") > 0, mean - bound * deviation).otherwise(0.0)
+    return shrunk.select("host", "n", "k", mean.alias("reputation"), low.alias("low"))
+
+
+def chosen_limit(outcomes: DataFrame, limits: Sequence[float] = LIMITS, bound: float = BOUND) -> float:
+    """The limit with most right verdicts on held-out pages; the highest without any.
+
+    ``outcomes`` has ``host, bad, held``.
+    """
+    fitted = reputations(outcomes.withColumn("bad", F.when(~F.col("held"), F.col("bad"))), bound=bound).select("host", "low")
+    held = outcomes.filter("held").groupBy("host").agg(F.count("bad").alias("n"), F.count_if("bad").alias("k")).filter("n > 0")
+    right = [F.sum(F.when(F.col("low") > x, F.col("k")).otherwise(F.col("n") - F.col("k"))) for x in limits]
+    counts = held.join(fitted, "host").agg(*[x.alias(f"at_{i}") for i, x in enumerate(right)]).first()
+    return max(zip([x or 0 for x in counts], limits, strict=True))[1]
 
 
 def judged(
-    pages: DataFrame, rules: Sequence[Rule] = RULES, url: str = "url", limit: float = LIMIT, bound: float = BOUND,
-    ruled_only: bool = False,
+    pages: DataFrame, rules: Sequence[Rule] = RULES, url: str = "url", limits: Sequence[float] = LIMITS, bound: float = BOUND,
 ) -> DataFrame:
-    """Adds ``host, path, rule, verdict`` to every page.
-
-    With ``ruled_only`` hosts are judged by pages that fit a rule alone."""
+    """Adds ``host, path, rule, verdict`` to every page."""
     ruled = with_parts(pages, url).withColumns(
         {"rule": longest_rule(rules, "name"), "verdict": longest_rule(rules, "verdict")}
     )
-    unruled = F.lit(None if ruled_only else False).cast("boolean")
-    outcomes = ruled.select("host", F.coalesce(F.col("verdict") == "block", unruled).alias("bad"))
+    digest = F.md5(F.coalesce(F.col(f"`{url}`"), F.lit("")))
+    outcomes = stored(
+        ruled.select("host", (F.col("verdict") == "block").alias("bad"), (F.substring(digest, 1, 1) < HELD_OUT).alias("held")), "url_outcomes"
+    )
+    limit = chosen_limit(outcomes, limits, bound)
     blocked = stored(
         reputations(outcomes, bound=bound).filter(F.col("low") > limit).select(F.col("host").alias("__host")), "url_blocked"
     )

@@ -21,6 +21,9 @@ def test_tokens_are_those_of_the_library(spark):
     assert [r["n_tokens"] for r in found] == [len(library.encode(x or "", add_special_tokens=False).ids) for x in texts]
     assert [r["n_bytes"] for r in found] == [len((x or "").encode()) for x in texts]
     assert token_counts.token_counts(docs.limit(0), path, names.PATTERN).count() == 0
+    # Another pattern in the same workers: every character by itself.
+    single = token_counts.token_counts(docs.filter("doc_id = 4"), path, ".").first()["n_tokens"]
+    assert single == len(texts[4]) and single != found[4]["n_tokens"]
 
 
 def bench(spark, *items):
@@ -106,6 +109,15 @@ def test_decontaminated_keeps_the_rest(spark):
     assert decontaminate.decontaminated(docs, bench(spark)).count() == 3
 
 
+def test_short_items_drop_no_sentences(spark):
+    texts = ["The cat sat on the mat. Yes.", "yes.", "One line\n The \nand more", "A sum, 12*34+56-78, within a text", "12 * 34 + 56 - 78", "other", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id INT, text STRING")
+    items = bench(spark, "The", "Yes.", "12*34+56-78", "+", "", None)
+    assert {r["doc_id"] for r in decontaminate.decontaminated(docs, items).collect()} == {0, 5, 6, 7} | ({3} if decontaminate.LEAST > 4 else set())
+    assert {r["doc_id"] for r in decontaminate.contaminated(docs, items).collect()} >= {0, 1, 2, 3, 4}
+    assert decontaminate.contaminated(docs.limit(0), items).count() == 0 and decontaminate.decontaminated(docs.limit(0), items).count() == 0
+
+
 def test_licences_in_order(spark):
     mit = (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
@@ -262,19 +274,25 @@ def test_hosts_with_bad_pages_are_blocked(spark):
     assert found.filter("host LIKE '%fine.io' AND verdict <> 'allow'").count() == 0
 
 
-def test_unruled_pages_need_not_vote(spark):
+def test_unruled_pages_do_not_vote(spark):
     hosts = [f"b{i}.bad.io" for i in range(10)] + [f"f{i}.fine.io" for i in range(10)]
     urls = [f"http://{h}/{'x' if 'bad' in h else 'ok'}/{i}" for h in hosts for i in range(6)] + [f"http://{h}/y/{i}" for h in hosts for i in range(40)]
     urls += [f"http://{h}/y" for h in ("new.bad.io", "new.fine.io", "else.org")]
     pages = spark.createDataFrame([(u,) for u in urls], "url STRING")
     rules = [url_filter.Rule("block", "bad.io", "/x/"), url_filter.Rule("allow", "fine.io", "/ok/")]
 
-    def blocked(**options):
-        found = url_filter.judged(pages, rules, **options).filter("rule IS NULL AND verdict = 'block'").select("host").distinct()
-        return {r["host"] for r in found.collect()}
+    found = url_filter.judged(pages, rules).filter("rule IS NULL AND verdict = 'block'").select("host").distinct()
+    assert {r["host"] for r in found.collect()} == {*hosts[:10], "new.bad.io"}
+    assert url_filter.judged(pages, []).filter("verdict <> 'allow'").count() == 0
+
 
-    assert blocked(ruled_only=True) == {*hosts[:10], "new.bad.io"} and not blocked()
-    assert url_filter.judged(pages, [], ruled_only=True).filter("verdict <> 'allow'").count() == 0
+def test_the_limit_is_chosen_on_held_out_pages(spark):
+    # Hosts of one domain, three in ten of whose pages are bad; those of another, all.
+    rows = [(f"h{i % 9}.mixed.io", i % 10 < 3, i % 4 == 0) for i in range(900)] + [(f"b{i % 9}.bad.io", True, i % 4 == 0) for i in range(300)]
+    outcomes = spark.createDataFrame(rows, "host STRING, bad BOOLEAN, held BOOLEAN")
+    assert 0.3 <= url_filter.chosen_limit(outcomes) <= 0.9
+    assert url_filter.chosen_limit(outcomes.withColumn("bad", ~F.col("bad")), [0.1, 0.5]) == 0.5
+    assert url_filter.chosen_limit(outcomes.limit(0)) == 0.9
 
 
 def test_fixity_finds_damage_and_nothing_else(spark):

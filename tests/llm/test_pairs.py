@@ -63,15 +63,15 @@ def brute_components(rows):
     return Counter((i, len(s), lowest.get(x) if s else i) for (i, _), s, x in zip(rows, sets, label, strict=True))
 
 
-def brute_repeats(rows):
+def brute_repeats(rows, size=400):
     texts = [(x or "").encode() for _, x in rows]
-    count = Counter(t[p : p + 400] for t in texts for p in range(len(t) - 399))
+    count = Counter(t[p : p + size] for t in texts for p in range(len(t) - size + 1))
     out = Counter()
     for (i, _), t in zip(rows, texts, strict=True):
         mask = np.zeros(len(t) + 1, bool)
-        for p in range(len(t) - 399):
-            if count[t[p : p + 400]] > 1:
-                mask[p : p + 400] = True
+        for p in range(len(t) - size + 1):
+            if count[t[p : p + size]] > 1:
+                mask[p : p + size] = True
         starts = int((mask[1:] & ~mask[:-1]).sum() + mask[0])
         kept = bytes(b for b, gone in zip(t, mask, strict=False) if not gone)
         out[i, len(t), int(mask.sum()), starts, hashlib.sha256(kept).hexdigest()] += 1
@@ -112,8 +112,15 @@ def test_bit_counts_bound_the_overlap():
 def test_repeats_are_those_of_brute_force(spark, surroundings):
     rows = some_texts()
     done = suffix_dedup.without_repeats(frame(spark, rows), surroundings=surroundings)
-    found = done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
-    assert Counter(map(tuple, found)) == brute_repeats(rows)
+    found = done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256), "kept_sha256").collect()
+    assert all(r[4] == r[5] for r in found)
+    assert Counter(tuple(r)[:5] for r in found) == brute_repeats(rows)
+
+
+def test_shorter_passages_can_be_removed(spark):
+    rows = some_texts()
+    found = suffix_dedup.without_repeats(frame(spark, rows), length=60).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert Counter(map(tuple, found)) == brute_repeats(rows, 60)
 
 
 def test_a_hash_collision_removes_nothing(spark, monkeypatch):
