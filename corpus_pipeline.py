@@ -3,6 +3,11 @@
 Each stage works on all that its predecessor kept, written as Parquet in the
 shared folder.  All stages but the last return the columns of ``documents``; the
 last adds what the mix takes of each document.
+
+Defined results: null texts have no words, so the quality rules drop them, as they do
+empty ones; of documents equal in id and text one stays; ties go to the smaller id;
+columns named like a measure of a stage come back as they were; empty tables give
+an empty result.
 """
 
 from __future__ import annotations
@@ -10,12 +15,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recueil.llm import decontaminate, host_rules, jaccard, mixing, suffix_dedup
-from recueil.llm.common import stored, table
+from recueil.llm.common import scratch, table
+
+#: Bytes of a repeated passage: under those of fifty words of prose.
+PASSAGE = 200
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the rules, and those of rejected hosts, go."""
-    return host_rules.quality_rules(docs).filter("kept").select(*docs.columns)
+    measures = {*host_rules.MEASURES, "base_failed", "kept"}
+    hidden = {c: f"__{c}" for c in docs.columns if c.lower() in measures}
+    kept = host_rules.quality_rules(docs.withColumnsRenamed(hidden)).filter("kept")
+    return kept.select(*[F.col(f"`{hidden.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +35,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that occur more than once are cut out; empty documents go."""
-    cut = suffix_dedup.repeats_removed(docs)
+    """Passages of ``PASSAGE`` bytes that occur more than once are cut out, in all
+    places; empty documents go."""
+    cut = suffix_dedup.repeats_removed(docs, length=PASSAGE)
     return cut.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else cut
 
 
@@ -54,6 +66,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    with scratch(spark) as last:
+        for name, stage in STAGES:
+            with scratch(spark) as kept:
+                keep = last if name == STAGES[-1][0] else kept
+                docs = keep(stage(spark, docs, sf_dir), name)
     return docs
