@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job of this library wants.  Sizes are left to the cluster.
@@ -32,10 +34,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; where it is unset, the
-    session's warehouse is the folder all executors share.
+    ``spark.checkpoint.dir`` is read from the session and required on a cluster.  In
+    local mode, where all tasks run on one machine, a folder of the warehouse does.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_recueil"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_recueil"
     stamp = spark.sql("SELECT uuid() AS u").first()["u"]
     return f"{base.rstrip('/')}/{name}-{stamp}"
 

@@ -231,3 +231,37 @@ def test_vectors_apart_from_metadata(spark, path):
 
 def test_shared_dir(spark):
     assert shared_dir(spark, "a") != shared_dir(spark, "a")
+
+
+def test_feature_hashing_is_the_same_in_both_forms(spark):
+    texts = ["Bonjour le monde, le MONDE", "é à ÿ Œ x1", "", None, "a" * 300, "the the the " * 500]
+    df = spark.createDataFrame(list(enumerate(texts)), "id INT, t STRING")
+    native = {r["id"]: r for r in E.embed_features(df, "t", 16).collect()}
+    called = {r["id"]: r for r in E.embed(df, E.feature_embedder(16), "t").collect()}
+    for i in native:
+        assert [native[i][c] for c in ("embedding", "tokens", "embed_error", "text_digest")] == [
+            called[i][c] for c in ("embedding", "tokens", "embed_error", "text_digest")
+        ]
+    assert native[0]["tokens"] == 5 and sum(map(abs, native[5]["embedding"])) == 1500 and not any(native[3]["embedding"])
+    with pytest.raises(KeyError):
+        E.embed_features(df, "other")
+
+
+def test_types_of_answers(spark):
+    rows = [("Aucun concert trouvé.", 5), ("Il y a peu d'événements", 5), ("Voici cinq événements", 5), ("Voici", 2), ("Voici", 0), (None, 5)]
+    df = spark.createDataFrame(rows, "answer STRING, n INT")
+    found = [r["kind"] for r in df.select(V.answer_type(F.col("answer"), F.col("n")).alias("kind")).collect()]
+    assert found == ["negative", "limited", "full", "limited", "negative", None]
+
+
+def test_a_run_counts_what_it_answers(spark, index):
+    asked = spark.createDataFrame([(i, f"question {i}") for i in range(4)], "query_id BIGINT, question STRING")
+
+    def refuses(prompts):
+        if any("question 3" in p for p in prompts):
+            raise ValueError("no")
+        return ["ok"] * len(prompts)
+
+    options = A.AnswerOptions(k=2, batch_size=1, attempts=1)
+    rows = A.timed_answer(asked, index, E.hashing_embedder(64), refuses, options).collect()
+    assert {tuple(r["run"]) for r in rows} == {(4, 4, 8, 1)} and len(rows) == 4

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from recueil.operators import evaluate as V
 from recueil.operators import search as S
+from recueil.plans import corpus
 from recueil.sources import tables
 
 SCHEMA = "vec_id long, embedding array<float>"
@@ -228,3 +229,17 @@ def test_hits_are_broadcast_to_the_metadata(vectors):
     found = index.search_with_metadata(vectors.limit(2).select(S.F.col("vec_id").alias("query_id"), "embedding"), 3)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in plan and found.count() == 6
+
+
+def test_the_published_index_is_the_one_in_use(spark, vectors, questions, path):
+    with pytest.raises(FileNotFoundError):
+        corpus.published_index(spark, path)
+    for version, rows in (("0001", "vec_id < 30"), ("0002", "vec_id < 60")):
+        tables.save_index(S.build_index(vectors.filter(rows)), f"{path}/vectorstore/versions/{version}")
+    corpus.publish(spark, path, "0001")
+    assert corpus.published_index(spark, path).vectors.count() == 30
+    with pytest.raises(Exception):
+        corpus.publish(spark, path, "0003")
+    assert corpus.published_index(spark, path).vectors.count() == 30
+    corpus.publish(spark, path, "0002")
+    assert corpus.published_index(spark, path).vectors.count() == 60
