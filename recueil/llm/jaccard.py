@@ -59,10 +59,12 @@ COUNTED = 1_000_000
 #: that stand for it in a tile.
 TILE = 1000
 HEADS = 32
+#: Smallest tokens of a class by which most of its pairs count in one tile only.
+FIRST = 8
 
 #: How often classes that share too little are left out, before links are sought
 #: and among those that are still in different components.
-PASSES = 2
+PASSES = 1
 
 #: Text digests (8 bytes each) that are broadcast at most.
 DIGESTS = 500_000
@@ -232,7 +234,7 @@ def _likely(shared: DataFrame, sizes: DataFrame) -> DataFrame:
     """The rows of classes that share enough elements for any link."""
     counted = shared.groupBy("half").agg(F.count("*").alias("_shared")).join(sizes, "half")
     enough = counted.filter(F.col("_shared") >= shared_at_least(F.ceil(F.col("n") * PERCENT / 100)))
-    return shared.join(enough.select("half").distinct(), "half", "left_semi")
+    return shared.join(small(stored(enough.select("half").distinct(), "jaccard_enough")), "half", "left_semi")
 
 
 def _members(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
@@ -345,15 +347,15 @@ def _undecided(rows: DataFrame) -> DataFrame:
     met = stored(rows.join(tiles.filter("_low <> _high").select("token"), "token", "left_semi"), "jaccard_met")
     least = shared_at_least(F.ceil(F.col("n") * PERCENT / 100))
     enough = met.groupBy("class", "n").agg(F.count("*").alias("_shared")).filter(F.col("_shared") >= least)
-    return stored(met.join(enough.select("class"), "class", "left_semi"), "jaccard_undecided")
+    return stored(met.join(small(stored(enough.select("class"), "jaccard_enough")), "class", "left_semi"), "jaccard_undecided")
 
 
 def _blocks(rows: DataFrame, members: DataFrame) -> DataFrame:
     """Rows of tiles in which different components meet, dealt to tasks.
 
-    A row carries its set size and bitmap.  A tile of more than ``TILE`` rows is
-    cut into blocks; each pair of blocks meets in a task.  ``rows`` has ``token,
-    class, n, component``.
+    A row carries its set size, bitmap and the ``FIRST`` smallest of its tokens in
+    such tiles.  A tile of more than ``TILE`` rows is cut into blocks; each pair of
+    blocks meets in a task.  ``rows`` has ``token, class, n, component``.
     """
     # Tiles with the same classes are one.
     names = [F.bit_xor(F.xxhash64("class", F.lit(i))).alias(f"_name{i}") for i in range(2)]
@@ -362,24 +364,28 @@ def _blocks(rows: DataFrame, members: DataFrame) -> DataFrame:
     ).filter(F.col("_low") != F.col("_high"))
     mixed = tiles.groupBy("_size", "_low", "_high", "_name0", "_name1").agg(F.min("token").alias("token"))
     open_ = stored(rows.join(mixed, "token").select("token", "class", "n", "component", "_size"), "jaccard_open")
+    first = F.slice(F.sort_array(F.collect_list("token")), 1, FIRST).alias("first")
+    tokens = open_.groupBy("class").agg(first)
     many = F.ceil(F.col("_size") / TILE).cast("int")
     mine = F.pmod(F.xxhash64("class"), many).cast("int")
     full = open_.withColumn("block", mine).withColumn("other", F.explode(F.sequence(F.lit(0), many - 1)))
-    full = full.join(members.select("class", "bits"), "class")
+    full = full.join(tokens, "class").join(members.select("class", "bits"), "class")
     return full.withColumns({"left": F.least("block", "other"), "right": F.greatest("block", "other")}).drop("_size", "other")
 
 
-def tile_pairs(rows: list[tuple], across: bool) -> Iterator[tuple[bytes, bytes]]:
+def tile_pairs(token: int, rows: list[tuple], across: bool) -> Iterator[tuple[bytes, bytes]]:
     """Pairs of a tile that may link: of different components and a common size
     band, with enough overlap by the bit counts.
 
-    ``rows``, by size: class, n, component, block, bits.  ``across`` leaves out
-    pairs within a block.
+    ``rows``, by size: class, n, component, block, first tokens, bits.  A pair that
+    has a smaller one of these in common counts there.  ``across`` leaves out pairs
+    within a block.
     """
     size = np.array([r[1] for r in rows])
     _, component = np.unique([r[2] for r in rows], return_inverse=True)
     block = np.array([r[3] for r in rows])
-    maps = [np.frombuffer(r[4], np.uint64) for r in rows]
+    maps = [np.frombuffer(r[5], np.uint64) for r in rows]
+    before = [{x for x in r[4] if x < token} for r in rows]
     width = np.array([len(x) for x in maps])
     place = np.zeros(len(rows), np.int64)
     matrix = {}
@@ -394,19 +400,20 @@ def tile_pairs(rows: list[tuple], across: bool) -> Iterator[tuple[bytes, bytes]]
             at = near[width[near] == w]
             bound = overlap_bound(size[i], folded(maps[i], w), size[at], matrix[w][place[at]])
             for j in at[bound >= needed(size[i], size[at])].tolist():
-                yield max(rows[i][0], rows[j][0]), min(rows[i][0], rows[j][0])
+                if before[i].isdisjoint(before[j]):
+                    yield max(rows[i][0], rows[j][0]), min(rows[i][0], rows[j][0])
 
 
 def _pairs(dealt: DataFrame) -> DataFrame:
     """The pairs of all tiles, each once."""
-    names = ["class", "n", "component", "block", "bits"]
+    names = ["class", "n", "component", "block", "first", "bits"]
     where = ["token", "left", "right"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, rows = None, []
 
         def settle() -> list[tuple[bytes, bytes]]:
-            return list(tile_pairs(rows, tile[1] != tile[2])) if len(rows) > 1 else []
+            return list(tile_pairs(tile[0], rows, tile[1] != tile[2])) if len(rows) > 1 else []
 
         for batch in batches:
             out = []
@@ -423,7 +430,7 @@ def _pairs(dealt: DataFrame) -> DataFrame:
             yield _edges(out)
 
     sorted_rows = dealt.repartition(*where).sortWithinPartitions(*where, "n", "class")
-    # Two classes may meet in several tiles.
+    # Two classes may still meet in several tiles.
     return sorted_rows.select(*where, *names).mapInArrow(run, _EDGES).distinct()
 
 
@@ -480,10 +487,11 @@ def class_components(docs: DataFrame, listed: DataFrame, text: str = "text") ->
         home = shared.groupBy("half").agg(chosen.alias("tile")).join(keyed, "half").select("tile", "class")
         dealt = stored(_met(_named(home, near)), "jaccard_homes")
         if not dealt.isEmpty():
-            near = _joined(near, _linked_tiles(dealt.join(members.select("class", "n", "elements"), "class")))
+            near = _joined(near, _linked_tiles(small(dealt).join(members.select("class", "n", "elements"), "class")))
 
     # What is left: tiles in which different components meet.
-    rows = _named(shared.join(keyed, "half"), near).select("token", "class", "n", "component")
+    named = _named(stored(keyed, "jaccard_keyed"), near)
+    rows = shared.join(small(stored(named, "jaccard_keyed")), "half").select("token", "class", "n", "component")
     for _ in range(PASSES):
         # Without the classes that go, fewer tiles are open.
         rows = _undecided(rows)
