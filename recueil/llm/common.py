@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -89,6 +89,14 @@ def held(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def hidden(docs: DataFrame, names: Iterable[str]) -> tuple[DataFrame, list[Column]]:
+    """The table with columns of these names (in any case) out of the way, and what
+    selects its columns as they were."""
+    taken = {x.lower() for x in names}
+    away = {c: f"__{c}" for c in docs.columns if c.lower() in taken}
+    return docs.withColumnsRenamed(away), [F.col(f"`{away.get(c, c)}`").alias(c) for c in docs.columns]
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks a stored table for broadcast if it is counted to be short.
 

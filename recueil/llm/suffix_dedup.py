@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as t
 
 from recueil.llm import rolling
-from recueil.llm.common import scratch, stored, whole_text
+from recueil.llm.common import hidden, scratch, stored, whole_text
 
 #: Bytes of a string that counts as repeated; grams that anchors are chosen from
 #: have a quarter of that.
@@ -396,7 +396,8 @@ def repeats_removed(docs: DataFrame, text: str = "text", length: int = LENGTH) -
     Where a removal cuts a character, the rest of it goes too.  A document of
     which nothing remains is dropped.
     """
-    done = without_repeats(docs.withColumn("__row_text", F.col(f"`{text}`")), "__row_text", as_text=True, length=length)
+    inside, own = hidden(docs, ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+    done = without_repeats(inside.withColumn("__row_text", F.col(f"`{text}`")), "__row_text", as_text=True, length=length)
     rest = done.filter((F.col("n_removed") == 0) | (F.octet_length("kept") > 0))
     now = F.when(F.col("n_removed") == 0, F.col(f"`{text}`")).otherwise(F.col("kept"))
-    return rest.withColumn(text, now).select(*[f"`{c}`" for c in docs.columns])
+    return rest.withColumn(text, now).select(*own)
