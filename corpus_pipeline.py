@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recueil.llm import decontaminate, host_rules, jaccard, mixing, suffix_dedup
-from recueil.llm.common import scratch, table
+from recueil.llm.common import hidden, scratch, table
 
 #: Bytes of a repeated passage: under those of fifty words of prose.
 PASSAGE = 200
@@ -23,10 +23,8 @@ PASSAGE = 200
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the rules, and those of rejected hosts, go."""
-    measures = {*host_rules.MEASURES, "base_failed", "kept"}
-    hidden = {c: f"__{c}" for c in docs.columns if c.lower() in measures}
-    kept = host_rules.quality_rules(docs.withColumnsRenamed(hidden)).filter("kept")
-    return kept.select(*[F.col(f"`{hidden.get(c, c)}`").alias(c) for c in docs.columns])
+    inside, own = hidden(docs, [*host_rules.MEASURES, "base_failed", "kept"])
+    return host_rules.quality_rules(inside).filter("kept").select(*own)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
