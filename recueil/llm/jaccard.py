@@ -456,13 +456,20 @@ def _named(rows: DataFrame, near: DataFrame | None) -> DataFrame:
 
 
 def _joined(near: DataFrame | None, links: DataFrame) -> DataFrame:
-    """``node, component`` after more links: those and the stars found so far."""
+    """``node, component`` after more links: they join the components found so far,
+    whose classes do not take part again."""
     links = stored(links, "jaccard_links")
-    if near is not None:
-        if links.isEmpty():
-            return near
-        links = links.unionByName(near.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
-    return components(links)
+    if near is None:
+        return components(links)
+    if links.isEmpty():
+        return near
+    known = small(near)
+    ends = [known.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab"]
+    named = links.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    merged = small(components(named.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))))
+    into = merged.select(F.col("node").alias("component"), F.col("component").alias("merged"))
+    grown = near.join(into, "component", "left").select("node", F.coalesce("merged", "component").alias("component"))
+    return stored(grown.unionByName(merged.join(known.select("node"), "node", "left_anti")), "jaccard_near")
 
 
 def class_components(docs: DataFrame, listed: DataFrame, text: str = "text") -> DataFrame:
