@@ -153,20 +153,27 @@ def page_events(event_page_rows: DataFrame, limit: int | None = None) -> DataFra
 
 
 def first_events(event_page_rows: DataFrame, limit: int = EVENTS_PER_AGENDA, *kept: str) -> DataFrame:
-    """Up to ``limit`` raw events per agenda, in landing order.
+    """Up to ``limit`` (at least 1) raw events per agenda, in landing order.
 
     ``kept`` names page columns to carry along.
     """
+    if limit < 1:
+        raise ValueError("the limit must be at least 1")
     asked = with_uid(event_page_rows.withColumnRenamed("agenda_uid", "uid")).withColumnRenamed("uid", "agenda_uid")
-    listed = asked.select(
-        "agenda_uid", *kept, "file", "block", "line", F.posexplode("events").alias("item", "payload")
+    # No later item of a page, and no later page with items, can be among the first
+    # of its agenda.  Pages are limited before they are taken apart.
+    listed = asked.select("agenda_uid", *kept, "file", "block", "line", F.slice("events", 1, limit).alias("events"))
+    order = ["file", "block", "line"]
+    few = first_per_group(listed.filter(F.size("events") > 0), "agenda_uid", order, limit)
+    earlier = Window.partitionBy("agenda_uid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    counted = few.withColumn("_before", F.coalesce(F.sum(F.size("events")).over(earlier), F.lit(0)))
+    opened = counted.filter(F.col("_before") < limit).select(
+        "agenda_uid", *kept, *order, "_before", F.posexplode("events").alias("item", "payload")
     )
     at = F.struct("line", "item").alias("at")
-    # No later item of a page can be among the first of its agenda.
-    placed = listed.filter(F.col("item") < limit).select(
+    return opened.filter(F.col("_before") + F.col("item") < limit).select(
         "agenda_uid", *kept, "payload", F.struct("file", "block", at).alias("seq")
     )
-    return first_per_group(placed, "agenda_uid", "seq", limit)
 
 
 def events_of_agenda(event_page_rows: DataFrame, agenda_uid: str, limit: int = 50) -> DataFrame:

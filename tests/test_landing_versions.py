@@ -321,3 +321,17 @@ def test_batches_do_not_change_what_is_merged(spark, path, files):
             f.write(json.dumps({"agenda_uid": "a", "events": events}) + "\n")
     collect.merge_event_pages(spark, f"{path}/in", f"{path}/root", f"{path}/check", files_per_batch=files).awaitTermination()
     assert versions.current(spark, f"{path}/root").count() == 80
+
+
+def test_pages_are_limited_before_they_are_taken_apart(spark):
+    pages = [("a", 0, 2), ("a", 1, 0), ("b", 2, 5), ("a", 3, 4), ("a", 4, 1), ("", 5, 3), (None, 6, 3), ("b", 7, 1)]
+    rows = [(("f", "p"), 0, line, uid, [f"{line}.{i}" for i in range(n)] if n else None) for uid, line, n in pages]
+    df = spark.createDataFrame(rows, "file STRUCT<place: STRING, path: STRING>, block LONG, line LONG, agenda_uid STRING, events ARRAY<STRING>")
+    for limit, wanted in ((1, ["0.0"]), (3, ["0.0", "0.1", "3.0"]), (7, ["0.0", "0.1", "3.0", "3.1", "3.2", "3.3", "4.0"]), (2000, None)):
+        first = landing.first_events(df, limit)
+        found = [r["payload"] for r in first.filter("agenda_uid = 'a'").orderBy("seq").collect()]
+        assert found == (wanted or ["0.0", "0.1", "3.0", "3.1", "3.2", "3.3", "4.0"])
+    plan = landing.first_events(df, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Window")
+    with pytest.raises(ValueError):
+        landing.first_events(df, 0)
