@@ -39,16 +39,33 @@ def hashed_words(words: Column, dimension: int) -> Column:
 
     Whole numbers, so distances are exact; any engine with MD5 gives the same.
     """
+    return counted_codes(word_codes(words, dimension), dimension)
 
-    def number(digits: Column) -> Column:
-        return F.conv(digits, 16, 10).cast("int")
+
+#: Characters from here on stand for the codes of words, two for each place.
+_FIRST_CODE, _LAST_CODE = 0x100, 0xD7FF
+
+
+def word_codes(words: Column, dimension: int) -> Column:
+    """A text with one character per word, which tells its place and sign."""
+    if _FIRST_CODE + 2 * dimension > _LAST_CODE + 1:
+        raise ValueError(f"a dimension above {(_LAST_CODE + 1 - _FIRST_CODE) // 2} is not supported")
 
     def code(word: Column) -> Column:
-        place = number(F.substring(F.md5(word), 1, 4)) % dimension
-        return F.when(number(F.substring(F.md5(word), 5, 1)) < 8, place).otherwise(-1 - place)
+        digits = F.conv(F.substring(F.md5(word), 1, 5), 16, 10).cast("int")
+        # Five digits in one number: the place without the last one, the sign by it.
+        return F.transform(F.array(digits), lambda x: F.shiftright(x, 4) % dimension * 2 + F.when(x % 16 < 8, 0).otherwise(1))[0]
+
+    numbers = F.transform(words, lambda word: F.lpad(F.hex(code(word) + _FIRST_CODE), 4, "0"))
+    return F.decode(F.unhex(F.array_join(numbers, "")), "UTF-16BE")
+
+
+def counted_codes(codes: Column, dimension: int) -> Column:
+    """The vector of the codes of a text: how often each place comes with plus,
+    less how often with minus.  Make ``codes`` a column first; it is read often."""
 
-    def counted(vector: Column, at: Column) -> Column:
-        return F.transform(vector, lambda x, i: x + F.when(at == i, 1.0).when(at == -1 - i, -1.0).otherwise(0.0).cast("float"))
+    def without(code: int) -> Column:
+        return F.length(F.replace(codes, F.lit(chr(_FIRST_CODE + code)), F.lit("")))
 
-    zeros = F.array_repeat(F.lit(0.0).cast("float"), dimension)
-    return F.aggregate(F.transform(words, code), zeros, counted)
+    counts = [(without(2 * i + 1) - without(2 * i)).cast("float") for i in range(dimension)]
+    return F.when(codes.isNotNull(), F.array(*counts))
