@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F, types as
 
 from recueil.functions import prompts
 from recueil.functions.text import collapse_spaces, not_blank
-from recueil.operators.embed import EmbedFn, embed
+from recueil.operators.embed import EmbedFn, embed, slices
 from recueil.operators.search import VectorIndex
 from recueil.session import settled
 
@@ -122,7 +122,7 @@ def generate(
         return [None] * len(texts), message
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, batch_size):
             texts = batch.column("prompt").to_pylist()
             answers, errors = [], []
             for start in range(0, len(texts), batch_size):

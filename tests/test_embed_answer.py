@@ -265,3 +265,29 @@ def test_a_run_counts_what_it_answers(spark, index):
     options = A.AnswerOptions(k=2, batch_size=1, attempts=1)
     rows = A.timed_answer(asked, index, E.hashing_embedder(64), refuses, options).collect()
     assert {tuple(r["run"]) for r in rows} == {(4, 4, 8, 1)} and len(rows) == 4
+
+
+def test_features_hash_a_word_once(spark):
+    """One MD5 per word, and the vectors of the function."""
+    texts = ["", None, "Un été, un ÉTÉ d'or 42 x", "a " * 300 + "b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    made = E.embed_features(df, "text", 40)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+    vectors, tokens = E.feature_embedder(40)([t or "" for t in texts])
+    rows = made.orderBy("id").collect()
+    assert [r["embedding"] for r in rows] == [v.tolist() for v in vectors] and [r["tokens"] for r in rows] == tokens
+
+
+def test_few_rows_are_python_objects_at_a_time():
+    batch = E.pa.RecordBatch.from_pydict({"x": list(range(1000))})
+    for size, step in ((1, 256), (10, 250), (300, 300)):
+        parts = list(E.slices(iter([batch, batch]), size))
+        assert [x for p in parts for x in p.column("x").to_pylist()] == list(range(1000)) * 2
+        assert all(p.num_rows == step for p in parts[: 1000 // step])
+
+
+def test_vector_table_keeps_its_dimension(spark):
+    import __spark_entry__ as entry
+
+    rows = entry.queries()["vector_table_roundtrip"](spark, "/root/testdata/sf0.001").select("dimension").distinct().collect()
+    assert [r[0] for r in rows] == [64]
