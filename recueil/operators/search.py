@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,9 @@ METHODS = ("flat_l2", "flat_ip", "ivf", "lsh")
 
 #: Bytes of question vectors that are sent to every task in one wave, about.
 QUESTION_LIMIT = 64 << 20
+#: Waves of fewer questions run side by side in one job, up to so many and up to
+#: the same bytes in all.
+WAVES_PER_JOB = 16
 #: Centroids are sent to every task, so many bytes of them at a time.
 CENTROID_LIMIT = 64 << 20
 #: Folders the bucket table of a hashed index is stored in.
@@ -53,14 +57,17 @@ FILTER_LIMIT = 1000
 # Distances computed at a time, 4 MB in single precision.
 _BLOCK_CELLS = 1 << 20
 
+# Marks (bits) of a block of vectors of a hashed search, 8 MB.
+_BLOCK_MARKS = 1 << 26
 
 # ---------------------------------------------------------------- kernel
 
 
-def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
-    """A list column without nulls as a float64 matrix."""
+def _matrix(column: pa.Array, dimension: int, kind: type | None = np.float64) -> np.ndarray:
+    """A list column without nulls as a matrix, as it is stored if ``kind`` is None."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    values = values if kind is None else values.astype(kind)
     lengths = column.value_lengths()
     if len(column) and set(lengths.unique().to_pylist()) != {dimension}:
         raise ValueError(f"vectors must have dimension {dimension}")
@@ -83,10 +90,9 @@ class _Best:
 
     def __init__(self, questions: np.ndarray, k: int, metric: str):
         self.q, self.k, self.metric = questions, k, metric
-        self.norms = (questions**2).sum(1)
-        # |v - q|^2 - |q|^2 = (v, |v|^2) . (-2q, 1), one matrix product.
-        factor, last = (-2, 1) if metric == "l2" else (-1, 0)
-        self.wide_q = np.column_stack([factor * questions, np.full(len(questions), last)])
+        step = max(1, _BLOCK_CELLS // max(1, questions.shape[1]))
+        blocks = [questions[i : i + step].astype(np.float64) for i in range(0, len(questions), step)]
+        self.norms = np.concatenate([(x**2).sum(1) for x in blocks]) if blocks else np.empty(0)
         self.offset = self.norms if metric == "l2" else np.zeros(len(questions))
         self.row = np.empty(0, np.int64)
         self.dist = np.empty(0)
@@ -99,7 +105,7 @@ class _Best:
         out = np.empty(len(rows))
         step = max(1, _BLOCK_CELLS // max(1, self.q.shape[1]))
         for i in range(0, len(rows), step):
-            a, b = self.q[rows[i : i + step]], vectors[cols[i : i + step]]
+            a, b = self.q[rows[i : i + step]].astype(np.float64), vectors[cols[i : i + step]]
             out[i : i + step] = ((a - b) ** 2).sum(1) if self.metric == "l2" else -(a * b).sum(1)
         return out
 
@@ -122,70 +128,74 @@ class _Best:
             start = np.searchsorted(group[by_group], group[by_group])
         return np.sort(by_group[np.arange(len(by_group)) - start < self.k])
 
+    def _wide(self, rows: np.ndarray, kind: type) -> np.ndarray:
+        """|v - q|^2 - |q|^2 = (v, |v|^2) . (-2q, 1), one matrix product."""
+        factor, last = (-2, 1) if self.metric == "l2" else (-1, 0)
+        return np.column_stack([factor * self.q[rows].astype(kind), np.full(len(rows), last, kind)])
+
     def add(self, questions: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
         """Compares some questions (row numbers) with some vectors."""
+        self._add(questions, vectors, ids, None)
+
+    def add_marked(self, bits: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
+        """Compares every vector with the questions whose bit its row has set."""
+        self._add(np.arange(len(self.q)), vectors, ids, bits)
+
+    def _add(self, questions: np.ndarray, vectors: np.ndarray, ids: np.ndarray, bits: np.ndarray | None) -> None:
         # One NaN would make every margin of its batch NaN.
         finite = np.isfinite(vectors).all(axis=1)
         if not finite.all():
-            vectors, ids = vectors[finite], ids[finite]
+            vectors, ids, bits = vectors[finite], ids[finite], None if bits is None else bits[finite]
         if not len(questions) or not len(vectors):
             return
         norms = (vectors**2).sum(1)
-        scale = self.norms[questions] + norms.max()
+        largest = norms.max()
         # Single precision preselects; values beyond its range need double.
-        kind = np.float32 if scale.max() < 1e30 else np.float64
+        kind = np.float32 if self.norms[questions].max() + largest < 1e30 else np.float64
         wide = np.column_stack([vectors, norms]).astype(kind)
-        # Far above the rounding error of a product of this length.
-        margin = 4 * np.finfo(kind).eps * (vectors.shape[1] + 8) * scale
-        pairs = self._candidates(questions, wide, margin, give_up=True)
-        if pairs is not None:
+        thin, at = bits is None, 0
+        while at < len(questions):
+            # A byte has the marks of eight questions.
+            step = max(8, _BLOCK_CELLS // len(wide) // 8 * 8)
+            some = questions[at : at + step]
+            # Far above the rounding error of a product of this length.
+            margin = 4 * np.finfo(kind).eps * (vectors.shape[1] + 8) * (self.norms[some] + largest)
+            mark = None
+            if bits is not None:
+                mark = np.unpackbits(bits[:, at // 8 : (at + step) // 8], axis=1, bitorder="little").T[: len(some)].astype(bool)
+            pairs = self._candidates(some, wide, margin, mark, give_up=thin)
+            if pairs is None:
+                kept = self._few_copies(vectors, ids)
+                vectors, wide, ids, thin = vectors[kept], wide[kept], ids[kept], False
+                continue
             self._merge(*pairs, vectors, ids)
-            return
-        kept = self._few_copies(vectors, ids)
-        vectors, wide, ids = vectors[kept], wide[kept], ids[kept]
-        step = max(1, _BLOCK_CELLS // len(wide))
-        for i in range(0, len(questions), step):
-            some = slice(i, i + step)
-            self._merge(*self._candidates(questions[some], wide, margin[some], give_up=False), vectors, ids)
+            at += step
 
     def _candidates(
-        self, questions: np.ndarray, wide: np.ndarray, margin: np.ndarray, give_up: bool
+        self, some: np.ndarray, wide: np.ndarray, margin: np.ndarray, mark: np.ndarray | None, give_up: bool
     ) -> tuple[np.ndarray, np.ndarray] | None:
         """Pairs that may be among the k best; None if suspiciously many."""
-        rows, cols = [], []
-        step = max(1, _BLOCK_CELLS // len(wide))
-        for i in range(0, len(questions), step):
-            some = questions[i : i + step]
-            rough = self.wide_q[some].astype(wide.dtype) @ wide.T
-            limit = (self.limit - self.offset)[some] + margin[i : i + step]
-            near = rough <= limit[:, None]
-            enough = 8 * self.k * len(some) + 1000
-            if len(wide) > self.k and np.count_nonzero(near) > enough:
-                best = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1]
-                near = rough <= np.minimum(limit, best + 2 * margin[i : i + step])[:, None]
-                if give_up and np.count_nonzero(near) > enough:
-                    return None
-            r, c = np.nonzero(near)
-            rows.append(some[r])
-            cols.append(c)
-        return np.concatenate(rows), np.concatenate(cols)
-
-    def add_marked(self, mark: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
-        """Compares vectors (rows of ``mark``) with the questions marked for each."""
-        norms = (vectors**2).sum(1)
-        wide = np.column_stack([vectors, norms])
-        margin = 4 * np.finfo(np.float64).eps * (vectors.shape[1] + 8) * (self.norms + norms.max(initial=0))
-        rough = np.where(mark.T, self.wide_q @ wide.T, np.inf)
-        limit = (self.limit - self.offset) + margin
-        if len(vectors) > self.k:
-            limit = np.minimum(limit, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1] + 2 * margin)
-        self._merge(*np.nonzero(mark.T & (rough <= limit[:, None])), vectors, ids)
+        rough = self._wide(some, wide.dtype.type) @ wide.T
+        limit = (self.limit - self.offset)[some] + margin
+        near = rough <= limit[:, None]
+        if mark is not None:
+            near &= mark
+        enough = 8 * self.k * len(some) + 1000
+        if len(wide) > self.k and np.count_nonzero(near) > enough:
+            if mark is not None:
+                rough = np.where(mark, rough, np.inf)
+            best = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1]
+            near &= rough <= (best + 2 * margin)[:, None]
+            if give_up and np.count_nonzero(near) > enough:
+                return None
+        rows, cols = np.nonzero(near)
+        return some[rows], cols
 
     def _merge(self, row: np.ndarray, col: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
         """Notes candidates; they are ranked when there are enough of them."""
         self.pending.append((row, self._exact(row, vectors, col), ids[col]))
         self.waiting += len(row)
-        if self.waiting > max(20_000, 2 * self.k * len(self.q)):
+        if self.waiting > max(20_000, self.k * len(self.q)):
             self.flush()
 
     def flush(self) -> None:
@@ -231,22 +241,44 @@ def _arrow_type(kind: t.DataType) -> pa.DataType:
 
 
 class _Wave:
-    """A block of questions and who probes which cell."""
+    """A block of questions and who probes which cell.
+
+    Questions without a list of cells probe all of them; in one search either
+    all questions have one or none.
+    """
 
     def __init__(self, questions: pa.Table, dimension: int):
         ids = _ids(questions.column("query_id"))
         _, first = np.unique(_order(ids), return_index=True)
-        self.ids, self.questions = ids[first], _matrix(questions.column("embedding"), dimension)[first]
+        self.ids, self.questions = ids[first], _matrix(questions.column("embedding"), dimension, None)[first]
+        self.probing: dict[int, np.ndarray] | None = None
+        if questions.num_rows and questions.column("cells").null_count == questions.num_rows:
+            return
         lists = questions.column("cells").combine_chunks().take(pa.array(first))
         cells = lists.flatten().to_numpy(zero_copy_only=False)
-        who = np.repeat(np.arange(len(first)), lists.value_lengths().to_numpy(zero_copy_only=False))
+        who = np.repeat(np.arange(len(first), dtype=np.int32), lists.value_lengths().to_numpy(zero_copy_only=False))
         order = np.argsort(cells, kind="stable")
         names, starts = np.unique(cells[order], return_index=True)
         self.probing = {int(c): np.unique(x) for c, x in zip(names, np.split(who[order], starts[1:]))}
 
+    def marks(self) -> dict[int, np.ndarray]:
+        """The cells that many questions probe, as bits of all questions.
 
-def _cell_filter(df: DataFrame, probing: dict[int, np.ndarray]) -> DataFrame:
+        There are at most so many of them as 64 questions probe.
+        """
+        found = {}
+        for cell, rows in self.probing.items():
+            if len(rows) * 64 > len(self.ids):
+                mark = np.zeros(len(self.ids), bool)
+                mark[rows] = True
+                found[cell] = np.packbits(mark, bitorder="little")
+        return found
+
+
+def _cell_filter(df: DataFrame, probing: dict[int, np.ndarray] | None) -> DataFrame:
     """The rows of probed cells; where cells are stored apart this prunes files."""
+    if probing is None:
+        return df
     if len(probing) <= FILTER_LIMIT:
         return df.filter(F.col("cell").isin(list(probing)))
     # No more cells than the questions of a block probe.
@@ -261,8 +293,11 @@ def _wave_hits(
     dimension, hashed = wave.questions.shape[1], buckets is not None
 
     def compared(best: _Best, batch: pa.RecordBatch) -> None:
-        cell = batch.column("cell").to_numpy()
         vector, ids = _matrix(batch.column("embedding"), dimension), _ids(batch.column("vec_id"))
+        if sent.value.probing is None:
+            best.add(np.arange(len(best.q)), vector, ids)
+            return
+        cell = batch.column("cell").to_numpy()
         by_cell = np.argsort(cell, kind="stable")
         names, starts = np.unique(cell[by_cell], return_index=True)
         for name, here in zip(names, np.split(by_cell, starts[1:])):
@@ -270,21 +305,29 @@ def _wave_hits(
             if rows is not None:
                 best.add(rows, vector[here], ids[here])
 
-    def marked(best: _Best, batch: pa.RecordBatch) -> None:
-        step = max(1, _BLOCK_CELLS // max(1, len(sent.value.ids)))
+    def marked(best: _Best, batch: pa.RecordBatch, marks: dict[int, np.ndarray]) -> None:
+        width = -(-len(sent.value.ids) // 8)
+        step = max(1, _BLOCK_MARKS // (8 * max(1, width)))
         for start in range(0, batch.num_rows, step):
             part = batch.slice(start, step)
-            lists = part.column("cells")
-            who = np.repeat(np.arange(len(part)), lists.value_lengths().to_numpy(zero_copy_only=False))
-            mark = np.zeros((len(part), len(sent.value.ids)), bool)
-            for at, cell in zip(who.tolist(), lists.flatten().to_pylist()):
-                mark[at, sent.value.probing[cell]] = True
-            best.add_marked(mark, _matrix(part.column("embedding"), dimension), _ids(part.column("vec_id")))
+            bits = np.zeros((len(part), width), np.uint8)
+            for row, cells in zip(bits, part.column("cells").to_pylist()):
+                for cell in cells:
+                    if cell in marks:
+                        row |= marks[cell]
+                    else:
+                        few = sent.value.probing[cell]
+                        np.bitwise_or.at(row, few >> 3, np.left_shift(1, few & 7).astype(np.uint8))
+            best.add_marked(bits, _matrix(part.column("embedding"), dimension), _ids(part.column("vec_id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(sent.value.questions, k, metric)
+        marks = sent.value.marks() if hashed else None
         for batch in batches:
-            (marked if hashed else compared)(best, batch)
+            if hashed:
+                marked(best, batch, marks)
+            else:
+                compared(best, batch)
             best.flush()
         yield from best.table(sent.value.ids, schema).to_batches()
 
@@ -329,11 +372,12 @@ def _expect(found: int | None, expected: int | None) -> int | None:
 
 
 def _cell_search(
-    questions: DataFrame, vectors: DataFrame, buckets: DataFrame | None, k: int, metric: str, dimension: int, question_limit: int
+    questions: DataFrame, vectors: DataFrame, buckets: DataFrame | None, k: int, metric: str, dimension: int, question_limit: int,
+    probes: int = 0,
 ) -> tuple[DataFrame, int | None]:
     """``query_id, rank, vec_id, distance``, and how many rows there are at most,
-    if one wave does: questions carry ``cells``, vectors a ``cell`` or, if there
-    are ``buckets``, none."""
+    if one wave does: questions carry ``cells``, about ``probes`` of them or null
+    for all, vectors a ``cell`` or, if there are ``buckets``, none."""
     if k < 1:
         raise ValueError("k must be at least 1")
     types = [questions.schema["query_id"].dataType, vectors.schema["vec_id"].dataType]
@@ -347,7 +391,7 @@ def _cell_search(
     context = vectors.sparkSession.sparkContext
 
     # At most one row over the limit reaches the driver, and only to tell.
-    rows = max(1, question_limit // (8 * dimension + 64))
+    rows = max(1, question_limit // (8 * dimension + 64 + 16 * probes))
     few = questions.limit(rows + 1).toArrow()
     if few.num_rows <= rows:
         wave = _Wave(few, dimension)
@@ -359,12 +403,19 @@ def _cell_search(
     block = F.pmod(F.xxhash64("query_id"), F.lit(waves)).alias("wave")
     questions.select("*", block).repartition("wave").write.partitionBy("wave").parquet(f"{path}/questions")
     stored = vectors.sparkSession.read.parquet(f"{path}/questions")
-    for row in stored.select("wave").distinct().orderBy("wave").collect():
-        wave = _Wave(stored.filter(F.col("wave") == row["wave"]).toArrow(), dimension)
-        sent = context.broadcast(wave)
-        hits = _ranked(_wave_hits(wave, sent, vectors, buckets, k, metric, schema, hit_schema), k, metric)
-        hits.write.mode("append").parquet(f"{path}/hits")
-        sent.destroy()
+    # Small waves share a job: each of its tasks has the questions of one of them.
+    together = max(1, min(WAVES_PER_JOB, QUESTION_LIMIT // question_limit))
+    for first in range(0, waves, together):
+        block = stored.filter(F.col("wave").between(first, first + together - 1)).toArrow()
+        number, sent, hits = block.column("wave").to_numpy(), [], []
+        for name in np.unique(number):
+            wave = _Wave(block.filter(pa.array(number == name)), dimension)
+            sent.append(context.broadcast(wave))
+            hits.append(_wave_hits(wave, sent[-1], vectors, buckets, k, metric, schema, hit_schema))
+        if hits:
+            _ranked(reduce(DataFrame.unionAll, hits), k, metric).write.mode("append").parquet(f"{path}/hits")
+        for one in sent:
+            one.destroy()
     return vectors.sparkSession.read.parquet(f"{path}/hits"), None
 
 
@@ -431,18 +482,21 @@ def _nearer_cells(df: DataFrame, block: tuple[np.ndarray, np.ndarray], n: int, m
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, centers = sent.value
         norms = (centers**2).sum(1)
-        for batch in batches:
-            vector = _matrix(batch.column("embedding"), centers.shape[1])
-            far = norms - 2.0 * (vector @ centers.T)
-            cells = np.broadcast_to(names, far.shape)
-            if merge and len(batch):
-                # Cells of earlier blocks come first, so ties go to the lower one.
-                before = [batch.column(c).flatten().to_numpy().reshape(len(batch), -1) for c in ("cells", "_far")]
-                cells, far = np.hstack([before[0], cells]), np.hstack([before[1], far])
-            order = np.argsort(far, axis=1, kind="stable")[:, :n]
-            best = [np.take_along_axis(x, order, axis=1) for x in (cells, far)]
-            columns = [batch.column(c) for c in schema.names[:-2]]
-            yield pa.RecordBatch.from_arrays([*columns, lists(best[0], pa.int32()), lists(best[1], pa.float64())], names=schema.names)
+        step = max(1, _BLOCK_CELLS // len(names))
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                vector = _matrix(batch.column("embedding"), centers.shape[1])
+                far = norms - 2.0 * (vector @ centers.T)
+                cells = np.broadcast_to(names, far.shape)
+                if merge:
+                    # Cells of earlier blocks come first, so ties go to the lower one.
+                    before = [batch.column(c).flatten().to_numpy().reshape(len(batch), -1) for c in ("cells", "_far")]
+                    cells, far = np.hstack([before[0], cells]), np.hstack([before[1], far])
+                order = np.argmin(far, axis=1)[:, None] if n == 1 else np.argsort(far, axis=1, kind="stable")[:, :n]
+                best = [np.take_along_axis(x, order, axis=1) for x in (cells, far)]
+                columns = [batch.column(c) for c in schema.names[:-2]]
+                yield pa.RecordBatch.from_arrays([*columns, lists(best[0], pa.int32()), lists(best[1], pa.float64())], names=schema.names)
 
     return df.mapInArrow(run, schema)
 
@@ -535,19 +589,22 @@ class VectorIndex:
 
     def _search(self, questions: DataFrame, k: int, nprobe: int, question_limit: int) -> tuple[DataFrame, int | None]:
         questions = questions.select("query_id", "embedding").filter("embedding IS NOT NULL")
-        vectors = self.vectors
+        vectors, probes = self.vectors, 0
         if self.method == "ivf":
-            questions = nearest_cells(questions, self.centroids, nprobe)
+            questions, count = nearest_cells(questions, self.centroids, nprobe), self.centroids.count()
+            # A list of all cells says no more than that all are probed.
+            probes = 0 if nprobe >= count else nprobe
+            questions = questions.withColumn("cells", F.when(F.size("cells") < count, F.col("cells")))
         elif self.method == "lsh":
             probes = _hashed(questions, "query_id", self.projections(), nprobe).withColumn("cell", _cell())
             cells = probes.groupBy("query_id").agg(F.collect_set("cell").alias("cells"))
-            questions = questions.join(cells, "query_id")
+            questions, probes = questions.join(cells, "query_id"), nprobe * self.tables
         else:
-            questions = questions.withColumn("cells", F.array(F.lit(0)))
+            questions = questions.withColumn("cells", F.lit(None).cast("array<bigint>"))
             vectors = vectors.withColumn("cell", F.lit(0))
         metric = "ip" if self.method == "flat_ip" else "l2"
         columns = ["vec_id", "embedding"] if self.method == "lsh" else ["vec_id", "embedding", F.col("cell").cast("bigint").alias("cell")]
-        return _cell_search(questions, vectors.select(*columns), self.buckets, k, metric, self.dimension, question_limit)
+        return _cell_search(questions, vectors.select(*columns), self.buckets, k, metric, self.dimension, question_limit, probes)
 
     def search_with_metadata(self, questions: DataFrame, k: int = 5, nprobe: int = 1) -> DataFrame:
         """Hits with their score and metadata.

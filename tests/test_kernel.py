@@ -85,3 +85,30 @@ def test_a_broken_vector_costs_only_itself(spark):
     asked = vectors.filter("vec_id < 5").withColumnRenamed("vec_id", "query_id")
     hits = build_index(vectors).search(asked, 3).collect()
     assert len(hits) == 15 and not {r["vec_id"] for r in hits} & {7, 8}
+
+
+@pytest.mark.parametrize("questions", [3, 30])
+def test_marked_questions_alone(questions):
+    """Every vector meets the questions whose bit is set, and no others."""
+    rng = np.random.default_rng(7)
+    v, q, ids = rng.normal(size=(200, 6)), rng.normal(size=(questions, 6)), rng.permutation(200)
+    mark = rng.random((200, questions)) < 0.4
+    best = S._Best(q.astype(np.float32), 4, "l2")
+    for i in range(0, 200, 50):
+        best.add_marked(np.packbits(mark[i : i + 50], axis=1, bitorder="little"), v[i : i + 50], ids[i : i + 50])
+    best.flush()
+    d = ((q.astype(np.float32).astype(float)[:, None] - v[None]) ** 2).sum(2)
+    d[~mark.T] = np.inf
+    wanted = [(row, ids[j]) for row in range(questions) for j in np.lexsort((ids, d[row]))[:4]]
+    assert [(int(r), i) for r, i in zip(best.row, best.id)] == wanted
+
+
+def test_candidates_of_many_questions_are_ranked_on_the_way(monkeypatch):
+    """What waits to be ranked is bounded, however many questions a batch meets."""
+    rng, waiting = np.random.default_rng(8), []
+    merge = S._Best._merge
+    monkeypatch.setattr(S, "_BLOCK_CELLS", 1 << 14)
+    monkeypatch.setattr(S._Best, "_merge", lambda self, row, *rest: (waiting.append(len(row)), merge(self, row, *rest))[1])
+    q, v = rng.normal(size=(2000, 4)), rng.normal(size=(300, 4))
+    assert run(q, v, np.arange(300), 3, batch=300) == brute(q, v, np.arange(300), 3)
+    assert max(waiting) < 2000

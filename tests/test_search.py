@@ -243,3 +243,28 @@ def test_the_published_index_is_the_one_in_use(spark, vectors, questions, path):
     assert corpus.published_index(spark, path).vectors.count() == 30
     corpus.publish(spark, path, "0002")
     assert corpus.published_index(spark, path).vectors.count() == 60
+
+
+def test_full_probe_sends_no_lists_of_cells(vectors, questions, matrix, monkeypatch):
+    """Questions that probe every cell need not say which."""
+    waves, hits_of = [], S._wave_hits
+    monkeypatch.setattr(S, "_wave_hits", lambda wave, *rest: (waves.append(wave), hits_of(wave, *rest))[1])
+    index = S.build_index(vectors, "ivf", nlist=5)
+    assert hits(index.search(questions, 5, nprobe=5)) == brute(matrix, matrix[:20] + np.float32(0.01), 5)
+    assert [w.probing for w in waves] == [None]
+    index.search(questions, 5, nprobe=2).collect()
+    assert sum(len(x) for x in waves[1].probing.values()) == 40
+
+
+def test_cells_count_as_bytes_of_a_question(vectors, questions, monkeypatch):
+    waves, hits_of = [], S._wave_hits
+    monkeypatch.setattr(S, "_wave_hits", lambda wave, *rest: (waves.append(len(wave.ids)), hits_of(wave, *rest))[1])
+    S.build_index(vectors, "ivf", nlist=20).search(questions, 5, nprobe=19, question_limit=20 * (8 * 16 + 64)).collect()
+    assert sum(waves) == 20 and len(waves) > 1
+
+
+def test_small_waves_share_a_job(vectors, questions, matrix, monkeypatch):
+    ranked, rank = [], S._ranked
+    monkeypatch.setattr(S, "_ranked", lambda *rest: (ranked.append(1), rank(*rest))[1])
+    found = S.build_index(vectors).search(questions, 5, question_limit=600)
+    assert hits(found) == brute(matrix, matrix[:20] + np.float32(0.01), 5) and len(ranked) == 1
