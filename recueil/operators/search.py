@@ -137,6 +137,24 @@ class _Best:
         """Compares some questions (row numbers) with some vectors."""
         self._add(questions, vectors, ids, None)
 
+    def add_near(self, vectors: np.ndarray, ids: np.ndarray) -> bool:
+        """Compares all questions with vectors of several cells at once, if the limits
+        so far leave few candidates; False if the cells have to be added one by one."""
+        if not np.isfinite(vectors).all() or not np.isfinite(self.limit).all() or not len(vectors):
+            return False
+        norms = (vectors**2).sum(1)
+        kind = np.float32 if self.norms.max(initial=0) + norms.max() < 1e30 else np.float64
+        wide, step = np.column_stack([vectors, norms]).astype(kind), max(1, _BLOCK_CELLS // len(vectors))
+        for at in range(0, len(self.q), step):
+            some = np.arange(at, min(at + step, len(self.q)))
+            margin = 4 * np.finfo(kind).eps * (vectors.shape[1] + 8) * (self.norms[some] + norms.max())
+            near = self._wide(some, kind) @ wide.T <= ((self.limit - self.offset)[some] + margin)[:, None]
+            if np.count_nonzero(near) > 8 * self.k * len(some) + 1000:
+                return False  # what is noted already may be met again
+            rows, cols = np.nonzero(near)
+            self._merge(some[rows], cols, vectors, ids)
+        return True
+
     def add_marked(self, bits: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
         """Compares every vector with the questions whose bit its row has set."""
         self._add(np.arange(len(self.q)), vectors, ids, bits)
@@ -294,14 +312,14 @@ def _wave_hits(
 
     def compared(best: _Best, batch: pa.RecordBatch) -> None:
         vector, ids = _matrix(batch.column("embedding"), dimension), _ids(batch.column("vec_id"))
-        if sent.value.probing is None:
-            best.add(np.arange(len(best.q)), vector, ids)
-            return
+        probing, everyone = sent.value.probing, np.arange(len(best.q))
         cell = batch.column("cell").to_numpy()
         by_cell = np.argsort(cell, kind="stable")
         names, starts = np.unique(cell[by_cell], return_index=True)
+        if probing is None and len(names) > 1 and best.add_near(vector, ids):
+            return
         for name, here in zip(names, np.split(by_cell, starts[1:])):
-            rows = sent.value.probing.get(int(name))
+            rows = everyone if probing is None else probing.get(int(name))
             if rows is not None:
                 best.add(rows, vector[here], ids[here])
 

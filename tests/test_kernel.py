@@ -112,3 +112,16 @@ def test_candidates_of_many_questions_are_ranked_on_the_way(monkeypatch):
     q, v = rng.normal(size=(2000, 4)), rng.normal(size=(300, 4))
     assert run(q, v, np.arange(300), 3, batch=300) == brute(q, v, np.arange(300), 3)
     assert max(waiting) < 2000
+
+
+def test_cells_at_once_find_the_same():
+    """Cells that all questions probe are compared together once limits are known."""
+    rng = np.random.default_rng(9)
+    v, q = rng.normal(size=(600, 5)), rng.normal(size=(40, 5))
+    best = S._Best(q, 4, "l2")
+    assert not best.add_near(v[:200], np.arange(200))
+    best.add(np.arange(40), v[:200], np.arange(200))
+    best.flush()
+    assert best.add_near(v[200:], np.arange(200, 600))
+    best.flush()
+    assert [(int(r), i) for r, i in zip(best.row, best.id)] == brute(q, v, np.arange(600), 4)
