@@ -96,8 +96,11 @@ def hit_at_k(hits: DataFrame, expected: DataFrame, title: str = "titre") -> Data
 
 
 def recall_against(approximate: DataFrame, exact: DataFrame) -> DataFrame:
-    """One row ``nb_exact, nb_found, recall`` of approximate hits."""
-    found = approximate.select("query_id", "vec_id", F.lit(1).alias("found"))
+    """One row ``nb_exact, nb_found, recall`` of approximate hits.
+
+    Hits of many questions are as many on either side, so they are not broadcast.
+    """
+    found = approximate.select("query_id", "vec_id", F.lit(1).alias("found")).hint("merge")
     joined = exact.select("query_id", "vec_id").join(found, ["query_id", "vec_id"], "left")
     return joined.agg(F.count("*").alias("nb_exact"), F.count("found").alias("nb_found")).withColumn(
         "recall", F.col("nb_found") / F.col("nb_exact")

@@ -12,6 +12,10 @@ at a time.  One block is the rule.  A larger question table takes a wave for eac
 block; a wave scans the vectors once, ranks its questions for good and writes their
 hits, so what is shuffled grows with the hits and no vector is copied.
 
+The driver sends the questions of a wave, so it only ever takes ``QUESTION_LIMIT``
+bytes of them for a search.  Of a question table beyond that it takes none: questions
+and vectors are stored in blocks, and every pair of blocks is a task's work.
+
 Hashed search keeps the buckets as a table of ids, made when the index is built.
 A search looks up the buckets its questions probe, and reads the vectors of the
 ids found there.
@@ -35,8 +39,12 @@ from recueil.session import settled, shared_dir
 
 METHODS = ("flat_l2", "flat_ip", "ivf", "lsh")
 
-#: Bytes of question vectors that are sent to every task in one wave, about.
-QUESTION_LIMIT = 64 << 20
+#: Bytes of question vectors that are sent to every task in one wave, about, and
+#: that the driver takes in all for one search.
+QUESTION_LIMIT = 16 << 20
+#: Bytes of the vectors in a block, about, where questions do not pass the driver.
+#: Each block emits k rows per question.
+VECTOR_LIMIT = 32 << 20
 #: Waves of fewer questions run side by side in one job, up to so many and up to
 #: the same bytes in all.
 WAVES_PER_JOB = 16
@@ -57,6 +65,9 @@ FILTER_LIMIT = 1000
 # Distances computed at a time, 4 MB in single precision.
 _BLOCK_CELLS = 1 << 20
 
+# Vectors of a stored block that are compared at a time.
+_BLOCK_ROWS = 10_000
+
 # Marks (bits) of a block of vectors of a hashed search, 8 MB.
 _BLOCK_MARKS = 1 << 26
 
@@ -304,48 +315,54 @@ def _cell_filter(df: DataFrame, probing: dict[int, np.ndarray] | None) -> DataFr
     return df.join(F.broadcast(probed), "cell", "left_semi")
 
 
+def _compare_cells(best: _Best, batch: pa.RecordBatch, wave: _Wave, dimension: int) -> None:
+    """Compares vectors with the questions that probe their ``cell``."""
+    vector, ids = _matrix(batch.column("embedding"), dimension), _ids(batch.column("vec_id"))
+    probing, everyone = wave.probing, np.arange(len(best.q))
+    cell = batch.column("cell").to_numpy()
+    by_cell = np.argsort(cell, kind="stable")
+    names, starts = np.unique(cell[by_cell], return_index=True)
+    if probing is None and len(names) > 1 and best.add_near(vector, ids):
+        return
+    for name, here in zip(names, np.split(by_cell, starts[1:])):
+        rows = everyone if probing is None else probing.get(int(name))
+        if rows is not None:
+            best.add(rows, vector[here], ids[here])
+
+
+def _compare_marked(best: _Best, batch: pa.RecordBatch, wave: _Wave, marks: dict[int, np.ndarray], dimension: int) -> None:
+    """Compares vectors with the questions that probe one of their ``cells``."""
+    width = -(-len(wave.ids) // 8)
+    step = max(1, _BLOCK_MARKS // (8 * max(1, width)))
+    nobody = np.empty(0, np.int32)
+    for start in range(0, batch.num_rows, step):
+        part = batch.slice(start, step)
+        bits = np.zeros((len(part), width), np.uint8)
+        for row, cells in zip(bits, part.column("cells").to_pylist()):
+            for cell in cells:
+                if cell in marks:
+                    row |= marks[cell]
+                else:
+                    few = wave.probing.get(cell, nobody)
+                    np.bitwise_or.at(row, few >> 3, np.left_shift(1, few & 7).astype(np.uint8))
+        met = bits.any(axis=1)
+        best.add_marked(bits[met], _matrix(part.column("embedding"), dimension)[met], _ids(part.column("vec_id"))[met])
+
+
 def _wave_hits(
     wave: _Wave, sent, vectors: DataFrame, buckets: DataFrame | None, k: int, metric: str, schema: pa.Schema, hit_schema: t.StructType
 ) -> DataFrame:
     """The k best vectors of each task for every question of a wave."""
     dimension, hashed = wave.questions.shape[1], buckets is not None
 
-    def compared(best: _Best, batch: pa.RecordBatch) -> None:
-        vector, ids = _matrix(batch.column("embedding"), dimension), _ids(batch.column("vec_id"))
-        probing, everyone = sent.value.probing, np.arange(len(best.q))
-        cell = batch.column("cell").to_numpy()
-        by_cell = np.argsort(cell, kind="stable")
-        names, starts = np.unique(cell[by_cell], return_index=True)
-        if probing is None and len(names) > 1 and best.add_near(vector, ids):
-            return
-        for name, here in zip(names, np.split(by_cell, starts[1:])):
-            rows = everyone if probing is None else probing.get(int(name))
-            if rows is not None:
-                best.add(rows, vector[here], ids[here])
-
-    def marked(best: _Best, batch: pa.RecordBatch, marks: dict[int, np.ndarray]) -> None:
-        width = -(-len(sent.value.ids) // 8)
-        step = max(1, _BLOCK_MARKS // (8 * max(1, width)))
-        for start in range(0, batch.num_rows, step):
-            part = batch.slice(start, step)
-            bits = np.zeros((len(part), width), np.uint8)
-            for row, cells in zip(bits, part.column("cells").to_pylist()):
-                for cell in cells:
-                    if cell in marks:
-                        row |= marks[cell]
-                    else:
-                        few = sent.value.probing[cell]
-                        np.bitwise_or.at(row, few >> 3, np.left_shift(1, few & 7).astype(np.uint8))
-            best.add_marked(bits, _matrix(part.column("embedding"), dimension), _ids(part.column("vec_id")))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(sent.value.questions, k, metric)
         marks = sent.value.marks() if hashed else None
         for batch in batches:
             if hashed:
-                marked(best, batch, marks)
+                _compare_marked(best, batch, sent.value, marks, dimension)
             else:
-                compared(best, batch)
+                _compare_cells(best, batch, sent.value, dimension)
             best.flush()
         yield from best.table(sent.value.ids, schema).to_batches()
 
@@ -361,6 +378,63 @@ def _wave_hits(
     return near.coalesce(min(tasks, 1 << 30)).mapInArrow(run, hit_schema)
 
 
+def _stored_blocks(df: DataFrame, key: str, count: int, order: str | None = None) -> DataFrame:
+    """``block, rows``: the rows dealt to ``count`` blocks, each an Arrow stream in a
+    partition of its own.  Rows of one key share a block."""
+
+    def pack(rows: pa.Table) -> pa.Table:
+        inside = rows.drop_columns(["block"])
+        inside = inside.sort_by(order) if order else inside
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, inside.schema) as out:
+            out.write_table(inside)
+        return pa.table([rows.column("block")[:1], pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "rows"])
+
+    dealt = df.withColumn("block", F.pmod(F.xxhash64(key), F.lit(count)).cast("int"))
+    packed = settled(dealt.groupBy("block").applyInArrow(pack, "block INT, rows BINARY"))
+    # Blocks are few, so the sample these ranges are made of has all of them.
+    return packed.repartitionByRange(count, "block")
+
+
+def _block_hits(
+    questions: DataFrame, count: int, size: int, vectors: DataFrame, buckets: DataFrame | None, k: int, metric: str, dimension: int,
+    schema: pa.Schema, hit_schema: t.StructType,
+) -> DataFrame:
+    """The k best vectors of each block of vectors for ``count`` questions of about
+    ``size`` bytes, none of which passes the driver."""
+    hashed = buckets is not None
+    if hashed:
+        found = buckets.groupBy("vec_id").agg(F.collect_list("cell").alias("cells"))
+        vectors = vectors.join(found, "vec_id").select("vec_id", "embedding", "cells")
+    parts = max(1, -(-vectors.count() * 8 * dimension // VECTOR_LIMIT))
+    # Smaller blocks of questions keep all cores busy and cost no further hits.
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    blocks = min(count, max(-(-count * size // QUESTION_LIMIT), -(-TASKS_PER_CORE * cores // parts)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wave, marks, name = None, None, None
+        for batch in batches:
+            for i, block in enumerate(batch.column("block").to_pylist()):
+                # Arrow streams are read in place.
+                asked, against = (pa.ipc.open_stream(batch.column(c)[i].as_buffer()).read_all() for c in ("asked", "against"))
+                if block != name:
+                    wave, name = _Wave(asked, dimension), block
+                    marks = wave.marks() if hashed else None
+                best = _Best(wave.questions, k, metric)
+                for some in against.combine_chunks().to_batches(max_chunksize=_BLOCK_ROWS):
+                    if hashed:
+                        _compare_marked(best, some, wave, marks, dimension)
+                    else:
+                        _compare_cells(best, some, wave, dimension)
+                    best.flush()
+                yield from best.table(wave.ids, schema).to_batches()
+
+    against = _stored_blocks(vectors, "vec_id", parts, None if hashed else "cell").select(F.col("rows").alias("against"))
+    asked = _stored_blocks(questions, "query_id", blocks).select("block", F.col("rows").alias("asked"))
+    # Each task reads one block of either side; neither is broadcast.
+    return against.hint("shuffle_replicate_nl").crossJoin(asked).mapInArrow(run, hit_schema)
+
+
 def _ranked(hits: DataFrame, k: int, metric: str) -> DataFrame:
     nearest = Window.partitionBy("query_id").orderBy("distance", "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
@@ -415,9 +489,13 @@ def _cell_search(
         wave = _Wave(few, dimension)
         hits = _wave_hits(wave, context.broadcast(wave), vectors, buckets, k, metric, schema, hit_schema)
         return _ranked(hits, k, metric), k * few.num_rows
+    path, count = shared_dir(vectors.sparkSession, "waves"), questions.count()
+    if count * (question_limit // rows) > QUESTION_LIMIT:
+        hits = _block_hits(questions, count, question_limit // rows, vectors, buckets, k, metric, dimension, schema, hit_schema)
+        _ranked(hits, k, metric).write.parquet(f"{path}/hits")
+        return vectors.sparkSession.read.parquet(f"{path}/hits"), None
     # Blocks are stored first, so each of them is read once.
-    path = shared_dir(vectors.sparkSession, "waves")
-    waves = -(-questions.count() // rows)
+    waves = -(-count // rows)
     block = F.pmod(F.xxhash64("query_id"), F.lit(waves)).alias("wave")
     questions.select("*", block).repartition("wave").write.partitionBy("wave").parquet(f"{path}/questions")
     stored = vectors.sparkSession.read.parquet(f"{path}/questions")
@@ -600,8 +678,8 @@ class VectorIndex:
         are probed, or buckets of each table of a hashed index, nearest first.
 
         The questions are evaluated here, once if a wave of ``question_limit``
-        bytes takes them all.  Otherwise the waves run here as well; write an
-        expensive question table before searching.
+        bytes takes them all.  Otherwise the waves, or pairs of blocks, run here as
+        well; write an expensive question table before searching.
         """
         return self._search(questions, k, nprobe, question_limit)[0]
 

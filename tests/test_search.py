@@ -268,3 +268,29 @@ def test_small_waves_share_a_job(vectors, questions, matrix, monkeypatch):
     monkeypatch.setattr(S, "_ranked", lambda *rest: (ranked.append(1), rank(*rest))[1])
     found = S.build_index(vectors).search(questions, 5, question_limit=600)
     assert hits(found) == brute(matrix, matrix[:20] + np.float32(0.01), 5) and len(ranked) == 1
+
+
+@pytest.mark.parametrize("method, how", [("flat_l2", {}), ("flat_ip", {}), ("ivf", {"nprobe": 3}), ("ivf", {"nprobe": 100}), ("lsh", {"nprobe": 2})])
+def test_large_question_tables_do_not_pass_the_driver(spark, vectors, questions, matrix, monkeypatch, method, how):
+    """Pairs of stored blocks give the hits that one wave gives, also where questions come twice."""
+    index = S.build_index(vectors, method, nlist=6, bucket_length=0.5, tables=3)
+    asked = questions.union(questions)
+    expected = hits(index.search(asked, 5, **how))
+
+    def refused(*rest):
+        raise AssertionError("questions passed the driver")
+
+    monkeypatch.setattr(S, "QUESTION_LIMIT", 1500)
+    monkeypatch.setattr(S, "VECTOR_LIMIT", 4000)
+    monkeypatch.setattr(S, "_wave_hits", refused)
+    found = index.search(asked, 5, question_limit=1500, **how)
+    assert hits(found) == expected and found.count() == len(expected)
+    if method == "flat_l2":  # a vector that is there twice is found once
+        twice = S.build_index(vectors.union(vectors)).search(asked, 5, question_limit=1500)
+        assert hits(twice) == expected and twice.count() == len(expected)
+
+
+def test_recall_does_not_broadcast_the_hits(vectors, questions):
+    exact = S.build_index(vectors).search(questions, 5)
+    plan = V.recall_against(exact, exact)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
